@@ -1,0 +1,30 @@
+"""Connected components by repeated contraction of an edge table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import stored
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node that edges(a, b) reach from a node.
+
+    Each round hooks every vertex to its smallest neighbour, follows the hooks
+    once more, and maps the edges to the vertices that remain; the edge table
+    shrinks until none is left.  All tables stay distributed and each round is
+    written to the shared folder.  Nulls and self loops are ignored.
+    """
+    e = edges.select("a", "b").where("a is not null and b is not null and a <> b")
+    e = stored(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = e.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
+    while e.limit(1).count():
+        hook = stored(e.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("to")), "hooks")
+        further = hook.select(F.col("a").alias("to"), F.col("to").alias("next"))
+        jump = stored(hook.join(further, "to").select(F.col("a").alias("old"), F.col("next").alias("new")), "jumps")
+        labels = stored(labels.join(jump, labels.component == jump.old, "left").select("node", F.coalesce("new", "component").alias("component")), "labels")
+        to_a, to_b = jump.select(F.col("old").alias("a"), F.col("new").alias("new_a")), jump.select(F.col("old").alias("b"), F.col("new").alias("new_b"))
+        e = e.join(to_a, "a").join(to_b, "b").select(F.col("new_a").alias("a"), F.col("new_b").alias("b")).where("a <> b").distinct()
+        e = stored(e, "edges")
+    return labels

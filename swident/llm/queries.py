@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as q8
 from . import licenses as q2
+from . import near_duplicates as q6
+from . import quality_classifier as q10
 from . import quality_rules as q1
+from . import toxicity as q5
+from .common import fold, held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,15 +30,36 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q2.license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    index = q5.fit(docs, _table(spark, sf_dir, "labels"), "toxic", fold(F.col("doc_id"), 4) != 2)
+    scored = q5.score(docs, index, ["doc_id"])
+    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q6.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = q8.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    ranker = q10.fit(docs, _table(spark, sf_dir, "labels"), "quality", fold(F.col("doc_id"), 4) != 2)
+    scored = q10.classify(docs, ranker, ["doc_id"])
+    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
+    "op5_toxicity": op5_toxicity,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {}
