@@ -1,7 +1,7 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
-Vocabulary: the words whose contexts (previous and next word) differ most
-between toxic and clean examples; counting distinct contexts keeps copies of one
+Vocabulary: the words most of whose contexts (previous and next word) are in
+toxic examples, beyond what chance would give; counting distinct contexts keeps copies of one
 example from making its words look typical.  Examples and documents are TF-IDF
 vectors over it.  The examples with a vector form an inverted index in blocks of
 `BLOCK`; each block keeps the largest weight of each term.  A query visits the
@@ -21,6 +21,7 @@ score.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +36,7 @@ from .words import ALNUM, Slice, slices
 
 MAX_EXAMPLES = 16_384
 MAX_TERMS = 512
-MIN_Z = 3.3
+SLACK = 2.0
 BLOCK = 64
 K = 15
 SHRINK = 1.0
@@ -47,16 +48,21 @@ def _examples(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max
     return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
 
 
-def vocabulary(examples: DataFrame, max_terms: int = MAX_TERMS, min_z: float = MIN_Z) -> list[str]:
-    """The words whose distinct contexts lean most to toxic or to clean."""
+def vocabulary(examples: DataFrame, max_terms: int = MAX_TERMS, slack: float = SLACK) -> list[str]:
+    """The words most of whose distinct contexts are toxic, by strength of evidence."""
     words = examples.select("y", words_of(lower_ascii(F.col("text"))).alias("w")).select("y", "w", F.posexplode("w").alias("i", "term"))
     contexts = words.select("y", "term", F.xxhash64(F.expr("get(w, i - 1)"), F.expr("get(w, i + 1)"), F.size("w") == 1).alias("c")).distinct()
     by_term = contexts.groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-    total = by_term.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb")).first()
+    total = by_term.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"), F.count("*").alias("n")).first()
     if not total.ta or not total.tb:
         return []
-    lean = (F.log((F.col("a") + 0.5) / F.lit(float(total.ta))) - F.log((F.col("b") + 0.5) / F.lit(float(total.tb)))) / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    chosen = by_term.withColumn("z", lean).where((F.col("z") >= min_z) | (F.col("z") <= -4 * min_z)).orderBy(F.desc(F.abs("z")), "term").limit(max_terms)
+    # evidence: n * KL(a / n || share of toxic contexts), in nats; chance gives
+    # a word of n terms evidence over log(n) about once
+    share = total.ta / (total.ta + total.tb)
+    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+    plus = a * F.log(a / ((a + b) * F.lit(share)))
+    minus = F.when(b > 0, b * F.log(b / ((a + b) * F.lit(1 - share)))).otherwise(0.0)
+    chosen = by_term.where("a >= b and a > 0").withColumn("evidence", plus + minus).where(F.col("evidence") >= math.log(total.n) - slack).orderBy(F.desc("evidence"), "term").limit(max_terms)
     return sorted(r.term for r in chosen.collect())
 
 
