@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as q8
+from . import language as q3
 from . import licenses as q2
 from . import near_duplicates as q6
 from . import quality_classifier as q10
@@ -30,6 +31,14 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q2.license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrow margins are rejected by the operator; the query reports its best guess."""
+    docs = _table(spark, sf_dir, "documents")
+    content = q3.sample_dictionaries(docs, fold(F.col("doc_id"), 5) != 0)
+    found = q3.identify(docs, content, ["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     index = q5.fit(docs, _table(spark, sf_dir, "labels"), "toxic", fold(F.col("doc_id"), 4) != 2)
@@ -56,6 +65,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
+    "op3_language_id": op3_language_id,
     "op5_toxicity": op5_toxicity,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
