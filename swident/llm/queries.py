@@ -11,9 +11,11 @@ from . import decontaminate as q8
 from . import language as q3
 from . import licenses as q2
 from . import near_duplicates as q6
+from . import pieces as q4
 from . import quality_classifier as q10
 from . import quality_rules as q1
 from . import toxicity as q5
+from . import warc as q9
 from .common import fold, held_out
 
 
@@ -39,6 +41,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text under seed 1 with one merge in ten skipped."""
+    made = q4.encode(_table(spark, sf_dir, "documents"), ["doc_id"], q4.load_model(), seed=1)
+    return made.select("doc_id", F.col("_variant").alias("variant"), F.col("_n_pieces").alias("n_pieces"), F.col("_ids").alias("ids"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     index = q5.fit(docs, _table(spark, sf_dir, "labels"), "toxic", fold(F.col("doc_id"), 4) != 2)
@@ -55,6 +63,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = q9.round_trip(_table(spark, sf_dir, "pages"))
+    return read.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", F.when(F.col("record_type") == "response", F.col("read_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     ranker = q10.fit(docs, _table(spark, sf_dir, "labels"), "quality", fold(F.col("doc_id"), 4) != 2)
@@ -66,9 +79,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
     "op3_language_id": op3_language_id,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_toxicity": op5_toxicity,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
+    "op9_warc": op9_warc,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
