@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as q8
+from . import katz as q7
 from . import language as q3
 from . import licenses as q2
 from . import near_duplicates as q6
@@ -58,6 +59,12 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q6.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = held_out(F.col("doc_id"), 7, 2)
+    scored = q7.score(_table(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = q8.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
@@ -82,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_toxicity": op5_toxicity,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_katz_backoff": op7_katz_backoff,
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_quality_classifier": op10_quality_classifier,
