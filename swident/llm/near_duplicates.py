@@ -16,11 +16,11 @@ order on which a pair agrees has at most d differing parts before it, so both
 emit it, and no linking pair is missed.
 
 Candidates: in a group of equal keys every member is compared with the group's
-smallest member; after the links of that round are contracted, only members of
-different components remain to be compared.  A group that still has many
-components is dealt out again by keys of another seed, which a linking pair must
-share too, so unrelated documents that share one passage part.  Candidate pairs
-must pass the Hamming bound and are then verified on the full shingle sets.
+smallest member, its pivot.  After those links are contracted, members that met
+at one pivot but are still in different components are compared by their bit
+sketches within the task that holds them, in blocks of bounded size, and only
+pairs within the Hamming bound leave it.  Every pair that may link is thus tested
+or already connected.  Surviving pairs are verified on the full shingle sets.
 
 Odd inputs: a text with fewer words than a shingle is one shingle, a text
 without words has the empty set and links with nothing; equal sets are one node,
@@ -44,7 +44,8 @@ from .components import connected_components
 from .words import SPACED, grams, mix, slices
 
 U = np.uint64
-SKETCH_WORDS = 16  # 64-bit words of the Hamming sketch
+BLOCK = 256  # members of a pivot that are compared with each other at a time
+MOST_BITS = 1 << 17  # of a Hamming sketch
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -75,10 +76,24 @@ def _fingerprint(x: np.ndarray) -> int:
     return int((mix(np.array([total], dtype=U)) ^ np.bitwise_xor.reduce(mix(x))).view(np.int64)[0])
 
 
-def _hamming_sketch(x: np.ndarray) -> np.ndarray:
-    bits = SKETCH_WORDS * 64
+def _hamming_sketch(x: np.ndarray) -> bytes:
+    """Parity of the shingles at each of 4 to 8 bits per shingle, a power of two."""
+    bits = min(MOST_BITS, 1 << max(7, (4 * len(x) - 1).bit_length()))
     odd = np.bincount((x & U(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(sketches: np.ndarray, size: int) -> np.ndarray:
+    """Sketches (rows of bytes) of fewer bits: halves are XORed together."""
+    while sketches.shape[1] > size:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of two arrays of sketch rows of one width."""
+    return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)).sum(axis=-1, dtype=np.int64)
 
 
 def _bands(n: int, t: Fraction) -> list[tuple[int, int]]:
@@ -123,18 +138,18 @@ def _keys(x: np.ndarray, t: Fraction) -> np.ndarray:
 
 
 def node_table(docs: DataFrame, n: int = 5) -> DataFrame:
-    """doc_id, text_key, node (the set's fingerprint; null if empty), n_shingles."""
+    """doc_id, text_key, node (the set's fingerprint; null if empty), n_shingles, sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            node, size = [None] * b.num_rows, [0] * b.num_rows
+            node, size, sketch = [None] * b.num_rows, [0] * b.num_rows, [None] * b.num_rows
             for i, x in _sets(b.column(2), n):
                 if len(x):
-                    node[i], size[i] = _fingerprint(x), len(x)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.int64()), pa.array(size, pa.int64())], names=["doc_id", "text_key", "node", "n_shingles"])
+                    node[i], size[i], sketch[i] = _fingerprint(x), len(x), _hamming_sketch(x)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(sketch, pa.binary())], names=["doc_id", "text_key", "node", "n_shingles", "sketch"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, f"doc_id {kind}, text_key long, node long, n_shingles long")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, f"doc_id {kind}, text_key long, node long, n_shingles long, sketch binary")
 
 
 class _Once:
@@ -152,7 +167,7 @@ class _Once:
         return True
 
 
-def key_table(docs: DataFrame, threshold: Fraction, n: int = 5, seed: int = 0) -> DataFrame:
+def key_table(docs: DataFrame, threshold: Fraction, n: int = 5) -> DataFrame:
     """(key, node): the keys of every distinct set, about once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +180,7 @@ def key_table(docs: DataFrame, threshold: Fraction, n: int = 5, seed: int = 0) -
         for b in batches:
             for _, x in _sets(b.column(0), n):
                 if len(x) and once(f := _fingerprint(x)):
-                    keys.append(_keys(np.sort(mix(x + U(seed))) if seed else x, threshold))
+                    keys.append(_keys(x, threshold))
                     nodes.append(f)
                     held += len(keys[-1])
                     if held > 50_000:
@@ -177,12 +192,11 @@ def key_table(docs: DataFrame, threshold: Fraction, n: int = 5, seed: int = 0) -
     return docs.select("text").mapInArrow(run, "key long, node long")
 
 
-def _group_pairs(keys: DataFrame, partitions: int) -> DataFrame:
-    """(key, a, b): each member b of a key's group with its smallest member a.
+def _pivot_pairs(keys: DataFrame, partitions: int) -> DataFrame:
+    """(a, b, many): each member b of a key's group with its smallest member a.
 
-    Rows are dealt out by key and sorted in each task as plain 16-byte pairs.  A
-    group gives one row for each further member; key is kept only for groups of
-    three or more, and a task gives a pair without key once.
+    Rows are dealt out by key and sorted in each task as plain 16-byte pairs; a
+    task gives a pair once.  many: some group of the pair has further members.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,88 +212,103 @@ def _group_pairs(keys: DataFrame, partitions: int) -> DataFrame:
         start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         size = np.diff(np.concatenate((start, [len(key)])))
         least, width = np.repeat(node[start], size), np.repeat(size, size)
-        two = (width == 2) & (least != node)
-        pair = np.unique(np.stack((least[two], node[two]), axis=1), axis=0)
-        many = (width > 2) & (least != node)
-        for k, a, b in ((None, pair[:, 0], pair[:, 1]), (key[many], least[many], node[many])):
-            for i in range(0, len(a), 100_000):
-                ks = pa.nulls(len(a[i : i + 100_000]), pa.int64()) if k is None else pa.array(k[i : i + 100_000])
-                yield pa.RecordBatch.from_arrays([ks, pa.array(np.ascontiguousarray(a[i : i + 100_000])), pa.array(np.ascontiguousarray(b[i : i + 100_000]))], names=["key", "a", "b"])
+        other = least != node
+        if not other.any():
+            return
+        pair, at = np.unique(np.stack((least[other], node[other]), axis=1), axis=0, return_inverse=True)
+        many = np.bincount(at.ravel(), weights=width[other] > 2) > 0
+        for i in range(0, len(pair), 100_000):
+            part = pair[i : i + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[:, 0])), pa.array(np.ascontiguousarray(part[:, 1])), pa.array(many[i : i + 100_000])], names=["a", "b", "many"])
 
-    return keys.repartition(partitions, "key").mapInArrow(run, "key long, a long, b long")
+    found = keys.repartition(partitions, "key").mapInArrow(run, "a long, b long, many boolean")
+    return found.groupBy("a", "b").agg(F.max("many").alias("many"))
 
 
-def _set_table(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """node, sketch, shingles of the wanted(node) sets, read from one text each."""
-    keys = nodes.join(wanted, "node").groupBy("node").agg(F.min("text_key").alias("k")).select(F.col("k").alias("text_key")).distinct()
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(small_side(stored(keys, "texts")), "text_key", "left_semi")
+def _near_pairs(pairs: DataFrame, sketches: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs(a, b) whose sizes and Hamming distance allow a link."""
+    p, q = t.numerator, t.denominator
+    left, right = (sketches.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    both = pairs.select("a", "b").join(right, "b").join(left, "a").where((F.col("na") * q >= F.col("nb") * p) & (F.col("nb") * q >= F.col("na") * p))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = _Once()
         for b in batches:
-            rows = [(f, _hamming_sketch(x), x.view(np.int64)) for _, x in _sets(b.column(0), n) if len(x) and once(f := _fingerprint(x))]
-            for i in range(0, len(rows), 256):
-                node, sketch, shingles = zip(*rows[i : i + 256], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(sketch, pa.list_(pa.int64())), pa.array(shingles, pa.list_(pa.int64()))], names=["node", "sketch", "shingles"])
-
-    return stored(texts.select("text").mapInArrow(run, "node long, sketch array<long>, shingles array<long>").dropDuplicates(["node"]), "sets")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
-    """The pairs(a, b) with Jaccard >= t, after the Hamming bound."""
-    p, q = t.numerator, t.denominator
-    light = sets.select("node", "sketch").join(sizes, "node")
-    left, right = (light.select(F.col("node").alias(x), F.col("sketch").alias(f"s{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
-    apart = F.expr("aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (u, v) -> u + v)")
-    near = pairs.join(right, "b").join(left, "a").where((F.col("na") * q >= F.col("nb") * p) & (F.col("nb") * q >= F.col("na") * p)).where(apart * (q + p) <= (F.col("na") + F.col("nb")) * (q - p))
-    near = near.select("a", "b", "na", "nb")
-    left, right = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"x{x}")) for x in "ab")
-    both = near.join(right, "b").join(left, "a").withColumn("common", F.size(F.array_intersect("xa", "xb")))
-    return both.where(F.col("common") * q >= (F.col("na") + F.col("nb") - F.col("common")) * p).select("a", "b")
-
+            keep = np.zeros(b.num_rows, dtype=bool)
+            for i, (x, y, na, nb) in enumerate(zip(b.column(2), b.column(3), b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint8)[None, :] for v in (x, y))
+                size = min(x.shape[1], y.shape[1])
+                keep[i] = _apart(_folded(x, size), _folded(y, size))[0] * (q + p) <= (na + nb) * (q - p)
+            yield b.select([0, 1]).filter(pa.array(keep))
 
-MANY = 64  # components in a key's group beyond which it is dealt out anew
-DEALS = 4
+    return both.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long")
 
 
-def _open_groups(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, node, component, n) of the groups whose members aren't yet one component.
+def _cross_pairs(stars: DataFrame, labels: DataFrame, sketches: DataFrame, t: Fraction) -> DataFrame:
+    """(a, b): members of one pivot in different components, within the Hamming bound.
 
-    groups(key, a, b) holds stars: a has been compared with each b, so a itself
-    needs no further comparison.
+    stars(a, b) have been compared with the pivot a.  The members of a pivot are
+    cut in blocks of about BLOCK by hash; each pair of blocks goes to one task.
     """
-    rows = groups.select("key", F.col("b").alias("node")).join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    counts = rows.groupBy("key", "component").count().groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    return rows.join(counts, "key")
-
-
-def _cross_pairs(rows: DataFrame, partitions: int) -> DataFrame:
-    """(a, b) of different components within each key's group; groups are small."""
+    p, q = t.numerator, t.denominator
+    rows = stars.select("a", F.col("b").alias("node")).join(labels, "node", "left").select("a", "node", F.coalesce("component", "node").alias("component"))
+    open_ = rows.groupBy("a").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("a", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(open_, "a").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # a block meets itself and every other block of its pivot once
+    rows = rows.select("a", "node", "component", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).join(sketches, "node")
+    cell = [F.col("a"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        i, j = key[1].as_py(), key[2].as_py()
+        held: list[tuple] = []
+        for b in batches:
+            held += zip(b.column("node").to_pylist(), b.column("component").to_pylist(), b.column("n").to_pylist(), b.column("sketch").to_pylist(), b.column("own").to_pylist(), strict=True)
+        held.sort(key=lambda r: r[:3])
+        node, comp, n, own = (np.array([r[k] for r in held], dtype=np.int64) for k in (0, 1, 2, 4))
+        by_width: dict[int, np.ndarray] = {}
+        width = np.array([len(r[3]) for r in held])
+        a_out, b_out = [], []
+        widths = sorted(set(width.tolist()))
+        for w in widths:
+            rows_w = np.flatnonzero(width >= w)
+            by_width[w] = np.zeros((len(held), w), dtype=np.uint8)
+            for k in rows_w.tolist():
+                by_width[w][k] = _folded(np.frombuffer(held[k][3], dtype=np.uint8)[None, :], w)[0]
+        for k in range(len(held)):
+            # the smaller sketch of a pair sets the width it is compared at
+            fits = (comp != comp[k]) & (n >= n[k]) & (n[k] * q >= n * p) & ((own != own[k]) if i != j else (own == own[k]))
+            fits &= (n > n[k]) | (np.arange(len(held)) > k)
+            at = np.flatnonzero(fits)
+            if len(at):
+                table = by_width[int(width[k])]
+                at = at[_apart(table[at], table[k][None, :]) * (q + p) <= (n[at] + n[k]) * (q - p)]
+                a_out.append(np.minimum(node[at], node[k]))
+                b_out.append(np.maximum(node[at], node[k]))
+        if a_out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], names=["a", "b"])
+
+    return rows.groupBy(*cell).applyInArrow(run, "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, t: Fraction, n: int) -> DataFrame:
+    """The pairs(a, b) with Jaccard >= t, on sets read again from one text each."""
+    p, q = t.numerator, t.denominator
+    pairs = stored(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    keys = nodes.join(wanted, "node").groupBy("node").agg(F.min("text_key").alias("k")).select(F.col("k").alias("text_key")).distinct()
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(small_side(stored(keys, "texts")), "text_key", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(3)] for b in batches]
-        if not held:
-            return
-        key, node, comp = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((node, key))
-        key, node, comp = key[order], node[order], comp[order]
-        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        found: list[np.ndarray] = []
-        count = 0
-        for a, z in zip(start.tolist(), [*start[1:].tolist(), len(key)], strict=True):
-            for i in range(a, z - 1):
-                other = node[i + 1 : z][comp[i + 1 : z] != comp[i]]
-                found.append(np.stack((np.full(len(other), node[i]), other), axis=1))
-                count += len(other)
-                if count > 500_000 or (i == z - 2 and z == len(key)):
-                    pair = np.unique(np.concatenate(found), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1]))], names=["a", "b"])
-                    found, count = [], 0
-        if found:
-            pair = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1]))], names=["a", "b"])
-
-    return rows.select("key", "node", "component").repartition(partitions, "key").mapInArrow(run, "a long, b long")
+        once = _Once()
+        for b in batches:
+            rows = [(f, x.view(np.int64)) for _, x in _sets(b.column(0), n) if len(x) and once(f := _fingerprint(x))]
+            for i in range(0, len(rows), 256):
+                node, shingles = zip(*rows[i : i + 256], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(shingles, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    sets = stored(texts.select("text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+    left, right = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"x{x}")) for x in "ab")
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", F.size("xa").alias("na"), F.size("xb").alias("nb"), F.size(F.array_intersect("xa", "xb")).alias("common"))
+    return stored(both.where(F.col("common") * q >= (F.col("na") + F.col("nb") - F.col("common")) * p).select("a", "b"), "links")
 
 
 def jaccard_classes(docs: DataFrame, threshold: Fraction = Fraction(4, 5), n: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -288,33 +317,15 @@ def jaccard_classes(docs: DataFrame, threshold: Fraction = Fraction(4, 5), n: in
     nodes = stored(node_table(docs, n), "nodes")
     total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total * 0.4 / 1_000_000) + 1)
-    sizes = nodes.where("node is not null").groupBy("node").agg(F.first("n_shingles").alias("n"))
-    groups = stored(_group_pairs(key_table(docs, threshold, n), partitions), "groups")
-    links = None
-    for deal in range(1, DEALS + 1):
-        pairs = stored(groups.select("a", "b").distinct(), "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = _set_table(docs, nodes, wanted, n)
-        new = stored(_verified(pairs, sets, sizes, threshold), "links")
-        links = new if links is None else links.unionByName(new)
-        labels = connected_components(links)
-        rest = stored(_open_groups(groups.where("key is not null"), labels), "open")
-        few = rest if deal == DEALS else rest.where(F.col("n") <= MANY)
-        if few.limit(1).count():
-            pairs = _cross_pairs(few, partitions).distinct()
-            more = stored(_verified(pairs, sets, sizes, threshold), "links")
-            if more.limit(1).count():
-                links = links.unionByName(more)
-                labels = connected_components(links)
-        many = rest.where(F.col("n") > MANY)
-        if deal == DEALS or not many.limit(1).count():
-            break
-        members = stored(many.select(F.col("key").alias("old"), "node"), "hot")
-        some = members.select("node").distinct()
-        keys = nodes.join(some, "node").groupBy("node").agg(F.min("text_key").alias("k")).select(F.col("k").alias("text_key")).distinct()
-        texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(small_side(stored(keys, "texts")), "text_key", "left_semi")
-        again = members.join(key_table(texts, threshold, n, seed=deal), "node").select(F.xxhash64("old", "key").alias("key"), "node")
-        groups = stored(_group_pairs(again, partitions), "groups")
+    pairs = stored(_pivot_pairs(key_table(docs, threshold, n), partitions), "pairs")
+    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sketches = stored(nodes.join(met, "node").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "sketches")
+    links = _verified(_near_pairs(pairs, sketches, threshold), docs, nodes, threshold, n)
+    labels = connected_components(links)
+    crossing = stored(_cross_pairs(pairs.where("many"), labels, sketches, threshold), "crossing")
+    if crossing.limit(1).count():
+        more = _verified(crossing, docs, nodes, threshold, n)
+        labels = connected_components(links.unionByName(more))
     return nodes, labels
 
 
