@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii
+from .common import lower_ascii, stored
 from .decontaminate import words_of
 from .words import ALNUM, Slice, slices
 
@@ -52,7 +52,7 @@ def vocabulary(examples: DataFrame, max_terms: int = MAX_TERMS, slack: float = S
     """The words most of whose distinct contexts are toxic, by strength of evidence."""
     words = examples.select("y", words_of(lower_ascii(F.col("text"))).alias("w")).select("y", "w", F.posexplode("w").alias("i", "term"))
     contexts = words.select("y", "term", F.xxhash64(F.expr("get(w, i - 1)"), F.expr("get(w, i + 1)"), F.size("w") == 1).alias("c")).distinct()
-    by_term = contexts.groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+    by_term = stored(contexts.groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")), "terms")
     total = by_term.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"), F.count("*").alias("n")).first()
     if not total.ta or not total.tb:
         return []
@@ -90,10 +90,10 @@ class Index:
     without: float
 
     def vectors(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(documents, starts, terms, weights) of the unit vectors of a slice."""
+        """(documents, bounds, terms, weights) of the unit vectors of a slice."""
         if not len(self.hashes) or not len(s.start):
             e = np.zeros(0, dtype=np.int64)
-            return e, e, e, e.astype(float)
+            return e, np.zeros(1, dtype=np.int64), e, e.astype(float)
         h = s.hashes(True)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
         hit = np.flatnonzero(self.hashes[at] == h)
@@ -102,8 +102,8 @@ class Index:
         w = (1 + np.log(count)) * self.idf[term]
         who, first = np.unique(doc, return_index=True)
         norm = np.sqrt(np.add.reduceat(w * w, first)) if len(w) else np.zeros(0)
-        size = np.diff(np.concatenate((first, [len(w)])))
-        return who, first, term, w / np.repeat(norm, size)
+        size = np.diff(np.concatenate((first, [len(w)]))).astype(np.int64)
+        return who, np.concatenate((first, [len(w)])), term, w / np.repeat(norm, size)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """Exact k nearest examples (numbers, cosines > 0), best first."""
@@ -186,8 +186,8 @@ def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidenc
             for s in slices(b.column(b.num_columns - 1), ALNUM):
                 out = np.full(s.n_docs, ix.without)
                 why: list[list[dict]] = [[] for _ in range(s.n_docs)]
-                who, first, term, weight = ix.vectors(s)
-                for d, a, z in zip(who.tolist(), first.tolist(), [*first[1:].tolist(), len(term)], strict=True):
+                who, bounds, term, weight = ix.vectors(s)
+                for d, a, z in zip(who.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                     ids, cosine = ix.nearest(term[a:z], weight[a:z], k)
                     if len(ids):
                         out[d] = ix.vote(ids, cosine)
