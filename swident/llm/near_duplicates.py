@@ -340,16 +340,24 @@ def near_duplicates(docs: DataFrame, threshold: Fraction = Fraction(4, 5), n: in
 
 
 def keep_one(docs: DataFrame, threshold: Fraction = Fraction(4, 5), n: int = 5) -> DataFrame:
-    """One row of each component, that of the smallest doc_id; same columns.
+    """docs with one row of each component, that of the smallest doc_id; same columns.
 
-    Of repeated rows of that doc_id one stays.  Rows without words all stay.
+    Of repeated rows of that doc_id and text one stays.  Rows without words all
+    stay.  Rows to drop are the smaller side and are taken away by an anti join,
+    so the texts themselves need no shuffle while those fit a broadcast.
     """
     nodes, labels = jaccard_classes(docs, threshold, n)
-    least = nodes.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    rows = nodes.where("node is not null").select("doc_id", "text_key", "node")
+    least = rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
     named = least.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    first = named.groupBy("component").agg(F.min("first").alias("first"))
-    kept = stored(first.select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")), "kept")
-    wordless = stored(nodes.where("node is null").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "kept")
+    first = named.groupBy("component").agg(F.min("least").alias("first"))
+    by_node = named.join(first, "component").select("node", "first")
+    marked = rows.join(by_node, "node").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))
+    pairs = stored(marked.groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "kept"), "dropped")
     at = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    one = docs.join(small_side(kept), at, "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.join(small_side(wordless), at, "left_semi"))
+    out = docs.join(small_side(pairs.drop("kept")), at, "left_anti")
+    again = pairs.where("kept").drop("kept")
+    if again.limit(1).count():
+        same = docs.join(small_side(again), at, "left_semi").withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]).drop("_key")
+        out = out.unionByName(same)
+    return out

@@ -158,13 +158,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: F.Column, at: flo
 
 def classify(docs: DataFrame, ranker: Ranker, columns: list[str]) -> DataFrame:
     """The given columns of each row, with `_score` added."""
-    kept = docs.select(*columns, F.col("text").alias("_scored_text"))
+    kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_scored_text"))
+    text_at, n = (columns.index("text") if "text" in columns else len(columns)), len(columns)
     schema = docs.select(*columns).schema.add("_score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in slices(b.column(b.num_columns - 1), SPACED):
-                part = [b.column(i).slice(s.first, s.n_docs) for i in range(b.num_columns - 1)]
+            for s in slices(b.column(text_at), SPACED):
+                part = [b.column(i).slice(s.first, s.n_docs) for i in range(n)]
                 yield pa.RecordBatch.from_arrays([*part, pa.array(ranker.score(features(s)))], names=schema.names)
 
     return kept.mapInArrow(run, schema)

@@ -174,7 +174,8 @@ def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidenc
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(index)  # bounded by max_examples and MAX_TERMS
-    kept = docs.select(*columns, F.col("text").alias("_scored_text"))
+    kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_scored_text"))
+    text_at, n = (columns.index("text") if "text" in columns else len(columns)), len(columns)
     schema = docs.select(*columns).schema.add("_score", "double")
     kinds = pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))
     if evidence:
@@ -183,7 +184,7 @@ def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidenc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value
         for b in batches:
-            for s in slices(b.column(b.num_columns - 1), ALNUM):
+            for s in slices(b.column(text_at), ALNUM):
                 out = np.full(s.n_docs, ix.without)
                 why: list[list[dict]] = [[] for _ in range(s.n_docs)]
                 who, bounds, term, weight = ix.vectors(s)
@@ -193,7 +194,7 @@ def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidenc
                         out[d] = ix.vote(ids, cosine)
                         if evidence:
                             why[d] = [{"example": str(ix.ids[i]), "cosine": float(c), "label": int(ix.label[i])} for i, c in zip(ids.tolist(), cosine.tolist(), strict=True)]
-                part = [b.column(i).slice(s.first, s.n_docs) for i in range(b.num_columns - 1)]
+                part = [b.column(i).slice(s.first, s.n_docs) for i in range(n)]
                 yield pa.RecordBatch.from_arrays([*part, pa.array(out), *([pa.array(why, kinds)] if evidence else [])], names=schema.names)
 
     return kept.mapInArrow(run, schema)
