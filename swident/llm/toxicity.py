@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import lower_ascii, stored
 from .decontaminate import words_of
@@ -179,7 +180,7 @@ def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidenc
     schema = docs.select(*columns).schema.add("_score", "double")
     kinds = pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))
     if evidence:
-        schema = schema.add("_evidence", "array<struct<example:string,cosine:double,label:int>>")
+        schema = schema.add("_evidence", T.ArrayType(T.StructType().add("example", "string").add("cosine", "double").add("label", "integer")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value
