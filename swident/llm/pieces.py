@@ -181,7 +181,7 @@ def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rat
     sent = spark.sparkContext.broadcast(model)  # a model file has a fixed size
     variant = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)), F.lit(variants)).cast("int")
     kept = docs.select(*columns, variant.alias("_variant"), F.col("text").alias("_encoded_text"))
-    schema = docs.select(*columns).schema.add("_ids", T.ArrayType(T.IntegerType())).add("_n_pieces", "long").add("_variant", "int")
+    schema = docs.select(*columns).schema.add("_ids", T.ArrayType(T.IntegerType())).add("_n_pieces", "long").add("_variant", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(sent.value, seed, rate)
