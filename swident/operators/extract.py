@@ -1,0 +1,83 @@
+"""Extractors: native, replayed and remote, all with the same result columns."""
+
+from __future__ import annotations
+
+import json
+import time
+import urllib.request
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.text import clean_field_answer, parse_response, positional_extract
+
+FIELDS = ["vendor", "product", "version", "update", "target_sw"]
+PROMPT = "Give vendor, product, version, update and target_sw of this software title as one JSON object."
+
+
+def positional(titles: DataFrame) -> DataFrame:
+    """Entities by position, without any model."""
+    return titles.withColumn("_e", positional_extract("title")).select("*", "_e.*", F.lit(None).cast("string").alias("error")).drop("_e")
+
+
+def replay(titles: DataFrame, answers: DataFrame) -> DataFrame:
+    """Entities of recorded answers(title, answer); unknown titles have none."""
+    joined = titles.join(answers.select("title", F.col("answer").alias("_a")), "title", "left")
+    return joined.withColumn("_e", parse_response(F.coalesce("_a", F.lit("{}")))).select("*", "_e.*").drop("_a", "_e")
+
+
+def chat_completion(url: str, model: str, key: str = "", timeout: float = 60.0) -> Callable[[str, str], tuple[str, int, int]]:
+    """A client of an OpenAI-style chat endpoint: (system, user) -> text, tokens in and out."""
+
+    def ask(system: str, user: str) -> tuple[str, int, int]:
+        body = json.dumps({"model": model, "temperature": 0, "messages": [{"role": "system", "content": system}, {"role": "user", "content": user}]}).encode()
+        request = urllib.request.Request(url, data=body, headers={"Content-Type": "application/json", "Authorization": f"Bearer {key}"})
+        with urllib.request.urlopen(request, timeout=timeout) as r:
+            d = json.load(r)
+        usage = d.get("usage") or {}
+        return d["choices"][0]["message"]["content"], usage.get("prompt_tokens", 0), usage.get("completion_tokens", 0)
+
+    return ask
+
+
+def remote_answers(titles: DataFrame, ask: Callable[[str, str], tuple[str, int, int]], per_field: bool = False, retries: int = 2, pause: float = 1.0) -> DataFrame:
+    """title, answers, tokens_in, tokens_out, latency_ms and error, one model call (or five) a title.
+
+    Give it distinct titles: this is the only stage that waits for a service.
+    """
+    systems = [f"Give only the {f} of this software title, or null." for f in FIELDS] if per_field else [PROMPT]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for title in b.column(0).to_pylist():
+                began, error, answers, n_in, n_out = time.monotonic(), None, [], 0, 0
+                for system in systems:
+                    for attempt in range(retries + 1):
+                        try:
+                            text, i, o = ask(system, title)
+                            answers.append(text)
+                            n_in, n_out, error = n_in + i, n_out + o, None
+                            break
+                        except Exception as e:  # a failed call is the row's error
+                            error = f"{type(e).__name__}: {e}"
+                            if attempt < retries:
+                                time.sleep(pause * (attempt + 1))
+                    if error:
+                        break
+                rows.append((title, None if error else answers, n_in, n_out, int(1000 * (time.monotonic() - began)), error))
+            t, a, i, o, ms, e = zip(*rows, strict=True) if rows else ((),) * 6
+            yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(a, pa.list_(pa.string())), pa.array(i, pa.int64()), pa.array(o, pa.int64()), pa.array(ms, pa.int64()), pa.array(e, pa.string())], names=["title", "answers", "tokens_in", "tokens_out", "latency_ms", "error"])
+
+    return titles.select("title").mapInArrow(run, "title string, answers array<string>, tokens_in long, tokens_out long, latency_ms long, error string")
+
+
+def entities_of(answers: DataFrame, per_field: bool = False) -> DataFrame:
+    """Parsed entities of remote_answers; a call's error comes before a parse error."""
+    if per_field:
+        fields = [clean_field_answer(F.get("answers", F.lit(i))).alias(f) for i, f in enumerate(FIELDS)]
+        return answers.select("title", *fields, F.lit(0.5).alias("confidence"), "tokens_in", "tokens_out", "latency_ms", "error")
+    e = answers.withColumn("_e", parse_response(F.coalesce(F.get("answers", F.lit(0)), F.lit(""))))
+    return e.select("title", *[F.col(f"_e.{f}").alias(f) for f in FIELDS], "_e.confidence", "tokens_in", "tokens_out", "latency_ms", F.coalesce("error", "_e.error").alias("error"))

@@ -1,10 +1,6 @@
 """All queries of the engine by name, and the SQL that checks them."""
 
-from __future__ import annotations
+from . import match_queries, text_queries  # noqa: F401  they register themselves
+from .base import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]

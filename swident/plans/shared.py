@@ -1,0 +1,24 @@
+"""Tables in the folder that driver and executors share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below spark.checkpoint.dir; a local folder if it is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = f"file://{tempfile.gettempdir()}/swident-shared"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/swident/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written as Parquet to the shared folder and read again."""
+    path = shared_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
