@@ -31,11 +31,19 @@ from pyspark.sql import types as T
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
+#: Units that also end where letters meet other characters, for models without mixed pieces.
+_L = r"[^\W\d_]"
+_REST = rf"(?:(?!{_L})[^{SPACE}\n])"
+FINE_UNITS = re.compile(rf"{SPACE}+(?:{_L}+|{_REST}*)|{_L}+|{_REST}+|\n")
+MIXED = re.compile(rf"{_L}{_REST}|{_REST}{_L}|[^{SPACE}]{SPACE}|\n")
 RATE = 0.1
 VARIANTS = 4
-CACHE = 400_000
+#: Units kept in each of two generations of a task's cache.
+CACHE = 300_000
 _NONE = 1 << 40
 _MASK = (1 << 64) - 1
+_PLACE = [i * 0x9E3779B97F4A7C15 for i in range(64)]
+_SIZE = [i * 0xC2B2AE3D27D4EB4F for i in range(64)]
 
 
 def load_model(path: str = MODEL) -> bytes:
@@ -66,15 +74,16 @@ class Pieces:
                 self.out.append(piece.replace(SPACE, " ").encode())
                 self.id[piece] = i
                 self.rank[piece] = round(-m.get_score(i))
+        self.units = UNITS if any(MIXED.search(p) for p in self.id) else FINE_UNITS
+        self.packed = {p: i.to_bytes(4, "little") for p, i in self.id.items()}
         self.seed = seed
         self.limit = int(rate * (1 << 64))
-        self.caches: dict[int, dict[str, bytes]] = {}
+        self.young: dict[int, dict[str, bytes]] = {}
+        self.old: dict[int, dict[str, bytes]] = {}
         self.cached = 0
 
     def _skips(self, base: int, at: int, size: int) -> bool:
-        x = (base + at * 0x9E3779B97F4A7C15 + size * 0xC2B2AE3D27D4EB4F) & _MASK
-        x = ((x ^ (x >> 31)) * 0xD6E8FEB86659FD93) & _MASK
-        return ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & _MASK < self.limit
+        return ((base ^ (at * 0x9E3779B97F4A7C15) ^ (size * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93) & _MASK < self.limit
 
     def _cut(self, unit: str, variant: int) -> list[str]:
         base = xxhash.xxh64_intdigest(unit.encode(), (self.seed * 1_000_003 + variant) & _MASK) if self.limit else 0
@@ -87,7 +96,7 @@ class Pieces:
         while rank and (best := min(rank)) != _NONE:
             i = rank.index(best)
             piece = sym[i] + sym[i + 1]
-            if limit and self._skips(base, at[i], len(piece)):
+            if limit and (base ^ _PLACE[at[i]] ^ _SIZE[len(piece)]) * 0xD6E8FEB86659FD93 & _MASK < limit:
                 rank[i] = _NONE
                 continue
             sym[i] = piece
@@ -124,16 +133,13 @@ class Pieces:
         return [s for s in sym if s is not None]
 
     def _unit(self, unit: str, variant: int) -> bytes:
-        ids: list[int] = []
-        for s in self._cut(unit, variant):
-            i = self.id.get(s)
-            if i is None:
-                ids += [self.byte[b] for b in s.replace(SPACE, " ").encode()]
-            else:
-                ids.append(i)
-        if self.decode_bytes(ids) != unit.replace(SPACE, " ").encode():
-            raise ValueError(f"pieces of {unit!r} don't decode to it")
-        return np.array(ids, dtype=np.int32).tobytes()
+        cut = self._cut(unit, variant)
+        parts = list(map(self.packed.get, cut))
+        if None in parts:
+            for i, p in enumerate(parts):
+                if p is None:  # the model lacks the character
+                    parts[i] = b"".join(self.byte[x].to_bytes(4, "little") for x in cut[i].replace(SPACE, " ").encode())
+        return b"".join(parts)
 
     def encode(self, text: str, variant: int = 0) -> bytes:
         """The ids of a text as packed 32-bit integers."""
@@ -146,20 +152,25 @@ class Pieces:
         return self._run(SPACE + text.replace(" ", SPACE), variant)
 
     def _run(self, marked: str, variant: int) -> bytes:
-        cache = self.caches.setdefault(variant, {})
-        units = UNITS.findall(marked)
-        parts = list(map(cache.get, units))
+        young = self.young.setdefault(variant, {})
+        units = self.units.findall(marked)
+        parts = list(map(young.get, units))
         if None in parts:
+            old = self.old.get(variant, {})
             for i, p in enumerate(parts):
                 if p is None:
                     u = units[i]
-                    p = parts[i] = cache.get(u) or self._unit(u, variant)
-                    if len(u) <= 64 and u not in cache:
-                        cache[u] = p
-                        self.cached += 1
+                    p = young.get(u)
+                    if p is None:
+                        p = old.get(u)
+                        if p is None:
+                            p = self._unit(u, variant)
+                        if len(u) <= 64:
+                            young[u] = p
+                            self.cached += 1
+                    parts[i] = p
             if self.cached > CACHE:
-                self.caches.clear()
-                self.cached = 0
+                self.old, self.young, self.cached = self.young, {}, 0
         return b"".join(parts)
 
     def decode_bytes(self, ids: list[int]) -> bytes:
@@ -174,8 +185,7 @@ class Pieces:
 def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rate: float = RATE, variants: int = VARIANTS) -> DataFrame:
     """The given columns, then _ids, _n_pieces and _variant.
 
-    docs has doc_id and text.  A unit's ids are checked to decode to it when
-    they are made, and a text's ids are those of its units in order.
+    docs has doc_id and text.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # a model file has a fixed size
