@@ -2,7 +2,9 @@
 
 Two multinomials over hashed word uni- and bigrams are counted, one over the
 trusted target and one over the whole raw corpus.  A document's score is the
-sum of log(p_target / p_raw) over its n-grams divided by their number; it is
+sum of log(p_target / p_raw) over its n-grams divided by their number, with the
+document's own n-grams left out of both counts, so that trusted documents and
+others are measured alike and rare n-grams don't speak for themselves.  It is
 kept if the score reaches a fixed threshold and the base rules pass.
 
 Results for odd inputs: a null or empty text has no words, all counts 0, score
@@ -23,6 +25,7 @@ from .common import small_side
 from .words import SPACED, Slice, batch_of, grams, slices
 
 BUCKETS = 1 << 16
+PRIOR = 4.0
 #: Rows that one partition sends for its counts: each holds a part of the buckets.
 PARTS = 64
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", dtype=np.uint8))
@@ -74,13 +77,23 @@ def ngram_counts(docs: DataFrame, trusted: str, buckets: int = BUCKETS) -> tuple
     return out[0], out[1]
 
 
-def log_ratio(target: np.ndarray, raw: np.ndarray, smoothing: float = 0.5) -> np.ndarray:
-    """log(p_target / p_raw) per bucket, both with additive smoothing."""
+def ratios(bucket: np.ndarray, doc: np.ndarray, trusted: np.ndarray, target: np.ndarray, raw: np.ndarray, prior: float = PRIOR) -> np.ndarray:
+    """Mean log(p_target / p_raw) of each document's n-grams, itself left out.
+
+    bucket and doc list the n-grams; trusted tells which documents the target
+    counts hold.  p_target has `prior` pseudo-counts per bucket at the raw rate,
+    so buckets with few counts lean to a ratio of 1.
+    """
+    size = np.bincount(doc, minlength=len(trusted)).astype(float)
     if not target.sum():
-        return np.zeros(len(raw))
-    p = (target + smoothing) / (target.sum() + smoothing * len(target))
-    q = (raw + smoothing) / (raw.sum() + smoothing * len(raw))
-    return np.log(p / q)
+        return np.zeros(len(trusted))
+    cell, own = np.unique(doc * len(raw) + bucket, return_counts=True)
+    d, k = np.divmod(cell, len(raw))
+    mine = np.where(trusted, size, 0.0)
+    share = (target.sum() - mine) / np.maximum(raw.sum() - size, 1)
+    expected = (raw[k] - own) * share[d]
+    log = np.log((target[k] - np.where(trusted[d], own, 0) + prior) / (expected + prior))
+    return np.bincount(d, weights=own * log, minlength=len(trusted)) / np.maximum(size, 1)
 
 
 def _base_counts(s: Slice) -> dict[str, np.ndarray]:
@@ -117,23 +130,22 @@ def _base_counts(s: Slice) -> dict[str, np.ndarray]:
 SCHEMA = pa.schema([("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("llr", pa.float64())])
 
 
-def apply_rules(docs: DataFrame, ratio: np.ndarray, min_llr: float, key: str = "doc_id", min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+def apply_rules(docs: DataFrame, trusted: str, target: np.ndarray, raw: np.ndarray, min_llr: float, key: str = "doc_id", min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """One row per row of docs: key, counts, base_failed, kept and llr."""
     kind = docs.schema[key].dataType.simpleString()
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            good = np.asarray(b.column(2).fill_null(False))
             for s in slices(b.column(1), SPACED):
                 c: dict[str, object] = dict(_base_counts(s))
-                bucket, doc = _features(s, len(ratio))
-                size = np.bincount(doc, minlength=s.n_docs)
-                llr = np.bincount(doc, weights=ratio[bucket], minlength=s.n_docs) / np.maximum(size, 1)
+                llr = ratios(*_features(s, len(raw)), good[s.first : s.first + s.n_docs], target, raw)
                 failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > max_repeat_percent * c["n_words"])
                 c |= {"base_failed": failed, "kept": ~failed & (llr >= min_llr), "llr": llr}
                 made = batch_of(c, SCHEMA)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s.first, s.n_docs), *made.columns], names=[key, *SCHEMA.names])
 
-    return docs.select(key, "text").mapInArrow(rate, f"{key} {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, llr double")
+    return docs.select(key, "text", trusted).mapInArrow(rate, f"{key} {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, llr double")
 
 
 def quality_rules(docs: DataFrame, trusted_ids: DataFrame, min_llr: float = -0.1, buckets: int = BUCKETS) -> DataFrame:
@@ -143,6 +155,6 @@ def quality_rules(docs: DataFrame, trusted_ids: DataFrame, min_llr: float = -0.1
     once and ids that no document has are ignored.
     """
     ids = trusted_ids.select(F.col("doc_id").alias("_trusted_id")).where("_trusted_id is not null").distinct()
-    marked = docs.select("doc_id", "text").join(small_side(ids), F.col("doc_id") == F.col("_trusted_id"), "left").select("text", F.col("_trusted_id").isNotNull().alias("_trusted"))
+    marked = docs.select("doc_id", "text").join(small_side(ids), F.col("doc_id") == F.col("_trusted_id"), "left").select("doc_id", "text", F.col("_trusted_id").isNotNull().alias("_trusted"))
     target, raw = ngram_counts(marked, "_trusted", buckets)
-    return apply_rules(docs, log_ratio(target, raw), min_llr)
+    return apply_rules(marked, "_trusted", target, raw, min_llr)
