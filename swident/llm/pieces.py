@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .words import lean_memory
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
@@ -58,6 +60,7 @@ class Pieces:
     def __init__(self, model: bytes, seed: int = 0, rate: float = RATE) -> None:
         import sentencepiece
 
+        lean_memory()
         m = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.rank: dict[str, int] = {}
         self.id: dict[str, int] = {}

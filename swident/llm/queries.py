@@ -12,6 +12,7 @@ from . import katz as q7
 from . import language as q3
 from . import licenses as q2
 from . import near_duplicates as q6
+from . import oracle
 from . import pieces as q4
 from . import quality_classifier as q10
 from . import quality_rules as q1
@@ -95,4 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": oracle.OP2,
+    "op6_ngram_jaccard_join": oracle.OP6,
+    "op8_decontamination": oracle.OP8,
+    "op9_warc": oracle.OP9,
+}

@@ -9,6 +9,7 @@ scanning characters.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +17,24 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
+SLICE_BYTES = 1 << 19
+_lean = False
+
+
+def lean_memory() -> None:
+    """Let this (worker) process give memory of large arrays back when freed.
+
+    Python workers live on between tasks: Arrow's pool and the allocator's own
+    growing threshold would otherwise keep each task's largest arrays.
+    """
+    global _lean
+    if not _lean:
+        _lean = True
+        pa.set_memory_pool(pa.system_memory_pool())
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+            libc.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
 
 
 def _delims(*spans: tuple[int, int]) -> np.ndarray:
@@ -55,7 +74,7 @@ def _power(base: int, n: int) -> np.ndarray:
         have = np.full(size, U(base), dtype=np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= 1 << 22:
+        if size <= 1 << 21:
             _powers[base] = have
     return have[:n]
 
@@ -103,12 +122,13 @@ def scan(buf: np.ndarray, doc_start: np.ndarray, doc_end: np.ndarray, delims: np
     return Slice(first, buf, doc_start, doc_end, start, end, doc, bounds)
 
 
-def slices(column: pa.Array, delims: np.ndarray, limit: int = 1 << 20) -> Iterator[Slice]:
+def slices(column: pa.Array, delims: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """The texts of an Arrow string column in slices of about `limit` bytes.
 
     Every text is whole within one slice; a text longer than the limit has a
     slice of its own.  Null is the empty text.
     """
+    lean_memory()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not len(column):
