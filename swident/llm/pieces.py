@@ -2,7 +2,7 @@
 
 Merges are taken from an agenda by rank, leftmost first, as the model's own
 encoder does.  A merge is skipped if a keyed hash of the unit (a run of spaces
-and the letters after it), the place and the length of the merged piece falls
+and the letters after it), the place and the merged piece falls
 below the dropout rate; the key is the seed and one of `variants` numbers that
 the document's id draws.  So a word is cut differently under other seeds and in
 other documents, any run repeats itself, and every cut decodes to the same text.
@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +44,12 @@ RATE = 0.1
 VARIANTS = 4
 #: Units kept in each of two generations of a task's cache.
 CACHE = 300_000
-_NONE = 1 << 40
+_NONE = 1 << 60
+_BITS = 20
+_LOW = (1 << _BITS) - 1
 _MASK = (1 << 64) - 1
-_PLACE = [i * 0x9E3779B97F4A7C15 for i in range(64)]
-_SIZE = [i * 0xC2B2AE3D27D4EB4F for i in range(64)]
+_PLACE = [i * 0x9E3779B97F4A7C15 & _MASK for i in range(64)]
+_PLACES = np.array(_PLACE, dtype=np.uint64)
 
 
 def load_model(path: str = MODEL) -> bytes:
@@ -54,102 +58,237 @@ def load_model(path: str = MODEL) -> bytes:
         return f.read()
 
 
-class Pieces:
-    """Vocabulary of a BPE model with byte pieces, and its encoder."""
+class Vocabulary:
+    """Pieces of a BPE model with byte pieces, by number, and what merges to what."""
 
-    def __init__(self, model: bytes, seed: int = 0, rate: float = RATE) -> None:
+    def __init__(self, model: bytes) -> None:
         import sentencepiece
 
         lean_memory()
         m = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.rank: dict[str, int] = {}
         self.id: dict[str, int] = {}
-        self.byte = [0] * 256
+        self.byte = [b""] * 256
         self.out: list[bytes] = []
+        rank: dict[str, int] = {}
         for i in range(m.get_piece_size()):
             piece = m.id_to_piece(i)
             if m.is_byte(i):
-                self.byte[int(piece[3:5], 16)] = i
+                self.byte[int(piece[3:5], 16)] = i.to_bytes(4, "little")
                 self.out.append(bytes([int(piece[3:5], 16)]))
             elif m.is_control(i) or m.is_unknown(i):
                 self.out.append(b"")
             else:
                 self.out.append(piece.replace(SPACE, " ").encode())
                 self.id[piece] = i
-                self.rank[piece] = round(-m.get_score(i))
+                rank[piece] = round(-m.get_score(i))
+        # (left, right) -> rank and number of the merged piece, in one integer
+        self.merge: dict[int, int] = {}
+        for piece, i in self.id.items():
+            for k in range(1, len(piece)):
+                a, b = self.id.get(piece[:k]), self.id.get(piece[k:])
+                if a is not None and b is not None:
+                    self.merge[a << _BITS | b] = rank[piece] << _BITS | i
+        keys = sorted(self.merge)
+        self.keys = np.array([*keys, 1 << 62], dtype=np.int64)
+        self.values = np.array([*(self.merge[k] for k in keys), 0], dtype=np.int64)
+        self.of_char = np.full(0x110000, -1, dtype=np.int32)
+        for piece, i in self.id.items():
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = i
         self.units = UNITS if any(MIXED.search(p) for p in self.id) else FINE_UNITS
-        self.packed = {p: i.to_bytes(4, "little") for p, i in self.id.items()}
+        self.salt = [i * 0xC2B2AE3D27D4EB4F & _MASK for i in range(len(self.out))]
+        self.salts = np.array(self.salt, dtype=np.uint64)
+
+    def merges(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank and number of each pair's merged piece, _NONE where there is none."""
+        key = np.where((a < 0) | (b < 0), -1, a << _BITS | b)
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.values[at], _NONE)
+
+
+@lru_cache(maxsize=2)
+def vocabulary(model: bytes) -> Vocabulary:
+    """The tables of a model, made once per process."""
+    return Vocabulary(model)
+
+
+class Pieces:
+    """Encoder and decoder with one seed and rate; its cache lives with it."""
+
+    def __init__(self, model: bytes, seed: int = 0, rate: float = RATE) -> None:
+        self.v = vocabulary(model)
+        self.units = self.v.units
         self.seed = seed
         self.limit = int(rate * (1 << 64))
         self.young: dict[int, dict[str, bytes]] = {}
         self.old: dict[int, dict[str, bytes]] = {}
         self.cached = 0
 
-    def _skips(self, base: int, at: int, size: int) -> bool:
-        return ((base ^ (at * 0x9E3779B97F4A7C15) ^ (size * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93) & _MASK < self.limit
-
-    def _cut(self, unit: str, variant: int) -> list[str]:
+    def _cut(self, unit: str, variant: int) -> list[int]:
+        """Piece numbers of a unit; a character that the model lacks is -1 - its place."""
         base = xxhash.xxh64_intdigest(unit.encode(), (self.seed * 1_000_003 + variant) & _MASK) if self.limit else 0
-        return self._cut_short(unit, base) if len(unit) <= 48 else self._cut_long(unit, base)
-
-    def _cut_short(self, unit: str, base: int) -> list[str]:
-        sym, get, limit = list(unit), self.rank.get, self.limit
-        at = list(range(len(sym)))
-        rank = [get(a + b, _NONE) for a, b in zip(sym, sym[1:], strict=False)]
+        get = self.v.id.get
+        ids = [get(c, -1) for c in unit]
+        if -1 in ids:
+            ids = [-1 - i if x == -1 else x for i, x in enumerate(ids)]
+        return self._cut_short(ids, base) if len(unit) <= 48 else self._cut_long(ids, base)
+
+    def _cut_short(self, ids: list[int], base: int) -> list[int]:
+        get, limit, salt = self.v.merge.get, self.limit, self.v.salt
+        at = list(range(len(ids)))
+        rank = [get(a << _BITS | b, _NONE) for a, b in zip(ids, ids[1:], strict=False)]
         while rank and (best := min(rank)) != _NONE:
             i = rank.index(best)
-            piece = sym[i] + sym[i + 1]
-            if limit and (base ^ _PLACE[at[i]] ^ _SIZE[len(piece)]) * 0xD6E8FEB86659FD93 & _MASK < limit:
+            new = best & _LOW
+            if limit and (base ^ _PLACE[at[i]] ^ salt[new]) * 0xD6E8FEB86659FD93 & _MASK < limit:
                 rank[i] = _NONE
                 continue
-            sym[i] = piece
-            del sym[i + 1], at[i + 1], rank[i]
+            ids[i] = new
+            del ids[i + 1], at[i + 1], rank[i]
             if i:
-                rank[i - 1] = get(sym[i - 1] + piece, _NONE)
+                rank[i - 1] = get(ids[i - 1] << _BITS | new, _NONE)
             if i < len(rank):
-                rank[i] = get(piece + sym[i + 1], _NONE)
-        return sym
+                rank[i] = get(new << _BITS | ids[i + 1], _NONE)
+        return ids
 
-    def _cut_long(self, unit: str, base: int) -> list[str]:
+    def _cut_long(self, ids: list[int], base: int) -> list[int]:
         """The same merges with a heap and linked symbols, for long units."""
-        n, get = len(unit), self.rank.get
-        sym: list[str | None] = list(unit)
+        n, get = len(ids), self.v.merge.get
+        live = [True] * n
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda: list[tuple[int, int, str]] = []
-        for i in range(n - 1):
-            if (r := get(unit[i : i + 2])) is not None:
-                agenda.append((r, i, unit[i : i + 2]))
+        agenda = [(r, i) for i in range(n - 1) if (r := get(ids[i] << _BITS | ids[i + 1])) is not None]
         heapq.heapify(agenda)
         while agenda:
-            _, i, piece = heapq.heappop(agenda)
-            j = after[i] if sym[i] is not None else n
-            if j >= n or sym[i] + sym[j] != piece or (self.limit and self._skips(base, i, len(piece))):
+            r, i = heapq.heappop(agenda)
+            j = after[i] if live[i] else n
+            if j >= n or get(ids[i] << _BITS | ids[j]) != r:
+                continue
+            new = r & _LOW
+            if self.limit and (base ^ (i * 0x9E3779B97F4A7C15 & _MASK) ^ self.v.salt[new]) * 0xD6E8FEB86659FD93 & _MASK < self.limit:
                 continue
-            sym[i], sym[j] = piece, None
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (r := get(piece + sym[after[i]])) is not None:
-                    heapq.heappush(agenda, (r, i, piece + sym[after[i]]))
-            if (h := before[i]) >= 0 and (r := get(sym[h] + piece)) is not None:
-                heapq.heappush(agenda, (r, h, sym[h] + piece))
-        return [s for s in sym if s is not None]
+            ids[i], live[j] = new, False
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (r := get(new << _BITS | ids[k])) is not None:
+                    heapq.heappush(agenda, (r, i))
+            if (h := before[i]) >= 0 and (r := get(ids[h] << _BITS | new)) is not None:
+                heapq.heappush(agenda, (r, h))
+        return [x for x, ok in zip(ids, live, strict=True) if ok]
 
     def _unit(self, unit: str, variant: int) -> bytes:
-        cut = self._cut(unit, variant)
-        parts = list(map(self.packed.get, cut))
-        if None in parts:
-            for i, p in enumerate(parts):
-                if p is None:  # the model lacks the character
-                    parts[i] = b"".join(self.byte[x].to_bytes(4, "little") for x in cut[i].replace(SPACE, " ").encode())
-        return b"".join(parts)
+        ids = self._cut(unit, variant)
+        if min(ids) >= 0:
+            return array("i", ids).tobytes()
+        # characters that the model lacks, as bytes of their UTF-8
+        return b"".join(x.to_bytes(4, "little") if x >= 0 else b"".join(self.v.byte[c] for c in unit[-1 - x].encode()) for x in ids)
+
+    def cut_many(self, units: list[str], variant: int) -> list[bytes]:
+        """_unit of each of many units: the merges of all proceed in step."""
+        out: list[bytes] = [b""] * len(units)
+        length = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
+        low = 0
+        for high in (6, 9, 12, 16, 24, 48):
+            rows = np.flatnonzero((length > low) & (length <= high))
+            low = high
+            for k in range(0, len(rows), 20_000):
+                some = rows[k : k + 20_000].tolist()
+                for r, ids in zip(some, self._cut_block([units[r] for r in some], length[rows[k : k + 20_000]], high, variant), strict=True):
+                    out[r] = ids
+        for r in np.flatnonzero(length > 48).tolist():
+            out[r] = self._unit(units[r], variant)
+        return out
+
+    def _cut_block(self, units: list[str], length: np.ndarray, width: int, variant: int) -> list[bytes]:
+        v, n = self.v, len(units)
+        seed = (self.seed * 1_000_003 + variant) & _MASK
+        digest = xxhash.xxh64_intdigest
+        base = np.fromiter((digest(u.encode(), seed) for u in units), dtype=np.uint64, count=n) if self.limit else np.zeros(n, np.uint64)
+        inside = np.arange(width + 1) < length[:, None]
+        ids = np.full((n, width + 1), -1, dtype=np.int64)
+        ids[inside] = v.of_char[np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)]
+        lacking = (inside & (ids < 0)).any(axis=1)
+        rank = np.full((n, width + 1), _NONE, dtype=np.int64)
+        rank[:, :-1] = v.merges(ids[:, :-1], ids[:, 1:])
+        after = np.broadcast_to(np.minimum(np.arange(1, width + 2), width), (n, width + 1)).copy()
+        before = np.broadcast_to(np.arange(-1, width), (n, width + 1)).copy()
+        live = inside.copy()
+        row = np.arange(n)
+        while len(row):
+            at = rank[row].argmin(axis=1)  # of equal ranks the leftmost
+            best = rank[row, at]
+            go = best != _NONE
+            row, at, best = row[go], at[go], best[go]
+            new = best & _LOW
+            if self.limit:
+                mixed = (base[row] ^ _PLACES[at] ^ v.salts[new]) * np.uint64(0xD6E8FEB86659FD93)
+                skip = mixed < np.uint64(min(self.limit, _MASK))
+                rank[row[skip], at[skip]] = _NONE
+                hit = ~skip
+                r, i, new = row[hit], at[hit], new[hit]
+            else:
+                r, i = row, at
+            j = after[r, i]
+            k = after[r, j]
+            ids[r, i] = new
+            live[r, j] = False
+            rank[r, j] = _NONE
+            after[r, i] = k
+            before[r, k] = i
+            rank[r, i] = v.merges(new, np.where(k < width, ids[r, k], -1))
+            h = before[r, i]
+            left = h >= 0
+            r, h, new = r[left], h[left], new[left]
+            rank[r, h] = v.merges(ids[r, h], new)
+        packed = ids[live].astype(np.int32).tobytes()
+        ends = np.cumsum(live.sum(axis=1)) * 4
+        out = [packed[a:z] for a, z in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        for r in np.flatnonzero(lacking).tolist():
+            out[r] = self._unit(units[r], variant)
+        return out
+
+    def encode_many(self, texts: list[str], variants: list[int]) -> list[bytes]:
+        """encode() of each text; units that the cache lacks are cut together."""
+        parts: list[list] = []
+        missing: dict[int, dict[str, list]] = {}
+        for text, variant in zip(texts, variants, strict=True):
+            if not text or SPACE in text:
+                parts.append([self.encode(text, variant)])
+                continue
+            young, old = self.young.setdefault(variant, {}), self.old.get(variant, {})
+            units = self.units.findall(SPACE + text.replace(" ", SPACE))
+            mine = list(map(young.get, units))
+            if None in mine:
+                new = missing.setdefault(variant, {})
+                for i, p in enumerate(mine):
+                    if p is None:
+                        u = units[i]
+                        if (p := young.get(u)) is None and (p := old.get(u)) is not None:
+                            young[u] = p
+                            self.cached += 1
+                        if p is None:
+                            new.setdefault(u, []).append((mine, i))
+                        else:
+                            mine[i] = p
+            parts.append(mine)
+        for variant, new in missing.items():
+            young = self.young[variant]
+            for (u, uses), ids in zip(new.items(), self.cut_many(list(new), variant), strict=True):
+                for mine, i in uses:
+                    mine[i] = ids
+                if len(u) <= 64:
+                    young[u] = ids
+                    self.cached += 1
+        if self.cached > CACHE:
+            self.old, self.young, self.cached = self.young, {}, 0
+        return [b"".join(p) for p in parts]
 
     def encode(self, text: str, variant: int = 0) -> bytes:
         """The ids of a text as packed 32-bit integers."""
         if not text:
             return b""
         if SPACE in text:
-            mark = np.array([self.byte[b] for b in SPACE.encode()], dtype=np.int32).tobytes()
+            mark = b"".join(self.v.byte[b] for b in SPACE.encode())
             first, *rest = text.split(SPACE)
             return self._run(SPACE + first.replace(" ", SPACE), variant) + b"".join(mark + self._run(x.replace(" ", SPACE), variant) for x in rest)
         return self._run(SPACE + text.replace(" ", SPACE), variant)
@@ -177,7 +316,7 @@ class Pieces:
         return b"".join(parts)
 
     def decode_bytes(self, ids: list[int]) -> bytes:
-        out = self.out
+        out = self.v.out
         return b"".join([out[i] for i in ids])
 
     def decode(self, ids: list[int]) -> str:
@@ -203,14 +342,15 @@ def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rat
             texts, kinds = b.column(n + 1), b.column(n).to_pylist()
             a = 0
             while a < b.num_rows:
-                parts: list[bytes] = []
+                some: list[str] = []
                 null: list[bool] = []
                 size = 0
-                while a + len(parts) < b.num_rows and size < 4_000_000:
-                    t = texts[a + len(parts)].as_py()
+                while a + len(some) < b.num_rows and size < 2_000_000:
+                    t = texts[a + len(some)].as_py()
                     null.append(t is None)
-                    parts.append(pieces.encode(t or "", kinds[a + len(parts)]))
-                    size += len(parts[-1])
+                    some.append(t or "")
+                    size += len(some[-1])
+                parts = pieces.encode_many(some, kinds[a : a + len(some)])
                 count = np.array([len(p) // 4 for p in parts], dtype=np.int64)
                 offsets = pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32))
                 values = pa.array(np.frombuffer(b"".join(parts), dtype=np.int32))

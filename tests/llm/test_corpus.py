@@ -68,8 +68,18 @@ def test_dropout_is_seeded_varied_and_lossless(model):
     for t in [*TEXTS, text]:
         for p in (a, c):
             assert p.decode(ids(p, t, 1)) == t
-    for unit in ("▁" + "ab" * 20, "▁hello" * 5, "tokenization"):
-        assert a._cut_short(unit, 99) == a._cut_long(unit, 99)
+    for unit in ("▁" + "ab" * 20, "▁hello" * 5, "tokenization", "aaaaaaa"):
+        ids = [a.v.id[c] for c in unit]
+        assert a._cut_short(list(ids), 99) == a._cut_long(list(ids), 99)
+
+
+def test_many_units_at_once_equal_one_by_one(model):
+    p, rng = pieces.Pieces(model, 7, 0.2), random.Random(6)
+    units = list({u for t in [*TEXTS, prose(rng, 300), "é漢x" * 30] for u in p.units.findall(pieces.SPACE + t.replace(" ", pieces.SPACE))})
+    for v in (0, 3):
+        assert p.cut_many(units, v) == [p._unit(u, v) for u in units]
+    texts = [*TEXTS, prose(rng, 300)]
+    assert p.encode_many(texts, [i % 3 for i in range(len(texts))]) == [pieces.Pieces(model, 7, 0.2).encode(t, i % 3) for i, t in enumerate(texts)]
 
 
 def test_cache_generations_keep_results(model, monkeypatch):
@@ -189,7 +199,7 @@ def plain_katz(texts, vocabulary):
     for (a, b), k in two.items():
         used[a] += star(k)
         mass[a] += u[b] / total
-    alpha = {a: (1 - used[a] / (u[a] + 1)) / (1 - mass[a]) for a in u}
+    alpha = {a: (1 - used[a] / (u[a] + 1)) / max(1 - mass[a], 1e-12) for a in u}
     prob = lambda a, b: star(two[a, b]) / (u[a] + 1) if (a, b) in two else alpha[a] * u[b] / total
     out = []
     for w in words:
@@ -198,7 +208,8 @@ def plain_katz(texts, vocabulary):
         ends = len(train)
         base = sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w) + math.log10((ends + 1) / (n + v + 1))
         out.append((len(w) + 1, sum(c[x] > 0 for x in w) + (ends > 0), n, base, score))
-    sums = {a: sum(prob(a, b) for b in u) for a in list(u)[:20]}
+    # a context that has seen every word has nothing to back off to
+    sums = {a: sum(prob(a, b) for b in u) for a in list(u)[:20] if 1 - mass[a] > 1e-9}
     return out, sums
 
 
