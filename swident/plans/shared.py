@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,7 +14,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below spark.checkpoint.dir; a local folder if it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = f"file://{tempfile.gettempdir()}/swident-shared"
+        local = tempfile.mkdtemp(prefix="swident-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        root = f"file://{local}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/swident/{name}-{uuid.uuid4().hex}"
 

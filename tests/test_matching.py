@@ -135,3 +135,17 @@ def test_agent(spark):
     assert "down" in agent.converse(Broken(), "t", {})["error"]
     got = agent.converse(agent.ScriptedProvider({"vendor": "a"}), "t", {})
     assert got == {"turns": 3, "error": None, "vendor": "a", "confidence": 0.85}
+
+
+def test_toolbox():
+    import json
+
+    from swident.operators import toolbox
+
+    tools = toolbox.make([(NAME.format("a", "b", "1", "*"), "A b one"), (NAME.format(r"a\:x", "c", "1", "*"), "other")])
+    call = lambda t, **a: json.loads(tools[t](a))
+    assert call("bind_and_validate", vendor=" A ", product="b", version=1) == {"cpe": NAME.format("a", "b", "1", "*"), "valid": True}
+    assert call("bind_and_validate", vendor="é")["valid"] is False and call("bind_and_validate", vendor=" ")["valid"] is False
+    assert call("search_dictionary", keyword="a ONE")["total"] == 1 and call("search_dictionary", vendor="a:x")["total"] == 1
+    assert call("classify_match", vendor="a", product="b", version="1")["rule"] == "M1"
+    assert "error" in json.loads(tools["search_dictionary"](None))
