@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        import tempfile
-
-        path = "file://" + tempfile.gettempdir() + "/swident-shared"
+        local = tempfile.mkdtemp(prefix="swident-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        path = f"file://{local}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
