@@ -11,6 +11,7 @@ from ..operators import dictionary as dic
 from ..operators.classify import classify, rule_distribution
 from ..streaming.windows import session_counts, tumbling_counts
 from .base import ALIAS_SQL, CAND_SQL, CLASSIFY_SQL, D_SQL, P_SQL, Q_SQL, alias_sets, dictionary, entries, names_to_match, pair_sql, parts, query, table
+from .shared import stored
 
 _M = f"{P_SQL}, {D_SQL}, {Q_SQL}"
 
@@ -325,8 +326,8 @@ def cve_rollup(spark: SparkSession, d: str) -> DataFrame:
 @query("reclassify", f"WITH {_M}, {CLASSIFY_SQL} SELECT k AS pos, CASE WHEN k % 10 = 1 THEN 'unchanged_invalid' WHEN k % 10 = 2 THEN 'cpe_mismatch' ELSE 'reclassified' END AS status, CASE WHEN k % 10 IN (1, 2) THEN 'M3' ELSE rule END AS rule, 'M3' AS old_rule, CASE WHEN k % 10 IN (1, 2) THEN 'old' ELSE coalesce(matched_name, '') END AS matched_cpe FROM classified")
 def reclassify(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("k")
-    stored = names_to_match(spark, d).select(k.alias("pos"), "vendor", "product", "version", F.lit(None).cast("string").alias("update"), "target_sw", F.when(k % 10 == 2, F.concat("name", F.lit("x"))).otherwise(F.col("name")).alias("cpe"), (k % 10 != 1).alias("valid"), F.lit("M3").alias("rule"), F.lit("old").alias("matched_cpe"), F.lit(0.0).alias("match_similarity"))
-    return cascade.reclassify(stored, dictionary(spark, d)).select("pos", "status", "rule", "old_rule", "matched_cpe")
+    rows = names_to_match(spark, d).select(k.alias("pos"), "vendor", "product", "version", F.lit(None).cast("string").alias("update"), "target_sw", F.when(k % 10 == 2, F.concat("name", F.lit("x"))).otherwise(F.col("name")).alias("cpe"), (k % 10 != 1).alias("valid"), F.lit("M3").alias("rule"), F.lit("old").alias("matched_cpe"), F.lit(0.0).alias("match_similarity"))
+    return cascade.reclassify(stored(rows), dictionary(spark, d)).select("pos", "status", "rule", "old_rule", "matched_cpe")
 
 
 @query("first_last_wins", "SELECT user_id, arg_min(event_type, event_id) AS first_type, arg_max(event_type, event_id) AS last_type FROM events GROUP BY user_id")
