@@ -140,5 +140,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """docs without the rows that hold an exact benchmark window; same columns."""
-    bad = find_matches(docs, benchmark, width).where("kind = 'phrase'").select(F.col("doc_id").alias("_bad_id"), F.col("_text_hash").alias("_bad_hash")).distinct()
-    return docs.join(small_side(stored(bad, "contaminated")), F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_bad_hash")), "left_anti")
+    bad = find_matches(docs, benchmark, width).where("kind = 'phrase'").select(F.col("doc_id").alias("_swident_id"), F.col("_text_hash").alias("_swident_hash")).distinct()
+    return docs.join(small_side(stored(bad, "contaminated")), F.col("doc_id").eqNullSafe(F.col("_swident_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_swident_hash")), "left_anti")

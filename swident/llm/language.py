@@ -9,7 +9,7 @@ whether the answer is accepted or rejected.
 
 The sample: per language the `SHARDS * DOCS_PER_SHARD` learning documents with
 the smallest hash of their id; each shard of them gives one dictionary of at
-most `DICTIONARY_BYTES`.  Prediction reads the whole text.
+most `DICTIONARY_BYTES`; `MAX_LANGUAGES` languages fit the sample.  Prediction reads the whole text.
 
 Odd inputs: null texts and texts without a letter are `und` with score 0.0; ties
 go to the language that comes first; repeated rows each get a result; without

@@ -353,11 +353,11 @@ def keep_one(docs: DataFrame, threshold: Fraction = Fraction(4, 5), n: int = 5)
     first = named.groupBy("component").agg(F.min("least").alias("first"))
     by_node = named.join(first, "component").select("node", "first")
     marked = rows.join(by_node, "node").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))
-    pairs = stored(marked.groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "kept"), "dropped")
-    at = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    pairs = stored(marked.groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1").select(F.col("doc_id").alias("_swident_id"), F.col("text_key").alias("_swident_key"), "kept"), "dropped")
+    at = F.col("doc_id").eqNullSafe(F.col("_swident_id")) & (F.xxhash64("text") == F.col("_swident_key"))
     out = docs.join(small_side(pairs.drop("kept")), at, "left_anti")
     again = pairs.where("kept").drop("kept")
     if again.limit(1).count():
-        same = docs.join(small_side(again), at, "left_semi").withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]).drop("_key")
+        same = docs.join(small_side(again), at, "left_semi").withColumn("_swident_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_swident_key"]).drop("_swident_key")
         out = out.unionByName(same)
     return out

@@ -157,10 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: F.Column, at: flo
 
 
 def classify(docs: DataFrame, ranker: Ranker, columns: list[str]) -> DataFrame:
-    """The given columns of each row, with `_score` added."""
-    kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_scored_text"))
+    """The given columns of each row, with `_swident_score` added."""
+    kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_swident_text"))
     text_at, n = (columns.index("text") if "text" in columns else len(columns)), len(columns)
-    schema = docs.select(*columns).schema.add("_score", "double")
+    schema = docs.select(*columns).schema.add("_swident_score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

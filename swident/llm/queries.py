@@ -53,7 +53,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     index = q5.fit(docs, _table(spark, sf_dir, "labels"), "toxic", fold(F.col("doc_id"), 4) != 2)
     scored = q5.score(docs, index, ["doc_id"])
-    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("_swident_score").alias("score"), (F.col("_swident_score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     ranker = q10.fit(docs, _table(spark, sf_dir, "labels"), "quality", fold(F.col("doc_id"), 4) != 2)
     scored = q10.classify(docs, ranker, ["doc_id"])
-    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("_swident_score").alias("score"), (F.col("_swident_score") >= 0.7).cast("int").alias("predicted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

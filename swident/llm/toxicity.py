@@ -169,18 +169,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examp
 
 
 def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidence: bool = False) -> DataFrame:
-    """The given columns with `_score`, and with `_evidence` if asked for.
+    """The given columns with `_swident_score`, and with `_swident_evidence` if asked for.
 
     Evidence lists the neighbours: example id as text, cosine and label.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(index)  # bounded by max_examples and MAX_TERMS
-    kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_scored_text"))
+    kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_swident_text"))
     text_at, n = (columns.index("text") if "text" in columns else len(columns)), len(columns)
-    schema = docs.select(*columns).schema.add("_score", "double")
+    schema = docs.select(*columns).schema.add("_swident_score", "double")
     kinds = pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))
     if evidence:
-        schema = schema.add("_evidence", T.ArrayType(T.StructType().add("example", "string").add("cosine", "double").add("label", "integer")))
+        schema = schema.add("_swident_evidence", T.ArrayType(T.StructType().add("example", "string").add("cosine", "double").add("label", "integer")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value

@@ -161,8 +161,8 @@ def test_toxicity_is_exact_and_learns(spark, prose):
     index = toxicity.fit(docs.drop("y"), labels, "y", fold(F.col("doc_id"), 4) != 2)
     out = {r.doc_id: r for r in toxicity.score(docs.drop("y"), index, ["doc_id"], evidence=True).collect()}
     held = [i for i in range(400) if spark_fold(i, 4) == 2]
-    assert np.mean([(out[i]._score >= 0.3) == bool(y[i]) for i in held]) == 1.0
-    assert out[0]._evidence and out[0]._evidence[0].label == 1 and out[0]._evidence[0].cosine <= 1 + 1e-9
+    assert np.mean([(out[i]._swident_score >= 0.3) == bool(y[i]) for i in held]) == 1.0
+    assert out[0]._swident_evidence and out[0]._swident_evidence[0].label == 1 and out[0]._swident_evidence[0].cosine <= 1 + 1e-9
     # block-max search against all cosines
     rng = np.random.default_rng(0)
     live = len(index.ids)
@@ -175,9 +175,9 @@ def test_toxicity_is_exact_and_learns(spark, prose):
         ids, cosine = index.nearest(term, weight, 5)
         assert ids.tolist() == want and np.allclose(cosine, every[want])
     odd = toxicity.score(frame(spark, ODD), index, ["doc_id"]).collect()
-    assert len(odd) == len(ODD) and all(0 <= r._score <= 1 for r in odd)
+    assert len(odd) == len(ODD) and all(0 <= r._swident_score <= 1 for r in odd)
     none = toxicity.fit(docs.drop("y"), labels.limit(0), "y", F.lit(True))
-    assert {r._score for r in toxicity.score(frame(spark, ODD), none, ["doc_id"]).collect()} == {0.0}
+    assert {r._swident_score for r in toxicity.score(frame(spark, ODD), none, ["doc_id"]).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), index, ["doc_id", "text"]).count() == 0
 
 
@@ -201,11 +201,11 @@ def test_quality_classifier(spark, prose):
     ranker = quality_classifier.fit(docs.drop("y"), labels.withColumn("y", 1 - F.col("y")), "y", fold(F.col("doc_id"), 4) != 2)
     out = {r.doc_id: r for r in quality_classifier.classify(docs.drop("y"), ranker, ["doc_id", "text"]).collect()}
     held = [i for i in range(400) if spark_fold(i, 4) == 2]
-    assert np.mean([(out[i]._score >= 0.7) == (not y[i]) for i in held]) == 1.0
+    assert np.mean([(out[i]._swident_score >= 0.7) == (not y[i]) for i in held]) == 1.0
     odd = quality_classifier.classify(frame(spark, ODD), ranker, ["doc_id"]).collect()
-    assert len(odd) == len(ODD) and all(0 <= r._score <= 1 for r in odd)
+    assert len(odd) == len(ODD) and all(0 <= r._swident_score <= 1 for r in odd)
     none = quality_classifier.fit(docs.drop("y"), labels.where("y = 5"), "y", F.lit(True))
-    assert {r._score for r in quality_classifier.classify(frame(spark, ODD), none, ["doc_id"]).collect()} == {0.5}
+    assert {r._swident_score for r in quality_classifier.classify(frame(spark, ODD), none, ["doc_id"]).collect()} == {0.5}
 
 
 def test_pairs_follow_the_loss():
