@@ -21,13 +21,13 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose nearest labelled examples don't vote toxic."""
     index = toxicity.fit(docs, _labels(spark, sf_dir), "toxic", fold(F.col("doc_id"), 4) != 2)
-    return toxicity.score(docs, index, docs.columns).where(F.col("_score") < MAX_TOXICITY).drop("_score")
+    return toxicity.score(docs, index, docs.columns).where(F.col("_swident_score") < MAX_TOXICITY).drop("_swident_score")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that rank above the learnt quantile."""
     ranker = quality_classifier.fit(docs, _labels(spark, sf_dir), "quality", fold(F.col("doc_id"), 4) != 2, at=MIN_QUALITY)
-    return quality_classifier.classify(docs, ranker, docs.columns).where(F.col("_score") >= MIN_QUALITY).drop("_score")
+    return quality_classifier.classify(docs, ranker, docs.columns).where(F.col("_swident_score") >= MIN_QUALITY).drop("_swident_score")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
