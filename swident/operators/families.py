@@ -21,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): smallest node reachable over edges(a, b), isolated loops included.
 
     Min-label contraction: hook every vertex to its smallest neighbour, follow
-    hooks once, map the edges to what remains, until no edge is left.  Each
+    the hooks three times more, map the edges to what remains, until no edge is left.  Each
     round is written to the shared folder, which cuts the lineage safely.
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
@@ -30,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
     labels = stored(nodes.withColumn("component", F.col("node")))
     while e.limit(1).count():
         hooks = stored(e.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("to")))
-        jump = stored(hooks.alias("x").join(hooks.alias("y"), F.col("x.to") == F.col("y.a")).select(F.col("x.a").alias("old"), F.col("y.to").alias("new")))
+        twice = hooks.alias("x").join(hooks.alias("y"), F.col("x.to") == F.col("y.a")).select(F.col("x.a").alias("old"), F.col("y.to").alias("new"))
+        jump = stored(twice.alias("x").join(twice.alias("y"), F.col("x.new") == F.col("y.old")).select(F.col("x.old").alias("old"), F.col("y.new").alias("new")))
         labels = stored(labels.join(jump, labels.component == jump.old, "left").select("node", F.coalesce("new", "component").alias("component")))
         e = stored(
             e.join(jump.select(F.col("old").alias("a"), F.col("new").alias("na")), "a")
