@@ -43,7 +43,7 @@ MIXED = re.compile(rf"{_L}{_REST}|{_REST}{_L}|[^{SPACE}]{SPACE}|\n")
 RATE = 0.1
 VARIANTS = 4
 #: Units kept in each of two generations of a task's cache.
-CACHE = 300_000
+CACHE = 200_000
 _NONE = 1 << 60
 _BITS = 20
 _LOW = (1 << _BITS) - 1
