@@ -1,25 +1,26 @@
-"""Katz backoff bigram model over words, counted and scored with two shuffles.
+"""Katz backoff bigram model over words, counted and scored block by block.
 
 Tokens are a text's words (A-Z lowered) and one end; the end is also the context
 of the first token.  The model:
 
-* Words met twice or more form the vocabulary, the `vocabulary` most frequent of
-  them at most; all others are one open class, whose words share its mass in
+* Every learnt word is a word of its own, as context and as predicted word; all
+  unseen words share one open class of count 1.  A caller may ask for a smaller
+  model by `vocabulary`: then the words met twice or more, that many at most, are
+  kept and all others are the open class, whose words share its mass in
   proportion to count + 1, one such share being left for all unseen words.
 * P(v | u) = d(c) * c / (c(u) + 1) for a bigram counted c times, d being
   Good-Turing's discount for c <= 5; else alpha(u) * P(v), where alpha(u) is
   exactly what is left divided by the unigram mass of the words not seen after
   u, and P(v) is the count share of v.  So every context's probabilities sum to 1.
 
-Every token of every learning text is counted.  Bigrams are dealt out by a
-mixed 38-bit key, so that neither a frequent word nor a frequent pair's other
-bigrams gather in one task, as sorted blobs: (key, document, count) of a block
-of texts.  The task that owns a key range sees every use of its bigrams and
-hence their counts, keeps them as a part of the stored table, and answers each
-block with sums per document; nothing is looked up row by row.  Discounts and
-backoff weights follow when all parts are known, and a second shuffle by block
-adds a document's answers up.  The driver gets the vocabulary (bounded), the
-counts of counts and a backoff weight for each vocabulary word.
+Every token of every learning text is counted.  Words and bigrams are known by
+64-bit hashes.  A block of texts sends each of its distinct words and bigrams
+once, with its count in the block, to the task that owns the hash range, so no
+frequent one gathers in a task.  The owner adds the counts up, answers each
+block in the order of its hashes, and names one block per bigram that stands for
+it.  The blocks then add up what their bigrams take from each context and send
+it to the context's owner, who answers with backoff weights to the blocks that
+have unseen bigrams.  The driver gets the counts of counts and the totals only.
 
 Odd inputs: a null or empty text is one end token; without learning texts the
 counts are 0, base_score is -n_tokens * log10(N + V + 1) = 0.0 and the score
@@ -30,6 +31,7 @@ as often as they occur; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,33 +42,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import new_path, stored
-from .words import SPACED, slices
+from .words import SPACED, grams, lean_memory, slices
 
-VOCABULARY = 1 << 18
+VOCABULARY = 1 << 18  # a size for callers who want a smaller model; score() keeps all words
 CUT = 5  # counts above it are not discounted
-END, OPEN = 0, 1
-_W = 19  # bits of a word number
-_KEY = 2 * _W
-_MASK = (1 << _KEY) - 1
-_M1, _M2 = 0x1D8AF066D5 | 1, 0x2545F4914F | 1
-_I1, _I2 = pow(_M1, -1, 1 << _KEY), pow(_M2, -1, 1 << _KEY)
-BLOCK_TOKENS, BLOCK_DOCS = 2_000_000, 32_768
+END, OPEN = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)  # in place of word hashes
+BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 32_768
 PART_TOKENS = 2_000_000
+TOKEN_BYTES = 6  # of text or so, for the number of parts
 U = np.uint64
-
-
-def _mixed(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    x = (u.astype(U) << U(_W)) | v.astype(U)
-    x = (x * U(_M1)) & U(_MASK)
-    x = x ^ (x >> U(_W))
-    return (x * U(_M2)) & U(_MASK)
-
-
-def _unmixed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = (x * U(_I2)) & U(_MASK)
-    x = x ^ (x >> U(_W))
-    x = (x * U(_I1)) & U(_MASK)
-    return (x >> U(_W)).astype(np.int64), (x & U((1 << _W) - 1)).astype(np.int64)
+_NAMES = ["p", "kind", "block", "x", "y", "z", "s", "ids"]
+# kinds of rows: a block's texts; uses of words and of bigrams; a part's totals;
+# what a block's bigrams take from contexts; contexts of unseen bigrams
+TEXTS, WORDS, PAIRS, TOTALS, TAKEN, ASKED = range(6)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -83,21 +71,55 @@ def _steps(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=x.dtype.type(0))
 
 
+def _rows(docs: DataFrame) -> str:
+    return f"p int, kind int, block long, x binary, y binary, z binary, s array<double>, ids array<{docs.schema['doc_id'].dataType.simpleString()}>"
+
+
+def _batches(rows: list[tuple], ids: pa.DataType, size: int = 32) -> Iterator[pa.RecordBatch]:
+    """Rows (p, kind, block, x, y, z, s) without ids."""
+    for i in range(0, len(rows), size):
+        p, kind, block, x, y, z, s = zip(*rows[i : i + size], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(kind, pa.int32()), pa.array(block, pa.int64()), pa.array(x, pa.binary()), pa.array(y, pa.binary()), pa.array(z, pa.binary()), pa.array(s, pa.list_(pa.float64())), pa.nulls(len(p), ids)], names=_NAMES)
+
+
+def _cut(h: np.ndarray, log_parts: int) -> list[tuple[int, int, int]]:
+    """(part, from, to) of the parts that sorted hashes fall into."""
+    at = np.searchsorted(h, np.arange(1 << log_parts, dtype=U) << U(64 - log_parts)).tolist() + [len(h)]
+    return [(p, at[p], at[p + 1]) for p in range(1 << log_parts) if at[p + 1] > at[p]]
+
+
 @dataclass
-class Unigrams:
-    """Counts by word number, and the figures of the whole learning corpus."""
+class Words:
+    """Which words are symbols of their own: all learnt ones, or the given hashes (sorted)."""
+
+    listed: np.ndarray | None
+
+    def _in(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.listed):
+            return h == END
+        return (self.listed[np.minimum(np.searchsorted(self.listed, h), len(self.listed) - 1)] == h) | (h == END)
+
+    def known(self, h: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return (count > 0) | (h == END) if self.listed is None else self._in(h)
 
-    hashes: np.ndarray  # sorted
-    numbers: np.ndarray
-    counts: np.ndarray  # of END, OPEN and the vocabulary
+    def symbols(self, h: np.ndarray) -> np.ndarray:
+        return h if self.listed is None else np.where(self._in(h), h, OPEN)
+
+
+@dataclass
+class Totals:
+    """The figures of the whole learning corpus."""
+
+    ends: int
     n: int  # learning tokens
     v: int  # distinct learning tokens
     open_n: int
     open_v: int
+    discount: np.ndarray
 
     @property
-    def logp(self) -> np.ndarray:
-        return np.log10(self.counts / self.counts.sum())
+    def mass(self) -> int:
+        return max(self.ends, 1) + max(self.open_n, 1) + self.n - self.ends - self.open_n
 
     @property
     def open_log(self) -> float:
@@ -140,228 +162,223 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def unigrams(docs: DataFrame, learn: Column, vocabulary: int = VOCABULARY) -> Unigrams:
-    learnt = docs.where(learn)
-    table = stored(count_words(learnt), "unigrams")
-    n_docs = learnt.count()
-    total = table.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = table.where("c >= 2").orderBy(F.desc("c"), "h").limit(min(vocabulary, VOCABULARY)).toArrow()
-    h = top.column("h").to_numpy().astype(np.int64).view(U)
-    c = top.column("c").to_numpy().astype(np.int64)
-    order = np.argsort(h)
-    words, distinct = total.n or 0, total.v
-    open_n, open_v = int(words - c.sum()), int(distinct - len(c))
-    counts = np.concatenate(([max(n_docs, 1), max(open_n, 1)], c)).astype(np.float64)
-    return Unigrams(h[order], order + 2, counts, words + n_docs, distinct + (n_docs > 0), open_n, open_v)
+def frequent(docs: DataFrame, learn: Column, vocabulary: int) -> np.ndarray:
+    """Sorted hashes of the most frequent words that are met twice or more."""
+    table = stored(count_words(docs.where(learn)), "unigrams")
+    top = table.where("c >= 2").orderBy(F.desc("c"), "h").limit(vocabulary).toArrow()
+    return np.sort(top.column("h").to_numpy().astype(np.int64).view(U))
 
 
-_ROWS = "p int, kind int, block long, x binary, y binary, z binary"
+def _pairs(words: Words, hashes: np.ndarray, stream: np.ndarray) -> np.ndarray:
+    """The bigram hash of each token of a block; the block begins after an end."""
+    return grams(np.concatenate(([END], words.symbols(hashes)[stream])), 2)
 
 
-def _uses(docs: DataFrame, learn: Column, sent: object, log_parts: int) -> DataFrame:
-    """Rows for the owners of bigrams (kind 0) and open-class words (kind 1), and one row for each block's documents (kind 2)."""
-    id_kind = docs.schema["doc_id"].dataType.simpleString()
-    low = _KEY - log_parts
-
-    def block_rows(number: int, ids: list, info: list, uvd: list, cold: list) -> Iterator[pa.RecordBatch]:
-        names = ["p", "kind", "block", "x", "y", "z", "ids"]
-        id_type = ids[0].type
-        key = np.concatenate([_mixed(u, v) << U(16) | d for u, v, d in uvd])
-        key, count = np.unique(key, return_counts=True)
-        pair, doc = key >> U(16), (key & U(0xFFFF)).astype(np.uint16)
-        rows: list[tuple] = []
-        cut = np.searchsorted(pair, np.arange((1 << log_parts) + 1, dtype=U) << U(low))
-        for p in range(1 << log_parts):
-            a, z = int(cut[p]), int(cut[p + 1])
-            if z > a:
-                inner = (pair[a:z] & U((1 << low) - 1)).astype(np.uint32)
-                rows.append((p, 0, _planes(_steps(inner)), _planes(doc[a:z]), _planes(count[a:z].astype(np.uint32))))
-        if cold and (h := np.concatenate([x for x, _ in cold])).size:
-            d = np.concatenate([x for _, x in cold])
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
-            first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1]))))
-            count = np.diff(np.concatenate((first, [len(h)]))).astype(np.uint32)
-            h, d = h[first], d[first].astype(np.uint16)
-            cut = np.searchsorted(h, np.arange(1 << log_parts, dtype=U) << U(64 - log_parts))
-            cut = np.concatenate((cut, [len(h)]))
-            for p in range(1 << log_parts):
-                a, z = int(cut[p]), int(cut[p + 1])
-                if z > a:
-                    rows.append((p, 1, _planes(h[a:z]), _planes(d[a:z]), _planes(count[a:z])))
-        rows.append((number % (1 << log_parts), 2, np.concatenate(info, axis=1).tobytes(), b"", b""))
+def _texts(docs: DataFrame, learn: Column) -> DataFrame:
+    """Blocks of texts as numbers of the block's words, the most frequent first."""
+
+    def block_rows(number: int, ids: list, trained: list, sizes: list, tokens: list) -> Iterator[pa.RecordBatch]:
+        size, own = np.concatenate(sizes), np.concatenate(trained)
+        h, stream = np.unique(np.concatenate(tokens), return_inverse=True)
         whole = pa.concat_arrays(ids)
-        for i in range(0, len(rows), 16):
-            p, kind, x, y, z = zip(*rows[i : i + 16], strict=True)
-            lists = pa.array([whole.to_pylist() if k == 2 else None for k in kind], pa.list_(id_type))
-            yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(kind, pa.int32()), pa.array([number] * len(p), pa.int64()), pa.array(x, pa.binary()), pa.array(y, pa.binary()), pa.array(z, pa.binary()), lists], names=names)
+        texts = [pa.array([0], pa.int32()), pa.array([TEXTS], pa.int32()), pa.array([number], pa.int64())]
+        # small numbers for frequent words compress well
+        order = np.argsort(-np.bincount(stream), kind="stable")
+        rank = np.empty(len(order), dtype=np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        texts += [pa.array([zlib.compress(b, 1)], pa.binary()) for b in (_planes(rank[stream]), size.astype(np.uint32).tobytes() + own.astype(np.uint8).tobytes(), _planes(_steps(h)) + rank.tobytes())]
+        yield pa.RecordBatch.from_arrays([*texts, pa.nulls(1, pa.list_(pa.float64())), pa.array([whole.to_pylist()], pa.list_(whole.type))], names=_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uni: Unigrams = sent.value
-        number = TaskContext.get().partitionId() << 20
-        log_c = np.log10(uni.counts + 1)
-        ids, info, uvd, cold, n_docs, n_tokens = [], [], [], [], 0, 0
+        number = TaskContext.get().partitionId() << 24
+        held: tuple[list, list, list, list] = ([], [], [], [])
+        n_docs = n_tokens = 0
         for b in batches:
             learnt = np.asarray(b.column(2).fill_null(False))
             for s in slices(b.column(1), SPACED):
-                if n_docs and (n_docs + s.n_docs > BLOCK_DOCS or n_tokens > BLOCK_TOKENS):
-                    yield from block_rows(number, ids, info, uvd, cold)
-                    number += 1
-                    ids, info, uvd, cold, n_docs, n_tokens = [], [], [], [], 0, 0
+                h = s.hashes(True)
                 for a in range(0, s.n_docs, BLOCK_DOCS):
                     z = min(a + BLOCK_DOCS, s.n_docs)
-                    if a:
-                        yield from block_rows(number, ids, info, uvd, cold)
+                    if n_docs and (n_docs + z - a > BLOCK_DOCS or n_tokens > BLOCK_TOKENS):
+                        yield from block_rows(number, *held)
                         number += 1
-                        ids, info, uvd, cold, n_docs, n_tokens = [], [], [], [], 0, 0
-                    w0, w1 = int(s.bounds[a]), int(s.bounds[z])
-                    h = s.hashes(True)[w0:w1]
-                    if len(uni.hashes):
-                        at = np.minimum(np.searchsorted(uni.hashes, h), len(uni.hashes) - 1)
-                        word = np.where(uni.hashes[at] == h, uni.numbers[at], OPEN)
-                    else:
-                        word = np.full(len(h), OPEN)
-                    size = np.diff(s.bounds[a : z + 1])
+                        held, n_docs, n_tokens = ([], [], [], []), 0, 0
+                    size = np.diff(s.bounds[a : z + 1]) + 1
                     # words and ends in one row of tokens, document after document
-                    ends = np.cumsum(size + 1) - 1
-                    token = np.full(int(ends[-1]) + 1, END, dtype=np.int64)
+                    ends = np.cumsum(size) - 1
+                    token = np.full(int(ends[-1]) + 1, END)
                     is_word = np.ones(len(token), dtype=bool)
                     is_word[ends] = False
-                    token[is_word] = word
-                    before = np.concatenate(([END], token[:-1]))
-                    doc = np.repeat(np.arange(z - a), size + 1)
-                    trained = learnt[s.first + a : s.first + z]
-                    mark = (np.arange(n_docs, n_docs + z - a) | np.where(trained, 0, 0x8000)).astype(U)
-                    uvd.append((before, token, mark[doc]))
-                    is_open = word == OPEN
-                    word_doc = doc[is_word]
-                    cold.append((h[is_open], mark[word_doc[is_open]]))
-                    n_open = np.bincount(word_doc[is_open], minlength=z - a)
-                    known = np.bincount(word_doc[~is_open], minlength=z - a) + (uni.n > 0)
-                    end_log = log_c[END] if uni.n else 0.0
-                    base = np.bincount(word_doc[~is_open], weights=log_c[word[~is_open]], minlength=z - a) + end_log
-                    info.append(np.stack((trained, size + 1, n_open, known, base)).astype(np.float64))
-                    ids.append(b.column(0).slice(s.first + a, z - a))
+                    token[is_word] = h[int(s.bounds[a]) : int(s.bounds[z])]
+                    for out, x in zip(held, (b.column(0).slice(s.first + a, z - a), learnt[s.first + a : s.first + z], size, token), strict=True):
+                        out.append(x)
                     n_docs += z - a
                     n_tokens += len(token)
         if n_docs:
-            yield from block_rows(number, ids, info, uvd, cold)
+            yield from block_rows(number, *held)
 
-    return docs.select("doc_id", "text", learn.alias("_learn")).mapInArrow(run, f"{_ROWS}, ids array<{id_kind}>")
+    return docs.select("doc_id", "text", learn.alias("_learn")).mapInArrow(run, _rows(docs))
 
 
-def _answers(uses: DataFrame, sent: object, log_parts: int) -> DataFrame:
-    """Each part's counts, context sums and per-document sums, by kind.
+def _block(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted word hashes, tokens as their places, tokens of each text, whether it is learnt) of a stored block."""
+    x, y, z = (zlib.decompress(b.column(k)[i].as_py()) for k in (3, 4, 5))
+    m, n = len(z) // 12, len(y) // 5
+    place = np.empty(m, dtype=np.int64)
+    place[np.frombuffer(z, np.uint32, m, 8 * m)] = np.arange(m)
+    return np.cumsum(_joined(z[: 8 * m], U), dtype=U), place[_joined(x, np.uint32)], np.frombuffer(y, np.uint32, n).astype(np.int64), np.frombuffer(y, np.uint8, n, 4 * n)
 
-    kind 0: a block's sums (documents, log sum, tokens of count 1..CUT);
-    1: a block's open-class sums (documents, log sum, known tokens);
-    2: a block's documents, passed on; 3: a block's uses of unseen bigrams
-    (contexts, documents, counts); 4: context sums; 5: the bigram table's part.
-    """
-    id_type = uses.schema["ids"].dataType.simpleString()
-    low = _KEY - log_parts
 
-    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uni: Unigrams = sent.value
-        part = key[0].as_py()
-        logp, log_u, p1 = uni.logp, np.log10(uni.counts + 1), uni.counts / uni.counts.sum()
-        names = ["p", "kind", "block", "x", "y", "z", "ids"]
-        held: dict[int, list[tuple]] = {0: [], 1: []}
-        made: list[tuple] = []
-        empty: pa.DataType | None = None
+def _uses(texts: DataFrame, sent: object, log_parts: int, schema: str) -> DataFrame:
+    """Each block's distinct words and bigrams with their counts in its learning texts, for their owners."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for b in batches:
-            empty = b.column(6).type
-            for i in range(b.num_rows):
-                kind, block = b.column(1)[i].as_py(), b.column(2)[i].as_py()
-                x, y, z = (b.column(k)[i].as_py() for k in (3, 4, 5))
-                if kind == 2:
-                    yield pa.RecordBatch.from_arrays([b.column(k).slice(i, 1) for k in range(7)], names=names)
-                elif kind == 0:
-                    held[0].append((block, np.cumsum(_joined(x, np.uint32), dtype=np.uint32), _joined(y, np.uint16), _joined(z, np.uint32)))
-                else:
-                    held[1].append((block, _joined(x, np.uint64), _joined(y, np.uint16), _joined(z, np.uint32)))
+            for i, block in enumerate(b.column(2).to_pylist()):
+                h, stream, size, own = _block(b, i)
+                learnt = np.repeat(own, size).astype(float)
+                pair, at = np.unique(_pairs(sent.value, h, stream), return_inverse=True)
+                for kind, key, which in ((WORDS, h, stream), (PAIRS, pair, at)):
+                    count = np.bincount(which, weights=learnt, minlength=len(key)).astype(np.uint32)
+                    made = [(p, kind, block, _planes(_steps(key[a:z])), _planes(count[a:z]), b"", None) for p, a, z in _cut(key, log_parts)]
+                    yield from _batches(made, b.column(7).type)
 
-        def put(kind: int, block: int, x: bytes, y: bytes, z: bytes) -> None:
-            made.append((kind, block, x, y, z))
+    return texts.mapInArrow(run, schema)
 
-        for kind in (0, 1):
-            if not held[kind]:
+
+def _counts(uses: DataFrame, sent: object, schema: str) -> DataFrame:
+    """Owners of hash ranges: the whole count of each use, in the order asked, and the part's totals.
+
+    Of the blocks that use a bigram, one has its bit set: it stands for the bigram.
+    """
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
+        part, made, ids = key[0].as_py(), [], pa.list_(pa.int64())
+        held: dict[int, list[tuple]] = {WORDS: [], PAIRS: []}
+        for b in batches:
+            ids = b.column(7).type
+            for kind, block, x, y in zip(*(b.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True):
+                held[kind].append((block, np.cumsum(_joined(x, U), dtype=U), _joined(y, np.uint32)))
+        for kind, uses_ in held.items():
+            if not uses_:
                 continue
-            size = [len(r[1]) for r in held[kind]]
-            word = np.concatenate([r[1] for r in held[kind]])
-            doc = np.concatenate([r[2] for r in held[kind]])
-            count = np.concatenate([r[3] for r in held[kind]]).astype(np.int64)
-            order = np.argsort(word, kind="stable")
-            first = np.flatnonzero(np.concatenate(([True], np.diff(word[order]) != 0)))
-            own = np.where(doc < 0x8000, count, 0)[order]
-            c = np.add.reduceat(own, first)
-            distinct = word[order][first]
-            at = np.empty(len(word), dtype=np.int64)  # entry -> its distinct word
-            at[order] = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(word)]))))
-            if kind == 1:
-                value, known = np.log10(c + 1.0)[at] * count, np.where(c[at] > 0, count, 0)
+            h = np.concatenate([r[1] for r in uses_])
+            order = np.argsort(h, kind="stable")
+            first = np.flatnonzero(np.concatenate(([True], np.diff(h[order]) != 0)))
+            c = np.add.reduceat(np.concatenate([r[2] for r in uses_]).astype(U)[order], first)
+            at = np.empty(len(h), dtype=np.int64)  # use -> its distinct hash
+            at[order] = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(h)]))))
+            stands = np.zeros(len(h), dtype=bool)
+            stands[order[first]] = True
+            if kind == WORDS:
+                word = h[order[first]]
+                rest = (c > 0) & ~sent.value.known(word, c)
+                sums = [0] * (CUT + 1) + [int(c[word == END].sum()), int(c.sum()), int((c > 0).sum()), int(c[rest].sum()), int(rest.sum())]
             else:
-                u, v = _unmixed(distinct.astype(U) | U(part << low))
-                seen = c > 0
-                log_c = np.where(seen, np.log10(np.maximum(c, 1)) - log_u[u], logp[v])
-                value = log_c[at] * count
-                few = np.where(c <= CUT, c, 0)[at]
-                # context sums: counts of counts up to CUT + 1, total and unigram mass of seen words
-                us, ui = np.unique(u[seen], return_inverse=True)
-                sums = [np.bincount(ui, weights=c[seen] == r, minlength=len(us)) for r in range(1, CUT + 2)]
-                sums.append(np.bincount(ui, weights=c[seen], minlength=len(us)))
-                sums.append(np.bincount(ui, weights=p1[v[seen]], minlength=len(us)))
-                put(4, part, us.astype(np.uint32).tobytes(), np.stack(sums).tobytes() if len(us) else b"", b"")
-                put(5, part, _planes(_steps(distinct[seen])), _planes(c[seen].astype(np.uint32)), b"")
+                sums = [int((c == r).sum()) for r in range(1, CUT + 2)] + [0] * 5
+            made.append((part, TOTALS, -1, b"", b"", b"", [float(x) for x in sums]))
             a = 0
-            for (block, *_), n in zip(held[kind], size, strict=True):
-                d, di = np.unique(doc[a : a + n], return_inverse=True)
-                total = np.bincount(di, weights=value[a : a + n])
-                if kind == 1:
-                    put(1, block, _planes(d), total.tobytes(), _planes(np.bincount(di, weights=known[a : a + n]).astype(np.uint32)))
-                else:
-                    f = few[a : a + n]
-                    classes = np.bincount(di * (CUT + 1) + f, weights=count[a : a + n], minlength=len(d) * (CUT + 1)).astype(np.uint32).reshape(len(d), CUT + 1)
-                    put(0, block, _planes(d), total.tobytes(), _planes(np.ascontiguousarray(classes[:, 1:].T).ravel()))
-                    new = np.flatnonzero(c[at[a : a + n]] == 0)
-                    if len(new):
-                        put(3, block, _planes(u[at[a : a + n][new]].astype(np.uint32)), _planes(doc[a : a + n][new]), _planes(count[a : a + n][new].astype(np.uint32)))
-                a += n
-        for i in range(0, len(made), 32):
-            kinds, blocks, x, y, z = zip(*made[i : i + 32], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array([part] * len(kinds), pa.int32()), pa.array(kinds, pa.int32()), pa.array(blocks, pa.int64()), pa.array(x, pa.binary()), pa.array(y, pa.binary()), pa.array(z, pa.binary()), pa.nulls(len(kinds), empty)], names=names)
+            for block, x, _ in uses_:
+                made.append((part, kind, block, _planes(c[at[a : a + len(x)]]), np.packbits(stands[a : a + len(x)]).tobytes() if kind == PAIRS else b"", b"", None))
+                a += len(x)
+        yield from _batches(made, ids)
 
-    return uses.groupBy("p").applyInArrow(run, f"{_ROWS}, ids {id_type}")
+    return uses.groupBy("p").applyInArrow(run, schema)
 
 
-def _context_sums(rows: DataFrame, n_words: int) -> np.ndarray:
-    """(CUT + 3) x n_words: context sums added up over the parts, by word range."""
+def _totals(totals: list[float]) -> Totals:
+    return Totals(*(int(x) for x in totals[CUT + 1 :]), discounts(np.array(totals[: CUT + 1])))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for x, y in zip(b.column(0), b.column(1), strict=True):
-                us = np.frombuffer(x.as_py(), dtype=np.uint32).astype(np.int64)
-                if not len(us):
-                    continue
-                sums = np.frombuffer(y.as_py()).reshape(CUT + 3, -1)
-                for k in np.unique(us >> 12):
-                    at = us >> 12 == k
-                    total.setdefault(int(k), np.zeros((CUT + 3, 4096)))[:, us[at] & 4095] += sums[:, at]
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["k", "sums"])
-
-    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((CUT + 3, 4096))
+
+def _blocks(rows: DataFrame, sent: object, told: object, log_parts: int, schema: str) -> DataFrame:
+    """Each block's sums per document but for backoff weights, what its bigrams take from contexts, and the contexts it asks for."""
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
+        words, t, block = sent.value, told.value, key[0].as_py()
+        counts: dict[int, list[tuple]] = {WORDS: [], PAIRS: []}
         for b in batches:
-            for x in b.column(1):
-                total += np.frombuffer(x.as_py()).reshape(CUT + 3, 4096)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["k", "sums"])
+            for i, kind in enumerate(b.column(1).to_pylist()):
+                if kind == TEXTS:
+                    h, stream, size, _ = _block(b, i)
+                    ids = b.column(7).slice(i, 1)
+                else:
+                    c = _joined(b.column(3)[i].as_py(), U)
+                    counts[kind].append((b.column(0)[i].as_py(), c, np.unpackbits(np.frombuffer(b.column(4)[i].as_py(), np.uint8), count=len(c)) if kind == PAIRS else None))
+        c = np.concatenate([r[1] for r in sorted(counts[WORDS], key=lambda r: r[0])]).astype(float)
+        counts[PAIRS].sort(key=lambda r: r[0])
+        pair_c = np.concatenate([r[1] for r in counts[PAIRS]]).astype(np.int64)
+        stands = np.concatenate([r[2] for r in counts[PAIRS]]) > 0
+        known = words.known(h, c)
+        # counts of the symbols that the words are
+        weight = np.where(known, np.maximum(c, 1), max(t.open_n, 1))
+        log_p, log_u, log_c = np.log10(weight / t.mass), np.log10(weight + 1), np.log10(c + 1)
+        before = np.concatenate(([np.searchsorted(h, END)], stream[:-1]))
+        _, first, at = np.unique(_pairs(words, h, stream), return_index=True, return_inverse=True)
+        seen = pair_c > 0
+        ratio = np.concatenate(([1.0], t.discount, [1.0]))
+        log_pair = np.log10(np.maximum(pair_c, 1) * ratio[np.minimum(pair_c, CUT + 1)])
+        new = ~seen[at]
+        value = np.where(new, log_p[stream], log_pair[at] - log_u[before]) + np.where(known, 0.0, log_c - t.open_log)[stream]
+        doc = np.repeat(np.arange(len(size)), size)
+        add = lambda w: np.bincount(doc, weights=w, minlength=len(size))
+        info = np.stack((size, add((c > 0)[stream]), add(log_c[stream]) - size * t.base_log, add(value))).astype(float)
+        symbol = words.symbols(h)
+        # a context that is not learnt has the backoff weight 1
+        asks = np.flatnonzero(new & (known | (symbol == OPEN))[before])
+        asked, number = np.unique(symbol[before[asks]], return_inverse=True)
+        texts = [pa.array([0], pa.int32()), pa.array([TEXTS], pa.int32()), pa.array([block], pa.int64())]
+        texts += [pa.array([x], pa.binary()) for x in (info.tobytes(), _planes(number.astype(np.uint32)), _planes(doc[asks].astype(np.uint16)))]
+        yield pa.RecordBatch.from_arrays([*texts, pa.nulls(1, pa.list_(pa.float64())), ids], names=_NAMES)
+        made = [(p, ASKED, block, _planes(_steps(asked[a:z])), b"", b"", None) for p, a, z in _cut(asked, log_parts)]
+        one = np.flatnonzero(seen & stands)
+        u, v, k = before[first[one]], stream[first[one]], pair_c[one]
+        context, where, ui = np.unique(symbol[u], return_index=True, return_inverse=True)
+        few = np.stack([np.bincount(ui, weights=k == r, minlength=len(context)) for r in range(1, CUT + 1)]).astype(np.uint32)
+        used, mass = (np.bincount(ui, weights=w, minlength=len(context)) for w in (k, weight[v] / t.mass))
+        for p, a, z in _cut(context, log_parts):
+            rest = np.stack((used[a:z], weight[u[where[a:z]]], mass[a:z]))
+            made.append((p, TAKEN, block, _planes(_steps(context[a:z])), _planes(few[:, a:z].ravel()), _planes(rest.ravel()), None))
+        yield from _batches(made, ids.type)
+
+    return rows.groupBy("block").applyInArrow(run, schema)
+
+
+def _weights(rows: DataFrame, told: object, schema: str) -> DataFrame:
+    """Owners of contexts: log backoff weights in the order asked."""
 
-    out = np.zeros((CUT + 3, -(-n_words // 4096) * 4096))
-    for r in rows.select("x", "y").mapInArrow(cut, "k int, sums binary").groupBy("k").applyInArrow(add, "k int, sums binary").toLocalIterator():
-        out[:, r.k * 4096 : (r.k + 1) * 4096] = np.frombuffer(r.sums).reshape(CUT + 3, 4096)
-    return out[:, :n_words]
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
+        part, ids = key[0].as_py(), pa.list_(pa.int64())
+        taken, asked = [], []
+        for b in batches:
+            ids = b.column(7).type
+            for kind, block, x, y, z in zip(*(b.column(k).to_pylist() for k in (1, 2, 3, 4, 5)), strict=True):
+                h = np.cumsum(_joined(x, U), dtype=U)
+                if kind == ASKED:
+                    asked.append((block, h))
+                else:
+                    taken.append((h, _joined(y, np.uint32).reshape(CUT, -1), _joined(z, np.float64).reshape(3, -1)))
+        h, log_alpha = np.zeros(1, U), np.zeros(1)
+        if taken:
+            h, at = np.unique(np.concatenate([r[0] for r in taken]), return_inverse=True)
+            add = lambda w: np.bincount(at, weights=w, minlength=len(h))
+            few = np.concatenate([r[1] for r in taken], axis=1)
+            used, weight, mass = np.concatenate([r[2] for r in taken], axis=1)
+            count = np.zeros(len(h))
+            count[at] = weight
+            off = sum(add(few[r - 1]) * r * (1 - told.value.discount[r - 1]) for r in range(1, CUT + 1))
+            left = 1 - (add(used) - off) / (count + 1)
+            log_alpha = np.log10(np.maximum(left, 1e-300) / np.maximum(1 - add(mass), 1e-12))
+        made = []
+        for block, x in asked:
+            i = np.minimum(np.searchsorted(h, x), len(h) - 1)
+            made.append((part, ASKED, block, np.where(h[i] == x, log_alpha[i], 0.0).tobytes(), b"", b"", None))
+        yield from _batches(made, ids)
+
+    return rows.groupBy("p").applyInArrow(run, schema)
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -380,75 +397,52 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return np.where((d > 0) & (d <= 1) & np.isfinite(d), d, half)
 
 
-@dataclass
-class Weights:
-    """What the bigram parts leave open: discounts and backoff weights."""
-
-    discount: np.ndarray
-    log_alpha: np.ndarray  # by word number
-
-
-def backoff(uni: Unigrams, sums: np.ndarray) -> Weights:
-    d = discounts(sums[: CUT + 1].sum(axis=1))
-    r = np.arange(1, CUT + 1)[:, None]
-    taken = sums[:CUT] * r * (1 - d[:, None])
-    used = sums[CUT + 1] - taken.sum(axis=0)
-    left = 1 - used / (uni.counts + 1)
-    free = np.maximum(1 - sums[CUT + 2], 1e-12)
-    return Weights(d, np.log10(np.maximum(left, 1e-300) / free))
-
-
-def score(docs: DataFrame, learn: Column, vocabulary: int = VOCABULARY) -> DataFrame:
+def score(docs: DataFrame, learn: Column, vocabulary: int | None = None) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score per row of docs.
 
-    learn is a condition on doc_id that picks the learning rows.
+    learn is a condition on doc_id that picks the learning rows; without
+    `vocabulary` the model has every learnt word.
     """
     spark = docs.sparkSession
     learn = F.coalesce(learn, F.lit(False))
-    uni = unigrams(docs, learn, vocabulary)
-    sent = spark.sparkContext.broadcast(uni)  # at most VOCABULARY + 2 numbers
+    sent = spark.sparkContext.broadcast(Words(None if vocabulary is None else frequent(docs, learn, vocabulary)))
     # parts grow with the corpus: a power of two with PART_TOKENS tokens each or so
-    log_parts = max(6, min(18, math.ceil(math.log2(max(uni.n, 1) / PART_TOKENS))))
-    path = new_path(spark, "katz")
-    _answers(_uses(docs, learn, sent, log_parts), sent, log_parts).write.partitionBy("kind").parquet(path)
-    schema = _answers_schema(docs)
-    made = spark.read.schema(schema).parquet(path)
-    weights = backoff(uni, _context_sums(made.where("kind = 4"), len(uni.counts)))
-    told = spark.sparkContext.broadcast(weights)
-    id_kind = docs.schema["doc_id"].dataType.simpleString()
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    log_parts = max(6, min(18, math.ceil(math.log2(max(size, 1) / TOKEN_BYTES / PART_TOKENS))))
+    schema = _rows(docs)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = new_path(spark, name)
+        df.write.partitionBy("kind").parquet(path)
+        columns = schema.replace(" kind int,", "") + ", kind int"
+        return spark.read.schema(columns).parquet(path).select(*_NAMES)
+
+    stored_texts = stored(_texts(docs, learn), "katz-texts")
+    counts = kept(_counts(_uses(stored_texts, sent, log_parts, schema), sent, schema), "katz-counts")
+    found = counts.where(F.col("kind") == TOTALS).agg(*[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(CUT + 6)]).first()
+    totals = _totals([x or 0.0 for x in found])
+    told = spark.sparkContext.broadcast(totals)
+    texts = stored_texts.unionByName(counts.where(F.col("kind").isin(WORDS, PAIRS)))
+    blocks = kept(_blocks(texts, sent, told, log_parts, schema), "katz-blocks")
+    weights = _weights(blocks.where(F.col("kind").isin(TAKEN, ASKED)), told, schema)
+    n = totals.n
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w: Weights = told.value
-        u: Unigrams = sent.value
-        log_d = np.log10(w.discount)
-        ids = None
-        logs, base, known = np.zeros(1 << 16), np.zeros(1 << 16), np.zeros(1 << 16)
-        info = None
+        answers: list[tuple[int, np.ndarray]] = []
         for b in batches:
-            for i in range(b.num_rows):
-                kind = b.column(0)[i].as_py()
-                x, y, z = (b.column(k)[i].as_py() for k in (2, 3, 4))
-                if kind == 2:
-                    ids, info = b.column(5)[i].values, np.frombuffer(x).reshape(5, -1)
-                elif kind == 3:
-                    logs += np.bincount(_joined(y, np.uint16), weights=w.log_alpha[_joined(x, np.uint32)] * _joined(z, np.uint32), minlength=1 << 16)
+            for i, kind in enumerate(b.column(1).to_pylist()):
+                if kind == TEXTS:
+                    x, y, z = (b.column(k)[i].as_py() for k in (3, 4, 5))
+                    ids, info = b.column(7)[i].values, np.frombuffer(x).reshape(4, -1)
+                    number, doc = _joined(y, np.uint32), _joined(z, np.uint16)
                 else:
-                    d = _joined(x, np.uint16)
-                    if kind == 0:
-                        logs[d] += np.frombuffer(y) + log_d @ _joined(z, np.uint32).reshape(CUT, -1)
-                    else:
-                        base[d] += np.frombuffer(y)
-                        known[d] += _joined(z, np.uint32)
-        trained, n_tokens, n_open, hot, hot_base = info
-        d = np.arange(len(trained)) | np.where(trained > 0, 0, 0x8000)
-        total = hot_base + base[d] - n_tokens * u.base_log
-        out = logs[d] + base[d] - n_open * u.open_log
-        yield pa.RecordBatch.from_arrays([ids, pa.array(n_tokens.astype(np.int64)), pa.array((hot + known[d]).astype(np.int64)), pa.array(np.full(len(d), u.n)), pa.array(total), pa.array(out)], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    answers = made.where("kind in (0, 1, 2, 3)").select("kind", "block", "x", "y", "z", "ids")
-    return answers.groupBy("block").applyInArrow(run, f"doc_id {id_kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-
-def _answers_schema(docs: DataFrame) -> str:
+                    answers.append((b.column(0)[i].as_py(), np.frombuffer(b.column(3)[i].as_py())))
+        size, known, base, logs = info
+        if answers:
+            log_alpha = np.concatenate([a for _, a in sorted(answers, key=lambda r: r[0])])
+            logs = logs + np.bincount(doc, weights=log_alpha[number], minlength=len(size))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(size.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(size), n)), pa.array(base), pa.array(logs)], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
     id_kind = docs.schema["doc_id"].dataType.simpleString()
-    return f"p int, block long, x binary, y binary, z binary, ids array<{id_kind}>, kind int"
+    answered = blocks.where(F.col("kind") == TEXTS).unionByName(weights)
+    return answered.groupBy("block").applyInArrow(run, f"doc_id {id_kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -228,6 +228,31 @@ def test_katz(spark, vocabulary):
     assert all(s == pytest.approx(1.0) for s in sums.values())
 
 
+def test_katz_keeps_every_word(spark):
+    """Words met once have bigrams and backoff weights of their own: P(b | a) is not that of any rare pair."""
+    texts = ["rare word pair", "other term here", "more text there", "rare word here"] + ["filler text"] * 3
+    docs = frame(spark, texts)
+    got = {r.doc_id: r.score for r in katz.score(docs, F.col("doc_id") != 3).collect()}
+    train = [t.split() for i, t in enumerate(texts) if i != 3]
+    two = collections.Counter(g for w in train for g in zip(["</s>", *w], [*w, "</s>"], strict=True))
+    one = collections.Counter(x for w in train for x in [*w, "</s>"])
+    total = sum(one.values()) + 1
+    of = collections.Counter(two.values())
+    d = katz.discounts(np.array([of[r] for r in range(1, katz.CUT + 2)], float))
+    star = lambda k: k * (d[k - 1] if k <= katz.CUT else 1)
+
+    def prob(a, b):
+        if (a, b) in two:
+            return star(two[a, b]) / (one[a] + 1)
+        after = [(y, k) for (x, y), k in two.items() if x == a]
+        left = 1 - sum(star(k) for _, k in after) / (one[a] + 1)
+        return left / (1 - sum(one[y] for y, _ in after) / total) * one[b] / total
+
+    for i, text in enumerate(texts):
+        w = text.split()
+        assert got[i] == pytest.approx(sum(math.log10(prob(a, b)) for a, b in zip(["</s>", *w], [*w, "</s>"], strict=True)), rel=1e-9)
+
+
 def test_katz_on_nothing(spark):
     docs = frame(spark, ODD)
     got = katz.score(docs, F.lit(False)).collect()
