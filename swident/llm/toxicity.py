@@ -1,18 +1,22 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
-Vocabulary: the words most of whose contexts (previous and next word) are in
-toxic examples, beyond what chance would give; counting distinct contexts keeps copies of one
-example from making its words look typical.  Examples and documents are TF-IDF
-vectors over it.  The examples with a vector form an inverted index in blocks of
-`BLOCK`; each block keeps the largest weight of each term.  A query visits the
-blocks in falling order of their bound (the sum of query weight times block
-maximum) and stops when the bound can't beat the k-th best cosine, so the k
-nearest are exact.  Votes weigh by squared cosine and are shrunk to the prior.
+Examples and documents are TF-IDF vectors over all their words; a document's
+words that no example has count in its length.  Document frequencies are those
+of the sampled examples.  Telling words weigh 1 + evidence times as much: words
+most of whose contexts (previous and next word) are in toxic examples, beyond
+what chance would give; counting distinct contexts keeps copies of one example
+from making its words look typical.  All other words weigh once.
+
+Every document meets every example: the `DENSE` most frequent words through one
+matrix product for many documents, all others through their postings.  This
+gives cosines in single precision; the examples that could be among the k
+nearest are compared again in double precision, so the k nearest are exact.
+Votes weigh by squared cosine and are shrunk to the prior.
 
 Examples are the at most `max_examples` labelled rows with the smallest hash of
 their id (a bound of the classifier's sample); every document is scored over its
-whole text.  A text without a vocabulary word has no neighbours and gets the
-share of toxic examples among those without one.
+whole text.  A text that shares no word with an example has no neighbours and
+gets the share of toxic examples among those without words.
 
 Odd inputs: null texts are empty; without examples every score is 0.0; equal
 cosines prefer the example that comes first by id; repeated rows each get a
@@ -24,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +41,12 @@ from .decontaminate import words_of
 from .words import ALNUM, Slice, slices
 
 MAX_EXAMPLES = 16_384
-MAX_TERMS = 512
 SLACK = 2.0
-BLOCK = 64
+DENSE = 512
+BATCH = 64
+#: More than single precision can be off in a sum of products that make 1 at most.
+MARGIN = 1e-4
+_latest: list[Vectors] = []
 K = 15
 SHRINK = 1.0
 
@@ -49,78 +57,163 @@ def _examples(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max
     return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
 
 
-def vocabulary(examples: DataFrame, max_terms: int = MAX_TERMS, slack: float = SLACK) -> list[str]:
-    """The words most of whose distinct contexts are toxic, by strength of evidence."""
+def telling(examples: DataFrame, slack: float = SLACK) -> dict[str, float]:
+    """The words most of whose distinct contexts are toxic, and the evidence for each."""
     words = examples.select("y", words_of(lower_ascii(F.col("text"))).alias("w")).select("y", "w", F.posexplode("w").alias("i", "term"))
     contexts = words.select("y", "term", F.xxhash64(F.expr("get(w, i - 1)"), F.expr("get(w, i + 1)"), F.size("w") == 1).alias("c")).distinct()
     by_term = stored(contexts.groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")), "terms")
     total = by_term.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"), F.count("*").alias("n")).first()
     if not total.ta or not total.tb:
-        return []
+        return {}
     # evidence: n * KL(a / n || share of toxic contexts), in nats; chance gives
     # a word of n terms evidence over log(n) about once
     share = total.ta / (total.ta + total.tb)
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     plus = a * F.log(a / ((a + b) * F.lit(share)))
     minus = F.when(b > 0, b * F.log(b / ((a + b) * F.lit(1 - share)))).otherwise(0.0)
-    chosen = by_term.where("a >= b and a > 0").withColumn("evidence", plus + minus).where(F.col("evidence") >= math.log(total.n) - slack).orderBy(F.desc("evidence"), "term").limit(max_terms)
-    return sorted(r.term for r in chosen.collect())
+    chosen = by_term.where("a >= b and a > 0").withColumn("evidence", plus + minus).where(F.col("evidence") >= math.log(total.n) - slack)
+    return {r.term: r.evidence for r in chosen.collect()}
+
+
+def _cells(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, word hash, count) of the distinct words of each document of a slice."""
+    h, at = np.unique(s.hashes(True), return_inverse=True)
+    cell, count = np.unique(s.doc * max(len(h), 1) + at, return_counts=True)
+    doc, at = np.divmod(cell, max(len(h), 1))
+    return doc, h[at], count
 
 
-def _term_hashes(terms: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the terms and the term number of each."""
-    h = np.zeros(0, dtype=np.uint64)
-    if terms:
-        h = np.concatenate([s.hashes(True) for s in slices(pa.array(terms), ALNUM)])
-    order = np.argsort(h)
-    return h[order], order
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0] .. start[0] + size[0] - 1, start[1] .. and so on."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
+@dataclass
+class Vectors:
+    """Unit vectors of the examples; [terms] gives their weights as term x example."""
+
+    start: np.ndarray  # terms of example i: start[i] .. start[i + 1]
+    term: np.ndarray
+    weight: np.ndarray
+    n_terms: int
+
+    @property
+    def n(self) -> int:
+        return len(self.start) - 1
+
+    @cached_property
+    def postings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start of each term, examples, weights)."""
+        order = np.argsort(self.term, kind="stable")
+        example = np.repeat(np.arange(self.n, dtype=np.uint16 if self.n <= 1 << 16 else np.int32), np.diff(self.start))
+        return np.concatenate(([0], np.cumsum(np.bincount(self.term, minlength=self.n_terms)))), example[order], self.weight[order]
+
+    @cached_property
+    def dense(self) -> tuple[np.ndarray, np.ndarray]:
+        """(place or -1 of each term, weights by place) of the most frequent terms."""
+        start = self.postings[0]
+        top = np.argsort(-np.diff(start), kind="stable")[:DENSE]
+        place = np.full(self.n_terms, -1)
+        place[top] = np.arange(len(top))
+        return place, self[top]
+
+    def __getitem__(self, terms: np.ndarray) -> np.ndarray:
+        start, example, weight = self.postings
+        size = start[terms + 1] - start[terms]
+        at = _ranges(start[terms], size)
+        out = np.zeros((len(terms), self.n), dtype=np.float32)
+        out[np.repeat(np.arange(len(terms)), size), example[at]] = weight[at]
+        return out
+
+    def add(self, out: np.ndarray, terms: np.ndarray, weight: np.ndarray) -> None:
+        start, example, w = self.postings
+        size = start[terms + 1] - start[terms]
+        at = _ranges(start[terms], size)
+        out += np.bincount(example[at], weights=np.repeat(weight, size) * w[at], minlength=self.n)
+
+    def cosines(self, examples: np.ndarray, terms: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """In double precision, each example's terms in the same order."""
+        q = self._query
+        q[terms] = weight
+        size = self.start[examples + 1] - self.start[examples]
+        at = _ranges(self.start[examples], size)
+        out = np.add.reduceat(q[self.term[at]] * self.weight[at], np.cumsum(size) - size) if len(at) else np.zeros(0)
+        q[terms] = 0
+        return out
+
+    @cached_property
+    def _query(self) -> np.ndarray:
+        return np.zeros(self.n_terms)
+
+
+def _only(vectors: Vectors) -> None:
+    """Let go of what this (worker) process has worked out for an earlier index."""
+    for old in _latest:
+        if old is not vectors:
+            for name in ("postings", "dense", "_query"):
+                old.__dict__.pop(name, None)
+    _latest[:] = [vectors]
 
 
 @dataclass
 class Index:
-    """Block-max inverted index over unit vectors of the examples."""
+    """The examples' vectors over all their words."""
 
-    hashes: np.ndarray
-    numbers: np.ndarray
-    idf: np.ndarray
-    weights: np.ndarray  # term x example, zero columns pad the last block
-    block_max: np.ndarray  # term x block
+    hashes: np.ndarray  # sorted, of each term
+    idf: np.ndarray  # with the weight of telling words
+    unseen: float  # idf of words that no example has
+    weights: Vectors
     label: np.ndarray
     ids: list
     prior: float
     without: float
 
     def vectors(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(documents, bounds, terms, weights) of the unit vectors of a slice."""
+        """(documents, bounds, terms, weights) of the unit vectors of a slice, less the terms that no example has."""
         if not len(self.hashes) or not len(s.start):
             e = np.zeros(0, dtype=np.int64)
             return e, np.zeros(1, dtype=np.int64), e, e.astype(float)
-        h = s.hashes(True)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        hit = np.flatnonzero(self.hashes[at] == h)
-        cell, count = np.unique(s.doc[hit] * len(self.idf) + self.numbers[at[hit]], return_counts=True)
-        doc, term = np.divmod(cell, len(self.idf))
-        w = (1 + np.log(count)) * self.idf[term]
+        doc, h, count = _cells(s)
+        term = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        hit = self.hashes[term] == h
+        w = (1 + np.log(count)) * np.where(hit, self.idf[term], self.unseen)
+        norm = np.sqrt(np.bincount(doc, weights=w * w, minlength=s.n_docs))
+        doc, term, w = doc[hit], term[hit], (w / norm[doc])[hit]
         who, first = np.unique(doc, return_index=True)
-        norm = np.sqrt(np.add.reduceat(w * w, first)) if len(w) else np.zeros(0)
-        size = np.diff(np.concatenate((first, [len(w)]))).astype(np.int64)
-        return who, np.concatenate((first, [len(w)])), term, w / np.repeat(norm, size)
+        return who, np.concatenate((first, [len(w)])), term, w
+
+    def _best(self, near: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest by cosine, given approximate ones of all."""
+        floor = np.partition(near, len(near) - k)[len(near) - k] - MARGIN if len(near) > k else -1.0
+        ids = np.flatnonzero(near >= floor)
+        cosine = self.weights.cosines(ids, term, weight)
+        ids, cosine = ids[cosine > 0], cosine[cosine > 0]
+        # rounding keeps equal vectors equal whatever the order of summation
+        keep = np.lexsort((ids, -np.round(cosine, 12)))[:k]
+        return ids[keep], cosine[keep]
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """Exact k nearest examples (numbers, cosines > 0), best first."""
-        bound = weight @ self.block_max[term]
-        order = np.argsort(-bound, kind="stable")
-        best_id, best = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for b in order.tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1] - 1e-12):
-                break
-            score = weight @ self.weights[term, b * BLOCK : (b + 1) * BLOCK]
-            hit = np.flatnonzero(score > 0)
-            ids, all_ = np.concatenate((best_id, hit + b * BLOCK)), np.concatenate((best, score[hit]))
-            # rounding keeps equal vectors equal whatever the order of summation
-            keep = np.lexsort((ids, -np.round(all_, 12)))[:k]
-            best_id, best = ids[keep], all_[keep]
-        return best_id, best
+        near = np.zeros(self.weights.n)
+        self.weights.add(near, term, weight)
+        return self._best(near, term, weight, k)
+
+    def all_nearest(self, bounds: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """nearest() of each vector bounds[i] .. bounds[i + 1]."""
+        place, dense = self.weights.dense
+        for a in range(0, len(bounds) - 1, BATCH):
+            cut = bounds[a : a + BATCH + 1]
+            q = np.zeros((len(cut) - 1, len(dense)), dtype=np.float32)
+            at = place[term[cut[0] : cut[-1]]]
+            row = np.repeat(np.arange(len(q)), np.diff(cut))
+            q[row[at >= 0], at[at >= 0]] = weight[cut[0] : cut[-1]][at >= 0]
+            near = q @ dense
+            for i, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+                t, w = term[lo:hi], weight[lo:hi]
+                rest = place[t] < 0
+                self.weights.add(near[i], t[rest], w[rest])
+                yield self._best(near[i], t, w, k)
 
     def vote(self, ids: np.ndarray, cosine: np.ndarray) -> float:
         w = np.minimum(cosine, 1.0) ** 2
@@ -128,44 +221,38 @@ class Index:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examples: int = MAX_EXAMPLES) -> Index:
-    """Choose examples and vocabulary and build the index on the driver.
+    """Choose examples and build the index on the driver.
 
-    It holds at most max_examples x MAX_TERMS weights, sent sparse by executors.
+    It holds the distinct words of at most max_examples texts.
     """
     chosen = _examples(docs, labels, label, learn, max_examples)
-    terms = vocabulary(chosen)
-    hashes, numbers = _term_hashes(terms)
+    evidence = telling(chosen)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in slices(b.column(1), ALNUM):
-                cells: list[list[int]] = [[] for _ in range(s.n_docs)]
-                if len(hashes) and len(s.start):
-                    h = s.hashes(True)
-                    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-                    hit = np.flatnonzero(hashes[at] == h)
-                    for d, t in zip(s.doc[hit].tolist(), numbers[at[hit]].tolist(), strict=True):
-                        cells[d].append(t)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(s.first, s.n_docs), b.column(2).slice(s.first, s.n_docs).cast(pa.int32()), pa.array(cells, pa.list_(pa.int32()))], names=["doc_id", "y", "terms"])
-
-    rows = chosen.mapInArrow(run, f"doc_id {kind}, y int, terms array<int>").collect()
+                doc, h, count = _cells(s)
+                cut = np.searchsorted(doc, np.arange(s.n_docs + 1)).tolist()
+                cells = [[x[a:z].tobytes() for a, z in zip(cut[:-1], cut[1:], strict=True)] for x in (h, count.astype(np.uint32))]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(s.first, s.n_docs), b.column(2).slice(s.first, s.n_docs).cast(pa.int32()), *[pa.array(c, pa.binary()) for c in cells]], names=["doc_id", "y", "h", "c"])
+
+    rows = chosen.mapInArrow(run, f"doc_id {kind}, y int, h binary, c binary").collect()
     prior = sum(r.y for r in rows) / len(rows) if rows else 0.0
-    empty = [r.y for r in rows if not r.terms]
+    empty = [r.y for r in rows if not r.h]
     without = sum(empty) / len(empty) if empty else prior
-    # examples with the same leading term share blocks, which makes bounds tight
-    rows = sorted((r for r in rows if r.terms), key=lambda r: (min(r.terms), r.doc_id, r.y))
-    df = np.ones(max(len(terms), 1))
-    for r in rows:
-        df[list(set(r.terms))] += 1
-    idf = np.log((2 + len(rows)) / df)
-    blocks = max(1, -(-len(rows) // BLOCK))
-    weights = np.zeros((len(idf), blocks * BLOCK), dtype=np.float32).astype(float)
-    for j, r in enumerate(rows):
-        t, c = np.unique(np.array(r.terms), return_counts=True)
-        w = (1 + np.log(c)) * idf[t]
-        weights[t, j] = w / np.sqrt(w @ w)
-    return Index(hashes, numbers, idf, weights, weights.reshape(len(idf), blocks, BLOCK).max(axis=2), np.array([r.y for r in rows], dtype=float), [r.doc_id for r in rows], prior, without)
+    rows = sorted((r for r in rows if r.h), key=lambda r: (r.doc_id, r.y))
+    hashes, term = np.unique(np.frombuffer(b"".join(r.h for r in rows), np.uint64), return_inverse=True)
+    count = np.frombuffer(b"".join(r.c for r in rows), np.uint32)
+    idf = np.log((2 + len(rows)) / (1 + np.bincount(term, minlength=len(hashes))))
+    for s in slices(pa.array(list(evidence), pa.string()), ALNUM):
+        idf[np.searchsorted(hashes, s.hashes(True))] *= 1 + np.array(list(evidence.values()))[s.first : s.first + s.n_docs]
+    start = np.concatenate(([0], np.cumsum([len(r.h) // 8 for r in rows]))).astype(np.int64)
+    weight = (1 + np.log(count)) * idf[term]
+    example = np.repeat(np.arange(len(rows)), np.diff(start))
+    weight /= np.sqrt(np.bincount(example, weights=weight * weight, minlength=len(rows)))[example]
+    vectors = Vectors(start, term.astype(np.int32), weight.astype(np.float32), len(hashes))
+    return Index(hashes, idf, math.log(2 + len(rows)), vectors, np.array([r.y for r in rows], dtype=float), [r.doc_id for r in rows], prior, without)
 
 
 def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidence: bool = False) -> DataFrame:
@@ -174,7 +261,7 @@ def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidenc
     Evidence lists the neighbours: example id as text, cosine and label.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(index)  # bounded by max_examples and MAX_TERMS
+    sent = spark.sparkContext.broadcast(index)  # bounded by max_examples
     kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_swident_text"))
     text_at, n = (columns.index("text") if "text" in columns else len(columns)), len(columns)
     schema = docs.select(*columns).schema.add("_swident_score", "double")
@@ -184,13 +271,14 @@ def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidenc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value
+        _only(ix.weights)
         for b in batches:
             for s in slices(b.column(text_at), ALNUM):
                 out = np.full(s.n_docs, ix.without)
                 why: list[list[dict]] = [[] for _ in range(s.n_docs)]
                 who, bounds, term, weight = ix.vectors(s)
-                for d, a, z in zip(who.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    ids, cosine = ix.nearest(term[a:z], weight[a:z], k)
+                near = ix.all_nearest(bounds, term, weight, k) if len(who) else []
+                for d, (ids, cosine) in zip(who.tolist(), near, strict=True):
                     if len(ids):
                         out[d] = ix.vote(ids, cosine)
                         if evidence:

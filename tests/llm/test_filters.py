@@ -181,6 +181,24 @@ def test_toxicity_is_exact_and_learns(spark, prose):
     assert toxicity.score(docs.limit(0), index, ["doc_id", "text"]).count() == 0
 
 
+def test_toxicity_compares_all_words(spark, prose):
+    """Texts without any word typical of toxic ones have neighbours too, the same as by comparing with all."""
+    insults = ["grob", "fies", "doof"]
+    docs, labels, texts, y = labelled(spark, prose, lambda text, bad, rng: text + f" {rng.choice(insults)}" * 3 if bad else text)
+    index = toxicity.fit(docs.drop("y"), labels, "y", F.lit(True))
+    assert len(index.ids) == 400 and len(index.hashes) == len({w for t in texts for w in t.lower().split()})
+    new = [prose(30), texts[1], texts[0], "grob " + prose(5)]
+    out = {r.doc_id: r for r in toxicity.score(frame(spark, new), index, ["doc_id"], evidence=True).collect()}
+    assert all(len(out[i]._swident_evidence) == toxicity.K for i in range(4))
+    assert [(out[i]._swident_evidence[0].example, round(out[i]._swident_evidence[0].cosine, 6)) for i in (1, 2)] == [("1", 1.0), ("0", 1.0)]
+    for i, text in enumerate(new):
+        for s in words.slices(pa.array([text]), words.ALNUM):
+            _, _, term, weight = index.vectors(s)
+        every = weight @ index.weights[term]
+        want = np.lexsort((np.arange(400), -np.round(every, 12)))[: toxicity.K]
+        assert [e.example for e in out[i]._swident_evidence] == [str(index.ids[j]) for j in want]
+
+
 def spark_fold(i, m):
     import zlib
 
