@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions.names import bind_raw, build_name, is_valid_name, normalize_raw, validation_errors
 from .functions.text import parse_annotation
 from .operators import agent, cascade, classify, curation, dictionary, evaluate, extract, families, inventory, tiering, vulns
-from .plans.shared import stored
+from .storage import release, stored
 from .sources import files, rest, sinks
 
 
@@ -51,6 +51,13 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("swident").getOrCreate()
+    try:
+        return _run(a, spark)
+    finally:
+        release(spark)
+
+
+def _run(a: argparse.Namespace, spark: SparkSession) -> int:
     if a.verb == "validate":
         df = spark.createDataFrame([(i, n) for i, n in enumerate(a.names)], "pos long, name string")
         rows = df.select("pos", "name", is_valid_name("name").alias("ok"), validation_errors("name").alias("errors")).orderBy("pos").collect()

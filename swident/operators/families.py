@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import split_name, vendor_product
-from ..plans.shared import stored
+from ..storage import stored
 
 SPLITS = ["benchmark_gold", "test", "train"]
 

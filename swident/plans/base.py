@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import bind_raw, build_name
 from ..operators.dictionary import prepared
-from .shared import stored
+from ..storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -9,9 +9,9 @@ from ..functions import names as n
 from ..operators import cascade, evaluate, families, inventory, tiering, vulns
 from ..operators import dictionary as dic
 from ..operators.classify import classify, rule_distribution
+from ..storage import stored
 from ..streaming.windows import session_counts, tumbling_counts
 from .base import ALIAS_SQL, CAND_SQL, CLASSIFY_SQL, D_SQL, P_SQL, Q_SQL, alias_sets, dictionary, entries, names_to_match, pair_sql, parts, query, table
-from .shared import stored
 
 _M = f"{P_SQL}, {D_SQL}, {Q_SQL}"
 
