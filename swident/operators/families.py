@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import split_name, vendor_product
 from ..storage import stored
+from .components import connected_components
 
 SPLITS = ["benchmark_gold", "test", "train"]
 
@@ -17,37 +22,11 @@ def row_pairs(rows: DataFrame, key: str = "key") -> DataFrame:
     return rows.withColumn("pairs", F.when(F.size(texts) > 0, F.array_distinct(texts)).otherwise(F.array(F.concat(F.lit("__row__:"), F.col(key)))))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): smallest node reachable over edges(a, b), isolated loops included.
-
-    Min-label contraction: hook every vertex to its smallest neighbour, follow
-    the hooks three times more, map the edges to what remains, until no edge is left.  Each
-    round is written to the shared folder, which cuts the lineage safely.
-    """
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    e = edges.where("a <> b").select("a", "b")
-    e = stored(e.union(e.select("b", "a")).distinct())
-    labels = stored(nodes.withColumn("component", F.col("node")))
-    while e.limit(1).count():
-        hooks = stored(e.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("to")))
-        twice = hooks.alias("x").join(hooks.alias("y"), F.col("x.to") == F.col("y.a")).select(F.col("x.a").alias("old"), F.col("y.to").alias("new"))
-        jump = stored(twice.alias("x").join(twice.alias("y"), F.col("x.new") == F.col("y.old")).select(F.col("x.old").alias("old"), F.col("y.new").alias("new")))
-        labels = stored(labels.join(jump, labels.component == jump.old, "left").select("node", F.coalesce("new", "component").alias("component")))
-        e = stored(
-            e.join(jump.select(F.col("old").alias("a"), F.col("new").alias("na")), "a")
-            .join(jump.select(F.col("old").alias("b"), F.col("new").alias("nb")), "b")
-            .select(F.col("na").alias("a"), F.col("nb").alias("b"))
-            .where("a <> b")
-            .distinct()
-        )
-    return labels
-
-
 def families(rows: DataFrame, key: str = "key") -> DataFrame:
     """rows(key, cpes) with family, the smallest pair connected through shared rows."""
     paired = row_pairs(rows, key)
     edges = paired.select(F.get("pairs", F.lit(0)).alias("a"), F.explode("pairs").alias("b")).distinct()
-    labels = components(edges)
+    labels = connected_components(edges)
     return paired.join(labels, F.get("pairs", F.lit(0)) == F.col("node")).drop("node").withColumnRenamed("component", "family")
 
 
@@ -55,28 +34,27 @@ def deal(rows: DataFrame, fractions: dict[str, float], seed: int = 20260804) ->
     """rows(family, ...) with split: families dealt whole, in seeded order.
 
     A family goes to the first of benchmark and test that has room for it, or
-    that is still empty, else to train.  The fold runs over one array of
-    (family, size), which grows with the families only.
+    that is still empty, else to train.  The deal depends on all families before,
+    so one task streams (family, size) in order past two running totals.
     """
-    sizes = rows.groupBy("family").agg(F.count("*").cast("long").alias("size"))
-    order = F.array_sort(F.collect_list(F.struct(F.md5(F.concat(F.lit(f"{seed}:"), F.col("family")).cast("binary")).alias("h"), "family", "size")))
-    whole = sizes.agg(order.alias("fams"), F.sum("size").alias("total"))
-    bench = F.floor(F.col("total") * fractions["benchmark_gold"]).cast("long")
-    test = F.floor(F.col("total") * fractions["test"]).cast("long")
-    start = F.struct(F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("t"), F.array().cast("array<struct<family:string,split:string>>").alias("out"))
-
-    def step(acc: F.Column, fam: F.Column) -> F.Column:
-        to_b = (acc.b + fam.size <= F.col("bench")) | (acc.b == 0)
-        to_t = ~to_b & ((acc.t + fam.size <= F.col("test")) | (acc.t == 0))
-        split = F.when(to_b, "benchmark_gold").when(to_t, "test").otherwise("train")
-        return F.struct(
-            (acc.b + F.when(to_b, fam.size).otherwise(0)).alias("b"),
-            (acc.t + F.when(to_t, fam.size).otherwise(0)).alias("t"),
-            F.concat(acc.out, F.array(F.struct(fam.family.alias("family"), split.alias("split")))).alias("out"),
-        )
-
-    dealt = whole.withColumns({"bench": bench, "test": test}).select(F.explode(F.aggregate("fams", start, step).out).alias("d")).select("d.family", "d.split")
-    return rows.join(dealt, "family")
+    sizes = stored(rows.groupBy("family").agg(F.count("*").cast("long").alias("size")), "sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    room = [math.floor(total * fractions[s]) for s in SPLITS[:2]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealt = [0, 0]
+        for b in batches:
+            out = []
+            for size in b.column(1).to_pylist():
+                to = next((i for i in (0, 1) if dealt[i] + size <= room[i] or not dealt[i]), 2)
+                if to < 2:
+                    dealt[to] += size
+                out.append(SPLITS[to])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["family", "split"])
+
+    seeded = F.md5(F.concat(F.lit(f"{seed}:"), F.col("family")).cast("binary"))
+    in_order = sizes.orderBy(seeded, "family").coalesce(1)
+    return rows.join(in_order.mapInArrow(run, "family string, split string"), "family")
 
 
 def leaks(dealt: DataFrame) -> DataFrame:
