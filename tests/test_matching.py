@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from swident.functions.names import bind_raw, build_name
 from swident.operators import agent, cascade, curation, dictionary, evaluate, families, tiering, vulns
 from swident.operators.classify import classify
+from swident.operators.components import connected_components
 
 NAME = "cpe:2.3:a:{}:{}:{}:*:*:*:*:{}:*:*"
 
@@ -149,3 +150,10 @@ def test_toolbox():
     assert call("search_dictionary", keyword="a ONE")["total"] == 1 and call("search_dictionary", vendor="a:x")["total"] == 1
     assert call("classify_match", vendor="a", product="b", version="1")["rule"] == "M1"
     assert "error" in json.loads(tools["search_dictionary"](None))
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(100, 101), (7, 7), (None, 3), (205, 101), (300, 300)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(31)} | {100: 100, 101: 100, 205: 100, 300: 300}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
