@@ -1,55 +1,10 @@
-"""Shared pieces: shared-folder tables, checked broadcasts, learning folds."""
+"""Shared pieces: learning folds and ASCII lower case."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Rows of a key or lookup table up to which a side of a join is broadcast.
-BROADCAST_ROWS = 2_000_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir.
-
-    Where the setting is absent (tests on one machine) a local folder is set.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        local = tempfile.mkdtemp(prefix="swident-")
-        atexit.register(shutil.rmtree, local, ignore_errors=True)
-        path = f"file://{local}"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/swident/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it again.
-
-    This cuts the lineage in a way that survives the loss of any executor.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if a count shows at most max_rows rows.
-
-    Beyond the bound df comes back unhinted and the join shuffles.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
 
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's text modulo `modulus`; a null id has no fold (null)."""
@@ -64,3 +19,12 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, all other characters unchanged."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def lower_for_ascii(text: Column) -> Column:
+    """Lower case by which a word of ASCII letters and digits equals what A-Z lowering gives.
+
+    Of all other characters only the Kelvin sign lowers to an ASCII one; it goes
+    first.  Faster than lower_ascii, but other letters are lowered too.
+    """
+    return F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u0138")))

@@ -24,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, small_side, stored
+from ..storage import small_side, stored
+from .common import lower_ascii
 
 #: Delimiters of the word class `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` before A-Z is lower-cased.
 DELIMITERS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, stored
+from ..storage import new_path, stored
 from .words import SPACED, grams, lean_memory, slices
 
 VOCABULARY = 1 << 18  # a size for callers who want a smaller model; score() keeps all words

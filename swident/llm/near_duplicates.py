@@ -39,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_side, stored
-from .components import connected_components
+from ..operators.components import connected_components
+from ..storage import small_side, stored
 from .words import SPACED, grams, mix, slices
 
 U = np.uint64

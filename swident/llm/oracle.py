@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import ANCHORS, MIN_SCORE, PHRASES, TEMPLATES
+from .licenses import MIN_SCORE, PHRASES, SLIP, bodies
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -45,7 +45,7 @@ def _listed(values: list[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
-_TEMPLATE_ROWS = ", ".join(f"({i}, '{label}', {_listed(text.split())}, {_listed([f' {k} ' for k in keys])})" for i, (label, text, keys) in enumerate(TEMPLATES))
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{label}', {_listed(body)}, {_listed(keys)}, {n})" for i, label, body, keys, n in bodies())
 
 
 def _at(phrase: str) -> str:
@@ -55,15 +55,15 @@ def _at(phrase: str) -> str:
 
 
 OP2 = f"""WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
-tpl AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS v(template, label, body, keys)),
+tpl AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS v(template, label, body, keys, n_anchors)),
 voc AS (SELECT DISTINCT unnest(body) AS term FROM tpl),
-df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(w) AS term FROM d) JOIN voc USING (term) GROUP BY term),
-pl AS (SELECT template, label, body, keys, body[a + 1] AS term, a FROM tpl, unnest(range(0, len(body))) AS t(a)),
-an AS (SELECT * FROM (SELECT pl.*, row_number() OVER (PARTITION BY template ORDER BY coalesce(df, 0), pl.term, a) AS r FROM pl LEFT JOIN df ON pl.term = df.term) WHERE r <= {ANCHORS}),
-hits AS (SELECT doc_id, template, i - 1 - a AS shift, count(*) AS n FROM (SELECT doc_id, w[i] AS term, i FROM d, unnest(range(1, len(w) + 1)) AS t(i)) x JOIN an ON x.term = an.term GROUP BY ALL HAVING count(*) >= 2),
-al AS (SELECT h.doc_id, label, body, keys, shift, array_to_string(w[greatest(shift, 0) + 1:shift + len(body)], ' ') AS span,
-  len(list_filter(range(0, len(body)), lambda k: shift + k >= 0 AND w[shift + k + 1] = body[k + 1]))::DOUBLE / len(body) AS score
-  FROM hits h JOIN d ON h.doc_id = d.doc_id JOIN tpl ON h.template = tpl.template),
+df AS (SELECT term, count(*) AS df FROM (SELECT rowid, unnest(list_distinct(w)) AS term FROM (SELECT row_number() OVER () AS rowid, w FROM d)) JOIN voc USING (term) GROUP BY term),
+pl AS (SELECT template, n_anchors, body[a + 1] AS term, a FROM tpl, unnest(range(0, len(body))) AS t(a)),
+an AS (SELECT * FROM (SELECT pl.*, row_number() OVER (PARTITION BY template ORDER BY df, pl.term, a) AS r FROM pl JOIN df ON pl.term = df.term) WHERE r <= n_anchors),
+hits AS (SELECT doc_id, w, template, i - 1 - a AS shift FROM (SELECT doc_id, w, w[i] AS term, i FROM d, unnest(range(1, len(w) + 1)) AS t(i)) x JOIN an ON x.term = an.term GROUP BY ALL HAVING count(DISTINCT a) >= 2),
+al AS (SELECT doc_id, label, body, keys, shift, array_to_string(w[greatest(shift - {SLIP}, 0) + 1:shift + len(body) + {SLIP}], ' ') AS span,
+  len(list_filter(range(0, len(body)), lambda k: shift + k + {SLIP} >= 0 AND list_contains(w[greatest(shift + k - {SLIP}, 0) + 1:shift + k + {SLIP} + 1], body[k + 1])))::DOUBLE / len(body) AS score
+  FROM hits h JOIN tpl ON h.template = tpl.template),
 ok AS (SELECT doc_id, label, score FROM al WHERE score >= {MIN_SCORE} AND len(list_filter(keys, lambda k: NOT contains(' ' || span || ' ', k))) = 0),
 base AS ({" UNION ALL ".join(_at(p) for p, _ in PHRASES)}),
 bs AS (SELECT doc_id, count(*) AS n_base, min(p)::BIGINT AS first_word, max(p)::BIGINT AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),

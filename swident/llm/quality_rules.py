@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_side
+from ..storage import small_side
 from .words import SPACED, Slice, batch_of, grams, slices
 
 BUCKETS = 1 << 16

@@ -28,13 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, small_side
+from ..storage import new_path, small_side
 
 SEGMENT_BYTES = 65_536
 DATE = "2024-01-01T00:00:00Z"
 SPACE = uuid.UUID("6f2f1d0e-6f0a-4d56-9f4f-1a7c2b3d4e5f")
-#: Rows of repeated digests up to which they are broadcast.
-BROADCAST_DIGESTS = 500_000
 
 
 def _record_id(page: object, digest: str) -> str:
@@ -89,7 +87,7 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES)
     html = F.coalesce(F.col("html"), F.lit(""))
     hashed = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), html.alias("html")).withColumn("sha1", F.sha1(F.col("html").cast("binary")))
     again = hashed.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("sha1", "first")
-    ready = hashed.join(small_side(again, BROADCAST_DIGESTS), "sha1", "left").select("page_id", "url", "html", "sha1", "first")
+    ready = hashed.join(small_side(again), "sha1", "left").select("page_id", "url", "html", "sha1", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[str] = []

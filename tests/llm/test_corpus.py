@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from swident.llm import decontaminate, katz, near_duplicates, pieces, warc
 from swident.llm.common import held_out
-from swident.llm.components import connected_components
 
 DOCS = "doc_id long, text string"
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -171,13 +170,6 @@ def test_every_linking_pair_shares_a_key():
         assert apart <= len(np.setxor1d(x, y if len(y) else x))
 
 
-def test_components(spark):
-    edges = [(i, i + 1) for i in range(30)] + [(100, 101), (7, 7), (None, 3), (205, 101)]
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {i: 0 for i in range(31)} | {100: 100, 101: 100, 205: 100}
-    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
 # --- language model --------------------------------------------------------
 
 

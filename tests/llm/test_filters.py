@@ -116,6 +116,41 @@ def test_license_scan(spark, prose):
     assert licenses.license_scan(docs.limit(0)).count() == 0
 
 
+def plain_labels(text):
+    """Label -> best score at any shift; and the best of words in their exact places."""
+    w, found, exact = ALNUM.findall((text or "").translate(LOW)), {}, 0.0
+    for _, label, body, keys, _ in licenses.bodies():
+        for shift in range(-len(body), len(w)):
+            near = sum(any(0 <= shift + k + d < len(w) and w[shift + k + d] == x for d in range(-licenses.SLIP, licenses.SLIP + 1)) for k, x in enumerate(body))
+            span = " " + " ".join(w[max(shift - licenses.SLIP, 0) : max(shift + len(body) + licenses.SLIP, 0)]) + " "
+            if near / len(body) >= licenses.MIN_SCORE and all(k in span for k in keys):
+                found[label] = max(found.get(label, 0), near / len(body))
+                same = sum(0 <= shift + k < len(w) and w[shift + k] == x for k, x in enumerate(body)) / len(body)
+                exact = max(exact, same if same >= licenses.MIN_SCORE else 0.0)
+    return found, exact
+
+
+def test_license_labels_against_all_shifts(spark, prose):
+    rng = random.Random(5)
+    texts = []
+    for _, text, _ in licenses.TEMPLATES:
+        w = text.split()
+        changed = [x if rng.random() > 0.06 else "zzz" for x in w]
+        longer = [*w[: len(w) // 2], "inserted", *w[len(w) // 2 :]]
+        texts += [prose(9) + " " + text, " ".join(changed), " ".join(longer) + " " + prose(4), " ".join(w[: len(w) * 2 // 3]), " ".join(w[1:])]
+    texts += ["released under the mit \u212aicense", "MIT LICENSE \u0130 mit license", "released under the mit license " * 40]
+    docs = frame(spark, texts).unionByName(frame(spark, texts).where("doc_id % 3 = 0"))
+    out = collections.defaultdict(list)
+    for r in licenses.license_scan(docs.withColumn("template", F.lit("clash"))).collect():
+        out[r.doc_id].append((r.labels, r.base_labels, r.score))
+    for i, t in enumerate(texts):
+        want, exact = plain_labels(t)
+        assert len(set(out[i])) == 1 and len(out[i]) == 1 + (i % 3 == 0)
+        labels, base, score = out[i][0]
+        assert set(filter(None, labels.split(","))) == set(want) | set(filter(None, base.split(","))), t
+        assert exact <= score <= max(want.values(), default=0.0), t
+
+
 def test_no_python_in_native_plans(spark, prose):
     plan = licenses.license_scan(frame(spark, [prose(9)]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
