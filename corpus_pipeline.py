@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swident.llm import decontaminate, near_duplicates, pieces, quality_classifier, toxicity
-from swident.llm.common import fold, stored
+from swident.llm.common import fold
+from swident.storage import stored
 
 MAX_TOXICITY = 0.3
 MIN_QUALITY = 0.7
