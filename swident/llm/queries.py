@@ -40,7 +40,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     content = q3.sample_dictionaries(docs, fold(F.col("doc_id"), 5) != 0)
     found = q3.identify(docs, content, ["doc_id"])
-    return found.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
+    return found.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("_swident_lang").alias("lang_pred"), F.col("_swident_score").alias("score"), F.col("_swident_margin").alias("margin"), F.col("_swident_rejected").alias("rejected"))
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

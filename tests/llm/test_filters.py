@@ -156,20 +156,52 @@ def test_no_python_in_native_plans(spark, prose):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 
 
-def test_language(spark):
+def plain_sizes(text, content):
+    """Bytes of the text's chunks under each language's dictionary, by plain zstandard."""
+    import zstandard
+
+    data, out = re.sub(r"[\W\d_]+", " ", text.lower()).encode(), {}
+    for lang, raw in content.items():
+        size = 0
+        for a in range(0, len(data), language.CHUNK_BYTES):
+            d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            c = zstandard.ZstdCompressor(level=language.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            size += len(c.compress(data[a : a + language.CHUNK_BYTES]))
+        out[lang] = size
+    return out
+
+
+def test_language_against_plain_compression(spark):
     rng = random.Random(1)
     tongue = {"xx": "the and of to in is that with".split(), "yy": "der und die nicht mit von das ist".split(), "zz": "élan où été çà même près déjà là".split()}
-    rows = [(i, " ".join(rng.choices(tongue[lang], k=60)), lang) for i, lang in enumerate(sorted(tongue) * 60)]
-    odd = [(1000 + i, t, None) for i, t in enumerate([None, "", "12 !", "the and of that is with in to the of"])]
-    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string").withColumn("_lang", F.lit(0))
+    rows = [(i, " ".join(rng.choices(tongue[lang], k=rng.choice([2, 9, 60, 400]))), lang) for i, lang in enumerate(sorted(tongue) * 60)]
+    more = [None, "", "12 !", "the and of that is with in to the of", "the der élan", "q", "und the", " ".join(rng.choices(tongue["yy"], k=20_000))]
+    odd = [(1000 + i, t, None) for i, t in enumerate(more)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string").withColumns({"_lang": F.lit(0), "place": F.lit("x"), "h": F.lit(1), "score": F.lit("s")})
+    docs = docs.unionByName(docs.where("doc_id in (1, 2, 1004)"))  # repeated rows
     content = language.sample_dictionaries(docs, fold(F.col("doc_id"), 5) != 0)
-    assert sorted(content) == ["xx", "yy", "zz"] and all(len(c) <= language.DICTIONARY_BYTES for v in content.values() for c in v)
-    out = {r.doc_id: r for r in language.identify(docs.drop("_lang"), content, ["doc_id"]).collect()}
-    assert np.mean([out[i]._lang == lang for i, _, lang in rows]) == 1.0
-    assert [out[1000 + i]._lang for i in range(4)] == ["und", "und", "und", "xx"]
-    assert all(0 <= r._score <= 1 for r in out.values()) and out[1000]._rejected and not out[0]._rejected
-    assert {r._lang for r in language.identify(docs, {}, ["doc_id"]).collect()} == {"und"}
+    # the sample again, plainly: the documents with the smallest hashes, an equal share of each
+    order = [r.doc_id for r in docs.where((fold(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull()).select("doc_id", F.xxhash64("doc_id").alias("k")).distinct().orderBy("k").collect()]
+    by = {i: (t, lang) for i, t, lang in rows}
+    assert content == {lang: language.dictionary_of([language.letters_only(by[i][0]) for i in order if by[i][1] == lang][: language.DOCS]) for lang in tongue}
+    out = collections.defaultdict(set)
+    found = language.identify(docs, content, ["doc_id", "score"])
+    for r in found.collect():
+        out[r.doc_id].add((r._swident_lang, r._swident_score, r._swident_margin, r._swident_rejected))
+    assert found.count() == len(rows) + len(odd) + 3
+    for i, text, _ in rows + odd:
+        ((lang, score, margin, rejected),) = out[i]
+        if not text or not re.search(r"[^\W\d_]", text):
+            assert (lang, score, margin, rejected) == ("und", 0.0, 0.0, True)
+            continue
+        size = plain_sizes(text, content)
+        first, second = sorted(size.values())[:2]
+        assert lang == min(x for x in size if size[x] == first)
+        assert margin == pytest.approx((second - first) / first) and rejected == (margin < 0.005)
+        assert score == pytest.approx(1 / sum(2.0 ** -min(v - first, 200) for v in size.values()))
+    assert {r._swident_lang for r in language.identify(docs, {}, ["doc_id"]).collect()} == {"und"}
     assert language.identify(docs.limit(0), content, ["doc_id"]).count() == 0
+    assert language.sample_dictionaries(docs.limit(0), F.lit(True)) == {}
 
 
 def labelled(spark, prose, mark):
