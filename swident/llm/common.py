@@ -1,8 +1,8 @@
-"""Shared pieces: learning folds and ASCII lower case."""
+"""Shared pieces: learning folds, ASCII lower case, samples of labelled rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,3 +28,18 @@ def lower_for_ascii(text: Column) -> Column:
     first.  Faster than lower_ascii, but other letters are lowered too.
     """
     return F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u0138")))
+
+
+def labelled_examples(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examples: int) -> DataFrame:
+    """doc_id, text and y of at most max_examples labelled rows that `learn` admits.
+
+    learn is a condition on doc_id.  Labels other than 0 and 1 don't count.  The
+    bound is on label rows, taken in order of a hash of their id, so that the
+    sample is a random one and repeats itself; however often a document's row or
+    label is repeated, it is one example for each label and of its texts the
+    smallest one counts.
+    """
+    chosen = labels.select(F.col("doc_id").alias("_id"), F.col("doc_id"), F.col(label).alias("y")).where(learn & F.col(label).isin(0, 1)).distinct()
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_examples).select("_id", "y")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    return found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")

@@ -1,19 +1,19 @@
 """Quality classifier: Bradley-Terry pairwise ranking of documents.
 
 Numeric features of the text give each document a latent quality w.x.  The
-weights maximise the likelihood of preference pairs (a good and a bad labelled
-document of the sample): logistic loss on feature differences, with a ridge.
-The cut is a quantile of the sample's own scores: the one that separates the
-sample's labels best.  A score maps the latent quality to 0..1 so that the cut
-is exactly `at`.
+weights maximise the likelihood of all preference pairs of the sample (every good
+with every bad labelled document): logistic loss on feature differences, with a
+ridge, minimised by Newton steps until its gradient vanishes.  The cut is a
+quantile of the sample's own scores: the one that separates the sample's labels
+best.  A score maps the latent quality to 0..1 so that the cut is exactly `at`.
 
 Labels are learnt from a sample of at most `max_examples` labelled documents,
-the ones with the smallest hash of their id; pairs are formed in that sample.
-Features are of whole texts.
+the ones with the smallest hash of their id.  Features are of whole texts.
 
 Odd inputs: a null text is empty; empty texts have a score like any other;
 without a good and a bad example every score is 0.5; repeated rows each get a
-score; a document with labels repeated or in conflict counts once per label row.
+score, and a repeated document is one example for each label that it has; an
+empty table gives no rows; the result column has a name of its own.
 """
 
 from __future__ import annotations
@@ -26,10 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import labelled_examples
 from .words import SPACED, Slice, grams, slices
 
 MAX_EXAMPLES = 8192
-MAX_PAIRS = 40_000
+RIDGE = 1e-3
+#: Good examples whose pairs are worked on at a time.
+ROWS = 256
 
 _CLASSES = np.zeros(256, dtype=np.int64)
 for _name, _chars in (("lower", range(97, 123)), ("upper", range(65, 91)), ("digit", range(48, 58)), ("space", b" \t\n\r\x0b\x0c"), ("bang", b"!?"), ("stop", b".,;:'\"()"), ("pipe", b"|<>{}[]\\/"), ("symbol", b"#*$%&@^~_=+`"), ("high", range(128, 256))):
@@ -44,10 +47,8 @@ def features(s: Slice) -> np.ndarray:
     out = np.zeros((n, len(FEATURES)))
     bytes_ = np.maximum(s.doc_end - s.doc_start, 1)
     kind = _CLASSES[s.buf]
-    doc_of = np.zeros(len(s.buf), dtype=np.int64)
-    doc_of[s.doc_start[1:]] += 1
     # empty documents share a start with the next one's separator: count them all
-    doc_of = np.cumsum(np.bincount(s.doc_start[1:], minlength=len(s.buf))[: len(s.buf)]) if n > 1 else doc_of * 0
+    doc_of = np.cumsum(np.bincount(s.doc_start[1:], minlength=len(s.buf))[: len(s.buf)]) if n > 1 else np.zeros(len(s.buf), dtype=np.int64)
     inside = np.ones(len(s.buf), dtype=bool)
     inside[s.doc_end[s.doc_end < len(s.buf)]] = False
     table = np.bincount(doc_of[inside] * N_CLASSES + kind[inside], minlength=n * N_CLASSES).reshape(n, N_CLASSES)
@@ -101,23 +102,46 @@ class Ranker:
         return 1 / (1 + np.exp(-z.clip(-40, 40)))
 
 
-def fit_pairs(x: np.ndarray, y: np.ndarray, at: float, max_pairs: int = MAX_PAIRS, ridge: float = 1e-3, rounds: int = 400) -> Ranker:
-    """Bradley-Terry weights from all or max_pairs seeded (good, bad) pairs."""
+def pair_loss(good: np.ndarray, bad: np.ndarray, w: np.ndarray, ridge: float = RIDGE) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean logistic loss over every (good, bad) pair with its gradient and Hessian."""
+    pairs, up, down = len(good) * len(bad), good @ w, bad @ w
+    loss, of_bad, bend_bad = 0.0, np.zeros(len(bad)), np.zeros(len(bad))
+    grad, bend = np.zeros(len(w)), np.zeros((len(w), len(w)))
+    for a in range(0, len(good), ROWS):
+        g = good[a : a + ROWS]
+        ahead = up[a : a + ROWS, None] - down
+        loss += float(np.logaddexp(0, -ahead).sum())
+        p = np.exp(-np.logaddexp(0, ahead))  # chance that the bad one wins
+        v = p * (1 - p)
+        grad -= g.T @ p.sum(axis=1)
+        of_bad += p.sum(axis=0)
+        bend_bad += v.sum(axis=0)
+        cross = g.T @ (v @ bad)
+        bend += (g.T * v.sum(axis=1)) @ g - cross - cross.T
+    grad += bad.T @ of_bad
+    bend += (bad.T * bend_bad) @ bad
+    return loss / pairs + ridge / 2 * float(w @ w), grad / pairs + ridge * w, bend / pairs + ridge * np.eye(len(w))
+
+
+def fit_pairs(x: np.ndarray, y: np.ndarray, at: float, ridge: float = RIDGE, rounds: int = 50) -> Ranker:
+    """Bradley-Terry weights from all (good, bad) pairs, and the cut."""
     mean, scale = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not len(good) or not len(bad):
-        return Ranker(mean, scale, np.zeros(x.shape[1]), 0.0, 1.0, at)
-    rng = np.random.Generator(np.random.PCG64(7))
-    n = min(max_pairs, 20 * (len(good) + len(bad)))
     z = ((x - mean) / scale).clip(-8, 8)
-    diff = z[rng.choice(good, n)] - z[rng.choice(bad, n)]
+    good, bad = z[y == 1], z[y == 0]
     w = np.zeros(x.shape[1])
-    speed = np.zeros_like(w)
+    if not len(good) or not len(bad):
+        return Ranker(mean, scale, w, 0.0, 1.0, at)
+    loss, grad, bend = pair_loss(good, bad, w, ridge)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp((diff @ w).clip(-40, 40)))
-        grad = -(diff * p[:, None]).mean(axis=0) + ridge * w
-        speed = 0.9 * speed - 0.1 * grad
-        w = w + speed
+        if np.abs(grad).max() < 1e-9:
+            break
+        step, size = np.linalg.solve(bend, grad), 1.0
+        while size > 1e-6 and (new := pair_loss(good, bad, w - size * step, ridge))[0] > loss:
+            size /= 2
+        if size <= 1e-6:
+            break
+        w = w - size * step
+        loss, grad, bend = new
     latent = z @ w
     # the quantile of the sample's scores that separates its labels with least error
     order = np.argsort(latent, kind="stable")
@@ -130,17 +154,6 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, at: float, max_pairs: int = MAX_PAIR
     return Ranker(mean, scale, w, float(cut), width, at)
 
 
-def examples(docs: DataFrame, labels: DataFrame, label: str, learn: F.Column, max_examples: int) -> DataFrame:
-    """text and y of at most max_examples labelled rows that `learn` admits.
-
-    learn is a condition on doc_id.  The bound is on label rows, taken in order
-    of a hash of their id, so the sample is a random one and repeats itself.
-    """
-    chosen = labels.select("doc_id", F.col(label).alias("y")).where(learn & F.col(label).isin(0, 1)).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_examples)
-    chosen = chosen.select(F.col("doc_id").alias("_id"), "y")
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "y")
-
-
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn: F.Column, at: float = 0.7, max_examples: int = MAX_EXAMPLES) -> Ranker:
     """Learn a ranker; executors compute features, the driver gets the sample's."""
 
@@ -150,7 +163,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: F.Column, at: flo
                 x = features(s)
                 yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), b.column(1).slice(s.first, s.n_docs).cast(pa.int32())], names=["x", "y"])
 
-    rows = examples(docs, labels, label, learn, max_examples).mapInArrow(run, "x binary, y int").collect()
+    sample = labelled_examples(docs, labels, label, learn, max_examples)
+    rows = sample.select("text", "y").mapInArrow(run, "x binary, y int").collect()
     rows.sort(key=lambda r: (r["x"], r["y"]))
     x = np.array([np.frombuffer(r["x"]) for r in rows]).reshape(len(rows), len(FEATURES))
     return fit_pairs(x, np.array([r["y"] for r in rows]), at)
@@ -170,5 +184,3 @@ def classify(docs: DataFrame, ranker: Ranker, columns: list[str]) -> DataFrame:
 
     return kept.mapInArrow(run, schema)
 
-
-__all__ = ["FEATURES", "Ranker", "classify", "examples", "features", "fit", "fit_pairs"]

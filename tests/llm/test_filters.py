@@ -299,3 +299,62 @@ def test_pairs_follow_the_loss():
     assert r.weights[0] > 0 and (r.score(x) >= 0.7).tolist() == [False, False, True, True] * 10
     cut = (r.latent(np.array([[1.0]])) + r.latent(np.array([[2.0]]))) / 2
     assert abs(r.cut - cut[0]) < 1e-9
+
+
+def test_all_pairs_and_a_vanishing_gradient(monkeypatch):
+    monkeypatch.setattr(quality_classifier, "ROWS", 7)
+    rng = np.random.default_rng(4)
+    y = (rng.random(90) < 0.4).astype(int)
+    x = rng.normal(size=(90, 5)) + y[:, None] * [0.8, 0, -0.5, 0, 0.1]
+    r = quality_classifier.fit_pairs(x, y, at=0.6)
+    z = ((x - r.mean) / r.scale).clip(-8, 8)
+
+    def plain(w):
+        pairs = [(g, b) for g in z[y == 1] for b in z[y == 0]]
+        lost = [1 / (1 + np.exp((g - b) @ w)) for g, b in pairs]
+        loss = np.mean([np.log1p(np.exp(-((g - b) @ w))) for g, b in pairs]) + quality_classifier.RIDGE / 2 * w @ w
+        return loss, -np.mean([p * (g - b) for p, (g, b) in zip(lost, pairs, strict=True)], axis=0) + quality_classifier.RIDGE * w
+
+    loss, grad = plain(r.weights)
+    mine = quality_classifier.pair_loss(z[y == 1], z[y == 0], r.weights)
+    assert np.abs(grad).max() < 1e-8 and mine[0] == pytest.approx(loss) and np.allclose(mine[1], grad, atol=1e-12)
+    for _ in range(20):
+        w = r.weights + rng.normal(size=5) * 0.05
+        assert plain(w)[0] > loss
+        bend = quality_classifier.pair_loss(z[y == 1], z[y == 0], w)[2]
+        step = rng.normal(size=5) * 1e-6
+        assert np.allclose(plain(w + step)[1] - plain(w - step)[1], 2 * bend @ step, atol=1e-11)
+
+
+def test_quality_scores_against_plain_features(spark, prose):
+    """Scores of a frame equal the learnt line on features worked out text by text."""
+    docs, labels, texts, y = labelled(spark, prose, lambda t, bad, rng: t.upper() + " ###" if bad else t + ".")
+    ranker = quality_classifier.fit(docs.drop("y"), labels, "y", F.lit(True))
+    # repeated rows and labels change nothing, and an id with both labels is two examples
+    again = quality_classifier.fit(docs.drop("y").unionByName(docs.drop("y").limit(50)), labels.unionByName(labels.limit(80)), "y", F.lit(True))
+    assert np.allclose(ranker.weights, again.weights) and ranker.cut == pytest.approx(again.cut)
+    some = [*ODD, *texts[:20], "A! b? c#\nA! b? c#\n\nd e f\n", "x" * 100_000]
+
+    def plain(text):
+        t = text or ""
+        raw, w, out = t.encode(), SPACED.findall(t), [0.0] * 19
+        for byte in raw:
+            out[quality_classifier._CLASSES[byte]] += 1 / len(raw)
+        low, n = [x.translate(LOW) for x in w], len(w)
+        out[10] = np.log1p(n) / 10
+        if n:
+            lines = [x for x in raw.split(b"\n") if x.strip()]
+            out[11] = min(sum(len(x.encode()) for x in w) / n, 30) / 30
+            out[12], out[14] = len(set(low)) / n, max(collections.Counter(low).values()) / n
+            out[13] = 1 - len(set(zip(low, low[1:], strict=False))) / (n - 1) if n > 1 else 0.0
+            out[15], out[16] = 1 - len(set(lines)) / max(len(lines), 1), min(n / max(len(lines), 1), 100) / 100
+            out[17] = sum(quality_classifier._CLASSES[x.encode()[-1]] in (5, 7, 8) for x in w) / n
+            up, lo = ([sum(a <= c <= z for c in x) for x in w] for a, z in ("AZ", "az"))
+            out[18] = sum(u > 1 and not v for u, v in zip(up, lo, strict=True)) / n
+        return out
+
+    docs = frame(spark, some).withColumn("score", F.lit("clash"))
+    got = {r.doc_id: r for r in quality_classifier.classify(docs, ranker, ["doc_id", "score"]).collect()}
+    want = ranker.score(np.array([plain(t) for t in some]))
+    assert [got[i]._swident_score for i in range(len(some))] == pytest.approx(want.tolist(), abs=1e-9)
+    assert quality_classifier.classify(docs.limit(0), ranker, ["doc_id"]).count() == 0
