@@ -73,7 +73,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = q9.round_trip(_table(spark, sf_dir, "pages"))
-    return read.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", F.when(F.col("record_type") == "response", F.col("read_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+    return read.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -296,29 +296,93 @@ def test_decontamination_is_native(spark):
 # --- archives --------------------------------------------------------------
 
 
-def test_archives(spark, tmp_path):
-    rows = [(1, "http://a/ b", "x\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\n" * 20), (2, None, None), (3, "u\r\nEvil: 1", ""), (4, "u", "é漢" * 300), (5, "u", "é漢" * 300), (None, "u", "zz\r"), (6, "u", "end\r\n"), (6, "u", "end\r\n"), (7, "u", "q" * 200_000)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("sha1", F.lit(1))
-    warc.write_warc(pages, str(tmp_path / "w"), 128)
-    chunks = warc.read_chunks(spark, str(tmp_path / "w")).collect()
-    assert max(c.n_bytes for c in chunks) <= 128
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_archives(spark, tmp_path, compression):
+    rows = [(1, "http://a/ b", "x\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\n" * 20), (2, None, None), (3, "u\r\nEvil: 1", ""), (4, "u", "é漢" * 300), (5, "u", "é漢" * 300), (None, "u", "zz\r"), (6, "u", "end\r\n"), (6, "u", "end\r\n"), (7, "u", "q" * 200_000), (8, "u", "\n\n"), (9, "u", "WARC/1.0\n")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"sha1": F.lit(1), "archive": F.lit("clash"), "first": F.lit(2)})
+    warc.write_warc(pages, str(tmp_path / "w"), 128, compression)
+    chunks = warc.read_chunks(spark, str(tmp_path / "w"), chunk_bytes=100).collect()
+    assert max(c.n_bytes for c in chunks) <= 100
     parts = collections.defaultdict(list)
     for c in sorted(chunks, key=lambda c: (c.archive, c.record_no, c.chunk_no)):
         parts[c.archive, c.record_no].append(c)
     for group in parts.values():
         so_far = b""
+        assert [c.chunk_no for c in group] == list(range(len(group)))
         for c in group:
             so_far += bytes(c.data)
             assert c.running_digest == base64.b32encode(hashlib.sha1(so_far).digest()).decode()
         if group[0].record_type == "response":
             assert so_far in [(h or "").encode() for _, _, h in rows]
-    out = warc.records(warc.read_chunks(spark, str(tmp_path / "w"))).collect()
+    out = warc.resolved(warc.records(warc.read_chunks(spark, str(tmp_path / "w")))).collect()
     assert len(out) == len(rows) and all(r.intact for r in out)
     got = sorted((r.page_id or "", r.record_type, r.payload_bytes, r.refers_to or "") for r in out)
-    assert got == sorted([("1", "response", 720, ""), ("2", "response", 0, ""), ("3", "revisit", 0, "2"), ("4", "response", 1500, ""), ("5", "revisit", 1500, "4"), ("", "response", 3, ""), ("6", "response", 5, ""), ("6", "response", 5, ""), ("7", "response", 200_000, "")])
+    assert got == sorted([("1", "response", 720, ""), ("2", "response", 0, ""), ("3", "revisit", 0, "2"), ("4", "response", 1500, ""), ("5", "revisit", 1500, "4"), ("", "response", 3, ""), ("6", "response", 5, ""), ("6", "response", 5, ""), ("7", "response", 200_000, ""), ("8", "response", 2, ""), ("9", "response", 9, "")])
+    by = {r.page_id: r for r in out}
+    assert by["5"].payload_digest == by["4"].payload_digest == base64.b32encode(hashlib.sha1(("é漢" * 300).encode()).digest()).decode()
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_plain_archives_over_many_splits(spark, tmp_path):
+    rng = random.Random(4)
+    pages = spark.createDataFrame([(i, "u", prose(rng, rng.randint(0, 900)).replace("a", "\n")) for i in range(300)], "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, str(tmp_path / "w"), compression="none")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = spark.read.text(str(tmp_path / "w"))
+        assert lines.rdd.getNumPartitions() > 8
+        out = {int(r.page_id): r for r in warc.records(warc.read_chunks(spark, str(tmp_path / "w"))).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(out) == 300
+    for p in pages.collect():
+        data = p.html.encode()
+        assert (out[p.page_id].read_bytes, out[p.page_id].read_digest) == (len(data), base64.b32encode(hashlib.sha1(data).digest()).decode())
+
+
+def record(kind, data, **more):
+    head = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{len(data)}>", *(f"{k}: {v}" for k, v in more.items()), f"Content-Length: {len(data)}"]
+    return "WARC/1.1\r\n".encode() + "\r\n".join(head).encode() + b"\r\n\r\n" + data + b"\r\n\r\n"
+
+
+def test_foreign_archives(spark, tmp_path):
+    """Binary payloads, records of other kinds, no HTTP header, noise between records, an end too early."""
+    noise = random.Random(1).randbytes(50_000)
+    http = b"HTTP/1.0 200 OK\nX: y\n\n"
+    data = record("warcinfo", b"software: x\r\n") + b"\r\nnoise\r\n" + record("response", http + noise, **{"Content-Type": "application/http; msgtype=response"}) + record("resource", noise[:777]) + record("response", b"") + record("resource", noise)[:-100]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc").write_bytes(data)
+    got = sorted((r.record_no, r.record_type, r.read_bytes, r.read_digest) for r in warc.records(warc.read_chunks(spark, str(tmp_path / "w"), chunk_bytes=1000)).collect())
+    digest = lambda x: base64.b32encode(hashlib.sha1(x).digest()).decode()
+    assert got[:4] == [(0, "warcinfo", 13, digest(b"software: x\r\n")), (1, "response", 50_000, digest(noise)), (2, "resource", 777, digest(noise[:777])), (3, "response", 0, digest(b""))]
+    assert got[4][:2] == (4, "resource") and 49_900 <= got[4][2] < 50_000
+
+
+def test_a_record_of_100_mb_is_held_by_chunks():
+    """One unsegmented record, never more than a chunk and a line of it in memory."""
+    import tracemalloc
+
+    parser, line, total = warc._Parser(65_536), b"x" * 9_999, 100_000_000
+    head = [b"WARC/1.0", b"WARC-Type: resource", b"Content-Length: %d" % total, b""]
+    tracemalloc.start()
+    n = sizes = 0
+    last = None
+    for x in [*head, *([line] * (total // 10_000)), b"", b""]:
+        for _, record_no, chunk, data, last, _ in [*parser.enter("a"), *parser.line(x)]:
+            assert record_no == 0 and chunk == n and len(data) <= 65_536
+            n, sizes = n + 1, sizes + len(data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes == total and peak < 2_000_000
+    want = hashlib.sha1()
+    for _ in range(total // 10_000):
+        want.update(line + b"\n")
+    assert last == base64.b32encode(want.digest()).decode()
+    long = warc._Parser(1000)
+    rows = [r for x in (b"WARC/1.0", b"Content-Length: 25000", b"", b"y" * 25_000) for r in long.line(x)]
+    assert [len(r[3]) for r in rows] == [1000] * 25
+
+
 # --- pipeline --------------------------------------------------------------
 
 
