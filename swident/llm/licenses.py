@@ -1,10 +1,11 @@
 """License scans over a positional rare-token index, natively.
 
 The index holds every word of every licence template with its place.  Document
-frequencies of the licence words over the whole corpus give their IDF.  A
-template's anchors are its rarest places, two more than the words that a match
-may lack: any text that holds the template at one shift well enough to be
-accepted agrees with two anchors at least.  A file's words are looked up, and
+frequencies of the licence words over the whole corpus give their IDF.  A match
+may lack some words; words that no file has are surely lacking, and a template
+that lacks too many of them can't be met.  Of the other places a template's
+anchors are the rarest, two more than a match may still lack: any text that holds
+the template at one shift well enough to be accepted agrees with two anchors.  A file's words are looked up, and
 their postings in the template are intersected by relative position: anchors that
 agree on the same shift make a candidate.  A candidate's score is the share of
 the template's words that stand within `SLIP` places of where the shift puts
@@ -83,18 +84,18 @@ SLIP = 2
 
 
 def bodies(min_score: float = MIN_SCORE) -> list[tuple[int, str, list[str], list[str], int]]:
-    """Template number, label, words, key phrases in spaces, and number of anchors."""
+    """Template number, label, words, key phrases in spaces, and words that a match may lack."""
     out = []
     for i, (label, text, keys) in enumerate(TEMPLATES):
         body = re.findall(r"[a-z0-9]+", text.lower())
         may_lack = int(len(body) * (1 - Fraction(str(min_score))))
-        out.append((i, label, body, [f" {k} " for k in keys], may_lack + 2))
+        out.append((i, label, body, [f" {k} " for k in keys], may_lack))
     return out
 
 
 def template_table(spark: SparkSession, min_score: float = MIN_SCORE) -> DataFrame:
     """Templates as a table of fixed size."""
-    return spark.createDataFrame(bodies(min_score), "template int, label string, body array<string>, keys array<string>, n_anchors int")
+    return spark.createDataFrame(bodies(min_score), "template int, label string, body array<string>, keys array<string>, may_lack int")
 
 
 def _words(text: Column | str) -> Column:
@@ -107,11 +108,13 @@ def rare_token_index(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame
     vocabulary = sorted({w for _, _, body, _, _ in bodies(min_score) for w in body})
     listed = F.array(*[F.lit(w) for w in vocabulary])
     present = docs.select(F.array_intersect(_words("text"), listed).alias("has"))
-    # words that no file has can't be met; the others rank by falling IDF
     frequency = present.select(F.explode("has").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    places = templates.select("*", F.posexplode("body").alias("at", "term")).join(F.broadcast(frequency), "term")
-    rank = F.row_number().over(Window.partitionBy("template").orderBy("df", "term", "at"))
-    return places.withColumn("rank", rank).where(F.col("rank") <= F.col("n_anchors")).select("term", "template", "label", "body", "keys", "at")
+    places = templates.select("*", F.posexplode("body").alias("at", "term")).join(F.broadcast(frequency), "term", "left")
+    whole = Window.partitionBy("template")
+    rank = F.row_number().over(whole.orderBy(F.col("df").asc_nulls_last(), "term", "at"))  # by falling IDF
+    still = F.col("may_lack") - F.count_if(F.col("df").isNull()).over(whole)
+    ranked = places.withColumns({"rank": rank, "still": still})
+    return ranked.where("df is not null and still >= 0 and rank <= still + 2").select("term", "template", "label", "body", "keys", "at")
 
 
 def license_matches(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:

@@ -55,11 +55,11 @@ def _at(phrase: str) -> str:
 
 
 OP2 = f"""WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
-tpl AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS v(template, label, body, keys, n_anchors)),
+tpl AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS v(template, label, body, keys, may_lack)),
 voc AS (SELECT DISTINCT unnest(body) AS term FROM tpl),
 df AS (SELECT term, count(*) AS df FROM (SELECT rowid, unnest(list_distinct(w)) AS term FROM (SELECT row_number() OVER () AS rowid, w FROM d)) JOIN voc USING (term) GROUP BY term),
-pl AS (SELECT template, n_anchors, body[a + 1] AS term, a FROM tpl, unnest(range(0, len(body))) AS t(a)),
-an AS (SELECT * FROM (SELECT pl.*, row_number() OVER (PARTITION BY template ORDER BY df, pl.term, a) AS r FROM pl JOIN df ON pl.term = df.term) WHERE r <= n_anchors),
+pl AS (SELECT template, may_lack, body[a + 1] AS term, a FROM tpl, unnest(range(0, len(body))) AS t(a)),
+an AS (SELECT * FROM (SELECT pl.*, df, may_lack - count(*) FILTER (df IS NULL) OVER (PARTITION BY template) AS still, row_number() OVER (PARTITION BY template ORDER BY df NULLS LAST, pl.term, a) AS r FROM pl LEFT JOIN df ON pl.term = df.term) WHERE df IS NOT NULL AND still >= 0 AND r <= still + 2),
 hits AS (SELECT doc_id, w, template, i - 1 - a AS shift FROM (SELECT doc_id, w, w[i] AS term, i FROM d, unnest(range(1, len(w) + 1)) AS t(i)) x JOIN an ON x.term = an.term GROUP BY ALL HAVING count(DISTINCT a) >= 2),
 al AS (SELECT doc_id, label, body, keys, shift, array_to_string(w[greatest(shift - {SLIP}, 0) + 1:shift + len(body) + {SLIP}], ' ') AS span,
   len(list_filter(range(0, len(body)), lambda k: shift + k + {SLIP} >= 0 AND list_contains(w[greatest(shift + k - {SLIP}, 0) + 1:shift + k + {SLIP} + 1], body[k + 1])))::DOUBLE / len(body) AS score
