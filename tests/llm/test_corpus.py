@@ -44,57 +44,102 @@ def model():
 TEXTS = ["", " ", "  a", "a  b   c    d ", "x\n\ny\t\r\n", "▁x▁ ▁▁y", "é漢字😀\x00z", "ab" * 300, "<s> </s> <0x41>", "Hello, world! It's 3.14 (ok)?", "naïve café—déjà vu…"]
 
 
+def ids_of(p, texts, documents=None):
+    keys = np.arange(len(texts), dtype=np.uint64) if documents is None else np.array(documents, dtype=np.uint64)
+    return [np.frombuffer(x, np.int32).tolist() for x in p.encode_many(texts, keys)]
+
+
 def test_no_dropout_equals_the_model(model):
     import sentencepiece
 
     own, ref = pieces.Pieces(model, 0, 0.0), sentencepiece.SentencePieceProcessor(model_proto=model)
     rng = random.Random(0)
     more = ["".join(rng.choices("ab c\n.,é1-", k=rng.randint(1, 60))) for _ in range(300)]
-    for t in [*TEXTS, *more, prose(rng, 500)]:
-        if pieces.SPACE not in t:
-            assert np.frombuffer(own.encode(t), np.int32).tolist() == ref.encode(t), t
+    texts = [t for t in [*TEXTS, *more, prose(rng, 500)] if pieces.SPACE not in t]
+    assert ids_of(own, texts) == [ref.encode(t) for t in texts]
+
+
+def plain_agenda(p, text, document):
+    """Units cut one by one: at each step the pair of the best rank, leftmost, is merged or skipped for good."""
+    v, mask, out = p.v, (1 << 64) - 1, []
+
+    def mix(h):
+        for m, s in ((0xFF51AFD7ED558CCD, 33), (0xC4CEB9FE1A85EC53, 33)):
+            h = (h ^ (h >> s)) * m & mask
+        return h ^ (h >> 33)
+
+    for place, unit in enumerate(p.units_of(text)):
+        if unit is None:
+            out += [int.from_bytes(v.byte[b], "little") for b in pieces.SPACE.encode()]
+            continue
+        key = mix((mix(document ^ (p.seed * pieces._STEP & mask)) + place * pieces._SALT) & mask)
+        cells = [(i, [c]) for i, c in enumerate(unit)]  # place of the first character, characters
+        skipped = set()
+        while True:
+            best = None
+            for (i, x), (j, y) in zip(cells, cells[1:], strict=False):
+                x, y = "".join(x), "".join(y)
+                if x in v.id and y in v.id and (r := v.merge.get(v.id[x] << pieces._BITS | v.id[y])) is not None and (i, j, x + y) not in skipped:
+                    best = min(best or (1 << 62, 0, 0, ""), (r, i, j, x + y))
+            if best is None:
+                break
+            _, i, j, piece = best
+            h = (key ^ (i * pieces._STEP & mask) ^ (v.id[piece] * pieces._SALT & mask)) * pieces._MIX & mask
+            if (h ^ (h >> 32)) * pieces._MIX & mask < int(p.limit):
+                skipped.add((i, j, piece))
+                continue
+            cells = [(k, list(piece) if k == i else x) for k, x in cells if k != j]
+        for _, x in cells:
+            x = "".join(x)
+            out += [v.id[x]] if x in v.id else [int.from_bytes(v.byte[b], "little") for b in x.encode()]
+    return out
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.5, 1.0])
+def test_dropout_equals_a_plain_agenda(model, monkeypatch, rate):
+    monkeypatch.setattr(pieces, "NODES", 200)
+    p, rng = pieces.Pieces(model, 7, rate), random.Random(6)
+    texts = [*TEXTS, *ODD[1:6], prose(rng, 60), "tokenization " * 30, "é漢x" * 30, "▁hello" * 5, "x" * 49, "y" * 48]
+    texts += ["".join(rng.choices("ab c\n.,é1-▁漢", k=rng.randint(1, 90))) for _ in range(60)]
+    documents = [rng.getrandbits(64) for _ in texts]
+    want = [plain_agenda(p, t, d) for t, d in zip(texts, documents, strict=True)]
+    assert ids_of(p, texts, documents) == want
+    assert [ids_of(p, [t], [d])[0] for t, d in zip(texts, documents, strict=True)] == want
 
 
 def test_dropout_is_seeded_varied_and_lossless(model):
-    a, b, c = pieces.Pieces(model, 1, 0.3), pieces.Pieces(model, 1, 0.3), pieces.Pieces(model, 2, 0.3)
-    text = prose(random.Random(3), 200)
-    ids = lambda p, t, v=0: np.frombuffer(p.encode(t, v), np.int32).tolist()
-    assert ids(a, text) == ids(b, text) != ids(c, text)
-    assert ids(a, text, 0) != ids(a, text, 1)
+    a, b, c = pieces.Pieces(model, 1, 0.1), pieces.Pieces(model, 1, 0.1), pieces.Pieces(model, 2, 0.1)
+    word, text = "internationalisation", prose(random.Random(3), 200)
+    assert ids_of(a, [text]) == ids_of(b, [text]) != ids_of(c, [text])
+    assert ids_of(a, [text], [0]) != ids_of(a, [text], [1])
+    # one word many times: cut anew at each place of a document
+    cuts = {tuple(x) for x in ids_of(a, [f"{word} " * k + word for k in range(1)] * 300)}
+    assert len(cuts) > 20
     plain = pieces.Pieces(model, 0, 0.0)
-    skipped = (len(ids(a, text)) - len(ids(plain, text))) / len(ids(plain, text))
-    assert 0.05 < skipped < 1.5
+    merges = lambda p, t: sum(map(len, p.units_of(t))) - len(ids_of(p, [t])[0])
+    assert 0.8 < merges(a, text) / merges(plain, text) < 0.99
+    # the share of skipped merges is the rate: units of one merge
+    pairs = [u for u in "of to in is on at by as it an".split()]
+    many = ids_of(a, [" ".join(pairs * 200)])[0]
+    none = ids_of(plain, [" ".join(pairs * 200)])[0]
+    assert len(none) < len(many) < 1.4 * len(none)
     for t in [*TEXTS, text]:
         for p in (a, c):
-            assert p.decode(ids(p, t, 1)) == t
-    for unit in ("▁" + "ab" * 20, "▁hello" * 5, "tokenization", "aaaaaaa"):
-        ids = [a.v.id[c] for c in unit]
-        assert a._cut_short(list(ids), 99) == a._cut_long(list(ids), 99)
-
-
-def test_many_units_at_once_equal_one_by_one(model):
-    p, rng = pieces.Pieces(model, 7, 0.2), random.Random(6)
-    units = list({u for t in [*TEXTS, prose(rng, 300), "é漢x" * 30] for u in p.units.findall(pieces.SPACE + t.replace(" ", pieces.SPACE))})
-    for v in (0, 3):
-        assert p.cut_many(units, v) == [p._unit(u, v) for u in units]
-    texts = [*TEXTS, prose(rng, 300)]
-    assert p.encode_many(texts, [i % 3 for i in range(len(texts))]) == [pieces.Pieces(model, 7, 0.2).encode(t, i % 3) for i, t in enumerate(texts)]
-
-
-def test_cache_generations_keep_results(model, monkeypatch):
-    monkeypatch.setattr(pieces, "CACHE", 50)
-    small, text = pieces.Pieces(model, 5, 0.1), prose(random.Random(4), 2000)
-    monkeypatch.setattr(pieces, "CACHE", 10**6)
-    assert [small.encode(text) for _ in range(2)] == [pieces.Pieces(model, 5, 0.1).encode(text)] * 2
+            ids = np.frombuffer(p.encode_many([t], np.zeros(1, np.uint64))[0], np.int32)
+            assert p.decode_many(ids, np.array([len(ids)]))[0].decode() == t
 
 
 def test_encode_frames(spark, model):
-    docs = frame(spark, ODD + TEXTS).withColumn("_n_pieces", F.lit("clash")).drop("_n_pieces")
-    out = pieces.encode(docs, ["doc_id", "text"], model, seed=9)
-    back = {r.doc_id: r for r in pieces.decode(out, ["doc_id", "text", "_n_pieces"], model).collect()}
-    assert all(r._text == r.text for r in back.values()) and len(back) == len(ODD + TEXTS)
-    assert back[0]._text is None and back[0]._n_pieces == 0
-    assert pieces.encode(docs.limit(0), ["doc_id"], model).count() == 0
+    docs = frame(spark, ODD + TEXTS).withColumns({"_n_pieces": F.lit("clash"), "_variant": F.lit("clash"), "ids": F.lit(1)})
+    out = pieces.encode(docs, ["doc_id", "text", "_n_pieces", "_variant", "ids"], model, seed=9)
+    back = {r.doc_id: r for r in pieces.decode(out, ["doc_id", "text", "_swident_n_pieces", "_n_pieces"], model).collect()}
+    assert all(r._swident_text == r.text and r._n_pieces == "clash" for r in back.values()) and len(back) == len(ODD + TEXTS)
+    assert back[0]._swident_text is None and back[0]._swident_n_pieces == 0
+    again = docs.unionByName(docs).withColumn("doc_id", F.when(F.col("doc_id") > 3, F.col("doc_id")))
+    made = pieces.round_trip(again, ["doc_id", "text"], model, seed=9).collect()
+    assert len(made) == 2 * len(ODD + TEXTS) and all(r._swident_lossless for r in made)
+    assert len({(r.doc_id, r.text, tuple(r._swident_ids or [])) for r in made}) == len(set(ODD[:4])) + len(ODD + TEXTS) - 4
+    assert pieces.round_trip(docs.limit(0), ["doc_id"], model).count() == 0
 
 
 # --- near duplicates -------------------------------------------------------
