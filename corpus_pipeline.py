@@ -42,9 +42,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every whole text, with seeded merge dropout."""
-    made = pieces.encode(docs, ["doc_id"], pieces.load_model(), seed=1)
-    return made.select("doc_id", F.col("_variant").alias("variant"), F.col("_n_pieces").alias("n_pieces"), F.col("_ids").alias("ids"))
+    """Piece ids of every whole text, with seeded merge dropout, and whether they decode to it."""
+    made = pieces.round_trip(docs, ["doc_id"], pieces.load_model(), seed=1)
+    return made.select("doc_id", F.col("_swident_n_pieces").alias("n_pieces"), F.col("_swident_ids").alias("ids"), F.col("_swident_lossless").alias("lossless"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
