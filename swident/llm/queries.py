@@ -52,8 +52,8 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     index = q5.fit(docs, _table(spark, sf_dir, "labels"), "toxic", fold(F.col("doc_id"), 4) != 2)
-    scored = q5.score(docs, index, ["doc_id"])
-    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("_swident_score").alias("score"), (F.col("_swident_score") >= 0.3).cast("int").alias("predicted"))
+    scored = q5.score(docs, index, ["doc_id"], evidence=True)
+    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("_swident_score").alias("score"), (F.col("_swident_score") >= 0.3).cast("int").alias("predicted"), F.col("_swident_evidence").alias("evidence"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

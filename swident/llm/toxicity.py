@@ -7,20 +7,30 @@ most of whose contexts (previous and next word) are in toxic examples, beyond
 what chance would give; counting distinct contexts keeps copies of one example
 from making its words look typical.  All other words weigh once.
 
-Every document meets every example: the `DENSE` most frequent words through one
-matrix product for many documents, all others through their postings.  This
-gives cosines in single precision; the examples that could be among the k
-nearest are compared again in double precision, so the k nearest are exact.
-Votes weigh by squared cosine and are shrunk to the prior.
+The index is inverted: each word's postings are (example, weight).  Examples are
+numbered so that similar ones are neighbours, in blocks of `BLOCK`.  The postings
+of the `DENSE` most frequent words, by far the longest, are laid out by block, and
+their largest weight in each block is kept.  A search adds up the short lists,
+bounds each block by its best sum so far plus what its maxima allow, works out the
+most promising blocks, and then only those blocks whose bound reaches the k-th
+best cosine found.  Sums are in single precision; the examples that could be
+among the k nearest are compared again in double precision, so the k nearest are
+exact, and every document meets every example that shares a word with it.
+
+Votes weigh by squared cosine (that is 1 - squared distance of unit vectors / 2,
+squared) and are shrunk to the prior.  A score is the vote on a logistic scale
+that is fitted to votes on examples by the others (Platt's method).
 
 Examples are the at most `max_examples` labelled rows with the smallest hash of
-their id (a bound of the classifier's sample); every document is scored over its
-whole text.  A text that shares no word with an example has no neighbours and
-gets the share of toxic examples among those without words.
+their id, and the scale is fitted on `CALIBRATED` of them (bounds of the
+classifier's sample); every document is scored over its whole text.  A text that
+shares no word with an example has no neighbours and gets the share of toxic
+examples among those without words.
 
 Odd inputs: null texts are empty; without examples every score is 0.0; equal
 cosines prefer the example that comes first by id; repeated rows each get a
-score.
+score, and a repeated document is one example for each label that it has; an
+empty table gives no rows; result columns have names of their own.
 """
 
 from __future__ import annotations
@@ -37,27 +47,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import stored
-from .common import lower_ascii
+from .common import labelled_examples, lower_ascii
 from .decontaminate import words_of
 from .words import ALNUM, Slice, slices
 
 MAX_EXAMPLES = 16_384
+CALIBRATED = 2048
 SLACK = 2.0
 DENSE = 512
+BLOCK = 16
 BATCH = 64
+#: Blocks without use that are worked out rather than left out in a run.
+GAP = 3
+#: Blocks that a search works out first.
+FIRST = 4
 #: More than single precision can be off in a sum of products that make 1 at most.
 MARGIN = 1e-4
-_latest: list[Vectors] = []
 K = 15
 SHRINK = 1.0
 
 
-def _examples(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examples: int) -> DataFrame:
-    chosen = labels.select("doc_id", F.col(label).alias("y")).where(learn & F.col(label).isin(0, 1)).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_examples)
-    chosen = chosen.select(F.col("doc_id").alias("_id"), "y")
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
-
-
 def telling(examples: DataFrame, slack: float = SLACK) -> dict[str, float]:
     """The words most of whose distinct contexts are toxic, and the evidence for each."""
     words = examples.select("y", words_of(lower_ascii(F.col("text"))).alias("w")).select("y", "w", F.posexplode("w").alias("i", "term"))
@@ -90,85 +99,52 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
 
 
-@dataclass
-class Vectors:
-    """Unit vectors of the examples; [terms] gives their weights as term x example."""
-
-    start: np.ndarray  # terms of example i: start[i] .. start[i + 1]
-    term: np.ndarray
-    weight: np.ndarray
-    n_terms: int
-
-    @property
-    def n(self) -> int:
-        return len(self.start) - 1
-
-    @cached_property
-    def postings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start of each term, examples, weights)."""
-        order = np.argsort(self.term, kind="stable")
-        example = np.repeat(np.arange(self.n, dtype=np.uint16 if self.n <= 1 << 16 else np.int32), np.diff(self.start))
-        return np.concatenate(([0], np.cumsum(np.bincount(self.term, minlength=self.n_terms)))), example[order], self.weight[order]
-
-    @cached_property
-    def dense(self) -> tuple[np.ndarray, np.ndarray]:
-        """(place or -1 of each term, weights by place) of the most frequent terms."""
-        start = self.postings[0]
-        top = np.argsort(-np.diff(start), kind="stable")[:DENSE]
-        place = np.full(self.n_terms, -1)
-        place[top] = np.arange(len(top))
-        return place, self[top]
-
-    def __getitem__(self, terms: np.ndarray) -> np.ndarray:
-        start, example, weight = self.postings
-        size = start[terms + 1] - start[terms]
-        at = _ranges(start[terms], size)
-        out = np.zeros((len(terms), self.n), dtype=np.float32)
-        out[np.repeat(np.arange(len(terms)), size), example[at]] = weight[at]
-        return out
-
-    def add(self, out: np.ndarray, terms: np.ndarray, weight: np.ndarray) -> None:
-        start, example, w = self.postings
-        size = start[terms + 1] - start[terms]
-        at = _ranges(start[terms], size)
-        out += np.bincount(example[at], weights=np.repeat(weight, size) * w[at], minlength=self.n)
-
-    def cosines(self, examples: np.ndarray, terms: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """In double precision, each example's terms in the same order."""
-        q = self._query
-        q[terms] = weight
-        size = self.start[examples + 1] - self.start[examples]
-        at = _ranges(self.start[examples], size)
-        out = np.add.reduceat(q[self.term[at]] * self.weight[at], np.cumsum(size) - size) if len(at) else np.zeros(0)
-        q[terms] = 0
-        return out
-
-    @cached_property
-    def _query(self) -> np.ndarray:
-        return np.zeros(self.n_terms)
-
-
-def _only(vectors: Vectors) -> None:
-    """Let go of what this (worker) process has worked out for an earlier index."""
-    for old in _latest:
-        if old is not vectors:
-            for name in ("postings", "dense", "_query"):
-                old.__dict__.pop(name, None)
-    _latest[:] = [vectors]
+def _similar_first(rows: np.ndarray, block: int = BLOCK) -> np.ndarray:
+    """An order of the rows in which similar ones are neighbours: halves along the main direction, again and again."""
+    order, parts = np.arange(len(rows)), [(0, len(rows))]
+    rng = np.random.Generator(np.random.PCG64(3))
+    while parts:
+        a, z = parts.pop()
+        if z - a <= block:
+            continue
+        x = rows[order[a:z]]
+        x = x - x.mean(axis=0)
+        v = rng.normal(size=x.shape[1]).astype(np.float32)
+        for _ in range(6):
+            v = x.T @ (x @ v)
+            v /= np.linalg.norm(v) + 1e-9
+        order[a:z] = order[a:z][np.argsort(x @ v, kind="stable")]
+        middle = a + max(block, (z - a) // 2 // block * block)
+        parts += [(a, middle), (middle, z)]
+    return order
 
 
 @dataclass
 class Index:
-    """The examples' vectors over all their words."""
+    """The examples' unit vectors over all their words, forwards and inverted by blocks."""
 
     hashes: np.ndarray  # sorted, of each term
     idf: np.ndarray  # with the weight of telling words
     unseen: float  # idf of words that no example has
-    weights: Vectors
+    first: np.ndarray  # terms of example i: first[i] .. first[i + 1]
+    term: np.ndarray
+    weight: np.ndarray
+    start: np.ndarray  # postings of term t: start[t] .. start[t + 1]; none for dense terms
+    example: np.ndarray
+    impact: np.ndarray
+    place: np.ndarray  # of a dense term, else -1
+    dense: np.ndarray  # place x example
+    most: np.ndarray  # place x block: the largest weight
     label: np.ndarray
     ids: list
+    by_id: np.ndarray  # rank of each example's id
     prior: float
     without: float
+    scale: tuple[float, float] = (1.0, 0.0)
+
+    @property
+    def n(self) -> int:
+        return len(self.label)
 
     def vectors(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(documents, bounds, terms, weights) of the unit vectors of a slice, less the terms that no example has."""
@@ -184,50 +160,185 @@ class Index:
         who, first = np.unique(doc, return_index=True)
         return who, np.concatenate((first, [len(w)])), term, w
 
-    def _best(self, near: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest by cosine, given approximate ones of all."""
-        floor = np.partition(near, len(near) - k)[len(near) - k] - MARGIN if len(near) > k else -1.0
-        ids = np.flatnonzero(near >= floor)
-        cosine = self.weights.cosines(ids, term, weight)
-        ids, cosine = ids[cosine > 0], cosine[cosine > 0]
-        # rounding keeps equal vectors equal whatever the order of summation
-        keep = np.lexsort((ids, -np.round(cosine, 12)))[:k]
-        return ids[keep], cosine[keep]
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
-        """Exact k nearest examples (numbers, cosines > 0), best first."""
-        near = np.zeros(self.weights.n)
-        self.weights.add(near, term, weight)
-        return self._best(near, term, weight, k)
-
-    def all_nearest(self, bounds: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """nearest() of each vector bounds[i] .. bounds[i + 1]."""
-        place, dense = self.weights.dense
-        for a in range(0, len(bounds) - 1, BATCH):
-            cut = bounds[a : a + BATCH + 1]
-            q = np.zeros((len(cut) - 1, len(dense)), dtype=np.float32)
-            at = place[term[cut[0] : cut[-1]]]
-            row = np.repeat(np.arange(len(q)), np.diff(cut))
-            q[row[at >= 0], at[at >= 0]] = weight[cut[0] : cut[-1]][at >= 0]
-            near = q @ dense
-            for i, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
-                t, w = term[lo:hi], weight[lo:hi]
-                rest = place[t] < 0
-                self.weights.add(near[i], t[rest], w[rest])
-                yield self._best(near[i], t, w, k)
+    def cosines(self, examples: np.ndarray, terms: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """In double precision, each example's terms in the same order."""
+        q = self._query
+        q[terms] = weight
+        size = self.first[examples + 1] - self.first[examples]
+        at = _ranges(self.first[examples], size)
+        out = np.add.reduceat(q[self.term[at]] * self.weight[at], np.cumsum(size) - size) if len(at) else np.zeros(0)
+        q[terms] = 0
+        return out
+
+    @cached_property
+    def _query(self) -> np.ndarray:
+        return np.zeros(len(self.hashes))
+
+    def _short_lists(self, terms: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        start = self.start[terms]
+        size = self.start[terms + 1] - start
+        at = _ranges(start, size)
+        return np.bincount(self.example[at], weights=np.repeat(weight, size) * self.impact[at], minlength=self.n)
+
+    def nearest(self, bounds: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int = K) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Exact k nearest examples (numbers, cosines > 0), best first, of each vector bounds[i] .. bounds[i + 1].
+
+        Vectors that look alike are searched together, as they need the same blocks.
+        """
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * (len(bounds) - 1)
+        if not self.n:
+            return out
+        cells = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+        likely = [(self._common(cells[a : a + BATCH], term, weight) @ self.most).argmax(axis=1) for a in range(0, len(cells), BATCH)]
+        order = np.argsort(np.concatenate(likely), kind="stable").tolist() if likely else []
+        for a in range(0, len(order), BATCH):
+            some = order[a : a + BATCH]
+            for i, found in zip(some, self._batch([cells[i] for i in some], term, weight, k), strict=True):
+                out[i] = found
+        return out
+
+    def _common(self, cells: list[tuple[int, int]], term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Weights of the dense terms, a row for each vector."""
+        q = np.zeros((len(cells), len(self.dense)), dtype=np.float32)
+        for i, (lo, hi) in enumerate(cells):
+            place = self.place[term[lo:hi]]
+            q[i, place[place >= 0]] = weight[lo:hi][place >= 0]
+        return q
+
+    def _batch(self, cells: list[tuple[int, int]], term: np.ndarray, weight: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        m, blocks = len(cells), self.most.shape[1]
+        q = self._common(cells, term, weight)
+        near = np.empty((m, self.n), dtype=np.float32)
+        for i, (lo, hi) in enumerate(cells):
+            near[i] = self._short_lists(term[lo:hi], weight[lo:hi])
+        bound = np.maximum.reduceat(near, np.arange(0, self.n, BLOCK), axis=1) + q @ self.most
+        done = np.zeros(blocks, dtype=bool)
+
+        def work_out(which: np.ndarray) -> None:
+            # runs of blocks, as views; a gap of a few blocks costs less than a new run
+            todo = np.flatnonzero(which & ~done)
+            breaks = np.flatnonzero(np.diff(todo) > GAP) + 1
+            for run in np.split(todo, breaks) if len(todo) else []:
+                a = run[0]
+                while a <= run[-1]:
+                    z = a + 1
+                    while z <= run[-1] and not done[z]:
+                        z += 1
+                    near[:, a * BLOCK : z * BLOCK] += q @ self.dense[:, a * BLOCK : z * BLOCK]
+                    done[a:z] = True
+                    while z <= run[-1] and done[z]:
+                        z += 1
+                    a = z
+
+        few = min(max(FIRST, -(-k // BLOCK)), blocks)
+        best = np.argpartition(-bound, few - 1, axis=1)[:, :few]
+        which = np.zeros(blocks, dtype=bool)
+        which[best.ravel()] = True
+        work_out(which)
+        at = (best[:, :, None] * BLOCK + np.arange(BLOCK)).reshape(m, -1)
+        found = np.where(at < self.n, np.take_along_axis(near, np.minimum(at, self.n - 1), axis=1), -1.0)
+        kth = min(k, found.shape[1])
+        floor = -np.partition(-found, kth - 1, axis=1)[:, kth - 1] - MARGIN
+        live = bound >= floor[:, None] - MARGIN
+        work_out(live.any(axis=0))
+        for i, (lo, hi) in enumerate(cells):
+            # what reaches the floor was worked out, as its block's bound reaches it too
+            ids = np.flatnonzero(near[i] >= floor[i])
+            if len(ids) > k:
+                sums = near[i, ids]
+                ids = ids[sums >= np.partition(sums, len(ids) - k)[len(ids) - k] - MARGIN]
+            cosine = self.cosines(ids, term[lo:hi], weight[lo:hi])
+            ids, cosine = ids[cosine > 0], cosine[cosine > 0]
+            # rounding keeps equal vectors equal whatever the order of summation
+            keep = np.lexsort((self.by_id[ids], -np.round(cosine, 12)))[:k]
+            yield ids[keep], cosine[keep]
 
     def vote(self, ids: np.ndarray, cosine: np.ndarray) -> float:
         w = np.minimum(cosine, 1.0) ** 2
         return float((w @ self.label[ids] + SHRINK * self.prior) / (w.sum() + SHRINK))
 
+    def calibrated(self, vote: float) -> float:
+        a, b = self.scale
+        vote = min(max(vote, 1e-9), 1 - 1e-9)
+        return 1 / (1 + math.exp(-min(max(a * math.log(vote / (1 - vote)) + b, -40.0), 40.0)))
+
+
+def fit_scale(vote: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float]:
+    """Slope and offset on the votes' log odds by logistic loss with Platt's targets."""
+    good, bad = int(y.sum()), int(len(y) - y.sum())
+    if not good or not bad:
+        return 1.0, 0.0
+    z = np.log(vote.clip(1e-9, 1 - 1e-9) / (1 - vote.clip(1e-9, 1 - 1e-9)))
+    x = np.stack((z, np.ones(len(z))), axis=1)
+    target = np.where(y == 1, (good + 1) / (good + 2), 1 / (bad + 2))
+    w = np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-(x @ w).clip(-40, 40)))
+        step = np.linalg.solve((x.T * (p * (1 - p) + 1e-12)) @ x + 1e-6 * np.eye(2), x.T @ (p - target))
+        w = w - step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
+        if np.abs(step).max() < 1e-10:
+            break
+    return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
+
+
+def build(texts: list[tuple[object, int, np.ndarray, np.ndarray]], evidence: dict[str, float], calibrate: int = CALIBRATED) -> Index:
+    """The index of examples (id, label, word hashes, counts), whatever their order."""
+    prior = sum(t[1] for t in texts) / len(texts) if texts else 0.0
+    empty = [t[1] for t in texts if not len(t[2])]
+    without = sum(empty) / len(empty) if empty else prior
+    rows = sorted((t for t in texts if len(t[2])), key=lambda t: t[:2])
+    n = len(rows)
+    hashes, term = np.unique(np.concatenate([t[2] for t in rows] or [np.zeros(0, np.uint64)]), return_inverse=True)
+    count = np.concatenate([t[3] for t in rows] or [np.zeros(0)])
+    frequency = np.bincount(term, minlength=len(hashes))
+    idf = np.log((2 + n) / (1 + frequency))
+    for s in slices(pa.array(list(evidence), pa.string()), ALNUM):
+        idf[np.searchsorted(hashes, s.hashes(True))] *= 1 + np.array(list(evidence.values()))[s.first : s.first + s.n_docs]
+    size = np.array([len(t[2]) for t in rows], dtype=np.int64)
+    weight = (1 + np.log(count)) * idf[term]
+    owner = np.repeat(np.arange(n), size)
+    weight = (weight / np.sqrt(np.bincount(owner, weights=weight * weight, minlength=n))[owner]).astype(np.float32)
+    top = np.argsort(-frequency, kind="stable")[:DENSE]
+    place = np.full(len(hashes), -1, dtype=np.int16)
+    place[top] = np.arange(len(top))
+    common = place[term] >= 0
+    dense = np.zeros((n, len(top)), dtype=np.float32)
+    dense[owner[common], place[term[common]]] = weight[common]
+    # number the examples anew, similar ones together
+    order = _similar_first(dense)
+    dense = np.ascontiguousarray(dense[order].T)
+    most = np.maximum.reduceat(dense, np.arange(0, n, BLOCK), axis=1) if n else np.zeros((len(top), 0), np.float32)
+    first = np.cumsum(size) - size
+    at = _ranges(first[order], size[order])
+    term, weight, owner = term[at].astype(np.int32), weight[at], np.repeat(np.arange(n), size[order])
+    rare = np.flatnonzero(place[term] < 0)
+    rare = rare[np.argsort(term[rare], kind="stable")]
+    start = np.concatenate(([0], np.cumsum(np.bincount(term[rare], minlength=len(hashes))))).astype(np.int64)
+    narrow = np.uint16 if n <= 1 << 16 else np.int32
+    index = Index(
+        hashes, idf, math.log(2 + n), np.concatenate(([0], np.cumsum(size[order]))), term, weight,
+        start, owner[rare].astype(narrow), weight[rare], place, dense, most,
+        np.array([rows[i][1] for i in order], dtype=float), [rows[i][0] for i in order], order.copy(), prior, without,
+    )
+    # votes on some examples, each by the others
+    some = np.sort(np.argsort(order)[:: max(1, -(-n // max(calibrate, 1)))]) if n > 1 else np.zeros(0, np.int64)
+    bounds = np.concatenate(([0], np.cumsum(index.first[some + 1] - index.first[some])))
+    at = _ranges(index.first[some], index.first[some + 1] - index.first[some])
+    votes = []
+    for i, (ids, cosine) in zip(some.tolist(), index.nearest(bounds, index.term[at], index.weight[at].astype(float), K + 1), strict=True):
+        others = ids != i
+        votes.append(index.vote(ids[others][:K], cosine[others][:K]))
+    index.scale = fit_scale(np.array(votes), index.label[some])
+    index.__dict__.pop("_query", None)
+    return index
+
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examples: int = MAX_EXAMPLES) -> Index:
     """Choose examples and build the index on the driver.
 
     It holds the distinct words of at most max_examples texts.
     """
-    chosen = _examples(docs, labels, label, learn, max_examples)
-    evidence = telling(chosen)
+    chosen = stored(labelled_examples(docs, labels, label, learn, max_examples), "examples")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,22 +349,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examp
                 cells = [[x[a:z].tobytes() for a, z in zip(cut[:-1], cut[1:], strict=True)] for x in (h, count.astype(np.uint32))]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s.first, s.n_docs), b.column(2).slice(s.first, s.n_docs).cast(pa.int32()), *[pa.array(c, pa.binary()) for c in cells]], names=["doc_id", "y", "h", "c"])
 
-    rows = chosen.mapInArrow(run, f"doc_id {kind}, y int, h binary, c binary").collect()
-    prior = sum(r.y for r in rows) / len(rows) if rows else 0.0
-    empty = [r.y for r in rows if not r.h]
-    without = sum(empty) / len(empty) if empty else prior
-    rows = sorted((r for r in rows if r.h), key=lambda r: (r.doc_id, r.y))
-    hashes, term = np.unique(np.frombuffer(b"".join(r.h for r in rows), np.uint64), return_inverse=True)
-    count = np.frombuffer(b"".join(r.c for r in rows), np.uint32)
-    idf = np.log((2 + len(rows)) / (1 + np.bincount(term, minlength=len(hashes))))
-    for s in slices(pa.array(list(evidence), pa.string()), ALNUM):
-        idf[np.searchsorted(hashes, s.hashes(True))] *= 1 + np.array(list(evidence.values()))[s.first : s.first + s.n_docs]
-    start = np.concatenate(([0], np.cumsum([len(r.h) // 8 for r in rows]))).astype(np.int64)
-    weight = (1 + np.log(count)) * idf[term]
-    example = np.repeat(np.arange(len(rows)), np.diff(start))
-    weight /= np.sqrt(np.bincount(example, weights=weight * weight, minlength=len(rows)))[example]
-    vectors = Vectors(start, term.astype(np.int32), weight.astype(np.float32), len(hashes))
-    return Index(hashes, idf, math.log(2 + len(rows)), vectors, np.array([r.y for r in rows], dtype=float), [r.doc_id for r in rows], prior, without)
+    found = chosen.mapInArrow(run, f"doc_id {kind}, y int, h binary, c binary").collect()
+    return build([(r.doc_id, r.y, np.frombuffer(r.h, np.uint64), np.frombuffer(r.c, np.uint32)) for r in found], telling(chosen))
+
+
+EVIDENCE = T.ArrayType(T.StructType().add("example", "string").add("cosine", "double").add("label", "integer"))
 
 
 def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidence: bool = False) -> DataFrame:
@@ -261,30 +361,33 @@ def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidenc
 
     Evidence lists the neighbours: example id as text, cosine and label.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(index)  # bounded by max_examples
+    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by max_examples
     kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_swident_text"))
     text_at, n = (columns.index("text") if "text" in columns else len(columns)), len(columns)
     schema = docs.select(*columns).schema.add("_swident_score", "double")
-    kinds = pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))
     if evidence:
-        schema = schema.add("_swident_evidence", T.ArrayType(T.StructType().add("example", "string").add("cosine", "double").add("label", "integer")))
+        schema = schema.add("_swident_evidence", EVIDENCE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value
-        _only(ix.weights)
+        names = pa.array([str(i) for i in ix.ids], pa.string()) if evidence else None
         for b in batches:
             for s in slices(b.column(text_at), ALNUM):
                 out = np.full(s.n_docs, ix.without)
-                why: list[list[dict]] = [[] for _ in range(s.n_docs)]
+                count, which, cosines = np.zeros(s.n_docs, dtype=np.int64), [np.zeros(0, np.int64)], [np.zeros(0)]
                 who, bounds, term, weight = ix.vectors(s)
-                near = ix.all_nearest(bounds, term, weight, k) if len(who) else []
-                for d, (ids, cosine) in zip(who.tolist(), near, strict=True):
+                for d, (ids, cosine) in zip(who.tolist(), ix.nearest(bounds, term, weight, k), strict=True):
                     if len(ids):
-                        out[d] = ix.vote(ids, cosine)
-                        if evidence:
-                            why[d] = [{"example": str(ix.ids[i]), "cosine": float(c), "label": int(ix.label[i])} for i, c in zip(ids.tolist(), cosine.tolist(), strict=True)]
-                part = [b.column(i).slice(s.first, s.n_docs) for i in range(n)]
-                yield pa.RecordBatch.from_arrays([*part, pa.array(out), *([pa.array(why, kinds)] if evidence else [])], names=schema.names)
+                        out[d] = ix.calibrated(ix.vote(ids, cosine))
+                        count[d] = len(ids)
+                        which.append(ids)
+                        cosines.append(cosine)
+                made = [b.column(i).slice(s.first, s.n_docs) for i in range(n)] + [pa.array(out)]
+                if evidence:
+                    ids = np.concatenate(which)
+                    cells = [names.take(pa.array(ids)), pa.array(np.concatenate(cosines)), pa.array(ix.label[ids].astype(np.int32))]
+                    offsets = pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32))
+                    made.append(pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(cells, names=["example", "cosine", "label"])))
+                yield pa.RecordBatch.from_arrays(made, names=schema.names)
 
     return kept.mapInArrow(run, schema)

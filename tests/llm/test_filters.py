@@ -215,55 +215,128 @@ def labelled(spark, prose, mark):
     return docs, spark.createDataFrame(list(enumerate(y)), "doc_id long, y int"), texts, y
 
 
-def test_toxicity_is_exact_and_learns(spark, prose):
-    insults = ["grob", "fies", "doof", "mies", "blod"]
+INSULTS = ["grob", "fies", "doof", "mies", "blod"]
+
+
+def insult(text, bad, rng):
+    w = text.split()
+    for _ in range(3 if bad else 0):
+        w.insert(rng.randrange(len(w)), rng.choice(INSULTS))
+    return " ".join(w)
+
+
+def plain_votes(examples, evidence, texts, k=toxicity.K):
+    """Neighbours and vote of each text: TF-IDF vectors, all cosines, in plain Python.
+
+    examples are (id, text, label); a text that is given as its number in them meets the others only.
+    """
+    bags = [collections.Counter(ALNUM.findall((t or "").translate(LOW))) for _, t, _ in examples]
+    full = [i for i, b in enumerate(bags) if b]
+    df = collections.Counter(w for i in full for w in bags[i])
+    idf = lambda w: np.log((2 + len(full)) / (1 + df[w])) * (1 + evidence.get(w, 0)) if w in df else np.log(2 + len(full))
+
+    def unit(bag):
+        v = {w: (1 + np.log(n)) * idf(w) for w, n in bag.items()}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    known, prior = {i: unit(bags[i]) for i in full}, np.mean([y for *_, y in examples])
+    out = []
+    for t in texts:
+        q = known[t] if isinstance(t, int) else unit(collections.Counter(ALNUM.findall((t or "").translate(LOW))))
+        near = sorted((-round(sum(x * known[i].get(w, 0) for w, x in q.items()), 6), i) for i in full if not (isinstance(t, int) and i == t))[:k]
+        near = [(-c, i) for c, i in near if c < 0]
+        w = [c * c for c, _ in near]
+        out.append((near, (sum(x * examples[i][2] for x, (_, i) in zip(w, near, strict=True)) + prior) / (sum(w) + 1)))
+    return out
 
-    def mark(text, bad, rng):
-        w = text.split()
-        for _ in range(3 if bad else 0):
-            w.insert(rng.randrange(len(w)), rng.choice(insults))
-        return " ".join(w)
 
-    docs, labels, texts, y = labelled(spark, prose, mark)
-    index = toxicity.fit(docs.drop("y"), labels, "y", fold(F.col("doc_id"), 4) != 2)
-    out = {r.doc_id: r for r in toxicity.score(docs.drop("y"), index, ["doc_id"], evidence=True).collect()}
-    held = [i for i in range(400) if spark_fold(i, 4) == 2]
-    assert np.mean([(out[i]._swident_score >= 0.3) == bool(y[i]) for i in held]) == 1.0
-    assert out[0]._swident_evidence and out[0]._swident_evidence[0].label == 1 and out[0]._swident_evidence[0].cosine <= 1 + 1e-9
-    # block-max search against all cosines
-    rng = np.random.default_rng(0)
-    live = len(index.ids)
-    for _ in range(50):
-        term = np.sort(rng.choice(len(index.idf), min(3, len(index.idf)), replace=False))
-        weight = rng.random(len(term))
-        every = weight @ index.weights[term][:, :live]
-        order = np.lexsort((np.arange(live), -np.round(every, 12)))
-        want = [i for i in order[:5] if every[i] > 0]
-        ids, cosine = index.nearest(term, weight, 5)
-        assert ids.tolist() == want and np.allclose(cosine, every[want])
+def test_toxicity_against_plain_cosines(spark, prose):
+    docs, labels, texts, y = labelled(spark, prose, insult)
+    docs = docs.drop("y")
+    index = toxicity.fit(docs, labels, "y", fold(F.col("doc_id"), 4) != 2)
+    examples = [(i, texts[i], y[i]) for i in range(400) if spark_fold(i, 4) != 2]
+    evidence = toxicity.telling(spark.createDataFrame([(t, v) for _, t, v in examples], "text string, y int"))
+    assert set(evidence) == set(INSULTS)
+    # the scale: votes on examples by the others
+    loo = np.array([v for _, v in plain_votes(examples, evidence, range(len(examples)))])
+    assert np.allclose(index.scale, toxicity.fit_scale(loo, np.array([v for *_, v in examples])), rtol=1e-3)
+    new = [prose(30), texts[1], texts[0], "grob " + prose(5), "nowhere known", prose(3000), *ODD]
+    frame_ = frame(spark, new).withColumns({"score": F.lit("clash"), "_swident_text": F.lit(1)})
+    out = {r.doc_id: r for r in toxicity.score(frame_, index, ["doc_id", "score"], evidence=True).collect()}
+    none = 0
+    for i, ((near, vote), t) in enumerate(zip(plain_votes(examples, evidence, new), new, strict=True)):
+        got = out[i]._swident_evidence
+        assert [e.cosine for e in got] == pytest.approx([c for c, _ in near], abs=2e-6)
+        far = {e.example: e.cosine for e in got}
+        assert all(str(examples[j][0]) in far or c <= near[-1][0] + 2e-6 for c, j in near)
+        assert all(e.label == dict((str(a), v) for a, _, v in examples)[e.example] for e in got)
+        a, b = index.scale
+        assert out[i]._swident_score == pytest.approx(1 / (1 + np.exp(-a * np.log(vote / (1 - vote)) - b)) if near else index.without, abs=1e-4)
+        none += not near
+    assert none <= len([t for t in new if not set(ALNUM.findall((t or "").translate(LOW))) & {w for _, x, _ in examples for w in x.split()}])
+    held = {r.doc_id: r._swident_score for r in toxicity.score(docs, index, ["doc_id"]).collect() if spark_fold(r.doc_id, 4) == 2}
+    assert all((p >= 0.3) == bool(y[i]) for i, p in held.items())
+
+
+def test_blocks_that_are_left_out_hold_no_neighbour(monkeypatch):
+    """Search over many blocks equals all cosines, and leaves blocks out."""
+    rng = np.random.default_rng(3)
+    topics = [rng.choice(3000, 60, replace=False) for _ in range(12)]
+    rows = []
+    for i in range(1500):
+        term = np.unique(np.concatenate((rng.choice(topics[i % 12], rng.integers(9, 60)), rng.integers(0, 3000, 4)))).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        rows.append((i, int(i % 12 == 0), np.sort(term), rng.integers(1, 4, len(term))))
+    rows += [(2000 + i, 0, r[2], r[3]) for i, r in enumerate(rows[:40])]  # copies: ties
+    monkeypatch.setattr(toxicity, "DENSE", 100)
+    index = toxicity.build(rows, {})
+    full = np.zeros((index.n, len(index.hashes)))
+    for i in range(index.n):
+        full[i, index.term[index.first[i] : index.first[i + 1]]] = index.weight[index.first[i] : index.first[i + 1]]
+    which = np.arange(0, index.n, 7)
+    bounds = np.concatenate(([0], np.cumsum(index.first[which + 1] - index.first[which])))
+    term = np.concatenate([index.term[index.first[i] : index.first[i + 1]] for i in which])
+    weight = np.concatenate([index.weight[index.first[i] : index.first[i + 1]] for i in which]).astype(float)
+    computed = []
+    index.dense = Counted(index.dense, computed)
+    got = list(index.nearest(bounds, term, weight, 15))
+    for i, (ids, cosine) in zip(which, got, strict=True):
+        every = full @ full[i]
+        want = np.lexsort((index.by_id, -np.round(every, 12)))[:15]
+        assert ids.tolist() == want.tolist() and np.allclose(cosine, every[want])
+    batches = -(-len(which) // toxicity.BATCH)
+    assert sum(computed) < 0.9 * batches * index.n
+
+
+class Counted:
+    """An array that notes how many columns are read."""
+
+    def __init__(self, array, log):
+        self.array, self.log = array, log
+
+    def __len__(self):
+        return len(self.array)
+
+    def __getitem__(self, key):
+        found = self.array[key]
+        self.log.append(found.shape[1])
+        return found
+
+
+def test_toxicity_of_odd_inputs(spark, prose):
+    docs, labels, texts, y = labelled(spark, prose, insult)
+    docs = docs.drop("y")
+    index = toxicity.fit(docs, labels, "y", F.lit(True))
+    # repeated rows and labels change nothing
+    again = toxicity.fit(docs.unionByName(docs.limit(90)), labels.unionByName(labels.limit(50)), "y", F.lit(True))
+    assert again.ids == index.ids and np.allclose(again.weight, index.weight) and again.scale == index.scale
     odd = toxicity.score(frame(spark, ODD), index, ["doc_id"]).collect()
     assert len(odd) == len(ODD) and all(0 <= r._swident_score <= 1 for r in odd)
-    none = toxicity.fit(docs.drop("y"), labels.limit(0), "y", F.lit(True))
-    assert {r._swident_score for r in toxicity.score(frame(spark, ODD), none, ["doc_id"]).collect()} == {0.0}
+    none = toxicity.fit(docs, labels.limit(0), "y", F.lit(True))
+    assert {r._swident_score for r in toxicity.score(frame(spark, ODD), none, ["doc_id"], evidence=True).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), index, ["doc_id", "text"]).count() == 0
-
-
-def test_toxicity_compares_all_words(spark, prose):
-    """Texts without any word typical of toxic ones have neighbours too, the same as by comparing with all."""
-    insults = ["grob", "fies", "doof"]
-    docs, labels, texts, y = labelled(spark, prose, lambda text, bad, rng: text + f" {rng.choice(insults)}" * 3 if bad else text)
-    index = toxicity.fit(docs.drop("y"), labels, "y", F.lit(True))
-    assert len(index.ids) == 400 and len(index.hashes) == len({w for t in texts for w in t.lower().split()})
-    new = [prose(30), texts[1], texts[0], "grob " + prose(5)]
-    out = {r.doc_id: r for r in toxicity.score(frame(spark, new), index, ["doc_id"], evidence=True).collect()}
-    assert all(len(out[i]._swident_evidence) == toxicity.K for i in range(4))
-    assert [(out[i]._swident_evidence[0].example, round(out[i]._swident_evidence[0].cosine, 6)) for i in (1, 2)] == [("1", 1.0), ("0", 1.0)]
-    for i, text in enumerate(new):
-        for s in words.slices(pa.array([text]), words.ALNUM):
-            _, _, term, weight = index.vectors(s)
-        every = weight @ index.weights[term]
-        want = np.lexsort((np.arange(400), -np.round(every, 12)))[: toxicity.K]
-        assert [e.example for e in out[i]._swident_evidence] == [str(index.ids[j]) for j in want]
+    few = toxicity.fit(docs, labels.limit(3), "y", F.lit(True))
+    assert few.n == 3 and all(0 <= r._swident_score <= 1 for r in toxicity.score(docs, few, ["doc_id"]).collect())
 
 
 def spark_fold(i, m):
