@@ -1,17 +1,20 @@
 """Katz backoff bigram model over words, counted and scored block by block.
 
 Tokens are a text's words (A-Z lowered) and one end; the end is also the context
-of the first token.  The model:
-
-* Every learnt word is a word of its own, as context and as predicted word; all
-  unseen words share one open class of count 1.  A caller may ask for a smaller
-  model by `vocabulary`: then the words met twice or more, that many at most, are
-  kept and all others are the open class, whose words share its mass in
-  proportion to count + 1, one such share being left for all unseen words.
-* P(v | u) = d(c) * c / (c(u) + 1) for a bigram counted c times, d being
-  Good-Turing's discount for c <= 5; else alpha(u) * P(v), where alpha(u) is
-  exactly what is left divided by the unigram mass of the words not seen after
-  u, and P(v) is the count share of v.  So every context's probabilities sum to 1.
+of the first token.  Every learnt word is a word of its own, as context and as
+predicted word; all unseen words are one open class.  A token's probability is
+evaluated from the longest n-gram down:
+
+* P(v | u) = d(c) * c / (c(u) + 1) for a bigram counted c times, else
+  alpha(u) * P(v).
+* P(v) = d'(c) * c / N for a word counted c times, else what is left of 1, which
+  is the open class.
+
+d and d' are Good-Turing's discounts of counts up to 5, of bigrams and of words.
+alpha(u) is exactly what the bigrams of u leave divided by P of the words not seen
+after u, so every context's probabilities sum to 1.  c(u) + 1 counts one event
+more than was seen: every context leaves some mass, though none of its counts be
+discounted; where no word count is discounted, the open class has one event too.
 
 Every token of every learning text is counted.  Words and bigrams are known by
 64-bit hashes.  A block of texts sends each of its distinct words and bigrams
@@ -21,11 +24,12 @@ block in the order of its hashes, and names one block per bigram that stands for
 it.  The blocks then add up what their bigrams take from each context and send
 it to the context's owner, who answers with backoff weights to the blocks that
 have unseen bigrams.  The driver gets the counts of counts and the totals only.
+Counts and weights are tables partitioned by kind, in rows of a hash range.
 
 Odd inputs: a null or empty text is one end token; without learning texts the
 counts are 0, base_score is -n_tokens * log10(N + V + 1) = 0.0 and the score
-gives every word its open-class share; repeated rows are scored each, and count
-as often as they occur; an empty table gives no rows.
+gives the end and the open class one half each; repeated rows are scored each,
+and count as often as they occur; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,11 +46,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import new_path, stored
-from .words import SPACED, grams, lean_memory, slices
+from .words import SPACED, grams, joined, lean_memory, planes, slices
 
-VOCABULARY = 1 << 18  # a size for callers who want a smaller model; score() keeps all words
 CUT = 5  # counts above it are not discounted
-END, OPEN = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)  # in place of word hashes
+END = np.uint64(0x9D39247E33776D41)  # in place of a word hash
 BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 32_768
 PART_TOKENS = 2_000_000
 TOKEN_BYTES = 6  # of text or so, for the number of parts
@@ -57,16 +60,6 @@ _NAMES = ["p", "kind", "block", "x", "y", "z", "s", "ids"]
 TEXTS, WORDS, PAIRS, TOTALS, TAKEN, ASKED = range(6)
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Bytes of equal significance together, which compress well."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() if len(x) else b""
-
-
-def _joined(data: bytes, kind: type) -> np.ndarray:
-    n = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(n, -1).T).view(kind).ravel() if data else np.zeros(0, kind)
-
-
 def _steps(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=x.dtype.type(0))
 
@@ -88,24 +81,6 @@ def _cut(h: np.ndarray, log_parts: int) -> list[tuple[int, int, int]]:
     return [(p, at[p], at[p + 1]) for p in range(1 << log_parts) if at[p + 1] > at[p]]
 
 
-@dataclass
-class Words:
-    """Which words are symbols of their own: all learnt ones, or the given hashes (sorted)."""
-
-    listed: np.ndarray | None
-
-    def _in(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.listed):
-            return h == END
-        return (self.listed[np.minimum(np.searchsorted(self.listed, h), len(self.listed) - 1)] == h) | (h == END)
-
-    def known(self, h: np.ndarray, count: np.ndarray) -> np.ndarray:
-        return (count > 0) | (h == END) if self.listed is None else self._in(h)
-
-    def symbols(self, h: np.ndarray) -> np.ndarray:
-        return h if self.listed is None else np.where(self._in(h), h, OPEN)
-
-
 @dataclass
 class Totals:
     """The figures of the whole learning corpus."""
@@ -113,65 +88,39 @@ class Totals:
     ends: int
     n: int  # learning tokens
     v: int  # distinct learning tokens
-    open_n: int
-    open_v: int
-    discount: np.ndarray
-
-    @property
-    def mass(self) -> int:
-        return max(self.ends, 1) + max(self.open_n, 1) + self.n - self.ends - self.open_n
-
-    @property
-    def open_log(self) -> float:
-        return math.log10(self.open_n + self.open_v + 1)
+    discount: np.ndarray  # of bigrams counted 1 .. CUT times
+    own: np.ndarray  # of words counted 1 .. CUT times
+    unseen: float  # probability of the open class
+    full: bool = False  # no word count is discounted
 
     @property
     def base_log(self) -> float:
         return math.log10(self.n + self.v + 1)
 
+    def word(self, count: np.ndarray, is_end: np.ndarray) -> np.ndarray:
+        """P of words by their counts; an end that was never met counts once."""
+        ratio = np.concatenate(([1.0], self.own, [1.0]))
+        c = np.where(is_end, np.maximum(count, 1), count)
+        return np.where(c > 0, ratio[np.minimum(c, CUT + 1).astype(np.int64)] * c / max(self.n, 1) * self.kept, self.unseen)
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(h, c): the count of each word hash, pre-added within each task."""
+    @property
+    def kept(self) -> float:
+        """What the open class leaves to words beyond their discounts."""
+        return self.n / (self.n + 1) if self.full else 1.0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hs: list[np.ndarray] = []
-        cs: list[np.ndarray] = []
-        held = 0
 
-        def added() -> tuple[np.ndarray, np.ndarray]:
-            h, at = np.unique(np.concatenate(hs), return_inverse=True)
-            return h, np.bincount(at, weights=np.concatenate(cs)).astype(np.int64)
+def totals_of(pairs: np.ndarray, words: np.ndarray, ends: int, n: int, v: int) -> Totals:
+    """Totals from the counts of counts (1 .. CUT + 1) of bigrams and of words."""
+    if not n:  # the end alone, counted once
+        words = np.eye(CUT + 1)[0]
+    own = discounts(words)
+    left = float((words[:CUT] * np.arange(1, CUT + 1) * (1 - own)).sum()) / max(n, 1)
+    return Totals(ends, n, v, discounts(pairs), own, left or 1 / (n + 1), full=not left)
 
-        for b in batches:
-            for s in slices(b.column(0), SPACED):
-                h, c = np.unique(s.hashes(True), return_counts=True)
-                hs.append(h)
-                cs.append(c)
-                held += len(h)
-                if held > 3_000_000:
-                    h, c = added()
-                    hs, cs, held = [h], [c], len(h)
-                    if held > 2_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], names=["h", "c"])
-                        hs, cs, held = [], [], 0
-        if hs:
-            h, c = added()
-            for i in range(0, len(h), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(h[i : i + 200_000].view(np.int64)), pa.array(c[i : i + 200_000])], names=["h", "c"])
-
-    return docs.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-
-
-def frequent(docs: DataFrame, learn: Column, vocabulary: int) -> np.ndarray:
-    """Sorted hashes of the most frequent words that are met twice or more."""
-    table = stored(count_words(docs.where(learn)), "unigrams")
-    top = table.where("c >= 2").orderBy(F.desc("c"), "h").limit(vocabulary).toArrow()
-    return np.sort(top.column("h").to_numpy().astype(np.int64).view(U))
-
-
-def _pairs(words: Words, hashes: np.ndarray, stream: np.ndarray) -> np.ndarray:
+
+def _pairs(hashes: np.ndarray, stream: np.ndarray) -> np.ndarray:
     """The bigram hash of each token of a block; the block begins after an end."""
-    return grams(np.concatenate(([END], words.symbols(hashes)[stream])), 2)
+    return grams(np.concatenate(([END], hashes[stream])), 2)
 
 
 def _texts(docs: DataFrame, learn: Column) -> DataFrame:
@@ -186,7 +135,7 @@ def _texts(docs: DataFrame, learn: Column) -> DataFrame:
         order = np.argsort(-np.bincount(stream), kind="stable")
         rank = np.empty(len(order), dtype=np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        texts += [pa.array([zlib.compress(b, 1)], pa.binary()) for b in (_planes(rank[stream]), size.astype(np.uint32).tobytes() + own.astype(np.uint8).tobytes(), _planes(_steps(h)) + rank.tobytes())]
+        texts += [pa.array([zlib.compress(b, 1)], pa.binary()) for b in (planes(rank[stream]), size.astype(np.uint32).tobytes() + own.astype(np.uint8).tobytes(), planes(_steps(h)) + rank.tobytes())]
         yield pa.RecordBatch.from_arrays([*texts, pa.nulls(1, pa.list_(pa.float64())), pa.array([whole.to_pylist()], pa.list_(whole.type))], names=_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,10 +175,10 @@ def _block(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     m, n = len(z) // 12, len(y) // 5
     place = np.empty(m, dtype=np.int64)
     place[np.frombuffer(z, np.uint32, m, 8 * m)] = np.arange(m)
-    return np.cumsum(_joined(z[: 8 * m], U), dtype=U), place[_joined(x, np.uint32)], np.frombuffer(y, np.uint32, n).astype(np.int64), np.frombuffer(y, np.uint8, n, 4 * n)
+    return np.cumsum(joined(z[: 8 * m], U), dtype=U), place[joined(x, np.uint32)], np.frombuffer(y, np.uint32, n).astype(np.int64), np.frombuffer(y, np.uint8, n, 4 * n)
 
 
-def _uses(texts: DataFrame, sent: object, log_parts: int, schema: str) -> DataFrame:
+def _uses(texts: DataFrame, log_parts: int, schema: str) -> DataFrame:
     """Each block's distinct words and bigrams with their counts in its learning texts, for their owners."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,16 +187,16 @@ def _uses(texts: DataFrame, sent: object, log_parts: int, schema: str) -> DataFr
             for i, block in enumerate(b.column(2).to_pylist()):
                 h, stream, size, own = _block(b, i)
                 learnt = np.repeat(own, size).astype(float)
-                pair, at = np.unique(_pairs(sent.value, h, stream), return_inverse=True)
+                pair, at = np.unique(_pairs(h, stream), return_inverse=True)
                 for kind, key, which in ((WORDS, h, stream), (PAIRS, pair, at)):
                     count = np.bincount(which, weights=learnt, minlength=len(key)).astype(np.uint32)
-                    made = [(p, kind, block, _planes(_steps(key[a:z])), _planes(count[a:z]), b"", None) for p, a, z in _cut(key, log_parts)]
+                    made = [(p, kind, block, planes(_steps(key[a:z])), planes(count[a:z]), b"", None) for p, a, z in _cut(key, log_parts)]
                     yield from _batches(made, b.column(7).type)
 
     return texts.mapInArrow(run, schema)
 
 
-def _counts(uses: DataFrame, sent: object, schema: str) -> DataFrame:
+def _counts(uses: DataFrame, schema: str) -> DataFrame:
     """Owners of hash ranges: the whole count of each use, in the order asked, and the part's totals.
 
     Of the blocks that use a bigram, one has its bit set: it stands for the bigram.
@@ -260,7 +209,7 @@ def _counts(uses: DataFrame, sent: object, schema: str) -> DataFrame:
         for b in batches:
             ids = b.column(7).type
             for kind, block, x, y in zip(*(b.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True):
-                held[kind].append((block, np.cumsum(_joined(x, U), dtype=U), _joined(y, np.uint32)))
+                held[kind].append((block, np.cumsum(joined(x, U), dtype=U), joined(y, np.uint32)))
         for kind, uses_ in held.items():
             if not uses_:
                 continue
@@ -272,32 +221,27 @@ def _counts(uses: DataFrame, sent: object, schema: str) -> DataFrame:
             at[order] = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(h)]))))
             stands = np.zeros(len(h), dtype=bool)
             stands[order[first]] = True
+            of_counts = [int((c == r).sum()) for r in range(1, CUT + 2)]
             if kind == WORDS:
-                word = h[order[first]]
-                rest = (c > 0) & ~sent.value.known(word, c)
-                sums = [0] * (CUT + 1) + [int(c[word == END].sum()), int(c.sum()), int((c > 0).sum()), int(c[rest].sum()), int(rest.sum())]
+                sums = [0] * (CUT + 1) + of_counts + [int(c[h[order[first]] == END].sum()), int(c.sum()), int((c > 0).sum())]
             else:
-                sums = [int((c == r).sum()) for r in range(1, CUT + 2)] + [0] * 5
+                sums = of_counts + [0] * (CUT + 4)
             made.append((part, TOTALS, -1, b"", b"", b"", [float(x) for x in sums]))
             a = 0
             for block, x, _ in uses_:
-                made.append((part, kind, block, _planes(c[at[a : a + len(x)]]), np.packbits(stands[a : a + len(x)]).tobytes() if kind == PAIRS else b"", b"", None))
+                made.append((part, kind, block, planes(c[at[a : a + len(x)]]), np.packbits(stands[a : a + len(x)]).tobytes() if kind == PAIRS else b"", b"", None))
                 a += len(x)
         yield from _batches(made, ids)
 
     return uses.groupBy("p").applyInArrow(run, schema)
 
 
-def _totals(totals: list[float]) -> Totals:
-    return Totals(*(int(x) for x in totals[CUT + 1 :]), discounts(np.array(totals[: CUT + 1])))
-
-
-def _blocks(rows: DataFrame, sent: object, told: object, log_parts: int, schema: str) -> DataFrame:
+def _blocks(rows: DataFrame, told: object, log_parts: int, schema: str) -> DataFrame:
     """Each block's sums per document but for backoff weights, what its bigrams take from contexts, and the contexts it asks for."""
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_memory()
-        words, t, block = sent.value, told.value, key[0].as_py()
+        t, block = told.value, key[0].as_py()
         counts: dict[int, list[tuple]] = {WORDS: [], PAIRS: []}
         for b in batches:
             for i, kind in enumerate(b.column(1).to_pylist()):
@@ -305,42 +249,39 @@ def _blocks(rows: DataFrame, sent: object, told: object, log_parts: int, schema:
                     h, stream, size, _ = _block(b, i)
                     ids = b.column(7).slice(i, 1)
                 else:
-                    c = _joined(b.column(3)[i].as_py(), U)
+                    c = joined(b.column(3)[i].as_py(), U)
                     counts[kind].append((b.column(0)[i].as_py(), c, np.unpackbits(np.frombuffer(b.column(4)[i].as_py(), np.uint8), count=len(c)) if kind == PAIRS else None))
         c = np.concatenate([r[1] for r in sorted(counts[WORDS], key=lambda r: r[0])]).astype(float)
         counts[PAIRS].sort(key=lambda r: r[0])
         pair_c = np.concatenate([r[1] for r in counts[PAIRS]]).astype(np.int64)
         stands = np.concatenate([r[2] for r in counts[PAIRS]]) > 0
-        known = words.known(h, c)
-        # counts of the symbols that the words are
-        weight = np.where(known, np.maximum(c, 1), max(t.open_n, 1))
-        log_p, log_u, log_c = np.log10(weight / t.mass), np.log10(weight + 1), np.log10(c + 1)
+        p = t.word(c, h == END)
+        log_p, log_c = np.log10(p), np.log10(c + 1)
         before = np.concatenate(([np.searchsorted(h, END)], stream[:-1]))
-        _, first, at = np.unique(_pairs(words, h, stream), return_index=True, return_inverse=True)
+        _, first, at = np.unique(_pairs(h, stream), return_index=True, return_inverse=True)
         seen = pair_c > 0
         ratio = np.concatenate(([1.0], t.discount, [1.0]))
         log_pair = np.log10(np.maximum(pair_c, 1) * ratio[np.minimum(pair_c, CUT + 1)])
         new = ~seen[at]
-        value = np.where(new, log_p[stream], log_pair[at] - log_u[before]) + np.where(known, 0.0, log_c - t.open_log)[stream]
+        value = np.where(new, log_p[stream], log_pair[at] - log_c[before])
         doc = np.repeat(np.arange(len(size)), size)
         add = lambda w: np.bincount(doc, weights=w, minlength=len(size))
         info = np.stack((size, add((c > 0)[stream]), add(log_c[stream]) - size * t.base_log, add(value))).astype(float)
-        symbol = words.symbols(h)
         # a context that is not learnt has the backoff weight 1
-        asks = np.flatnonzero(new & (known | (symbol == OPEN))[before])
-        asked, number = np.unique(symbol[before[asks]], return_inverse=True)
+        asks = np.flatnonzero(new & (c > 0)[before])
+        asked, number = np.unique(h[before[asks]], return_inverse=True)
         texts = [pa.array([0], pa.int32()), pa.array([TEXTS], pa.int32()), pa.array([block], pa.int64())]
-        texts += [pa.array([x], pa.binary()) for x in (info.tobytes(), _planes(number.astype(np.uint32)), _planes(doc[asks].astype(np.uint16)))]
+        texts += [pa.array([x], pa.binary()) for x in (info.tobytes(), planes(number.astype(np.uint32)), planes(doc[asks].astype(np.uint16)))]
         yield pa.RecordBatch.from_arrays([*texts, pa.nulls(1, pa.list_(pa.float64())), ids], names=_NAMES)
-        made = [(p, ASKED, block, _planes(_steps(asked[a:z])), b"", b"", None) for p, a, z in _cut(asked, log_parts)]
+        made = [(part, ASKED, block, planes(_steps(asked[a:z])), b"", b"", None) for part, a, z in _cut(asked, log_parts)]
         one = np.flatnonzero(seen & stands)
         u, v, k = before[first[one]], stream[first[one]], pair_c[one]
-        context, where, ui = np.unique(symbol[u], return_index=True, return_inverse=True)
+        context, where, ui = np.unique(h[u], return_index=True, return_inverse=True)
         few = np.stack([np.bincount(ui, weights=k == r, minlength=len(context)) for r in range(1, CUT + 1)]).astype(np.uint32)
-        used, mass = (np.bincount(ui, weights=w, minlength=len(context)) for w in (k, weight[v] / t.mass))
-        for p, a, z in _cut(context, log_parts):
-            rest = np.stack((used[a:z], weight[u[where[a:z]]], mass[a:z]))
-            made.append((p, TAKEN, block, _planes(_steps(context[a:z])), _planes(few[:, a:z].ravel()), _planes(rest.ravel()), None))
+        used, mass = (np.bincount(ui, weights=w, minlength=len(context)) for w in (k, p[v]))
+        for part, a, z in _cut(context, log_parts):
+            rest = np.stack((used[a:z], c[u[where[a:z]]], mass[a:z]))
+            made.append((part, TAKEN, block, planes(_steps(context[a:z])), planes(few[:, a:z].ravel()), planes(rest.ravel()), None))
         yield from _batches(made, ids.type)
 
     return rows.groupBy("block").applyInArrow(run, schema)
@@ -356,11 +297,11 @@ def _weights(rows: DataFrame, told: object, schema: str) -> DataFrame:
         for b in batches:
             ids = b.column(7).type
             for kind, block, x, y, z in zip(*(b.column(k).to_pylist() for k in (1, 2, 3, 4, 5)), strict=True):
-                h = np.cumsum(_joined(x, U), dtype=U)
+                h = np.cumsum(joined(x, U), dtype=U)
                 if kind == ASKED:
                     asked.append((block, h))
                 else:
-                    taken.append((h, _joined(y, np.uint32).reshape(CUT, -1), _joined(z, np.float64).reshape(3, -1)))
+                    taken.append((h, joined(y, np.uint32).reshape(CUT, -1), joined(z, np.float64).reshape(3, -1)))
         h, log_alpha = np.zeros(1, U), np.zeros(1)
         if taken:
             h, at = np.unique(np.concatenate([r[0] for r in taken]), return_inverse=True)
@@ -371,7 +312,8 @@ def _weights(rows: DataFrame, told: object, schema: str) -> DataFrame:
             count[at] = weight
             off = sum(add(few[r - 1]) * r * (1 - told.value.discount[r - 1]) for r in range(1, CUT + 1))
             left = 1 - (add(used) - off) / (count + 1)
-            log_alpha = np.log10(np.maximum(left, 1e-300) / np.maximum(1 - add(mass), 1e-12))
+            # both are positive: c(u) + 1 exceeds what is used, and the open class is never seen
+            log_alpha = np.log10(left / (1 - add(mass)))
         made = []
         for block, x in asked:
             i = np.minimum(np.searchsorted(h, x), len(h) - 1)
@@ -397,15 +339,13 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return np.where((d > 0) & (d <= 1) & np.isfinite(d), d, half)
 
 
-def score(docs: DataFrame, learn: Column, vocabulary: int | None = None) -> DataFrame:
+def score(docs: DataFrame, learn: Column) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score per row of docs.
 
-    learn is a condition on doc_id that picks the learning rows; without
-    `vocabulary` the model has every learnt word.
+    learn is a condition on doc_id that picks the learning rows.
     """
     spark = docs.sparkSession
     learn = F.coalesce(learn, F.lit(False))
-    sent = spark.sparkContext.broadcast(Words(None if vocabulary is None else frequent(docs, learn, vocabulary)))
     # parts grow with the corpus: a power of two with PART_TOKENS tokens each or so
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     log_parts = max(6, min(18, math.ceil(math.log2(max(size, 1) / TOKEN_BYTES / PART_TOKENS))))
@@ -418,12 +358,13 @@ def score(docs: DataFrame, learn: Column, vocabulary: int | None = None) -> Data
         return spark.read.schema(columns).parquet(path).select(*_NAMES)
 
     stored_texts = stored(_texts(docs, learn), "katz-texts")
-    counts = kept(_counts(_uses(stored_texts, sent, log_parts, schema), sent, schema), "katz-counts")
-    found = counts.where(F.col("kind") == TOTALS).agg(*[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(CUT + 6)]).first()
-    totals = _totals([x or 0.0 for x in found])
+    counts = kept(_counts(_uses(stored_texts, log_parts, schema), schema), "katz-counts")
+    found = counts.where(F.col("kind") == TOTALS).agg(*[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(2 * CUT + 5)]).first()
+    sums = np.array([x or 0.0 for x in found])
+    totals = totals_of(sums[: CUT + 1], sums[CUT + 1 : 2 * CUT + 2], *(int(x) for x in sums[2 * CUT + 2 :]))
     told = spark.sparkContext.broadcast(totals)
     texts = stored_texts.unionByName(counts.where(F.col("kind").isin(WORDS, PAIRS)))
-    blocks = kept(_blocks(texts, sent, told, log_parts, schema), "katz-blocks")
+    blocks = kept(_blocks(texts, told, log_parts, schema), "katz-blocks")
     weights = _weights(blocks.where(F.col("kind").isin(TAKEN, ASKED)), told, schema)
     n = totals.n
 
@@ -434,7 +375,7 @@ def score(docs: DataFrame, learn: Column, vocabulary: int | None = None) -> Data
                 if kind == TEXTS:
                     x, y, z = (b.column(k)[i].as_py() for k in (3, 4, 5))
                     ids, info = b.column(7)[i].values, np.frombuffer(x).reshape(4, -1)
-                    number, doc = _joined(y, np.uint32), _joined(z, np.uint16)
+                    number, doc = joined(y, np.uint32), joined(z, np.uint16)
                 else:
                     answers.append((b.column(0)[i].as_py(), np.frombuffer(b.column(3)[i].as_py())))
         size, known, base, logs = info

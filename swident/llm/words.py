@@ -167,3 +167,14 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
 
 def batch_of(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in schema], schema=schema)
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Bytes of equal significance together, which compress well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() if len(x) else b""
+
+
+def joined(data: bytes, kind: type) -> np.ndarray:
+    """The array that planes() took apart."""
+    n = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(n, -1).T).view(kind).ravel() if data else np.zeros(0, kind)

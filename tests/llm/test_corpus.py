@@ -198,6 +198,23 @@ def test_near_duplicates_against_all_pairs(spark):
     assert near_duplicates.near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("blocks", [1 << 22, 2000])
+def test_near_duplicates_with_hot_keys(spark, monkeypatch, blocks):
+    """Every group salted, every join on a node or pivot with a hot side, small blocks: the same classes."""
+    for name, value in (("HOT", 3), ("MOST_HOT", 10**9), ("SAMPLE", 1), ("SALTED_ROWS", 16), ("BLOCK_BYTES", blocks)):
+        monkeypatch.setattr(near_duplicates, name, value)
+    rng = random.Random(12)
+    hub, passage = prose(rng, 150), prose(rng, 200)
+    texts = [edited(rng, hub, rng.choice([0.01, 0.02, 0.03])) for _ in range(80)] + [hub] * 30
+    texts += [passage + " " + prose(rng, rng.choice([30, 60, 120])) for _ in range(50)] + [prose(rng, 40) for _ in range(20)] + [None, "", "x y"]
+    docs = frame(spark, texts).repartition(7)
+    assert near_duplicates.frequent_keys(docs, Fraction(4, 5))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
+    want = plain_components(texts)
+    assert [got[i] for i in range(len(texts))] == want
+    assert sorted(r.doc_id for r in near_duplicates.keep_one(docs).collect()) == [i for i, (n, c) in enumerate(want) if c == i]
+
+
 def test_every_linking_pair_shares_a_key():
     rng = np.random.default_rng(1)
     t = Fraction(4, 5)
@@ -218,76 +235,75 @@ def test_every_linking_pair_shares_a_key():
 # --- language model --------------------------------------------------------
 
 
-def plain_katz(texts, vocabulary):
+def plain_katz(texts, learnt=lambda i: zlib.crc32(str(i).encode()) % 7 != 2):
+    """Counts, base and model score of each text, and the sum of probabilities after each context."""
     words = [SPACED.findall((t or "").translate(LOW)) for t in texts]
-    train = [w for i, w in enumerate(words) if zlib.crc32(str(i).encode()) % 7 != 2]
-    c = collections.Counter(x for w in train for x in w)
-    known = {w for w, _ in sorted(((w, n) for w, n in c.items() if n >= 2), key=lambda x: -x[1])[:vocabulary]}
-    open_n, open_v = sum(n for w, n in c.items() if w not in known), sum(w not in known for w in c)
-    n, v = sum(c.values()) + len(train), len(c) + bool(train)
-    name = lambda w: w if w in known else "<open>"
-    u = {w: c[w] for w in known} | {"</s>": max(len(train), 1), "<open>": max(open_n, 1)}
-    total = sum(u.values())
-    two = collections.Counter(g for w in train for g in zip(["</s>", *map(name, w)], [*map(name, w), "</s>"], strict=True))
-    of = collections.Counter(two.values())
-    d = katz.discounts(np.array([of[r] for r in range(1, katz.CUT + 2)], float))
-    star = lambda k: k * (d[k - 1] if k <= katz.CUT else 1)
-    used, mass = collections.Counter(), collections.Counter()
+    train = [w for i, w in enumerate(words) if learnt(i)]
+    one = collections.Counter(x for w in train for x in [*w, "</s>"])
+    two = collections.Counter(g for w in train for g in zip(["</s>", *w], [*w, "</s>"], strict=True))
+    n, v = sum(one.values()), len(one)
+    if not train:
+        one["</s>"] = 1
+    of = [np.array([sum(k == r for k in c.values()) for r in range(1, katz.CUT + 2)], float) for c in (one, two)]
+    d1, d2 = (katz.discounts(x) for x in of)
+    star = lambda k, d: k * (d[k - 1] if k <= katz.CUT else 1)
+    p = {w: star(k, d1) / sum(one.values()) for w, k in one.items()}
+    unseen = 1 - sum(p.values())
+    if all(k > katz.CUT for k in one.values()):
+        p, unseen = {w: x * n / (n + 1) for w, x in p.items()}, 1 / (n + 1)
+    after = collections.defaultdict(dict)
     for (a, b), k in two.items():
-        used[a] += star(k)
-        mass[a] += u[b] / total
-    alpha = {a: (1 - used[a] / (u[a] + 1)) / max(1 - mass[a], 1e-12) for a in u}
-    prob = lambda a, b: star(two[a, b]) / (u[a] + 1) if (a, b) in two else alpha[a] * u[b] / total
+        after[a][b] = star(k, d2) / (one[a] + 1)
+    alpha = {a: (1 - sum(s.values())) / (1 - sum(p[b] for b in s)) for a, s in after.items()}
+    single = lambda b: p.get(b, unseen)
+    prob = lambda a, b: after[a][b] if b in after.get(a, {}) else alpha.get(a, 1.0) * single(b)
     out = []
     for w in words:
-        score = sum(math.log10(prob(a, b)) for a, b in zip(["</s>", *map(name, w)], [*map(name, w), "</s>"], strict=True))
-        score += sum(math.log10((c[x] + 1) / (open_n + open_v + 1)) for x in w if x not in known)
-        ends = len(train)
-        base = sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w) + math.log10((ends + 1) / (n + v + 1))
-        out.append((len(w) + 1, sum(c[x] > 0 for x in w) + (ends > 0), n, base, score))
-    # a context that has seen every word has nothing to back off to
-    sums = {a: sum(prob(a, b) for b in u) for a in list(u)[:20] if 1 - mass[a] > 1e-9}
-    return out, sums
-
-
-@pytest.mark.parametrize("vocabulary", [katz.VOCABULARY, 0])
-def test_katz(spark, vocabulary):
-    rng = random.Random(8)
-    texts = [prose(rng, rng.randint(1, 80)) for _ in range(150)] + ["once " + prose(rng, 5), *ODD, "the the the " * 50]
-    docs = frame(spark, texts).withColumn("score", F.lit("clash"))
-    got = {r.doc_id: r for r in katz.score(docs, ~held_out(F.col("doc_id"), 7, 2), vocabulary).collect()}
-    want, sums = plain_katz(texts, vocabulary)
+        score = sum(math.log10(prob(a, b)) for a, b in zip(["</s>", *w], [*w, "</s>"], strict=True))
+        known = one if train else {}
+        base = sum(math.log10((known.get(x, 0) + 1) / (n + v + 1)) for x in [*w, "</s>"])
+        out.append((len(w) + 1, sum(x in known for x in [*w, "</s>"]), n, base, score))
+    return out, {a: sum(prob(a, b) for b in [*p, "<none of them>"]) for a in alpha}
+
+
+def katz_equals_plain(spark, texts, learnt, condition):
+    docs = frame(spark, texts).withColumns({"score": F.lit("clash"), "p": F.lit(1), "block": F.lit("x")})
+    got = {r.doc_id: r for r in katz.score(docs, condition).collect()}
+    want, sums = plain_katz(texts, learnt) if learnt else plain_katz(texts)
     assert len(got) == len(texts)
     for i, e in enumerate(want):
         r = got[i]
         assert (r.n_tokens, r.n_known, r.train_tokens) == e[:3]
-        assert r.base_score == pytest.approx(e[3], rel=1e-9) and r.score == pytest.approx(e[4], rel=1e-9)
+        assert r.base_score == pytest.approx(e[3], rel=1e-9, abs=1e-12) and r.score == pytest.approx(e[4], rel=1e-9)
     assert all(s == pytest.approx(1.0) for s in sums.values())
+    return sums
+
+
+@pytest.mark.parametrize(("tokens", "docs"), [(1_000_000, 32_768), (150, 7)])
+def test_katz(spark, monkeypatch, tokens, docs):
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", tokens)
+    monkeypatch.setattr(katz, "BLOCK_DOCS", docs)
+    rng = random.Random(8)
+    texts = [prose(rng, rng.randint(1, 80)) for _ in range(150)] + ["once " + prose(rng, 5), *ODD, "the the the " * 50]
+    katz_equals_plain(spark, texts, None, ~held_out(F.col("doc_id"), 7, 2))
+
+
+def test_katz_of_contexts_that_saw_every_word(spark):
+    """Few words, so that contexts are followed by all of them, often and seldom; all sums are 1."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices("abc", k=30)) for _ in range(40)] + ["a b c d", "d", "e e", ""]
+    assert len(katz_equals_plain(spark, texts, lambda i: i < 42, F.col("doc_id") < 42)) == 5
+    # no count of a word, or of a pair, is discounted
+    katz_equals_plain(spark, ["a b"] * 9 + ["b a", "a c"], lambda i: i < 9, F.col("doc_id") < 9)
+    # repeated rows count as often as they occur
+    twice = frame(spark, ["a b c", "a b"]).unionByName(frame(spark, ["a b c", "a b"]))
+    got = {(r.doc_id, round(r.score, 9), r.train_tokens) for r in katz.score(twice, F.lit(True)).collect()}
+    assert got == {(i % 2, round(e[4], 9), 14) for i, e in enumerate(plain_katz(["a b c", "a b"] * 2, lambda i: True)[0])}
 
 
 def test_katz_keeps_every_word(spark):
-    """Words met once have bigrams and backoff weights of their own: P(b | a) is not that of any rare pair."""
-    texts = ["rare word pair", "other term here", "more text there", "rare word here"] + ["filler text"] * 3
-    docs = frame(spark, texts)
-    got = {r.doc_id: r.score for r in katz.score(docs, F.col("doc_id") != 3).collect()}
-    train = [t.split() for i, t in enumerate(texts) if i != 3]
-    two = collections.Counter(g for w in train for g in zip(["</s>", *w], [*w, "</s>"], strict=True))
-    one = collections.Counter(x for w in train for x in [*w, "</s>"])
-    total = sum(one.values()) + 1
-    of = collections.Counter(two.values())
-    d = katz.discounts(np.array([of[r] for r in range(1, katz.CUT + 2)], float))
-    star = lambda k: k * (d[k - 1] if k <= katz.CUT else 1)
-
-    def prob(a, b):
-        if (a, b) in two:
-            return star(two[a, b]) / (one[a] + 1)
-        after = [(y, k) for (x, y), k in two.items() if x == a]
-        left = 1 - sum(star(k) for _, k in after) / (one[a] + 1)
-        return left / (1 - sum(one[y] for y, _ in after) / total) * one[b] / total
-
-    for i, text in enumerate(texts):
-        w = text.split()
-        assert got[i] == pytest.approx(sum(math.log10(prob(a, b)) for a, b in zip(["</s>", *w], [*w, "</s>"], strict=True)), rel=1e-9)
+    """Words met once have bigrams and backoff weights of their own."""
+    katz_equals_plain(spark, ["rare word pair", "other term here", "more text there", "rare word here"] + ["filler text"] * 3, lambda i: i != 3, F.col("doc_id") != 3)
 
 
 def test_katz_on_nothing(spark):
