@@ -36,6 +36,7 @@ empty table gives no rows; result columns have names of their own.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -49,7 +50,7 @@ from pyspark.sql import types as T
 from ..storage import stored
 from .common import labelled_examples, lower_ascii
 from .decontaminate import words_of
-from .words import ALNUM, Slice, slices
+from .words import ALNUM, Slice, joined, lean_memory, planes, slices
 
 MAX_EXAMPLES = 16_384
 CALIBRATED = 2048
@@ -108,7 +109,7 @@ def _similar_first(rows: np.ndarray, block: int = BLOCK) -> np.ndarray:
         if z - a <= block:
             continue
         x = rows[order[a:z]]
-        x = x - x.mean(axis=0)
+        x -= x.mean(axis=0)
         v = rng.normal(size=x.shape[1]).astype(np.float32)
         for _ in range(6):
             v = x.T @ (x @ v)
@@ -121,20 +122,17 @@ def _similar_first(rows: np.ndarray, block: int = BLOCK) -> np.ndarray:
 
 @dataclass
 class Index:
-    """The examples' unit vectors over all their words, forwards and inverted by blocks."""
+    """The examples' unit vectors over all their words, forwards and inverted by blocks.
+
+    A pickle of it holds terms and counts, compressed; what follows from them is
+    worked out again where it is read.
+    """
 
     hashes: np.ndarray  # sorted, of each term
     idf: np.ndarray  # with the weight of telling words
-    unseen: float  # idf of words that no example has
-    first: np.ndarray  # terms of example i: first[i] .. first[i + 1]
+    first: np.ndarray  # terms of example i: first[i] .. first[i + 1], rising
     term: np.ndarray
-    weight: np.ndarray
-    start: np.ndarray  # postings of term t: start[t] .. start[t + 1]; none for dense terms
-    example: np.ndarray
-    impact: np.ndarray
-    place: np.ndarray  # of a dense term, else -1
-    dense: np.ndarray  # place x example
-    most: np.ndarray  # place x block: the largest weight
+    count: np.ndarray
     label: np.ndarray
     ids: list
     by_id: np.ndarray  # rank of each example's id
@@ -142,6 +140,45 @@ class Index:
     without: float
     scale: tuple[float, float] = (1.0, 0.0)
 
+    def __post_init__(self) -> None:
+        n, size = self.n, np.diff(self.first)
+        self.unseen = math.log(2 + n)  # idf of words that no example has
+        self.weight = np.empty(len(self.term), dtype=np.float32)
+        for a in range(0, n, 1024):
+            z = min(a + 1024, n)
+            lo, hi = int(self.first[a]), int(self.first[z])
+            weight = (1 + np.log(self.count[lo:hi])) * self.idf[self.term[lo:hi]]
+            norm = np.sqrt(np.add.reduceat(weight * weight, self.first[a:z] - lo))
+            self.weight[lo:hi] = weight / np.repeat(norm, size[a:z])
+        frequency = np.bincount(self.term, minlength=len(self.hashes))
+        top = np.argsort(-frequency, kind="stable")[:DENSE]
+        self.place = np.full(len(self.hashes), -1, dtype=np.int16)  # of a dense term
+        self.place[top] = np.arange(len(top))
+        owner = np.repeat(np.arange(n, dtype=np.uint16 if n <= 1 << 16 else np.int32), size)
+        at = self.place[self.term]
+        self.dense = np.zeros((len(top), n), dtype=np.float32)  # place x example
+        common = at >= 0
+        self.dense[at[common], owner[common]] = self.weight[common]
+        # the largest weight of each dense term in each block
+        self.most = np.maximum.reduceat(self.dense, np.arange(0, n, BLOCK), axis=1) if n else np.zeros((len(top), 0), np.float32)
+        # postings of the other terms t: start[t] .. start[t + 1]
+        self.start = np.concatenate(([0], np.cumsum(np.where(self.place < 0, frequency, 0)))).astype(np.int64)
+        term, owner, weight = self.term[~common], owner[~common], self.weight[~common]
+        order = np.argsort(term, kind="stable")
+        self.example, self.impact = owner[order], weight[order]
+
+    def __getstate__(self) -> dict:
+        state = {k: getattr(self, k) for k in ("hashes", "idf", "first", "label", "ids", "by_id", "prior", "without", "scale")}
+        steps = np.diff(self.term, prepend=np.int32(0))
+        return state | {"term": zlib.compress(planes(steps), 1), "count": zlib.compress(planes(self.count), 1)}
+
+    def __setstate__(self, state: dict) -> None:
+        lean_memory()
+        self.__dict__.update(state)
+        self.term = np.cumsum(joined(zlib.decompress(state["term"]), np.int32), dtype=np.int32)
+        self.count = joined(zlib.decompress(state["count"]), np.uint32)
+        self.__post_init__()
+
     @property
     def n(self) -> int:
         return len(self.label)
@@ -281,45 +318,46 @@ def fit_scale(vote: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float
     return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
 
 
+def _numbered(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct hashes, the number of each hash in them), one range of hashes at a time."""
+    part = (h >> np.uint64(60)).astype(np.uint8)
+    number, distinct, known = np.empty(len(h), dtype=np.int32), [np.zeros(0, np.uint64)], 0
+    for r in range(16):
+        at = np.flatnonzero(part == r)
+        own, back = np.unique(h[at], return_inverse=True)
+        number[at] = known + back
+        distinct.append(own)
+        known += len(own)
+    return np.concatenate(distinct), number
+
+
 def build(texts: list[tuple[object, int, np.ndarray, np.ndarray]], evidence: dict[str, float], calibrate: int = CALIBRATED) -> Index:
-    """The index of examples (id, label, word hashes, counts), whatever their order."""
+    """The index of examples (id, label, word hashes, counts), whatever their order; takes the list apart."""
     prior = sum(t[1] for t in texts) / len(texts) if texts else 0.0
     empty = [t[1] for t in texts if not len(t[2])]
     without = sum(empty) / len(empty) if empty else prior
     rows = sorted((t for t in texts if len(t[2])), key=lambda t: t[:2])
-    n = len(rows)
-    hashes, term = np.unique(np.concatenate([t[2] for t in rows] or [np.zeros(0, np.uint64)]), return_inverse=True)
-    count = np.concatenate([t[3] for t in rows] or [np.zeros(0)])
-    frequency = np.bincount(term, minlength=len(hashes))
-    idf = np.log((2 + n) / (1 + frequency))
+    texts.clear()
+    n, size = len(rows), np.array([len(t[2]) for t in rows], dtype=np.int64)
+    label, ids = np.array([t[1] for t in rows], dtype=float), [t[0] for t in rows]
+    count = np.concatenate([t[3] for t in rows] or [np.zeros(0)]).astype(np.uint32)
+    h = np.concatenate([t[2] for t in rows] or [np.zeros(0, np.uint64)])
+    del rows
+    hashes, term = _numbered(h)
+    del h
+    idf = np.log((2 + n) / (1 + np.bincount(term, minlength=len(hashes))))
     for s in slices(pa.array(list(evidence), pa.string()), ALNUM):
         idf[np.searchsorted(hashes, s.hashes(True))] *= 1 + np.array(list(evidence.values()))[s.first : s.first + s.n_docs]
-    size = np.array([len(t[2]) for t in rows], dtype=np.int64)
-    weight = (1 + np.log(count)) * idf[term]
-    owner = np.repeat(np.arange(n), size)
-    weight = (weight / np.sqrt(np.bincount(owner, weights=weight * weight, minlength=n))[owner]).astype(np.float32)
-    top = np.argsort(-frequency, kind="stable")[:DENSE]
-    place = np.full(len(hashes), -1, dtype=np.int16)
-    place[top] = np.arange(len(top))
-    common = place[term] >= 0
-    dense = np.zeros((n, len(top)), dtype=np.float32)
-    dense[owner[common], place[term[common]]] = weight[common]
+    first = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+    index = Index(hashes, idf, first, term, count, label, ids, np.arange(n), prior, without)
     # number the examples anew, similar ones together
-    order = _similar_first(dense)
-    dense = np.ascontiguousarray(dense[order].T)
-    most = np.maximum.reduceat(dense, np.arange(0, n, BLOCK), axis=1) if n else np.zeros((len(top), 0), np.float32)
-    first = np.cumsum(size) - size
+    order = _similar_first(index.dense.T)
     at = _ranges(first[order], size[order])
-    term, weight, owner = term[at].astype(np.int32), weight[at], np.repeat(np.arange(n), size[order])
-    rare = np.flatnonzero(place[term] < 0)
-    rare = rare[np.argsort(term[rare], kind="stable")]
-    start = np.concatenate(([0], np.cumsum(np.bincount(term[rare], minlength=len(hashes))))).astype(np.int64)
-    narrow = np.uint16 if n <= 1 << 16 else np.int32
-    index = Index(
-        hashes, idf, math.log(2 + n), np.concatenate(([0], np.cumsum(size[order]))), term, weight,
-        start, owner[rare].astype(narrow), weight[rare], place, dense, most,
-        np.array([rows[i][1] for i in order], dtype=float), [rows[i][0] for i in order], order.copy(), prior, without,
-    )
+    first = np.concatenate(([0], np.cumsum(size[order]))).astype(np.int64)
+    del index
+    term, count = term[at], count[at]
+    del at
+    index = Index(hashes, idf, first, term, count, label[order], [ids[i] for i in order], order, prior, without)
     # votes on some examples, each by the others
     some = np.sort(np.argsort(order)[:: max(1, -(-n // max(calibrate, 1)))]) if n > 1 else np.zeros(0, np.int64)
     bounds = np.concatenate(([0], np.cumsum(index.first[some + 1] - index.first[some])))
@@ -338,6 +376,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examp
 
     It holds the distinct words of at most max_examples texts.
     """
+    lean_memory()
     chosen = stored(labelled_examples(docs, labels, label, learn, max_examples), "examples")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -349,8 +388,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examp
                 cells = [[x[a:z].tobytes() for a, z in zip(cut[:-1], cut[1:], strict=True)] for x in (h, count.astype(np.uint32))]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s.first, s.n_docs), b.column(2).slice(s.first, s.n_docs).cast(pa.int32()), *[pa.array(c, pa.binary()) for c in cells]], names=["doc_id", "y", "h", "c"])
 
+    evidence = telling(chosen)
     found = chosen.mapInArrow(run, f"doc_id {kind}, y int, h binary, c binary").collect()
-    return build([(r.doc_id, r.y, np.frombuffer(r.h, np.uint64), np.frombuffer(r.c, np.uint32)) for r in found], telling(chosen))
+    texts = [(r.doc_id, r.y, np.frombuffer(r.h, np.uint64), np.frombuffer(r.c, np.uint32)) for r in found]
+    del found
+    return build(texts, evidence)
 
 
 EVIDENCE = T.ArrayType(T.StructType().add("example", "string").add("cosine", "double").add("label", "integer"))
