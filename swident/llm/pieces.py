@@ -56,9 +56,8 @@ NODES = 250_000
 SHORT = 48
 #: Characters of text that are worked on at a time.
 BATCH = 1_000_000
-_NONE = 1 << 60
+_NONE = (1 << 31) - 1
 _BITS = 20
-_LOW = (1 << _BITS) - 1
 _MASK = (1 << 64) - 1
 _STEP, _MIX, _SALT = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
 _PLACES = np.arange(1 << 10, dtype=np.uint64) * np.uint64(_STEP)
@@ -81,7 +80,7 @@ class Vocabulary:
         self.id: dict[str, int] = {}
         self.byte = [b""] * 256
         self.out: list[bytes] = []
-        rank: dict[str, int] = {}
+        rank: dict[int, int] = {}
         for i in range(m.get_piece_size()):
             piece = m.id_to_piece(i)
             if m.is_byte(i):
@@ -92,14 +91,16 @@ class Vocabulary:
             else:
                 self.out.append(piece.replace(SPACE, " ").encode())
                 self.id[piece] = i
-                rank[piece] = round(-m.get_score(i))
-        # (left, right) -> rank and number of the merged piece, in one integer
+                rank[i] = round(-m.get_score(i))
+        # (left, right) -> place of the merged piece in the order of merges
+        self.piece = np.array(sorted(self.id.values(), key=lambda i: (rank[i], i)), dtype=np.int32)
+        order = {i: k for k, i in enumerate(self.piece.tolist())}
         self.merge: dict[int, int] = {}
         for piece, i in self.id.items():
             for k in range(1, len(piece)):
-                a, b = self.id.get(piece[:k]), self.id.get(piece[k:])
-                if a is not None and b is not None:
-                    self.merge[a << _BITS | b] = rank[piece] << _BITS | i
+                x, y = self.id.get(piece[:k]), self.id.get(piece[k:])
+                if x is not None and y is not None:
+                    self.merge[x << _BITS | y] = order[i]
         self._hash_merges()
         self.of_char = np.full(0x110000, -1, dtype=np.int32)
         for piece, i in self.id.items():
@@ -114,10 +115,10 @@ class Vocabulary:
     def _hash_merges(self) -> None:
         """The merges in a table of open addresses."""
         key = np.fromiter(self.merge, dtype=np.int64, count=len(self.merge))
-        value = np.fromiter(self.merge.values(), dtype=np.int64, count=len(self.merge))
+        value = np.fromiter(self.merge.values(), dtype=np.int32, count=len(self.merge))
         self.shift = np.uint64(64 - max(4 * len(key), 16).bit_length())
         self.slot_key = np.full(1 << int(64 - self.shift), -2, dtype=np.int64)
-        self.slot_value = np.full(len(self.slot_key), _NONE, dtype=np.int64)
+        self.slot_value = np.full(len(self.slot_key), _NONE, dtype=np.int32)
         self.probes = 0
         while len(key):
             at = self._slots(key)
@@ -135,11 +136,11 @@ class Vocabulary:
         return (at + (self.probes if probe is None else probe)) & (len(self.slot_key) - 1)
 
     def merges(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Rank and number of each pair's merged piece, _NONE where there is none."""
-        key = np.where((a | b) < 0, -1, a << _BITS | b)
+        """The place in the order of merges of each pair's merged piece, _NONE where there is none."""
+        key = np.where((a | b) < 0, -1, a.astype(np.int64) << _BITS | b)
         at = self._slots(key, 0)
         have = self.slot_key[at]
-        out = np.where(have == key, self.slot_value[at], _NONE)
+        out = np.where(have == key, self.slot_value[at], np.int32(_NONE))
         more = np.flatnonzero((have != key) & (have != -2) & (key >= 0))
         flat, keys = out.reshape(-1), key.reshape(-1)
         for probe in range(1, self.probes):
@@ -250,13 +251,13 @@ class Pieces:
             last = np.array([p[-1] if p else -1 for p in paths])
             done = np.zeros(n, dtype=np.int64)  # skips of the path that were met
         inside = np.arange(width + 1) < length[:, None]
-        ids = np.full((n, width + 1), -1, dtype=np.int64)
+        ids = np.full((n, width + 1), -1, dtype=np.int32)
         ids[inside] = v.of_char[np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)]
         absent = inside & (ids < 0)
         lacking = absent.any(axis=1)
         if lacking.any():
-            ids = np.where(absent, -1 - np.arange(width + 1), ids)
-        rank = np.full((n, width + 1), _NONE, dtype=np.int64)
+            ids = np.where(absent, -1 - np.arange(width + 1, dtype=np.int32), ids)
+        rank = np.full((n, width + 1), _NONE, dtype=np.int32)
         rank[:, :-1] = v.merges(ids[:, :-1], ids[:, 1:])
         after = np.broadcast_to(np.minimum(np.arange(1, width + 2), width), (n, width + 1)).copy()
         before = np.broadcast_to(np.arange(-1, width), (n, width + 1)).copy()
@@ -270,7 +271,7 @@ class Pieces:
             go = np.flatnonzero(best != _NONE)
             if len(go) < len(row):
                 row, at, best = row[go], at[go], best[go]
-            new = best & _LOW
+            new = v.piece[best]
             if keys is not None:
                 skip = draws(keys[row], _PLACES[at], v.salts[new]) < self.limit
             else:
@@ -287,14 +288,14 @@ class Pieces:
             rank[r, j] = _NONE
             after[r, i] = k
             before[r, k] = i
-            rank[r, i] = v.merges(new, np.where(k < length[r], ids[r, k], -1))
+            rank[r, i] = v.merges(new, np.where(k < length[r], ids[r, k], np.int32(-1)))
             h = before[r, i]
             left = h >= 0
             r, h, new = r[left], h[left], new[left]
             rank[r, h] = v.merges(ids[r, h], new)
             step += 1
         ends = np.cumsum(live.sum(axis=1)).tolist()
-        packed = ids[live].astype(np.int32)
+        packed = ids[live]
         data = packed.tobytes()
         out = [data[4 * a : 4 * z] for a, z in zip([0, *ends[:-1]], ends, strict=True)]
         for r in np.flatnonzero(lacking).tolist():
@@ -322,7 +323,7 @@ class Pieces:
             j = after[i] if live[i] else n
             if j >= n or ids[i] < 0 or ids[j] < 0 or get(ids[i] << _BITS | ids[j]) != r:
                 continue
-            new = r & _LOW
+            new = int(self.v.piece[r])
             if limit:
                 h = (key ^ (i * _STEP & _MASK) ^ (new * _SALT & _MASK)) * _MIX & _MASK
                 if (h ^ (h >> 32)) * _MIX & _MASK < limit:
@@ -353,10 +354,12 @@ class Pieces:
         """The ids of each text as packed 32-bit integers; documents are 64-bit keys."""
         if len(self.unit) + len(self.once) // 2 > NODES:
             self._begin()
-        split = [self.units_of(t) for t in texts]
-        count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-        units: list[str | None] = [u for s in split for u in s]
-        del split
+        units: list[str | None] = []
+        count = np.zeros(len(texts), dtype=np.int64)
+        for i, t in enumerate(texts):
+            before = len(units)
+            units += self.units_of(t)
+            count[i] = len(units) - before
         get = self.root.get
         # the mark is node 0; a unit has a node from the second time on
         node = np.fromiter(map(get, units, repeat(-1)), dtype=np.int64, count=len(units))
