@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,15 @@ def merge(fast: DataFrame, escalated: DataFrame, model: str) -> DataFrame:
     return joined.select("title", "pos", *[F.when(use, F.col(f"e_{c}")).otherwise(F.col(c)).alias(c) for c in swap], old_rule, F.when(use, model).otherwise("").alias("escalated_by"))
 
 
+def escalate(fast: DataFrame, run: Callable[[DataFrame], DataFrame], model: str) -> DataFrame:
+    """Run a larger model over the tail and merge what it gives: merge() of both passes.
+
+    run maps the tail's rows to results with the same columns; titles that it
+    doesn't give back keep their fast row.
+    """
+    return merge(fast, run(tail(fast)), model)
+
+
 def counters(fast: DataFrame, merged: DataFrame) -> DataFrame:
     """rows, tail, escalated_done, m1x_before, m1x_after.
 
@@ -84,6 +95,13 @@ def reclassify(results: DataFrame, dictionary: DataFrame, key: str = "pos") -> D
     return out.withColumn("matched_cpe", F.when(done, F.coalesce("new_match", F.lit(""))).otherwise(F.col("matched_cpe"))).withColumn("match_similarity", F.when(done, F.col("new_similarity")).otherwise(F.col("match_similarity"))).drop("new_rule", "new_name", "new_similarity", "new_match")
 
 
+def reclassify_counters(out: DataFrame) -> DataFrame:
+    """rows, reclassified, unchanged_invalid, cpe_mismatch and changed (another rule than before)."""
+    kinds = ["reclassified", "unchanged_invalid", "cpe_mismatch"]
+    changed = (F.col("status") == "reclassified") & ~F.col("old_rule").eqNullSafe(F.col("rule"))
+    return out.agg(F.count("*").alias("rows"), *[F.count_if(F.col("status") == k).alias(k) for k in kinds], F.count_if(changed).alias("changed"))
+
+
 def remaining(titles: DataFrame, done: DataFrame) -> DataFrame:
     """Titles that a former run has not written yet."""
     return titles.join(done.select("title").distinct(), "title", "left_anti")

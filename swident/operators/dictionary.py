@@ -7,10 +7,12 @@ broadcast or shuffle by size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.names import split_name, unbind_component
+from ..functions.names import bind_raw, normalize_raw, split_name, unbind_component
 
 CANDIDATE_CAP = 2000
 
@@ -51,54 +53,122 @@ def snapshot_metrics(entries: DataFrame, is_valid: Column) -> DataFrame:
     return entries.agg(F.count("*").alias("fetched"), F.count_if(~is_valid).alias("invalid"))
 
 
-def capped(matches: DataFrame, key: str, cap: int | None = CANDIDATE_CAP) -> DataFrame:
-    """At most `cap` candidates per query in dictionary order."""
+def _first(rows: DataFrame, keys: list[str], order: list[str], cap: int | None) -> DataFrame:
+    """The first `cap` rows of each key."""
     if cap is None:
-        return matches
-    place = F.row_number().over(Window.partitionBy(key).orderBy("rank", "ord"))
-    return matches.withColumn("_place", place).where(F.col("_place") <= cap).drop("_place")
+        return rows
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("_place", place).where(F.col("_place") <= cap).drop("_place")
+
+
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else key
+
+
+def capped(matches: DataFrame, key: str | list[str], cap: int | None = CANDIDATE_CAP) -> DataFrame:
+    """At most `cap` candidates per query in dictionary order."""
+    return _first(matches, _keys(key), ["rank", "ord"], cap)
 
 
-def pair_lookup(queries: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Entries of each query's exact (b_vendor, b_product)."""
-    on = (queries.b_vendor == dictionary.d_vendor) & (queries.b_product == dictionary.d_product)
-    return queries.join(dictionary, on).withColumn("rank", F.lit(0))
+def _asks_pair() -> Column:
+    """A lookup by pair needs both: a blank one is bound to ANY, which is no name."""
+    return (F.col("b_vendor") != "*") & (F.col("b_product") != "*")
+
+
+def pair_lookup(queries: DataFrame, dictionary: DataFrame, cap: int | None = None) -> DataFrame:
+    """Entries of each query's exact (b_vendor, b_product), the first `cap` of a pair."""
+    entries = _first(dictionary, ["d_vendor", "d_product"], ["ord"], cap)
+    on = (F.col("b_vendor") == F.col("d_vendor")) & (F.col("b_product") == F.col("d_product"))
+    return queries.where(_asks_pair()).join(entries, on).withColumn("rank", F.lit(0))
 
 
 def pair_misses(queries: DataFrame, dictionary: DataFrame) -> DataFrame:
-    on = (queries.b_vendor == dictionary.d_vendor) & (queries.b_product == dictionary.d_product)
-    return queries.join(dictionary, on, "left_anti")
+    """Queries without a pair or whose pair has no entry."""
+    pairs = dictionary.select("d_vendor", "d_product").distinct()
+    return queries.join(pairs, _asks_pair() & (F.col("b_vendor") == F.col("d_vendor")) & (F.col("b_product") == F.col("d_product")), "left_anti")
 
 
-def vendor_fallback(misses: DataFrame, reps: DataFrame) -> DataFrame:
-    """Representatives of a known vendor (rank 1)."""
-    return misses.where("b_vendor <> '*'").join(reps, F.col("b_vendor") == F.col("d_vendor")).withColumn("rank", F.lit(1))
+def vendor_fallback(misses: DataFrame, reps: DataFrame, cap: int | None = None) -> DataFrame:
+    """Representatives of a known vendor (rank 1), its first `cap`."""
+    return misses.where("b_vendor <> '*'").join(_first(reps, ["d_vendor"], ["ord"], cap), F.col("b_vendor") == F.col("d_vendor")).withColumn("rank", F.lit(1))
 
 
-def product_fallback(misses: DataFrame, reps: DataFrame) -> DataFrame:
-    """Representatives of a known product (rank 2)."""
-    return misses.where("b_product <> '*'").join(reps, F.col("b_product") == F.col("d_product")).withColumn("rank", F.lit(2))
+def product_fallback(misses: DataFrame, reps: DataFrame, cap: int | None = None) -> DataFrame:
+    """Representatives of a known product (rank 2), its first `cap`."""
+    return misses.where("b_product <> '*'").join(_first(reps, ["d_product"], ["ord"], cap), F.col("b_product") == F.col("d_product")).withColumn("rank", F.lit(2))
 
 
-def candidate_union(misses: DataFrame, reps: DataFrame, key: str) -> DataFrame:
+def candidate_union(misses: DataFrame, reps: DataFrame, key: str | list[str], cap: int | None = None) -> DataFrame:
     """Vendor's, then product's representatives, each name once per query."""
-    both = vendor_fallback(misses, reps).unionByName(product_fallback(misses, reps))
-    first = F.row_number().over(Window.partitionBy(key, "d_name").orderBy("rank", "ord"))
-    return both.withColumn("_first", first).where("_first = 1").drop("_first")
+    both = vendor_fallback(misses, reps, cap).unionByName(product_fallback(misses, reps, cap))
+    return _first(both, [*_keys(key), "d_name"], ["rank", "ord"], 1)
 
 
 def candidates(queries: DataFrame, dictionary: DataFrame, key: str, cap: int | None = CANDIDATE_CAP) -> DataFrame:
-    """All candidates: the pair's entries or, if there are none, the union of fallbacks."""
-    hits = pair_lookup(queries, dictionary)
-    rest = candidate_union(pair_misses(queries, dictionary), representatives(dictionary), key)
-    return capped(hits.unionByName(rest), key, cap)
+    """All candidates: the pair's entries or, if there are none, the union of fallbacks.
+
+    The cap cuts the dictionary's lists before the joins, so that a query meets
+    2 * cap entries at most, whatever its vendor has.
+    """
+    rest = candidate_union(pair_misses(queries, dictionary), representatives(dictionary), key, cap)
+    return pair_lookup(queries, dictionary, cap).unionByName(capped(rest, key, cap))
 
 
-def hybrid_candidates(queries: DataFrame, dictionary: DataFrame, remote: DataFrame, key: str) -> DataFrame:
-    """Local candidates, and for queries without any those of `remote`; from_remote tells which."""
-    local = candidates(queries, dictionary, key).withColumn("from_remote", F.lit(False))
+def hybrid_candidates(queries: DataFrame, dictionary: DataFrame, remote: Callable[[DataFrame], DataFrame], key: str, cap: int | None = CANDIDATE_CAP) -> DataFrame:
+    """Local candidates, and for queries without any what `remote` finds; from_remote tells which.
+
+    remote takes the queries and gives candidates, as ladder() does on a table.
+    """
+    local = candidates(queries, dictionary, key, cap).withColumn("from_remote", F.lit(False))
     left = queries.join(local.select(key).distinct(), key, "left_anti")
-    return local.unionByName(candidates(left, remote, key).withColumn("from_remote", F.lit(True)))
+    return local.unionByName(remote(left).withColumn("from_remote", F.lit(True)))
+
+
+def fallbacks(queries: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """asked (queries), local (those with local candidates) and remote (those that had to go on)."""
+    local = found.where("not from_remote").select(key).distinct()
+    return queries.select(key).join(local.withColumn("has", F.lit(True)), key, "left").agg(F.count("*").alias("asked"), F.count("has").alias("local"), F.count_if(F.col("has").isNull()).alias("remote"))
+
+
+def match_string(dictionary: DataFrame, vendor: str | None = None, product: str | None = None) -> DataFrame:
+    """Entries whose name agrees with a partial one: the given raw components, whatever the others are."""
+    for column, want in (("d_vendor", vendor), ("d_product", product)):
+        if want:
+            dictionary = dictionary.where(F.col(column) == bind_raw(F.lit(want)))
+    return dictionary
+
+
+def keyword_matches(asked: DataFrame, dictionary: DataFrame, key: str) -> DataFrame:
+    """(key, d_name, ord) of the entries whose title holds every keyword of a query, whatever the case.
+
+    asked(key, keywords): distinct lower-case words.  Titles are an inverted index
+    of their words; a keyword meets the distinct words that hold it by its first
+    one to three letters, so neither queries and titles nor all words meet all.
+    """
+    each = asked.select(key, F.explode("keywords").alias("keyword"))
+    posted = dictionary.select("d_name", "ord", F.explode(F.array_distinct(F.split(F.lower("d_title"), r"\s+"))).alias("word")).where("word <> ''")
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("word") - n + 1, F.lit(1))), lambda i: F.substring("word", i, n))))
+    words = posted.select("word").distinct().select("word", F.explode(F.array_distinct(grams)).alias("gram"))
+    first = each.select("keyword").distinct().withColumn("gram", F.substring("keyword", 1, 3))
+    alike = first.join(words, "gram").where(F.contains("word", "keyword")).select("keyword", "word")
+    met = each.join(alike, "keyword").join(posted, "word").groupBy(key, "d_name", "ord").agg(F.count_distinct("keyword").alias("n"))
+    return met.join(each.groupBy(key).agg(F.count("*").alias("n")), [key, "n"]).select(key, "d_name", "ord")
+
+
+def ladder(queries: DataFrame, dictionary: DataFrame, key: str, cap: int | None = CANDIDATE_CAP) -> DataFrame:
+    """Candidates as a service finds them: vendor and product, else the vendor, else keywords in titles.
+
+    queries has vendor and product as raw text.  Keywords are the words of both,
+    with spaces for underscores, and are tried only if there is a product.
+    """
+    pair = pair_lookup(queries, dictionary, cap)
+    rest = queries.join(pair.select(key).distinct(), key, "left_anti")
+    by_vendor = vendor_fallback(rest, dictionary, cap)
+    rest = rest.join(by_vendor.select(key).distinct(), key, "left_anti").where("product <> ''")
+    keywords = F.array_distinct(F.array_remove(F.split(F.lower(F.translate(F.concat_ws(" ", "vendor", "product"), "_", " ")), r"\s+"), ""))
+    found = _first(keyword_matches(rest.select(key, keywords.alias("keywords")), dictionary, key), [key], ["ord"], cap)
+    by_keyword = rest.join(found, key).join(dictionary, ["d_name", "ord"]).withColumn("rank", F.lit(2))
+    return pair.unionByName(by_vendor).unionByName(by_keyword.select(*pair.columns))
 
 
 def keyword_lookup(entries: DataFrame, title: Column, keywords: list[str]) -> DataFrame:
@@ -110,16 +180,21 @@ def keyword_lookup(entries: DataFrame, title: Column, keywords: list[str]) -> Da
 
 
 def tool_search(dictionary: DataFrame, keyword: str | None = None, vendor: str | None = None, product: str | None = None, limit: int = 20) -> DataFrame:
-    """First `limit` live entries by keyword or bound vendor/product, with the total."""
-    live = dictionary.where("not deprecated")
+    """First `limit` live entries by keyword, else by vendor and product as candidates(), with the total.
+
+    Vendor and product are raw text, normalised and bound here.
+    """
+    spark = dictionary.sparkSession
     if keyword:
-        live = keyword_lookup(live, F.col("d_title"), keyword.split())
-    if vendor:
-        live = live.where(F.col("d_vendor") == vendor)
-    if product:
-        live = live.where(F.col("d_product") == product)
+        found = keyword_lookup(dictionary, F.col("d_title"), keyword.split())
+    else:
+        q = spark.createDataFrame([(0, vendor, product)], "_key int, vendor string, product string")
+        q = q.select("_key", bind_raw(F.nullif(normalize_raw("vendor"), F.lit(""))).alias("b_vendor"), bind_raw(F.nullif(normalize_raw("product"), F.lit(""))).alias("b_product"))
+        found = candidates(q, dictionary, "_key").drop("_key", "b_vendor", "b_product")
+    live = found.where("not deprecated")
+    order = [c for c in ("rank", "ord") if c in live.columns]
     total = live.agg(F.count("*").alias("total"))
-    return live.orderBy("ord").limit(limit).crossJoin(F.broadcast(total))  # total is one row
+    return live.orderBy(*order).limit(limit).crossJoin(F.broadcast(total))  # total is one row
 
 
 def title_of(titles: Column) -> Column:

@@ -14,14 +14,14 @@ def contrast(rows: DataFrame, dictionary: DataFrame, key: str = "key") -> DataFr
     """rows(key, cpes) with n_in_dict, n_deprecated, n_pairs_known and unknown_pairs.
 
     Aliases are exploded once, met by pair and by name, and folded back by key;
-    unknown pairs keep the order of their first alias.
+    unknown pairs come one per alias, in the aliases' order.
     """
     aliases = rows.select(key, F.posexplode("cpes").alias("i", "alias")).withColumn("pair", vendor_product("alias"))
     pairs = dictionary.select(F.struct(F.col("d_vendor").alias("vendor"), F.col("d_product").alias("product")).alias("pair")).distinct().withColumn("pair_known", F.lit(True))
     names = dictionary.groupBy(F.col("d_name").alias("alias")).agg(F.min_by("deprecated", "ord").alias("is_deprecated"))
     met = aliases.join(pairs, "pair", "left").join(names, "alias", "left")
     unknown = F.array_sort(F.collect_list(F.when(F.col("pair_known").isNull(), F.struct("i", "pair"))))
-    facts = met.groupBy(key).agg(F.count("is_deprecated").alias("n_in_dict"), F.count_if("is_deprecated").alias("n_deprecated"), F.count("pair_known").alias("n_pairs_known"), F.array_distinct(F.transform(unknown, lambda u: u.pair)).alias("unknown_pairs"))
+    facts = met.groupBy(key).agg(F.count("is_deprecated").alias("n_in_dict"), F.count_if("is_deprecated").alias("n_deprecated"), F.count("pair_known").alias("n_pairs_known"), F.transform(unknown, lambda u: u.pair).alias("unknown_pairs"))
     none = F.array().cast("array<struct<vendor:string,product:string>>")
     return rows.join(facts, key, "left").na.fill(0, ["n_in_dict", "n_deprecated", "n_pairs_known"]).withColumn("unknown_pairs", F.coalesce("unknown_pairs", none))
 

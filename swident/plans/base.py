@@ -36,10 +36,10 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dictionary: every third part, one in ten of them deprecated."""
-    p = parts(spark, sf_dir).where("k % 3 = 0")
-    name = build_name(F.col("v0"), F.col("p0"), F.col("ver0"), None, F.col("t0"))
-    return p.select(name.alias("name"), F.concat_ws(" ", "p_brand", "p_name", "ver0").alias("title"), (F.col("k") % 30 == 0).alias("deprecated"), F.col("k").alias("ord"))
+    """The dictionary: every part, one in ten deprecated, a few without a vendor or a product."""
+    p, k = parts(spark, sf_dir), F.col("k")
+    name = build_name(F.when(k % 17 != 3, F.col("v0")), F.when(k % 17 != 4, F.col("p0")), F.col("ver0"), None, F.col("t0"))
+    return p.select(name.alias("name"), F.concat_ws(" ", "p_brand", "p_name", "ver0").alias("title"), (k % 10 == 0).alias("deprecated"), k.alias("ord"))
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,14 +48,14 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _perturbed(name: str) -> Column:
-    k = F.col("k") % 7
+    k, blank = F.col("k") % 7, F.col("k") % 11
     if name == "vendor":
-        return F.when(k == 2, F.concat("v0", F.lit("x"))).when(k.isin(3, 4), F.concat(F.lit("zz_"), F.reverse("v0"), F.lit("_labs"))).otherwise(F.col("v0"))
-    return F.when(k == 1, F.concat("p0", F.lit("s"))).when(k == 4, F.concat(F.lit("qq"), F.col("k").cast("string"))).otherwise(F.col("p0"))
+        return F.when(blank == 5, "").when(k == 2, F.concat("v0", F.lit("x"))).when(k.isin(3, 4), F.concat(F.lit("zz_"), F.reverse("v0"), F.lit("_labs"))).otherwise(F.col("v0"))
+    return F.when(blank == 6, "").when(k == 1, F.concat("p0", F.lit("s"))).when(k == 4, F.concat(F.lit("qq"), F.col("k").cast("string"))).otherwise(F.col("p0"))
 
 
 def names_to_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part as extracted entities, some of them misspelt or unknown."""
+    """Every part as extracted entities, some of them misspelt, unknown or missing."""
     p = parts(spark, sf_dir).select("k", _perturbed("vendor").alias("vendor"), _perturbed("product").alias("product"), F.when(F.col("k") % 5 == 0, F.concat("ver0", F.lit(".1"))).otherwise(F.col("ver0")).alias("version"), F.when(F.col("k") % 2 == 0, F.col("t0")).alias("target_sw"))
     name = build_name(F.col("vendor"), F.col("product"), F.col("version"), None, F.col("target_sw"))
     return p.select("k", "vendor", "product", "version", "target_sw", bind_raw("vendor").alias("b_vendor"), bind_raw("product").alias("b_product"), name.alias("name"))
@@ -97,20 +97,22 @@ def sim(a: str, b: str) -> str:
 GRAMMAR_SQL = r"^cpe:2\.3:[aoh*-](?::(?:\*|-|(?:\*|\?+)?(?:[a-z0-9._-]|\\[!-/:-@\[-\^`{-~])+(?:\*|\?+)?)){10}$"
 
 P_SQL = "p AS (SELECT p_partkey AS k, lower(p_brand) AS v0, replace(lower(p_name), ' ', '_') AS p0, CAST(p_size AS VARCHAR) AS ver0, lower(p_type) AS t0, p_name, p_brand, p_type, p_size, p_retailprice FROM part)"
-D_SQL = f"d AS (SELECT k AS ord, v0 AS raw_vendor, p0 AS raw_product, ver0 AS raw_version, {bind('v0')} AS d_vendor, {bind('p0')} AS d_product, {name_of('v0', 'p0', 'ver0', 't0')} AS d_name, p_brand || ' ' || p_name || ' ' || ver0 AS d_title, k % 30 = 0 AS deprecated FROM p WHERE k % 3 = 0)"
+_ANY = lambda x: f"CASE WHEN {x} = '' THEN '*' ELSE {bind(x)} END"
+D_SQL = f"""d0 AS (SELECT *, CASE WHEN k % 17 = 3 THEN '' ELSE v0 END AS dv, CASE WHEN k % 17 = 4 THEN '' ELSE p0 END AS dp FROM p),
+d AS (SELECT k AS ord, dv AS raw_vendor, dp AS raw_product, ver0 AS raw_version, {_ANY('dv')} AS d_vendor, {_ANY('dp')} AS d_product, {name_of('dv', 'dp', 'ver0', 't0')} AS d_name, p_brand || ' ' || p_name || ' ' || ver0 AS d_title, k % 10 = 0 AS deprecated FROM d0)"""
 Q0_SQL = """q0 AS (SELECT k,
-  CASE WHEN k % 7 = 2 THEN v0 || 'x' WHEN k % 7 IN (3, 4) THEN 'zz_' || reverse(v0) || '_labs' ELSE v0 END AS vendor,
-  CASE WHEN k % 7 = 1 THEN p0 || 's' WHEN k % 7 = 4 THEN 'qq' || CAST(k AS VARCHAR) ELSE p0 END AS product,
+  CASE WHEN k % 11 = 5 THEN '' WHEN k % 7 = 2 THEN v0 || 'x' WHEN k % 7 IN (3, 4) THEN 'zz_' || reverse(v0) || '_labs' ELSE v0 END AS vendor,
+  CASE WHEN k % 11 = 6 THEN '' WHEN k % 7 = 1 THEN p0 || 's' WHEN k % 7 = 4 THEN 'qq' || CAST(k AS VARCHAR) ELSE p0 END AS product,
   CASE WHEN k % 5 = 0 THEN ver0 || '.1' ELSE ver0 END AS version,
   CASE WHEN k % 2 = 0 THEN t0 END AS target_sw FROM p)"""
-Q_SQL = f"{Q0_SQL}, q AS (SELECT *, {bind('vendor')} AS b_vendor, {bind('product')} AS b_product, {name_of('vendor', 'product', 'version', 'target_sw')} AS name FROM q0)"
+Q_SQL = f"{Q0_SQL}, q AS (SELECT *, {_ANY('vendor')} AS b_vendor, {_ANY('product')} AS b_product, {name_of('vendor', 'product', 'version', 'target_sw')} AS name FROM q0)"
 CAND_SQL = """reps AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY d_vendor, d_product ORDER BY ord) AS rn FROM d) WHERE rn = 1),
-hits AS (SELECT q.*, d.*, 0 AS rank FROM q JOIN d ON b_vendor = d_vendor AND b_product = d_product),
-miss AS (SELECT * FROM q WHERE NOT EXISTS (SELECT 1 FROM d WHERE b_vendor = d_vendor AND b_product = d_product)),
-vfall AS (SELECT miss.*, reps.*, 1 AS rank FROM miss JOIN reps ON b_vendor = d_vendor),
-pfall AS (SELECT miss.*, reps.*, 2 AS rank FROM miss JOIN reps ON b_product = d_product),
+hits AS (SELECT q.*, d.*, 0 AS rank FROM q JOIN d ON b_vendor = d_vendor AND b_product = d_product WHERE b_vendor <> '*' AND b_product <> '*'),
+miss AS (SELECT * FROM q WHERE b_vendor = '*' OR b_product = '*' OR NOT EXISTS (SELECT 1 FROM d WHERE b_vendor = d_vendor AND b_product = d_product)),
+vfall AS (SELECT miss.*, reps.*, 1 AS rank FROM miss JOIN reps ON b_vendor = d_vendor WHERE b_vendor <> '*'),
+pfall AS (SELECT miss.*, reps.*, 2 AS rank FROM miss JOIN reps ON b_product = d_product WHERE b_product <> '*'),
 uni AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY k, d_name ORDER BY rank, ord) AS rn FROM (SELECT * FROM vfall UNION ALL SELECT * FROM pfall)) WHERE rn = 1),
-cand AS (SELECT * FROM hits UNION ALL SELECT * FROM uni)"""
+cand AS (SELECT * EXCLUDE (cn) FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY rank, ord) AS cn FROM (SELECT * FROM hits UNION ALL SELECT * FROM uni)) WHERE cn <= 2000)"""
 _SAME_V = "(vendor <> '' AND raw_vendor = vendor)"
 _SAME_P = "(product <> '' AND raw_product = product)"
 _PAIR = "(raw_vendor = vendor AND raw_product = product)"
@@ -130,14 +132,13 @@ facts AS (SELECT k,
   {_best_sql('product', 'raw_product', _SAME_V)} AS m2,
   {_best_sql('vendor', 'raw_vendor', _SAME_P)} AS m3,
   arg_min(d_name, place) FILTER (WHERE {_SAME_P}) AS m2b FROM live GROUP BY k),
-ruled AS (SELECT q.k, q.name, f.*, CASE WHEN m1 IS NOT NULL THEN 'M1' WHEN m1a IS NOT NULL THEN 'M1A' WHEN has_pair THEN 'M1B'
+ruled AS (SELECT q.k AS k, q.name AS name, f.* EXCLUDE (k), CASE WHEN m1 IS NOT NULL THEN 'M1' WHEN m1a IS NOT NULL THEN 'M1A' WHEN has_pair THEN 'M1B'
   WHEN has_v AND has_p THEN 'M1C' WHEN has_v THEN 'M2' WHEN has_p AND m3.sim > 0.8 THEN 'M3' WHEN has_p THEN 'M2B' ELSE 'M4' END AS rule
   FROM q LEFT JOIN facts f ON q.k = f.k),
-classified AS (SELECT q.k AS k, q.name AS name, rule,
+classified AS (SELECT k, name, rule,
   CASE rule WHEN 'M1B' THEN m1b.sim WHEN 'M2' THEN m2.sim WHEN 'M3' THEN m3.sim WHEN 'M4' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS similarity,
   CASE rule WHEN 'M1' THEN m1 WHEN 'M1A' THEN m1a WHEN 'M1B' THEN m1b.name WHEN 'M2' THEN CASE WHEN m2.sim > 0.8 THEN m2.name END WHEN 'M3' THEN m3.name WHEN 'M2B' THEN m2b END AS matched_name
-  FROM (SELECT ruled.*, q.k AS qk FROM ruled JOIN q ON ruled.name = q.name AND ruled.k = q.k) r JOIN q ON r.qk = q.k)"""
-CLASSIFY_SQL = CLASSIFY_SQL.replace("ruled AS (SELECT q.k, q.name, f.*,", "ruled AS (SELECT q.k AS k, q.name AS name, f.* EXCLUDE (k),").replace("classified AS (SELECT q.k AS k, q.name AS name, rule,", "classified AS (SELECT k, name, rule,").replace("FROM (SELECT ruled.*, q.k AS qk FROM ruled JOIN q ON ruled.name = q.name AND ruled.k = q.k) r JOIN q ON r.qk = q.k)", "FROM ruled)")
+  FROM ruled)"""
 
 ALIAS_SQL = f"""al AS (SELECT a.k, 'key' || CAST(a.k AS VARCHAR) AS key, list_distinct_in_order AS cpes, created_by, has_override FROM (
   SELECT a.k, CASE WHEN a.k % 6 = 0 THEN 'system' WHEN a.k % 6 = 1 THEN '' ELSE 'ann' END AS created_by, a.k % 5 = 0 AS has_override,

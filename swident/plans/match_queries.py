@@ -57,11 +57,41 @@ def candidate_union(spark: SparkSession, d: str) -> DataFrame:
     return dic.candidates(names_to_match(spark, d), dictionary(spark, d), "k").select("k", "d_name", "rank")
 
 
-@query("hybrid_candidates", f"WITH {_M}, {CAND_SQL} SELECT k, count(*) AS n, false AS from_remote FROM cand GROUP BY k")
+_LADDER_SQL = """lpair AS (SELECT k, d_name, ord, 0 AS rank FROM {q} q JOIN d ON b_vendor = d_vendor AND b_product = d_product WHERE b_vendor <> '*' AND b_product <> '*'),
+lvend AS (SELECT k, d_name, ord, 1 AS rank FROM {q} q JOIN d ON b_vendor = d_vendor WHERE b_vendor <> '*' AND k NOT IN (SELECT k FROM lpair)),
+lkw AS (SELECT k, list_distinct(list_filter(regexp_split_to_array(lower(replace(vendor || ' ' || product, '_', ' ')), '\\s+'), lambda x: x <> '')) AS w FROM {q} q WHERE product <> '' AND k NOT IN (SELECT k FROM lpair) AND k NOT IN (SELECT k FROM lvend)),
+lkey AS (SELECT k, d_name, ord, 2 AS rank FROM lkw JOIN d ON len(list_filter(w, lambda x: contains(lower(d_title), x))) = len(w)),
+lad AS (SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY rank, ord) AS n FROM (SELECT * FROM lpair UNION ALL SELECT * FROM lvend UNION ALL SELECT * FROM lkey)) WHERE n <= 2000)"""
+
+
+@query("candidate_ladder", f"WITH {_M}, {_LADDER_SQL.format(q='q')} SELECT k, rank::INT AS rank, count(*) AS n, min(d_name) AS least FROM lad GROUP BY ALL")
+def candidate_ladder(spark: SparkSession, d: str) -> DataFrame:
+    return dic.ladder(names_to_match(spark, d), dictionary(spark, d), "k").groupBy("k", "rank").agg(F.count("*").alias("n"), F.min("d_name").alias("least"))
+
+
+@query("match_string", f"WITH {P_SQL}, {D_SQL} SELECT d_name, ord FROM d WHERE d_vendor = 'brand\\#13'")
+def match_string(spark: SparkSession, d: str) -> DataFrame:
+    return dic.match_string(dictionary(spark, d), vendor="Brand#13").select("d_name", "ord")
+
+
+def _hybrid(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Half of the dictionary at hand, all of it behind a service."""
+    dd, q = dictionary(spark, d), names_to_match(spark, d)
+    return q, dic.hybrid_candidates(q, dd.where("ord % 2 = 0"), lambda left: dic.ladder(left, dd, "k"), "k")
+
+
+_HYBRID_SQL = f"WITH {P_SQL}, " + D_SQL.replace("d AS (SELECT k AS ord", "d_all AS (SELECT k AS ord") + f", d AS (SELECT * FROM d_all WHERE ord % 2 = 0), {Q_SQL}, {CAND_SQL}, lq AS (SELECT * FROM q WHERE k NOT IN (SELECT k FROM cand)), " + _LADDER_SQL.format(q="lq").replace("JOIN d ON", "JOIN d_all d ON") + ", hy AS (SELECT k, d_name, false AS from_remote FROM cand UNION ALL SELECT k, d_name, true FROM lad)"
+
+
+@query("hybrid_candidates", f"{_HYBRID_SQL} SELECT k, count(*) AS n, bool_or(from_remote) AS from_remote FROM hy GROUP BY k")
 def hybrid_candidates(spark: SparkSession, d: str) -> DataFrame:
-    dd = dictionary(spark, d)
-    both = dic.hybrid_candidates(names_to_match(spark, d), dd, dd.where("ord % 2 = 0"), "k")
-    return both.groupBy("k").agg(F.count("*").alias("n"), F.bool_or("from_remote").alias("from_remote"))
+    return _hybrid(spark, d)[1].groupBy("k").agg(F.count("*").alias("n"), F.bool_or("from_remote").alias("from_remote"))
+
+
+@query("hybrid_counters", f"{_HYBRID_SQL} SELECT (SELECT count(*) FROM q) AS asked, (SELECT count(DISTINCT k) FROM cand) AS local, (SELECT count(*) FROM lq) AS remote")
+def hybrid_counters(spark: SparkSession, d: str) -> DataFrame:
+    q, found = _hybrid(spark, d)
+    return dic.fallbacks(q, found, "k")
 
 
 @query("topk_cap", f"WITH {_M}, {CAND_SQL}, o AS (SELECT k, d_name, row_number() OVER (PARTITION BY k ORDER BY rank, ord) AS n FROM cand) SELECT k, d_name FROM o WHERE n <= 3")
@@ -79,6 +109,11 @@ def tool_search(spark: SparkSession, d: str) -> DataFrame:
     return dic.tool_search(dictionary(spark, d), keyword="brand#1").select("d_name", "ord", "total")
 
 
+@query("tool_search_pair", f"WITH {P_SQL}, {D_SQL}, v AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY d_vendor, d_product ORDER BY ord) AS rn FROM d) WHERE rn = 1 AND d_vendor = 'brand\\#13' ORDER BY ord LIMIT 2000), l AS (SELECT *, count(*) OVER () AS total FROM v WHERE NOT deprecated) SELECT d_name, ord, total FROM l ORDER BY ord LIMIT 20")
+def tool_search_pair(spark: SparkSession, d: str) -> DataFrame:
+    return dic.tool_search(dictionary(spark, d), vendor=" Brand#13 ").select("d_name", "ord", "total")
+
+
 @query("title_pick", "SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name END AS title FROM part")
 def title_pick(spark: SparkSession, d: str) -> DataFrame:
     other = F.struct(F.lit("andere").alias("title"), F.lit("de").alias("lang"))
@@ -104,7 +139,7 @@ def rule_shares(spark: SparkSession, d: str) -> DataFrame:
 _CONTRAST_SQL = f"""{ALIAS_SQL}, ex AS (SELECT key, unnest(cpes) AS alias, generate_subscripts(cpes, 1) AS i FROM al),
  met AS (SELECT key, i, {pair_sql('alias')} AS pair, (SELECT arg_min(deprecated, ord) FROM d WHERE d_name = alias) AS dep, EXISTS (SELECT 1 FROM d WHERE d_vendor || ':' || d_product = {pair_sql('alias')}) AS known FROM ex),
  con AS (SELECT key, count(dep) AS n_in_dict, count(*) FILTER (dep) AS n_deprecated, count(*) FILTER (known) AS n_pairs_known, list(pair ORDER BY i) FILTER (NOT known) AS u FROM met GROUP BY key),
- ct AS (SELECT al.*, n_in_dict, n_deprecated, n_pairs_known, coalesce(list_filter(u, lambda x, i: list_position(u, x) = i), []) AS unknown FROM al JOIN con ON al.key = con.key)"""
+ ct AS (SELECT al.*, n_in_dict, n_deprecated, n_pairs_known, coalesce(u, []) AS unknown FROM al JOIN con ON al.key = con.key)"""
 
 
 def _contrast(spark: SparkSession, d: str) -> DataFrame:
@@ -143,10 +178,7 @@ _FRACTIONS = {"benchmark_gold": 0.1, "test": 0.1, "train": 0.8}
 
 
 def _families(spark: SparkSession, d: str) -> DataFrame:
-    return families.families(alias_sets(spark, d).where("k % 8 <> 5"))
-
-
-_FAMILY_SQL = _FAMILY_SQL.replace("FROM al),\n e1", "FROM al WHERE k % 8 <> 5),\n e1")
+    return families.families(alias_sets(spark, d))
 
 
 @query("product_families", f"WITH RECURSIVE {P_SQL}, {_FAMILY_SQL} SELECT key, family FROM fam")
@@ -169,7 +201,7 @@ def split_deal(spark: SparkSession, d: str) -> DataFrame:
     return families.deal(_families(spark, d), _FRACTIONS).select("key", "family", "split")
 
 
-@query("leak_check", "SELECT '' AS pair, 0::BIGINT AS n_splits WHERE false")
+@query("leak_check", f"WITH RECURSIVE {P_SQL}, {_DEAL_SQL} SELECT e1.pair, count(DISTINCT run.split) AS n_splits FROM e1 JOIN fam ON e1.key = fam.key JOIN run ON fam.family = run.family GROUP BY e1.pair HAVING count(DISTINCT run.split) > 1")
 def leak_check(spark: SparkSession, d: str) -> DataFrame:
     return families.leaks(families.deal(_families(spark, d), _FRACTIONS))
 
@@ -217,12 +249,13 @@ def exact_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _fast(spark: SparkSession, d: str) -> DataFrame:
-    return classify_names(spark, d).select(F.concat(F.lit("t"), F.col("k").cast("string")).alias("title"), F.col("k").alias("pos"), "rule", F.col("matched_name").alias("matched_cpe"))
+    """A fast model's results, classified once."""
+    return stored(classify_names(spark, d).select(F.concat(F.lit("t"), F.col("k").cast("string")).alias("title"), F.col("k").alias("pos"), "rule", F.col("matched_name").alias("matched_cpe")))
 
 
-def _escalated(spark: SparkSession, d: str) -> DataFrame:
+def _big_model(titles: DataFrame) -> DataFrame:
     """A second model's rows of a part of the tail, each title twice, the last one better."""
-    rows = cascade.tail(_fast(spark, d)).where("pos % 3 <> 0")
+    rows = titles.where("pos % 3 <> 0")
     better = rows.withColumn("rule", F.when(F.col("pos") % 2 == 0, "M1").otherwise(F.col("rule"))).withColumn("matched_cpe", F.lit("better")).withColumn("pos", F.col("pos") + 100000)
     return rows.withColumn("rule", F.lit("M4")).unionByName(better)
 
@@ -235,12 +268,13 @@ _MERGE_SQL = f"""{CLASSIFY_SQL}, fast AS (SELECT 't' || CAST(k AS VARCHAR) AS ti
 
 @query("cascade_merge", f"WITH {_M}, {_MERGE_SQL} SELECT * FROM mo")
 def cascade_merge(spark: SparkSession, d: str) -> DataFrame:
-    return cascade.merge(_fast(spark, d), _escalated(spark, d), "big")
+    return cascade.escalate(_fast(spark, d), _big_model, "big")
 
 
 @query("cascade_counters", f"WITH {_M}, {_MERGE_SQL} SELECT (SELECT count(*) FROM fast) AS rows, (SELECT count(*) FROM fast WHERE rule NOT IN {_HIGH}) AS tail, (SELECT count(*) FROM fast WHERE rule IN {_HIGH}) AS m1x_before, (SELECT count(*) FROM mo WHERE escalated_by <> '') AS escalated_done, (SELECT count(*) FROM mo WHERE rule IN {_HIGH}) AS m1x_after")
 def cascade_counters(spark: SparkSession, d: str) -> DataFrame:
-    return cascade.counters(_fast(spark, d), cascade_merge(spark, d))
+    fast = _fast(spark, d)
+    return cascade.counters(fast, cascade.escalate(fast, _big_model, "big"))
 
 
 @query("transitions", f"WITH {_M}, {_MERGE_SQL} SELECT rule || ' -> ' || new_rule AS transition, count(*) AS n FROM mg WHERE rule <> new_rule GROUP BY 1")
@@ -272,26 +306,41 @@ def _pct(x: str, q: float, where: str = "") -> str:
 
 @query("latency_percentiles", f"SELECT l_shipdate::DATE::VARCHAR AS day, {_pct('l_partkey', 0.5)} AS p50, {_pct('l_partkey', 0.95)} AS p95 FROM lineitem GROUP BY 1")
 def latency_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").cast("string").alias("day")).agg(evaluate.percentile("l_partkey", 0.5).alias("p50"), evaluate.percentile("l_partkey", 0.95).alias("p95"))
-
-
-def _runs(spark: SparkSession, d: str) -> DataFrame:
-    rule = F.when(F.col("l_linenumber") == 1, "M1").when(F.col("l_linenumber") == 2, "M1C").when(F.col("l_linenumber") == 3, "M2").otherwise("M4")
-    return table(spark, d, "lineitem").select(F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("mode"), rule.alias("rule"), F.col("l_partkey").alias("latency_ms"), F.col("l_suppkey").alias("tokens_in"), F.col("l_linenumber").cast("long").alias("tokens_out"))
-
-
-_BENCH_SQL = f"SELECT l_returnflag AS model, l_linestatus AS mode, count(*) AS n, count(*) FILTER (l_linenumber <= 2) AS m1x, {_pct('l_partkey', 0.5)} AS latency_ms_p50, {_pct('l_partkey', 0.95)} AS latency_ms_p95, sum(l_suppkey)::BIGINT AS tokens_in, sum(l_linenumber)::BIGINT AS tokens_out FROM lineitem GROUP BY 1, 2"
-
-
-@query("bench_summary", _BENCH_SQL)
+    rows = table(spark, d, "lineitem").select(F.to_date("l_shipdate").cast("string").alias("day"), "l_partkey")
+    return evaluate.percentiles(rows, ["day"], "l_partkey", {"p50": 0.5, "p95": 0.95})
+
+
+def _summary(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of three models in two modes over a gold set; a title belongs to one of them."""
+    by, k = ("model", "mode"), F.substring("title", 2, 20).cast("long")
+    combo = {"model": F.concat(F.lit("m"), (k % 3).cast("string")), "mode": F.when(k % 2 == 0, "single").otherwise("per-field")}
+    rule = F.when(k % 8 < 3, "M1").when(k % 8 == 3, "M1C").when(k % 8 < 6, "M2").otherwise("M4")
+    joined = stored(_extracted(spark, d).withColumns(combo | {"rule": rule, "latency_ms": k * 7919 % 1009, "tokens_in": k % 50, "tokens_out": k % 9}))
+    scores = evaluate.entity_scores(evaluate.entity_counts(evaluate.entity_categories(joined, by), by))
+    wall = joined.select(*by).distinct().withColumn("wall_s", F.lit(1.5))
+    return evaluate.benchmark_summary(joined, scores, evaluate.exact_counts(joined, by), wall)
+
+
+_EXACT_SQL = "k % 4 <> 0 AND k % 5 <> 0 AND k % 3 = 0 AND (k % 2 = 0) = (k % 7 <> 0) AND k % 9 <> 0"
+_F1_SQL = ", ".join(f"max(CASE WHEN entity = '{e}' THEN round({kind}_f1, 4) END) AS {e}_f1_{kind}" for kind in ("strict", "partial") for e in evaluate.ENTITIES)
+_SUMMARY_SQL = (
+    f"WITH {P_SQL}, {_EVAL_SQL}, run AS (SELECT 'm' || CAST(k % 3 AS VARCHAR) AS model, CASE WHEN k % 2 = 0 THEN 'single' ELSE 'per-field' END AS mode, * FROM p), rc AS (SELECT 't' || CAST(k AS VARCHAR) AS title, model, mode FROM run), "
+    + "cnt AS (SELECT model, mode, entity, " + ", ".join(f"count(*) FILTER (category = '{c}') AS {c.lower()}" for c in evaluate.CATEGORIES) + " FROM cat JOIN rc USING (title) GROUP BY ALL), "
+    + f"s1 AS (SELECT *, cor + inc + par + mis AS possible, cor + inc + par + spu AS actual FROM cnt), s2 AS (SELECT *, {_r('cor', 'actual')} AS sp, {_r('cor', 'possible')} AS sr, {_r('cor + 0.5 * par', 'actual')} AS pp, {_r('cor + 0.5 * par', 'possible')} AS pr FROM s1), "
+    + f"s3 AS (SELECT *, {_r('2 * sp * sr', '(sp + sr)')} AS strict_f1, {_r('2 * pp * pr', '(pp + pr)')} AS partial_f1 FROM s2), f1 AS (SELECT model, mode, {_F1_SQL} FROM s3 GROUP BY ALL), "
+    + f"ag AS (SELECT model, mode, count(*) AS n, count(*) FILTER (k % 10 = 0) AS extraction_errors, count(*) FILTER (k % 4 <> 0) AS cpe_valid, count(*) FILTER ({_EXACT_SQL}) AS cpe_exact, count(*) FILTER (k % 8 <= 3) AS m1x, {_pct('k * 7919 % 1009', 0.5)} AS latency_ms_p50, {_pct('k * 7919 % 1009', 0.95)} AS latency_ms_p95, sum(k % 50)::BIGINT AS tokens_in, sum(k % 9)::BIGINT AS tokens_out, 1.5::DOUBLE AS wall_s FROM run GROUP BY ALL), "
+    + "summ AS (SELECT * FROM ag JOIN f1 USING (model, mode))"
+)
+
+
+@query("bench_summary", f"{_SUMMARY_SQL} SELECT * FROM summ")
 def bench_summary(spark: SparkSession, d: str) -> DataFrame:
-    return evaluate.benchmark_summary(_runs(spark, d))
+    return _summary(spark, d)
 
 
-@query("bench_rank", f"WITH b AS ({_BENCH_SQL}) SELECT model, mode, m1x::DOUBLE / n AS product_f1, 0.5::DOUBLE AS vendor_f1 FROM b")
+@query("bench_rank", f"{_SUMMARY_SQL} SELECT model, mode, product_f1_strict, vendor_f1_strict, row_number() OVER (ORDER BY product_f1_strict DESC, vendor_f1_strict DESC, model, mode)::INT AS rank FROM summ")
 def bench_rank(spark: SparkSession, d: str) -> DataFrame:
-    scored = bench_summary(spark, d).select("model", "mode", (F.col("m1x") / F.col("n")).alias("product_f1"), F.lit(0.5).alias("vendor_f1"))
-    return evaluate.benchmark_rank(scored)
+    return evaluate.benchmark_rank(_summary(spark, d)).select("model", "mode", "product_f1_strict", "vendor_f1_strict", "rank")
 
 
 @query("pending_combos", "SELECT a.r_name AS model, b.n_name AS mode FROM region a, (SELECT DISTINCT n_name FROM nation WHERE n_nationkey < 3) b WHERE NOT (a.r_regionkey = 1)")
@@ -330,6 +379,11 @@ def reclassify(spark: SparkSession, d: str) -> DataFrame:
     return cascade.reclassify(stored(rows), dictionary(spark, d)).select("pos", "status", "rule", "old_rule", "matched_cpe")
 
 
+@query("reclassify_counters", f"WITH {_M}, {CLASSIFY_SQL} SELECT count(*) AS rows, count(*) FILTER (k % 10 NOT IN (1, 2)) AS reclassified, count(*) FILTER (k % 10 = 1) AS unchanged_invalid, count(*) FILTER (k % 10 = 2) AS cpe_mismatch, count(*) FILTER (k % 10 NOT IN (1, 2) AND rule <> 'M3') AS changed FROM classified")
+def reclassify_counters(spark: SparkSession, d: str) -> DataFrame:
+    return cascade.reclassify_counters(reclassify(spark, d))
+
+
 @query("first_last_wins", "SELECT user_id, arg_min(event_type, event_id) AS first_type, arg_max(event_type, event_id) AS last_type FROM events GROUP BY user_id")
 def first_last_wins(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("user_id", "event_type", F.col("event_id").alias("pos"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..storage import small_side, stored
 
 RESULT_FIELDS = ["title", "vendor", "product", "version", "update", "target_sw", "confidence", "cpe", "valid", "validation_errors", "rule", "rule_name", "match_similarity", "matched_cpe", "error", "stage", "fast_rule", "agent_turns", "note", "latency_ms", "tokens_in", "tokens_out"]
 SNAPSHOT = "cpeName string, cpeNameId string, title string, deprecated boolean"
@@ -19,16 +20,16 @@ SNAPSHOT = "cpeName string, cpeNameId string, title string, deprecated boolean"
 def position(df: DataFrame) -> DataFrame:
     """df with pos, rising in file order.
 
-    monotonically_increasing_id rises with partition and row, and scans keep the
-    order of a file's rows within a partition; the file and block break ties
-    between partitions.
+    Scans give the rows of a block (file and start) in order within a partition,
+    so their increasing ids are without gaps there: a row's place is its block's
+    offset plus its id less the block's first.  Blocks are counted in a pass of
+    their own and are the small side of the join; rows are not moved.
     """
     marked = df.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"))
     blocks = marked.groupBy("_f", "_b").agg(F.count("*").alias("_n"), F.min("_i").alias("_i0"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = blocks.withColumn("_p0", before).select("_f", "_b", "_p0")
-    inside = F.row_number().over(Window.partitionBy("_f", "_b").orderBy("_i"))
-    return marked.withColumn("_r", inside).join(starts, ["_f", "_b"]).withColumn("pos", (F.col("_p0") + F.col("_r") - 1).cast("long")).drop("_f", "_b", "_i", "_r", "_p0")
+    starts = stored(blocks.select("_f", "_b", (before - F.col("_i0")).alias("_p0")), "blocks")
+    return marked.join(small_side(starts), ["_f", "_b"]).withColumn("pos", (F.col("_p0") + F.col("_i")).cast("long")).drop("_f", "_b", "_i", "_p0")
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:

@@ -100,8 +100,9 @@ def test_scores(spark):
     counts = spark.createDataFrame([("vendor", 3, 2, 2, 1, 1), ("product", 0, 0, 0, 0, 0)], "entity string, cor long, inc long, par long, mis long, spu long")
     s = {r.entity: r for r in evaluate.entity_scores(counts).collect()}
     assert (s["vendor"].possible, s["vendor"].actual, s["vendor"].strict_f1, s["vendor"].partial_f1, s["product"].strict_f1) == (8, 8, 3 / 8, 4 / 8, 0.0)
-    df = spark.createDataFrame([(v,) for v in (10, 30, 20, 40)], "v int")
-    assert df.agg(evaluate.percentile("v", 0.5).alias("p")).first().p == 30  # 1.5 rounds to 2
+    df = spark.createDataFrame([("a", v) for v in (10, 30, 20, 40, None)] + [("b", None), ("c", 7), ("c", 7), ("c", 9)], "k string, v int")
+    got = {r.k: (r.half, r.most) for r in evaluate.percentiles(df, ["k"], "v", {"half": 0.5, "most": 0.95}).collect()}
+    assert got == {"a": (30, 40), "b": (0, 0), "c": (7, 9)}  # 1.5 rounds to 2
 
 
 def test_cascade_merge(spark):
