@@ -19,6 +19,9 @@ NOISE = [
     r"^microsoft \.net.*targeting pack\b",
     r"^windows software development kit\b",
 ]
+# A closing `for x`, and a word that is a version.
+FOR_TARGET = r"\bfor ([a-z0-9._+-]+)\s*$"
+VERSION_WORD = r"\Av?\d+(?:\.\d+)*[a-z0-9._-]*\z"
 ENTITIES = ["vendor", "product", "version", "target_sw"]
 
 
@@ -70,7 +73,7 @@ def parse_annotation(title: Column | str, annotated: Column | str) -> Column:
     def first(kind: str) -> Column:
         return empty_to_null(F.lower(strip(F.regexp_extract(annotated, rf"\[([^\]]*)\]\(cpe_{kind}\)", 1))))
 
-    target = empty_to_null(F.regexp_extract(F.lower(strip(title)), r"\bfor ([a-z0-9._+-]+)\s*$", 1))
+    target = empty_to_null(F.regexp_extract(F.lower(strip(title)), FOR_TARGET, 1))
     return F.struct(*[first(k).alias(k) for k in ("vendor", "product", "version")], target.alias("target_sw"))
 
 
@@ -81,10 +84,10 @@ def positional_extract(title: Column | str) -> Column:
     it is the update if it is an update word with digits behind at most.
     """
     text = F.lower(strip(col_of(title)))
-    target = empty_to_null(F.regexp_extract(text, r"\bfor ([a-z0-9._+-]+)\s*$", 1))
-    rest = strip(F.regexp_replace(text, r"\bfor ([a-z0-9._+-]+)\s*$", ""))
+    target = empty_to_null(F.regexp_extract(text, FOR_TARGET, 1))
+    rest = strip(F.regexp_replace(text, FOR_TARGET, ""))
     words = F.array_remove(F.split(rest, r"(?U)\s+"), "")
-    versions = F.transform(words, lambda w: w.rlike(r"\Av?\d+(?:\.\d+)*[a-z0-9._-]*\z"))
+    versions = F.transform(words, lambda w: w.rlike(VERSION_WORD))
     at = F.array_position(versions, True).cast("int")  # 1-based, 0 for none
     before = F.when(at > 0, F.slice(words, F.lit(1), F.greatest(at - 1, F.lit(0)))).otherwise(words)
     after = F.when(at > 0, F.get(words, at))

@@ -40,14 +40,22 @@ def effective_name(matched: Column | str, own: Column | str) -> Column:
     return F.coalesce(F.nullif(col(matched), F.lit("")), col(own))
 
 
+def wanted(results: DataFrame, known: DataFrame, rules: list[str] | None = None) -> DataFrame:
+    """The distinct effective names (cpe) of eligible rows that known(cpe, ...) lacks."""
+    names = eligible(results, rules).select(effective_name("matched_cpe", "cpe").alias("cpe")).distinct()
+    return names.join(known.select("cpe"), "cpe", "left_anti")
+
+
 def check(results: DataFrame, cache: DataFrame, rules: list[str] | None = None) -> DataFrame:
     """title, cpe, rule, vulnerable, cves and error of the eligible rows.
 
-    cache(cpe, items) holds the known answers; a name without one is an offline miss.
+    cache(cpe, items) holds the known answers, and in `error`, if it has that, why
+    a name has none; a name that it lacks is an offline miss.
     """
     rows = eligible(results, rules).select("title", effective_name("matched_cpe", "cpe").alias("cpe"), "rule")
-    joined = rows.join(cache.select("cpe", F.transform("items", project_item).alias("cves")), "cpe", "left")
-    return joined.select("title", "cpe", "rule", F.coalesce(F.size("cves") > 0, F.lit(False)).alias("vulnerable"), "cves", F.when(F.col("cves").isNull(), "offline cache miss").alias("error"))
+    failed = F.col("error") if "error" in cache.columns else F.lit(None).cast("string")
+    joined = rows.join(cache.select("cpe", F.transform("items", project_item).alias("cves"), failed.alias("failed")), "cpe", "left")
+    return joined.select("title", "cpe", "rule", F.coalesce(F.size("cves") > 0, F.lit(False)).alias("vulnerable"), "cves", F.when(F.col("cves").isNull(), F.coalesce("failed", F.lit("offline cache miss"))).alias("error"))
 
 
 def rollup(checked: DataFrame) -> DataFrame:

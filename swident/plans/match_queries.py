@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as n
-from ..operators import cascade, evaluate, families, inventory, tiering, vulns
+from ..operators import agent, cascade, evaluate, extract, families, inventory, tiering, toolbox, vulns
 from ..operators import dictionary as dic
 from ..operators.classify import classify, rule_distribution
 from ..storage import stored
@@ -405,20 +405,30 @@ def ext_event_sessions(spark: SparkSession, d: str) -> DataFrame:
     return session_counts(table(spark, d, "events"), "6 hours")
 
 
-@query("agent_mock", f"WITH {_M}, {CLASSIFY_SQL} SELECT k, rule, 3::INT AS agent_turns, 0.85::DOUBLE AS confidence, 'agent' AS stage FROM classified")
+@query("agent_mock", f"WITH {_M}, {CLASSIFY_SQL} SELECT k, rule, matched_name, 3::INT AS agent_turns, 0.85::DOUBLE AS confidence, 'agent' AS stage FROM classified")
 def agent_mock(spark: SparkSession, d: str) -> DataFrame:
-    from ..operators.agent import resolve_with_agent
+    return agent.resolve_with_agent(names_to_match(spark, d), dictionary(spark, d), "k").select("k", "rule", "matched_name", "agent_turns", "confidence", "stage")
 
-    q = names_to_match(spark, d)
-    return resolve_with_agent(q, dictionary(spark, d), "k").select("k", "rule", "agent_turns", "confidence", "stage")
+
+_TOOL_SQL = f"""WITH {_M}, {CLASSIFY_SQL}, sh AS (SELECT k, d_name, row_number() OVER (PARTITION BY k ORDER BY rank, ord) AS n, count(*) OVER (PARTITION BY k) AS total FROM cand WHERE NOT deprecated)
+SELECT classified.k, rule, coalesce(total, 0)::BIGINT AS total, coalesce(shown, '') AS shown FROM classified LEFT JOIN (SELECT k, max(total) AS total, string_agg(d_name, ' ' ORDER BY n) FILTER (n <= 20) AS shown FROM sh GROUP BY k) s ON classified.k = s.k"""
+
+
+@query("agent_tools", _TOOL_SQL)
+def agent_tools(spark: SparkSession, d: str) -> DataFrame:
+    """Each name looked up and classified by calls of the agent's tools, read back from their JSON."""
+    args = F.to_json(F.struct("vendor", "product", "version", "target_sw", F.lit("x").alias("confidence")))
+    tools = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("tool")) for i, t in enumerate(("search_dictionary", "classify_match"))]))
+    calls = stored(names_to_match(spark, d).select(F.col("k").alias("key"), args.alias("args"), tools.alias("t")).select("key", "t.*", "args"))
+    answer = F.from_json("answer", "total long, entries array<struct<cpe:string>>, rule string, error string")
+    found = toolbox.execute(calls, dictionary(spark, d)).select(F.col("key").alias("k"), "i", answer.alias("a"))
+    return found.groupBy("k").agg(F.max("a.rule").alias("rule"), F.max("a.total").alias("total"), F.max(F.when(F.col("i") == 0, F.array_join("a.entries.cpe", " "))).alias("shown"))
 
 
 @query("replay_extractions", f"WITH {P_SQL} SELECT p_name AS title, CASE WHEN min(k) % 2 = 0 THEN 'v' END AS vendor FROM p GROUP BY p_name")
 def replay_extractions(spark: SparkSession, d: str) -> DataFrame:
-    from ..operators.extract import replay
-
     titles = parts(spark, d).groupBy(F.col("p_name").alias("title")).agg(F.min("k").alias("k"))
     answers = titles.where("k % 2 = 0").select("title", F.lit('{"vendor": "V", "product": null}').alias("answer"))
-    return replay(titles.select("title"), answers).select("title", "vendor")
+    return extract.replay(titles.select("title"), answers).select("title", "vendor")
 
 

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..storage import small_side, stored
+from ..storage import exists, small_side, stored
 
 RESULT_FIELDS = ["title", "vendor", "product", "version", "update", "target_sw", "confidence", "cpe", "valid", "validation_errors", "rule", "rule_name", "match_similarity", "matched_cpe", "error", "stage", "fast_rule", "agent_turns", "note", "latency_ms", "tokens_in", "tokens_out"]
-SNAPSHOT = "cpeName string, cpeNameId string, title string, deprecated boolean"
+SNAPSHOT = "cpeName string, cpeNameId string, title string, deprecated boolean, ord long"
 
 
 def position(df: DataFrame) -> DataFrame:
@@ -64,9 +64,12 @@ def read_catalog(spark: SparkSession, path: str, required: list[str]) -> DataFra
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """name, title, deprecated and ord of a JSON-lines snapshot, plain or gzipped."""
+    """name, title, deprecated and ord of a JSON-lines snapshot, plain or gzipped.
+
+    Snapshots of build_snapshot() say each entry's place; others count in file order.
+    """
     raw = position(spark.read.schema(SNAPSHOT).json(path))
-    return raw.select(F.col("cpeName").alias("name"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("deprecated", F.lit(False)).alias("deprecated"), F.col("pos").alias("ord"))
+    return raw.select(F.col("cpeName").alias("name"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("deprecated", F.lit(False)).alias("deprecated"), F.coalesce("ord", "pos").alias("ord"))
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -99,8 +102,15 @@ def read_packages(spark: SparkSession, path: str, source: str) -> DataFrame:
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """query and payload (JSON text) of a cache file keyed by query."""
-    return read_replay(spark, path).select(F.col("title").alias("query"), F.col("answer").alias("payload"))
+    """query and payload (JSON text) of a cache: a table of write_cache(), or a JSON object keyed by query.
+
+    A cache that is not there yet is empty.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], "query string, payload string")
+    if path.endswith(".json"):
+        return read_replay(spark, path).select(F.col("title").alias("query"), F.col("answer").alias("payload"))
+    return spark.read.schema("query string, payload string").parquet(path)
 
 
 def registry_items(spark: SparkSession) -> DataFrame:

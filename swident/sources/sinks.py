@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import ENTITIES
+from ..storage import replace, write_text
+from .files import file_digests
 
 
 def write_results(results: DataFrame, path: str) -> None:
@@ -22,6 +26,22 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.select(*edge).write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
 
 
+def write_metrics(spark: SparkSession, path: str, **metrics: object) -> None:
+    """A run's figures as one JSON file; one-row frames give their columns."""
+    plain = {k: v.first().asDict() if isinstance(v, DataFrame) else v for k, v in metrics.items()}
+    write_text(spark, path, json.dumps(plain, indent=2, default=str) + "\n")
+
+
+def digests(spark: SparkSession, *paths: str) -> dict[str, str]:
+    """SHA-256 of the files below each path."""
+    return {r.path: r.sha256 for p in paths for r in file_digests(spark, p).orderBy("path").collect()}
+
+
+def write_cache(cache: DataFrame, path: str) -> None:
+    """query and payload as a table that takes the old one's place when it is whole."""
+    replace(cache.select("query", "payload"), path)
+
+
 def write_titles(titles: DataFrame, path: str) -> None:
     """One headerless column, in input order."""
     titles.orderBy("pos").select("title").write.mode("overwrite").option("escape", '"').csv(path)
@@ -42,11 +62,15 @@ def write_splits(dealt: DataFrame, path: str) -> None:
     dealt.drop("pairs").write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-def manifest(dealt: DataFrame, digests: DataFrame, seed: int) -> str:
-    """Markdown of split sizes, families and file digests."""
-    sizes = dealt.groupBy("split").agg(F.count("*").alias("rows"), F.count_distinct("family").alias("families")).orderBy("split").collect()
-    lines = [f"# Splits (seed {seed})", "", "| split | rows | families |", "|---|---|---|", *[f"| {r.split} | {r.rows} | {r.families} |" for r in sizes], "", "| file | sha256 |", "|---|---|"]
-    return "\n".join([*lines, *[f"| {r.path} | {r.sha256} |" for r in digests.orderBy("path").collect()]]) + "\n"
+def split_sizes(dealt: DataFrame) -> DataFrame:
+    """rows and families of each split."""
+    return dealt.groupBy("split").agg(F.count("*").alias("rows"), F.count_distinct("family").alias("families"))
+
+
+def manifest(sizes: DataFrame, sources: dict[str, str], seed: int) -> str:
+    """Markdown of split_sizes() and the digests of the source files."""
+    lines = [f"# Splits (seed {seed})", "", "| split | rows | families |", "|---|---|---|", *[f"| {r.split} | {r.rows} | {r.families} |" for r in sizes.orderBy("split").collect()]]
+    return "\n".join([*lines, "", "| file | sha256 |", "|---|---|", *[f"| {p} | {d} |" for p, d in sources.items()]]) + "\n"
 
 
 def evaluation_report(scores: DataFrame, rules: DataFrame, exact: DataFrame) -> str:
@@ -61,8 +85,15 @@ def evaluation_report(scores: DataFrame, rules: DataFrame, exact: DataFrame) ->
 
 
 def ranking_report(ranked: DataFrame) -> str:
-    rows = ranked.collect()
-    return "\n".join(["| # | model | mode | product F1 | vendor F1 |", "|---|---|---|---|---|", *[f"| {i} | {r.model} | {r['mode']} | {r.product_f1:.4f} | {r.vendor_f1:.4f} |" for i, r in enumerate(rows, 1)]]) + "\n"
+    """Markdown of benchmark_rank()."""
+    rows = ranked.orderBy("rank").collect()
+    lines = ["# Benchmark", "", *([f"{rows[0].n} titles in the first combination; latency in ms."] if rows else []), ""]
+    lines += ["| # | model | mode | F1 vendor | F1 product | F1 version | partial F1 v/p/v | valid | exact | M1x | p50 | p95 | tokens in/out |", "|" + "---|" * 13]
+    for r in rows:
+        partial = "/".join(f"{r[f'{e}_f1_partial']:.2f}" for e in ENTITIES[:3])
+        strict = " | ".join(f"{r[f'{e}_f1_strict']:.3f}" for e in ENTITIES[:3])
+        lines.append(f"| {r['rank']} | {r.model} | {r['mode']} | {strict} | {partial} | {r.cpe_valid}/{r.n} | {r.cpe_exact}/{r.n} | {r.m1x} | {r.latency_ms_p50} | {r.latency_ms_p95} | {r.tokens_in}/{r.tokens_out} |")
+    return "\n".join(lines) + "\n"
 
 
 def write_vulns(rolled: DataFrame, path: str) -> None:

@@ -51,12 +51,43 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file(spark: SparkSession, path: str) -> tuple:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _file(spark, path)
+    return fs.exists(where)
+
+
+def replace(df: DataFrame, path: str) -> None:
+    """Write df as Parquet beside `path` and put it in its place when it is whole."""
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}.new"
+    df.write.parquet(beside)
+    fs, where = _file(spark, path)
+    if fs.exists(where):
+        fs.delete(where, True)
+    fs.rename(_file(spark, beside)[1], where)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small text file on whatever store the path names."""
+    fs, where = _file(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def release(spark: SparkSession) -> None:
     """Remove all step tables made so far; call it when results are written."""
     paths, _made[:] = _made[:], []
     for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+        fs, where = _file(spark, path)
+        fs.delete(where, True)
 
 
 def _at_exit() -> None:

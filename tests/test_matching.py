@@ -9,11 +9,11 @@ from swident.operators.components import connected_components
 NAME = "cpe:2.3:a:{}:{}:{}:*:*:*:*:{}:*:*"
 
 
-def entry(v, p, ver="5.5.1", sw="*", dead=False):
+def entry(v, p, ver="4.2.7", sw="*", dead=False):
     return (NAME.format(v, p, ver, sw), f"{v} {p}", dead)
 
 
-def run(spark, entries, vendor="in2code", product="femanager", version="5.5.1", sw=None, cap=None):
+def run(spark, entries, vendor="northwind", product="ledgerly", version="4.2.7", sw=None, cap=None):
     d = dictionary.prepared(spark.createDataFrame([(*e, i) for i, e in enumerate(entries)], "name string, title string, deprecated boolean, ord long"))
     q = spark.createDataFrame([(1, vendor, product, version, sw)], "k long, vendor string, product string, version string, sw string")
     q = q.select("k", "vendor", "product", "version", bind_raw("vendor").alias("b_vendor"), bind_raw("product").alias("b_product"), build_name(F.col("vendor"), F.col("product"), F.col("version"), None, F.col("sw")).alias("name"))
@@ -22,22 +22,22 @@ def run(spark, entries, vendor="in2code", product="femanager", version="5.5.1",
 
 
 CASES = [
-    (dict(sw="typo3"), [entry("in2code", "femanager", sw="typo3")], "M1", 1.0, True),
-    (dict(), [entry("in2code", "femanager", sw="typo3")], "M1A", 1.0, True),
-    (dict(version="9.9.9"), [entry("in2code", "femanager")], "M1B", None, True),
-    (dict(vendor="google", version="1.0"), [entry("google", "protobuf"), entry("in2code", "femanager")], "M1C", 1.0, False),
-    (dict(product="femanagers"), [entry("in2code", "femanager")], "M2", None, True),
-    (dict(vendor="hp", product="dropboxplugin"), [entry("hp", "deskjet_taplugin", "60")], "M2", None, False),
-    (dict(vendor="in2codee"), [entry("in2code", "femanager")], "M3", None, True),
-    (dict(vendor="totally_new_vendor"), [entry("in2code", "femanager")], "M2B", 1.0, True),
+    (dict(sw="harborcms"), [entry("northwind", "ledgerly", sw="harborcms")], "M1", 1.0, True),
+    (dict(), [entry("northwind", "ledgerly", sw="harborcms")], "M1A", 1.0, True),
+    (dict(version="9.9.9"), [entry("northwind", "ledgerly")], "M1B", None, True),
+    (dict(vendor="lumen", version="1.0"), [entry("lumen", "wirefmt"), entry("northwind", "ledgerly")], "M1C", 1.0, False),
+    (dict(product="ledgerlys"), [entry("northwind", "ledgerly")], "M2", None, True),
+    (dict(vendor="qx", product="cloudsyncpane"), [entry("qx", "printdock_addpanel", "60")], "M2", None, False),
+    (dict(vendor="northwindd"), [entry("northwind", "ledgerly")], "M3", None, True),
+    (dict(vendor="utterly_other_maker"), [entry("northwind", "ledgerly")], "M2B", 1.0, True),
     (dict(), [], "M4", 0.0, False),
-    (dict(), [entry("in2code", "femanager", dead=True)], "M4", 0.0, False),
+    (dict(), [entry("northwind", "ledgerly", dead=True)], "M4", 0.0, False),
     # the pair shadows all else, even if its entries are all deprecated
-    (dict(), [entry("in2code", "femanager", dead=True), entry("in2code", "other")], "M4", 0.0, False),
+    (dict(), [entry("northwind", "ledgerly", dead=True), entry("northwind", "other")], "M4", 0.0, False),
     # a deprecated representative hides its pair from the fallbacks
-    (dict(product="nothing"), [entry("in2code", "other", dead=True), entry("in2code", "other", "2")], "M4", 0.0, False),
-    (dict(version=""), [entry("in2code", "femanager", "*")], "M1", 1.0, True),
-    (dict(version="", sw="x"), [entry("in2code", "femanager", "*")], "M1B", 1.0, True),
+    (dict(product="nothing"), [entry("northwind", "other", dead=True), entry("northwind", "other", "2")], "M4", 0.0, False),
+    (dict(version=""), [entry("northwind", "ledgerly", "*")], "M1", 1.0, True),
+    (dict(version="", sw="x"), [entry("northwind", "ledgerly", "*")], "M1B", 1.0, True),
 ]
 
 
@@ -49,9 +49,9 @@ def test_rules(spark, change, entries, rule, sim, cited):
 
 
 def test_first_of_equals_and_cap(spark):
-    same = [entry("in2code", "femanager", "5.5.2"), entry("in2code", "femanager", "5.5.3")]
+    same = [entry("northwind", "ledgerly", "4.2.8"), entry("northwind", "ledgerly", "4.2.9")]
     assert run(spark, same)[2] == same[0][0]
-    assert run(spark, [*same, entry("in2code", "femanager")], cap=2)[0] == "M1B"
+    assert run(spark, [*same, entry("northwind", "ledgerly")], cap=2)[0] == "M1B"
     assert run(spark, [(NAME.format("a", "b", "1", "*") + ":x", "", False), ("junk", "", False)])[0] == "M4"
 
 
@@ -70,12 +70,12 @@ def test_curation_precedence(spark):
 
 
 def test_tiers(spark):
-    d = dictionary.prepared(spark.createDataFrame([(*entry("clamav", "clamav", "0.101.1"), 0), (*entry("cisco", "nx-os", "13.2"), 1), (*entry("cisco", "mds_9000", "13.2"), 2)], "name string, title string, deprecated boolean, ord long"))
+    d = dictionary.prepared(spark.createDataFrame([(*entry("sieve", "sieve", "0.31.4"), 0), (*entry("relay", "rx-os", "13.2"), 1), (*entry("relay", "fab_7000", "13.2"), 2)], "name string, title string, deprecated boolean, ord long"))
     n = lambda v, p: NAME.format(v, p, "1", "*")
-    rows = [("a", [n("clamav", "clamav"), n("appdynamics", "controller")], "", True), ("b", [n("cisco", "nx-os"), n("cisco", "mds_9000")], "ann", False), ("c", [NAME.format("clamav", "clamav", "0.101.1", "*")], "system", True), ("d", [], "x", False)]
+    rows = [("a", [n("sieve", "sieve"), n("metricly", "steward")], "", True), ("b", [n("relay", "rx-os"), n("relay", "fab_7000")], "ann", False), ("c", [NAME.format("sieve", "sieve", "0.31.4", "*")], "system", True), ("d", [], "x", False)]
     c = tiering.contrast(spark.createDataFrame(rows, "key string, cpes array<string>, created_by string, has_override boolean"), d)
     r = {x.key: x for x in tiering.route(c).collect()}
-    assert (r["a"].route, r["a"].reason) == ("quarantine", "incompatible_vendors:appdynamics:controller")
+    assert (r["a"].route, r["a"].reason) == ("quarantine", "incompatible_vendors:metricly:steward")
     assert (r["b"].route, r["c"].route, r["d"].route, r["c"].n_in_dict, r["b"].n_pairs_known) == ("B", "A", "B", 1, 2)
     assert {x.key: x.reason for x in tiering.route(c, with_dictionary=False).collect()}["a"] == "incompatible_vendors:no_dictionary"
 
@@ -124,33 +124,53 @@ def test_vulns(spark):
     assert r["t3"].error == "offline cache miss" and r["t3"].n_cves == 0
 
 
-def test_agent(spark):
-    class Silent:
-        def chat(self, messages):
-            return agent.Reply(text="hm")
+def titles(spark, rows):
+    return spark.createDataFrame(rows, "k long, title string, vendor string, product string, version string, update string, target_sw string, rule string")
 
-    class Broken:
-        def chat(self, messages):
-            raise OSError("down")
 
-    assert agent.converse(Silent(), "t", {}) == {"turns": 8, "error": "no submission"}
-    assert "down" in agent.converse(Broken(), "t", {})["error"]
-    got = agent.converse(agent.ScriptedProvider({"vendor": "a"}), "t", {})
-    assert got == {"turns": 3, "error": None, "vendor": "a", "confidence": 0.85}
+def test_agent(spark):
+    d = dictionary.prepared(spark.createDataFrame([(*entry("anvil", "kiln", "2.0"), 0), (*entry("anvil", "bellows", "1.0"), 1)], "name string, title string, deprecated boolean, ord long"))
+    rows = titles(spark, [(1, "Anvil Kiln 2.0", "anvil", "kiln", "2.0", None, None, "M1"), (2, "?", None, None, None, None, None, None), (3, "kilm", "anvil", "kilm", "", None, None, "M2")])
+    out = {r.k: r for r in agent.resolve_with_agent(rows, d, "k").collect()}
+    assert (out[1].rule, out[1].agent_turns, out[1].confidence, out[1].matched_name, out[1].error) == ("M1", 3, 0.85, NAME.format("anvil", "kiln", "2.0", "*"), None)
+    assert (out[2].rule, out[2].error, out[2].name) == (None, "agent submitted no vendor/product", None)
+    assert (out[3].rule, out[3].valid, out[3].stage) == ("M2", True, "agent")
 
 
-def test_toolbox():
-    import json
+def follows():
+    class Follows:
+        """Searches by keyword, then submits the first entry that it was shown."""
 
-    from swident.operators import toolbox
+        def __init__(self, given):
+            self.given = given
 
-    tools = toolbox.make([(NAME.format("a", "b", "1", "*"), "A b one"), (NAME.format(r"a\:x", "c", "1", "*"), "other")])
-    call = lambda t, **a: json.loads(tools[t](a))
-    assert call("bind_and_validate", vendor=" A ", product="b", version=1) == {"cpe": NAME.format("a", "b", "1", "*"), "valid": True}
-    assert call("bind_and_validate", vendor="é")["valid"] is False and call("bind_and_validate", vendor=" ")["valid"] is False
-    assert call("search_dictionary", keyword="a ONE")["total"] == 1 and call("search_dictionary", vendor="a:x")["total"] == 1
-    assert call("classify_match", vendor="a", product="b", version="1")["rule"] == "M1"
-    assert "error" in json.loads(tools["search_dictionary"](None))
+        def chat(self, messages):
+            import json
+
+            if self.given["vendor"] == "down":
+                raise OSError("no service")
+            if self.given["vendor"] == "silent":
+                return agent.Reply(text="hm")
+            answers = [json.loads(m["content"]) for m in messages if m["role"] == "tool"]
+            if not answers:
+                assert messages[0]["content"].startswith("Title: ")
+                return agent.Reply(calls=[("search_dictionary", {"keyword": "KIL anv"}), ("bind_and_validate", {"vendor": " A\u00e9 ", "product": "b"}), ("nonsense", {}), ("classify_match", {"vendor": "anvil", "product": "kiln", "version": "2.0", "confidence": 7}), ("search_dictionary", {})])
+            assert len(answers) == 5 and answers[0]["total"] == 1 and answers[1]["valid"] is False and answers[1]["errors"]
+            assert "unknown tool" in answers[2]["error"] and answers[4] == {"error": "provide vendor, product or keyword"}
+            assert answers[3] == {"rule": "M1", "rule_name": "exact match", "high_confidence": True, "similarity": 1.0, "confidence_reported": 1.0, "matched_cpe": answers[0]["entries"][0]["cpe"]}
+            _, _, _, vendor, product, version, *_ = answers[0]["entries"][0]["cpe"].split(":")
+            return agent.Reply(calls=[("submit", {"vendor": vendor, "product": product, "version": version, "confidence": "high", "note": "n"})])
+
+    return Follows
+
+
+def test_agent_uses_the_dictionary(spark):
+    d = dictionary.prepared(spark.createDataFrame([(*entry("anvil", "kiln", "2.0"), 0), (*entry("anvil", "kilns", "1.0", dead=True), 1)], "name string, title string, deprecated boolean, ord long"))
+    rows = titles(spark, [(i, "t", v, None, None, None, None, None) for i, v in enumerate(["x", "down", "silent"])])
+    out = {r.k: r for r in agent.resolve_with_agent(rows, d, "k", follows(), max_turns=3).collect()}
+    assert (out[0].rule, out[0].agent_turns, out[0].confidence, out[0].note) == ("M1", 2, 0.0, "n")
+    assert out[1].error == "provider error: no service" and out[1].rule is None
+    assert (out[2].error, out[2].agent_turns) == ("agent did not submit within 3 turns", 3)
 
 
 def test_components(spark):

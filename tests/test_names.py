@@ -8,8 +8,8 @@ from swident.functions import names as n
 
 T = "cpe:2.3:a:vendor:{}:1.0:*:*:*:*:*:*:*"
 CASES = [
-    (r"name\:with_colon", True), ("c++", False), (r"c\+\+", True), (r"pro\duct", False), (r"100\%_product", True), ("*manager", True),
-    ("pro*duct", False), ("pro?duct", False), ("??product", True), (r"pro\*duct", True), ("-product", True), ("**", False), ("??", False), ("*?", False), ("", False), ("Ven", False), ("ven dor", False), ("á", False),
+    (r"pen\:nib", True), ("d++", False), (r"d\+\+", True), (r"ink\well", False), (r"50\%_grey", True), ("*quill", True),
+    ("qu*ill", False), ("qu?ill", False), ("???quill", True), (r"qu\*ill", True), ("-quill", True), ("**", False), ("???", False), ("?*", False), ("", False), ("Ink", False), ("in k", False), ("ö", False),
 ]
 
 
