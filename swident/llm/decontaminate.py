@@ -1,27 +1,32 @@
-"""Benchmark decontamination over a positional inverted index, natively.
+"""Benchmark decontamination over a distributed positional inverted index, natively.
 
-1. Corpus counts of the words that occur in the benchmark.
+1. The index stores every token of the training documents as a posting: term,
+   document and position, sorted by term within each part, so that a part's
+   postings of a term are one run.  Terms and documents are 64-bit hashes (of the
+   lower-cased word; of doc_id and text).  It does not depend on the benchmark.
 2. Every window of `width` consecutive item words (an item of fewer words is one
-   window) is represented by its rarest word; the second rarest is its check.
-3. The index stores the corpus postings of the rarest words: word, document and
-   position, each with the words up to `width` - 1 places around it.
-4. A query looks up the rarest word's list, shifts it by the word's place in the
-   item, intersects it with the second list at the shifted place, and extends
-   the match word by word.  A run as long as the window is an exact phrase;
-   both rare words near each other without a full run are a proximity match.
-
-Every occurrence of a window holds its rarest word at the right place, so no
-occurrence is missed.  Only benchmark-side tables may be broadcast, and only
-behind a count.
+   window) takes its two rarest words by the index's own counts.  A window with a
+   word that the index lacks can't occur.
+3. The rarest word's postings, shifted by its place in the window, are candidate
+   places; they are intersected with the second rarest word's postings at the
+   shifted place.
+4. What is left must have every word's posting in its place: an exact phrase.
+   Places where both rare words stand within `width` words without an exact phrase
+   are proximity matches.
+
+Every occurrence of a window holds its rarest words at the right places, so none
+is missed.  Texts are read twice, once to index them and once for the rows' keys.
+Only tables that follow from the benchmark are broadcast, behind a check of their
+bytes; beyond it the joins shuffle postings, never texts.
 
 Odd inputs: null or empty texts have no words and no hits; items without words
-are ignored; rows with a null item_id count hits under the id "" ; repeated rows
+are ignored; rows with a null item_id count hits under the id ""; repeated rows
 of a document each get its result; empty tables give no hits or no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import small_side, stored
@@ -37,11 +42,22 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), DELIMITERS), "")
 
 
+def lower_words(text: Column) -> Column:
+    """The words with A-Z lowered; ASCII texts take the faster way."""
+    t = F.coalesce(text, F.lit(""))
+    return words_of(F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(lower_ascii(t)))
+
+
 def _row_key(df: DataFrame) -> DataFrame:
     """A document is a doc_id with its text; repeated rows share the key."""
     return df.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text_hash"), "text")
 
 
+def document_key() -> Column:
+    """One number for a doc_id with its text; repeated rows share it."""
+    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+
+
 def item_words(benchmark: DataFrame) -> DataFrame:
     """One row per distinct item text: item, words (A-Z lowered), n."""
     return (
@@ -52,94 +68,101 @@ def item_words(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def corpus_counts(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(term, cf): corpus frequency of each benchmark word, lower-cased."""
-    vocabulary = items.select(F.explode("words").alias("term")).select(F.lower("term").alias("term")).distinct()
-    seen = docs.select(F.explode(words_of(F.col("text"))).alias("word")).select(F.lower("word").alias("term"))
-    counts = seen.join(small_side(vocabulary), "term").groupBy("term").agg(F.count("*").alias("cf"))
-    return vocabulary.join(counts, "term", "left").select("term", F.coalesce("cf", F.lit(0)).alias("cf"))
+def build_index(docs: DataFrame) -> DataFrame:
+    """Store the postings of all tokens: term, doc, pos (from 0)."""
+    tokens = docs.select(document_key().alias("doc"), F.posexplode(lower_words(F.col("text"))).alias("pos", "word"))
+    return stored(tokens.select(F.xxhash64("word").alias("term"), "doc", "pos").sortWithinPartitions("term"), "postings")
 
 
-def anchors(items: DataFrame, counts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(term, item, at, near, span, seconds) for the rarest word of each window.
+def rare_windows(items: DataFrame, index: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The windows whose words the index has: window, item, terms, span, and place and term of the two rarest.
 
-    at: its place in the item; near: the item's words around it; span: words a
-    run must have; seconds: places of second-rarest words relative to it.
+    second is null for windows of one word.
     """
-    windows = items.select("item", "words", "n", F.explode(F.expr(f"sequence(0, greatest(n - {width}, 0))")).alias("w"))
-    cells = windows.select("item", "words", "n", "w", F.explode(F.expr(f"sequence(w, least(w + {width}, n) - 1)")).alias("at"))
-    cells = cells.withColumn("term", F.expr("lower(words[at])")).join(small_side(counts), "term")
-    order = Window.partitionBy("item", "words", "w").orderBy("cf", "term", "at")
-    ranked = cells.withColumn("rank", F.row_number().over(order)).where("rank <= 2")
-    both = ranked.groupBy("item", "words", "n", "w").agg(
-        F.min(F.when(F.col("rank") == 1, F.struct("term", "at"))).alias("first"),
-        F.min(F.when(F.col("rank") == 2, F.col("at"))).alias("second"),
-    )
-    near = F.expr(f"slice(words, greatest(at - {width - 1}, 0) + 1, at + {width} - greatest(at - {width - 1}, 0))")
-    return (
-        both.select("item", "words", "n", "first.*", (F.col("second") - F.col("first.at")).alias("second"))
-        .groupBy("term", "item", "words", "n", "at")
-        .agg(F.collect_set("second").alias("seconds"))
-        .select("term", "item", "at", near.alias("near"), F.least("n", F.lit(width)).alias("span"), "seconds")
-    )
-
-
-def build_index(docs: DataFrame, terms: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Store the postings of the given terms: term, document, position, context."""
-    each = _row_key(docs).select("doc_id", "_text_hash", words_of(F.col("text")).alias("words")).select("doc_id", "_text_hash", "words", F.posexplode("words").alias("pos", "word"))
-    around = F.expr(f"slice(words, greatest(pos - {width - 1}, 0) + 1, pos + {width} - greatest(pos - {width - 1}, 0))")
-    postings = each.withColumn("term", F.lower("word")).join(small_side(terms.select("term").distinct()), "term").select("term", "doc_id", "_text_hash", "pos", around.alias("context"))
-    return stored(postings, "postings")
-
-
-def search(index: DataFrame, anchor: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Matches: doc_id, _text_hash, item, kind (phrase or proximity), start, end.
-
-    Positions count words from 0, end is the last word.  Proximity rows span the
-    two rare words; phrase rows span the run.
+    hashed = items.select("item", "n", F.transform("words", lambda w: F.xxhash64(w)).alias("all"))
+    spans = hashed.select("item", F.least("n", F.lit(width)).alias("span"), "all", F.explode(F.expr(f"sequence(0, greatest(n - {width}, 0))")).alias("w"))
+    windows = spans.select("item", "span", F.expr("slice(all, w + 1, span)").alias("terms")).distinct().withColumn("window", F.xxhash64("item", "terms"))
+    windows = stored(windows, "windows")
+    vocabulary = windows.select(F.explode("terms").alias("term")).distinct()
+    counts = stored(index.join(small_side(vocabulary), "term", "left_semi").groupBy("term").agg(F.count("*").alias("cf")), "counts")
+    cells = windows.select("window", F.posexplode("terms").alias("at", "term")).join(small_side(counts), "term")
+    ranked = cells.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("cf", "term", "at"))).alias("c"))
+    rarest = ranked.select("window", F.size("c").alias("known"), F.get("c", F.lit(0)).alias("first"), F.get("c", F.lit(1)).alias("second"))
+    joined = windows.join(rarest, "window").where("known = span")
+    return stored(joined.select("window", "item", "terms", "span", *[F.col(f"{r}.{c}").alias(f"{r}_{c}") for r in ("first", "second") for c in ("term", "at")]), "rare-windows")
+
+
+def _candidates(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """(window, doc, start, ...): where the windows' rarest words say that they may stand."""
+    rare = windows.select("window", "span", F.col("first_term").alias("term"), "first_at", "second_term", "second_at")
+    return stored(index.join(small_side(rare), "term").withColumn("start", F.col("pos") - F.col("first_at")).where("start >= 0").drop("term", "pos").distinct(), "candidates")
+
+
+def _postings_of(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted(doc, term, pos, ...) rows that have their posting; the documents are picked first."""
+    wanted = stored(wanted, "wanted")
+    few = index.join(small_side(wanted.select("doc").distinct()), "doc", "left_semi")
+    return few.join(small_side(wanted), ["doc", "term", "pos"])
+
+
+def phrases(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """Exact occurrences of windows: doc, item, start, end (the last word)."""
+    found = _candidates(index, windows)
+    pairs = _postings_of(index, found.where("second_term is not null").select("window", "doc", "start", F.col("second_term").alias("term"), (F.col("start") + F.col("second_at")).alias("pos")))
+    both = pairs.select("window", "doc", "start").distinct()
+    each = both.join(small_side(windows.select("window", "terms")), "window").select("window", "doc", "start", F.posexplode("terms").alias("at", "term"))
+    met = _postings_of(index, each.select("window", "doc", "start", "term", (F.col("start") + F.col("at")).alias("pos")))
+    whole = met.groupBy("window", "doc", "start").agg(F.count_distinct("pos").alias("n"))
+    one = found.where("second_term is null").select("window", "doc", "start", F.lit(1).cast("long").alias("n"))
+    exact = whole.unionByName(one).join(small_side(windows.select("window", "item", "span")), "window").where("n = span")
+    return stored(exact.select("doc", "item", "start", (F.col("start") + F.col("span") - 1).alias("end")).distinct(), "phrases")
+
+
+def proximities(index: DataFrame, windows: DataFrame, exact: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Places of a window's two rarest words less than `width` words apart, outside of exact phrases of the item."""
+    found = _candidates(index, windows).where("second_term is not null").withColumn("one", F.col("start") + F.col("first_at"))
+    other = found.select(F.col("second_term").alias("term"), "doc").distinct()
+    lists = index.join(small_side(other.select("doc").distinct()), "doc", "left_semi").join(small_side(stored(other, "lists")), ["term", "doc"], "left_semi").distinct()
+    near = found.select("window", "doc", "one", F.col("second_term").alias("term")).join(lists, ["doc", "term"]).where((F.abs(F.col("pos") - F.col("one")) < width) & (F.col("pos") != F.col("one")))
+    spans = near.join(windows.select("window", "item"), "window").select("doc", "item", F.least("one", "pos").alias("start"), F.greatest("one", "pos").alias("end")).distinct()
+    inside = exact.select("doc", "item", F.col("start").alias("_s"), F.col("end").alias("_e"))
+    same = (spans.doc == inside.doc) & (spans.item == inside.item) & (spans.start >= inside._s) & (spans.end <= inside._e)
+    return spans.join(inside, same, "left_anti")
+
+
+def find_matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, index: DataFrame | None = None) -> DataFrame:
+    """All matches of the benchmark's windows: doc_id, item, kind (phrase or proximity), start, end.
+
+    index is that of docs, if it was built before.  Positions count words from 0,
+    end is the last word.
     """
-    reach = width - 1
-    c = index.select("term", "doc_id", "_text_hash", "pos", F.transform("context", lower_ascii).alias("context")).join(small_side(anchor), "term")
-    # places relative to the rare word; get() is null outside the arrays
-    doc_at = f"get(context, least(pos, {reach}) + r)"
-    item_at = f"get(near, least(at, {reach}) + r)"
-    same = F.expr(f"array_join(transform(sequence(-{reach}, {reach}), r -> if(coalesce({doc_at} = {item_at}, false), '1', '0')), '')")
-    c = c.withColumn("same", same).where(F.substring("same", width, 1) == "1")
-    c = c.withColumn("left", F.length(F.regexp_extract(F.substring("same", 1, reach), "1*$", 0))).withColumn("right", F.length(F.regexp_extract(F.substring("same", width + 1, reach), "^1*", 0)))
-    shifted = F.expr(f"size(seconds) = 0 or exists(seconds, s -> substring(same, {width} + s, 1) = '1')")
-    nearby = F.expr(f"filter(transform(seconds, s -> struct(abs(array_position(context, get(near, least(at, {reach}) + s)) - 1 - least(pos, {reach})) as gap, array_position(context, get(near, least(at, {reach}) + s)) - 1 - least(pos, {reach}) as shift, array_position(context, get(near, least(at, {reach}) + s)) as found)), x -> x.found > 0)")
-    c = c.withColumn("exact", shifted & (F.col("left") + F.col("right") + 1 >= F.col("span"))).withColumn("near_second", F.when(~F.col("exact"), F.array_min(nearby)))
-    return c.where("exact or near_second is not null").select(
-        "doc_id",
-        "_text_hash",
-        "item",
-        F.when(F.col("exact"), "phrase").otherwise("proximity").alias("kind"),
-        F.when(F.col("exact"), F.col("pos") - F.col("left")).otherwise(F.expr("pos + least(near_second.shift, 0)")).cast("int").alias("start"),
-        F.when(F.col("exact"), F.col("pos") + F.col("right")).otherwise(F.expr("pos + greatest(near_second.shift, 0)")).cast("int").alias("end"),
-    )
-
-
-def find_matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """All exact phrase and proximity matches of the benchmark's windows."""
-    items = item_words(benchmark)
-    anchor = stored(anchors(items, corpus_counts(docs, items), width), "anchors")
-    return search(build_index(docs, anchor, width), anchor, width)
+    index = build_index(docs) if index is None else index
+    windows = rare_windows(item_words(benchmark), index, width)
+    exact = phrases(index, windows)
+    both = exact.withColumn("kind", F.lit("phrase")).unionByName(proximities(index, windows, exact, width).withColumn("kind", F.lit("proximity")))
+    ids = docs.select("doc_id", document_key().alias("doc")).distinct()
+    return ids.join(both, "doc").select("doc_id", "item", "kind", "start", "end")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit, n_items, items, contaminated."""
-    phrases = find_matches(docs, benchmark, width).where("kind = 'phrase'")
-    found = phrases.groupBy("doc_id", "_text_hash").agg(
+    index = build_index(docs)
+    exact = phrases(index, rare_windows(item_words(benchmark), index, width))
+    found = exact.groupBy("doc").agg(
         F.expr("size(array_distinct(flatten(transform(collect_set(struct(start, end)), x -> sequence(x.start, x.end)))))").cast("long").alias("n_hit"),
         F.array_sort(F.collect_set("item")).alias("items"),
     )
-    base = _row_key(docs).select("doc_id", "_text_hash", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    joined = base.alias("b").join(found.alias("f"), F.col("b.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("b._text_hash") == F.col("f._text_hash")), "left")
-    items = F.coalesce("f.items", F.array().cast("array<string>"))
-    return joined.select("b.doc_id", "b.n_words", F.coalesce("f.n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"), F.col("f.n_hit").isNotNull().alias("contaminated"))
+    sizes = index.groupBy("doc").agg((F.max("pos") + 1).cast("long").alias("n_words"))
+    rows = docs.select("doc_id", document_key().alias("doc"))
+    joined = rows.join(sizes, "doc", "left").join(found, "doc", "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    zero = F.lit(0).cast("long")
+    return joined.select("doc_id", F.coalesce("n_words", zero).alias("n_words"), F.coalesce("n_hit", zero).alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"), F.col("n_hit").isNotNull().alias("contaminated"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """docs without the rows that hold an exact benchmark window; same columns."""
-    bad = find_matches(docs, benchmark, width).where("kind = 'phrase'").select(F.col("doc_id").alias("_swident_id"), F.col("_text_hash").alias("_swident_hash")).distinct()
-    return docs.join(small_side(stored(bad, "contaminated")), F.col("doc_id").eqNullSafe(F.col("_swident_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_swident_hash")), "left_anti")
+    index = build_index(docs)
+    exact = phrases(index, rare_windows(item_words(benchmark), index, width))
+    bad = stored(exact.select(F.col("doc").alias("_swident_doc")).distinct(), "contaminated")
+    return docs.join(small_side(bad), document_key() == F.col("_swident_doc"), "left_anti")

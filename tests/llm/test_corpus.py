@@ -323,7 +323,7 @@ def test_decontamination(spark):
     texts = [prose(rng, 200) for _ in range(30)]
     texts += [prose(rng, 20) + " " + items[0].upper() + ", " + prose(rng, 9), items[1], items[2][: items[2].rindex(" ")], prose(rng, 4) + ";" + items[3] + "!" + items[3], "x " + items[4], items[0].replace(" ", "\n--\n") * 40]
     texts += ["é wort " * 6, "É WORT " * 6, "the " * 500, " ".join(items[0].split()[3:20] + items[1].split()), *ODD]
-    docs = frame(spark, texts).withColumn("n_hit", F.lit("clash"))
+    docs = frame(spark, texts).withColumns({"n_hit": F.lit("clash"), "doc": F.lit("clash"), "term": F.lit(1), "pos": F.lit(2)})
     docs = docs.unionByName(docs.where("doc_id in (30, 31)"))
     rows = [(str(i), t) for i, t in enumerate(items)] + [("", bench.where("item_id is null").first().text)]
     got = collections.defaultdict(list)
@@ -342,8 +342,16 @@ def test_decontamination(spark):
         assert got[i] == [(len(w), len(hit), sorted(found), bool(hit))] * (2 if i in (30, 31) else 1), (i, t)
     clean = sorted(r.doc_id for r in decontaminate.keep_clean(docs, bench).collect())
     assert clean == [i for i in range(len(texts)) if not got[i][0][3]]
-    near = decontaminate.find_matches(docs, bench).where("kind = 'proximity'")
-    assert near.where("start > end").count() == 0
+    matches = [tuple(r) for r in decontaminate.find_matches(docs, bench).collect()]
+    assert {(i, b) for i, b, kind, *_ in matches if kind == "phrase"} == {(i, b) for i in got for b in got[i][0][2]}
+    for i, b, kind, start, end in matches:
+        w = ALNUM.findall((texts[i] or "").translate(LOW))[start : end + 1]
+        x = [ALNUM.findall((t or "").translate(LOW)) for j, t in rows if j == b]
+        assert any(" ".join(w) in " ".join(y) for y in x) if kind == "phrase" else 1 < len(w) <= 10 and any({w[0], w[-1]} <= set(y) for y in x)
+    # a passage with other words between: no phrase, but its rare words are near each other
+    broken = frame(spark, [items[0].replace(" ", " zz ", 40), prose(rng, 50)])
+    kinds = {(r.doc_id, r.kind) for r in decontaminate.find_matches(broken, bench.where("item_id = 0")).collect()}
+    assert (0, "proximity") in kinds and (0, "phrase") not in kinds
     for a, b in ((docs.limit(0), bench), (docs, bench.limit(0))):
         assert decontaminate.contamination(a, b).where("contaminated").count() == 0
 
