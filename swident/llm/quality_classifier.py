@@ -92,11 +92,16 @@ class Ranker:
     width: float
     at: float
 
+    @property
+    def learnt(self) -> bool:
+        """False where the sample lacked good or bad examples."""
+        return bool(self.weights.any())
+
     def latent(self, x: np.ndarray) -> np.ndarray:
         return ((x - self.mean) / self.scale).clip(-8, 8) @ self.weights
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        if not self.weights.any():
+        if not self.learnt:
             return np.full(len(x), 0.5)
         z = (self.latent(x) - self.cut) / self.width + np.log(self.at / (1 - self.at))
         return 1 / (1 + np.exp(-z.clip(-40, 40)))

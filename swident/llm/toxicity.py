@@ -36,6 +36,7 @@ empty table gives no rows; result columns have names of their own.
 from __future__ import annotations
 
 import math
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -125,7 +126,8 @@ class Index:
     """The examples' unit vectors over all their words, forwards and inverted by blocks.
 
     A pickle of it holds terms and counts, compressed; what follows from them is
-    worked out again where it is read.
+    worked out again where it is read.  Weights are kept by posting; forwards they
+    are worked out from the counts of the few examples that are looked at.
     """
 
     hashes: np.ndarray  # sorted, of each term
@@ -143,40 +145,49 @@ class Index:
     def __post_init__(self) -> None:
         n, size = self.n, np.diff(self.first)
         self.unseen = math.log(2 + n)  # idf of words that no example has
-        self.weight = np.empty(len(self.term), dtype=np.float32)
+        most = int(self.count.max()) if len(self.count) else 0
+        self.count = self.count.astype(np.uint16 if most < 1 << 16 else np.uint32)
+        self.tf = 1 + np.log(np.maximum(np.arange(most + 1), 1))  # of each count
+        self.norm = np.ones(n)
+        impact = np.empty(len(self.term), dtype=np.float32)
         for a in range(0, n, 1024):
             z = min(a + 1024, n)
             lo, hi = int(self.first[a]), int(self.first[z])
-            weight = (1 + np.log(self.count[lo:hi])) * self.idf[self.term[lo:hi]]
-            norm = np.sqrt(np.add.reduceat(weight * weight, self.first[a:z] - lo))
-            self.weight[lo:hi] = weight / np.repeat(norm, size[a:z])
+            weight = self.tf[self.count[lo:hi]] * self.idf[self.term[lo:hi]]
+            self.norm[a:z] = np.sqrt(np.add.reduceat(weight * weight, self.first[a:z] - lo))
+            impact[lo:hi] = weight / np.repeat(self.norm[a:z], size[a:z])
         frequency = np.bincount(self.term, minlength=len(self.hashes))
         top = np.argsort(-frequency, kind="stable")[:DENSE]
         self.place = np.full(len(self.hashes), -1, dtype=np.int16)  # of a dense term
         self.place[top] = np.arange(len(top))
         owner = np.repeat(np.arange(n, dtype=np.uint16 if n <= 1 << 16 else np.int32), size)
         at = self.place[self.term]
-        self.dense = np.zeros((len(top), n), dtype=np.float32)  # place x example
         common = at >= 0
-        self.dense[at[common], owner[common]] = self.weight[common]
+        self.dense = np.zeros((len(top), n), dtype=np.float32)  # place x example
+        self.dense[at[common], owner[common]] = impact[common]
         # the largest weight of each dense term in each block
         self.most = np.maximum.reduceat(self.dense, np.arange(0, n, BLOCK), axis=1) if n else np.zeros((len(top), 0), np.float32)
         # postings of the other terms t: start[t] .. start[t + 1]
         self.start = np.concatenate(([0], np.cumsum(np.where(self.place < 0, frequency, 0)))).astype(np.int64)
-        term, owner, weight = self.term[~common], owner[~common], self.weight[~common]
-        order = np.argsort(term, kind="stable")
-        self.example, self.impact = owner[order], weight[order]
+        np.logical_not(common, out=common)
+        owner, impact = owner[common], impact[common]
+        order = np.argsort(self.term[common], kind="stable").astype(np.int32)
+        self.example, self.impact = owner[order], impact[order]
+
+    def weights(self, at: np.ndarray, examples: np.ndarray) -> np.ndarray:
+        """Weights of the places `at` of forward terms, which are in the given examples."""
+        return self.tf[self.count[at]] * self.idf[self.term[at]] / self.norm[examples]
 
     def __getstate__(self) -> dict:
         state = {k: getattr(self, k) for k in ("hashes", "idf", "first", "label", "ids", "by_id", "prior", "without", "scale")}
         steps = np.diff(self.term, prepend=np.int32(0))
-        return state | {"term": zlib.compress(planes(steps), 1), "count": zlib.compress(planes(self.count), 1)}
+        return state | {"term": zlib.compress(planes(steps), 1), "count": zlib.compress(planes(self.count), 1), "kind": self.count.dtype.str}
 
     def __setstate__(self, state: dict) -> None:
         lean_memory()
         self.__dict__.update(state)
         self.term = np.cumsum(joined(zlib.decompress(state["term"]), np.int32), dtype=np.int32)
-        self.count = joined(zlib.decompress(state["count"]), np.uint32)
+        self.count = joined(zlib.decompress(state["count"]), np.dtype(state["kind"]).type)
         self.__post_init__()
 
     @property
@@ -203,7 +214,7 @@ class Index:
         q[terms] = weight
         size = self.first[examples + 1] - self.first[examples]
         at = _ranges(self.first[examples], size)
-        out = np.add.reduceat(q[self.term[at]] * self.weight[at], np.cumsum(size) - size) if len(at) else np.zeros(0)
+        out = np.add.reduceat(q[self.term[at]] * self.weights(at, np.repeat(examples, size)), np.cumsum(size) - size) if len(at) else np.zeros(0)
         q[terms] = 0
         return out
 
@@ -363,7 +374,7 @@ def build(texts: list[tuple[object, int, np.ndarray, np.ndarray]], evidence: dic
     bounds = np.concatenate(([0], np.cumsum(index.first[some + 1] - index.first[some])))
     at = _ranges(index.first[some], index.first[some + 1] - index.first[some])
     votes = []
-    for i, (ids, cosine) in zip(some.tolist(), index.nearest(bounds, index.term[at], index.weight[at].astype(float), K + 1), strict=True):
+    for i, (ids, cosine) in zip(some.tolist(), index.nearest(bounds, index.term[at], index.weights(at, np.repeat(some, np.diff(bounds))), K + 1), strict=True):
         others = ids != i
         votes.append(index.vote(ids[others][:K], cosine[others][:K]))
     index.scale = fit_scale(np.array(votes), index.label[some])
@@ -371,12 +382,26 @@ def build(texts: list[tuple[object, int, np.ndarray, np.ndarray]], evidence: dic
     return index
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examples: int = MAX_EXAMPLES) -> Index:
-    """Choose examples and build the index on the driver.
+@dataclass
+class Fitted:
+    """An index as the task that built it sent it; unpacked once in each process that uses it."""
+
+    data: bytes
+
+    @cached_property
+    def index(self) -> Index:
+        return pickle.loads(self.data)
 
-    It holds the distinct words of at most max_examples texts.
+    def __getstate__(self) -> dict:
+        return {"data": self.data}
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examples: int = MAX_EXAMPLES) -> Fitted:
+    """Choose examples and build their index in one task.
+
+    It holds the distinct words of at most max_examples texts; the driver gets
+    the packed index only.
     """
-    lean_memory()
     chosen = stored(labelled_examples(docs, labels, label, learn, max_examples), "examples")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -389,21 +414,27 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_examp
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s.first, s.n_docs), b.column(2).slice(s.first, s.n_docs).cast(pa.int32()), *[pa.array(c, pa.binary()) for c in cells]], names=["doc_id", "y", "h", "c"])
 
     evidence = telling(chosen)
-    found = chosen.mapInArrow(run, f"doc_id {kind}, y int, h binary, c binary").collect()
-    texts = [(r.doc_id, r.y, np.frombuffer(r.h, np.uint64), np.frombuffer(r.c, np.uint32)) for r in found]
-    del found
-    return build(texts, evidence)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
+        texts: list[tuple] = []
+        for b in batches:
+            texts += [(i, y, np.frombuffer(h, np.uint64), np.frombuffer(c, np.uint32)) for i, y, h, c in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(build(texts, evidence))], pa.binary())], names=["data"])
+
+    words = stored(chosen.mapInArrow(run, f"doc_id {kind}, y int, h binary, c binary"), "example-words")
+    return Fitted(bytes(words.coalesce(1).mapInArrow(make, "data binary").first()["data"]))
 
 
 EVIDENCE = T.ArrayType(T.StructType().add("example", "string").add("cosine", "double").add("label", "integer"))
 
 
-def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidence: bool = False) -> DataFrame:
+def score(docs: DataFrame, fitted: Fitted, columns: list[str], k: int = K, evidence: bool = False) -> DataFrame:
     """The given columns with `_swident_score`, and with `_swident_evidence` if asked for.
 
     Evidence lists the neighbours: example id as text, cosine and label.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by max_examples
+    sent = docs.sparkSession.sparkContext.broadcast(fitted)  # bounded by max_examples
     kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_swident_text"))
     text_at, n = (columns.index("text") if "text" in columns else len(columns)), len(columns)
     schema = docs.select(*columns).schema.add("_swident_score", "double")
@@ -411,7 +442,7 @@ def score(docs: DataFrame, index: Index, columns: list[str], k: int = K, evidenc
         schema = schema.add("_swident_evidence", EVIDENCE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = sent.value
+        ix = sent.value.index
         names = pa.array([str(i) for i in ix.ids], pa.string()) if evidence else None
         for b in batches:
             for s in slices(b.column(text_at), ALNUM):

@@ -491,3 +491,23 @@ def test_pipeline_stages(spark, tmp_path):
     assert left[2] - left[3] == {i for i in left[2] & ids if i % 12 == 3}
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} == left[3] and all(r.n_pieces == len(r.ids or []) for r in out)
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Extra columns with clashing names, repeated rows, no labels, no benchmark; then no documents."""
+    names = ("node", "kept", "first", "doc", "y", "_id", "score", "n", "key", "_hash", "rank", "sketch")
+    texts = [*ODD, prose(random.Random(1), 40), "x y z"]
+    docs = frame(spark, texts).selectExpr("doc_id", "text", "'en' as lang", "cast(null as string) as source", "length(text) as n_chars").withColumns({n: F.lit("clash") for n in names})
+    docs = docs.unionByName(docs.limit(5)).unionByName(docs.limit(2).withColumn("doc_id", F.lit(None).cast("long")))
+    for k, rows in enumerate((docs, docs.limit(0))):
+        at = str(tmp_path / str(k))
+        rows.write.parquet(f"{at}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, at).collect()
+        assert all(r.lossless for r in out)
+        kept = {r.doc_id for r in out if r.doc_id is not None}
+        # texts without words all stay, of the others one of each class
+        words = [i for i, (n, _) in enumerate(plain_components(texts)) if n]
+        want = {i for i, (n, c) in enumerate(plain_components(texts)) if c == i or not n}
+        assert kept == (want if k == 0 else set()) and (k or set(words) & kept)

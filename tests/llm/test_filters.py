@@ -254,7 +254,8 @@ def plain_votes(examples, evidence, texts, k=toxicity.K):
 def test_toxicity_against_plain_cosines(spark, prose):
     docs, labels, texts, y = labelled(spark, prose, insult)
     docs = docs.drop("y")
-    index = toxicity.fit(docs, labels, "y", fold(F.col("doc_id"), 4) != 2)
+    fitted = toxicity.fit(docs, labels, "y", fold(F.col("doc_id"), 4) != 2)
+    index = fitted.index
     examples = [(i, texts[i], y[i]) for i in range(400) if spark_fold(i, 4) != 2]
     evidence = toxicity.telling(spark.createDataFrame([(t, v) for _, t, v in examples], "text string, y int"))
     assert set(evidence) == set(INSULTS)
@@ -263,7 +264,7 @@ def test_toxicity_against_plain_cosines(spark, prose):
     assert np.allclose(index.scale, toxicity.fit_scale(loo, np.array([v for *_, v in examples])), rtol=1e-3)
     new = [prose(30), texts[1], texts[0], "grob " + prose(5), "nowhere known", prose(3000), *ODD]
     frame_ = frame(spark, new).withColumns({"score": F.lit("clash"), "_swident_text": F.lit(1)})
-    out = {r.doc_id: r for r in toxicity.score(frame_, index, ["doc_id", "score"], evidence=True).collect()}
+    out = {r.doc_id: r for r in toxicity.score(frame_, fitted, ["doc_id", "score"], evidence=True).collect()}
     none = 0
     for i, ((near, vote), t) in enumerate(zip(plain_votes(examples, evidence, new), new, strict=True)):
         got = out[i]._swident_evidence
@@ -275,7 +276,7 @@ def test_toxicity_against_plain_cosines(spark, prose):
         assert out[i]._swident_score == pytest.approx(1 / (1 + np.exp(-a * np.log(vote / (1 - vote)) - b)) if near else index.without, abs=1e-4)
         none += not near
     assert none <= len([t for t in new if not set(ALNUM.findall((t or "").translate(LOW))) & {w for _, x, _ in examples for w in x.split()}])
-    held = {r.doc_id: r._swident_score for r in toxicity.score(docs, index, ["doc_id"]).collect() if spark_fold(r.doc_id, 4) == 2}
+    held = {r.doc_id: r._swident_score for r in toxicity.score(docs, fitted, ["doc_id"]).collect() if spark_fold(r.doc_id, 4) == 2}
     assert all((p >= 0.3) == bool(y[i]) for i, p in held.items())
 
 
@@ -292,11 +293,12 @@ def test_blocks_that_are_left_out_hold_no_neighbour(monkeypatch):
     index = toxicity.build(rows, {})
     full = np.zeros((index.n, len(index.hashes)))
     for i in range(index.n):
-        full[i, index.term[index.first[i] : index.first[i + 1]]] = index.weight[index.first[i] : index.first[i + 1]]
+        at = np.arange(index.first[i], index.first[i + 1])
+        full[i, index.term[at]] = index.weights(at, np.full(len(at), i))
     which = np.arange(0, index.n, 7)
     bounds = np.concatenate(([0], np.cumsum(index.first[which + 1] - index.first[which])))
     term = np.concatenate([index.term[index.first[i] : index.first[i + 1]] for i in which])
-    weight = np.concatenate([index.weight[index.first[i] : index.first[i + 1]] for i in which]).astype(float)
+    weight = np.concatenate([full[i, index.term[index.first[i] : index.first[i + 1]]] for i in which])
     computed = []
     index.dense = Counted(index.dense, computed)
     got = list(index.nearest(bounds, term, weight, 15))
@@ -329,14 +331,14 @@ def test_toxicity_of_odd_inputs(spark, prose):
     index = toxicity.fit(docs, labels, "y", F.lit(True))
     # repeated rows and labels change nothing
     again = toxicity.fit(docs.unionByName(docs.limit(90)), labels.unionByName(labels.limit(50)), "y", F.lit(True))
-    assert again.ids == index.ids and np.allclose(again.weight, index.weight) and again.scale == index.scale
+    assert again.index.ids == index.index.ids and np.array_equal(again.index.count, index.index.count) and again.index.scale == index.index.scale
     odd = toxicity.score(frame(spark, ODD), index, ["doc_id"]).collect()
     assert len(odd) == len(ODD) and all(0 <= r._swident_score <= 1 for r in odd)
     none = toxicity.fit(docs, labels.limit(0), "y", F.lit(True))
     assert {r._swident_score for r in toxicity.score(frame(spark, ODD), none, ["doc_id"], evidence=True).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), index, ["doc_id", "text"]).count() == 0
     few = toxicity.fit(docs, labels.limit(3), "y", F.lit(True))
-    assert few.n == 3 and all(0 <= r._swident_score <= 1 for r in toxicity.score(docs, few, ["doc_id"]).collect())
+    assert few.index.n == 3 and all(0 <= r._swident_score <= 1 for r in toxicity.score(docs, few, ["doc_id"]).collect())
 
 
 def spark_fold(i, m):
