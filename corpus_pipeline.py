@@ -26,8 +26,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that rank above the learnt quantile."""
+    """Documents that rank above the learnt quantile; all of them if there is nothing to learn from."""
     ranker = quality_classifier.fit(docs, _labels(spark, sf_dir), "quality", fold(F.col("doc_id"), 4) != 2, at=MIN_QUALITY)
+    if not ranker.learnt:
+        return docs
     return quality_classifier.classify(docs, ranker, docs.columns).where(F.col("_swident_score") >= MIN_QUALITY).drop("_swident_score")
 
 
