@@ -126,8 +126,7 @@ class Index:
     """The examples' unit vectors over all their words, forwards and inverted by blocks.
 
     A pickle of it holds terms and counts, compressed; what follows from them is
-    worked out again where it is read.  Weights are kept by posting; forwards they
-    are worked out from the counts of the few examples that are looked at.
+    worked out again where it is read, and counts are no longer needed there.
     """
 
     hashes: np.ndarray  # sorted, of each term
@@ -145,17 +144,13 @@ class Index:
     def __post_init__(self) -> None:
         n, size = self.n, np.diff(self.first)
         self.unseen = math.log(2 + n)  # idf of words that no example has
-        most = int(self.count.max()) if len(self.count) else 0
-        self.count = self.count.astype(np.uint16 if most < 1 << 16 else np.uint32)
-        self.tf = 1 + np.log(np.maximum(np.arange(most + 1), 1))  # of each count
-        self.norm = np.ones(n)
-        impact = np.empty(len(self.term), dtype=np.float32)
+        self.weight = np.empty(len(self.term), dtype=np.float32)
         for a in range(0, n, 1024):
             z = min(a + 1024, n)
             lo, hi = int(self.first[a]), int(self.first[z])
-            weight = self.tf[self.count[lo:hi]] * self.idf[self.term[lo:hi]]
-            self.norm[a:z] = np.sqrt(np.add.reduceat(weight * weight, self.first[a:z] - lo))
-            impact[lo:hi] = weight / np.repeat(self.norm[a:z], size[a:z])
+            weight = (1 + np.log(self.count[lo:hi])) * self.idf[self.term[lo:hi]]
+            norm = np.sqrt(np.add.reduceat(weight * weight, self.first[a:z] - lo))
+            self.weight[lo:hi] = weight / np.repeat(norm, size[a:z])
         frequency = np.bincount(self.term, minlength=len(self.hashes))
         top = np.argsort(-frequency, kind="stable")[:DENSE]
         self.place = np.full(len(self.hashes), -1, dtype=np.int16)  # of a dense term
@@ -164,31 +159,28 @@ class Index:
         at = self.place[self.term]
         common = at >= 0
         self.dense = np.zeros((len(top), n), dtype=np.float32)  # place x example
-        self.dense[at[common], owner[common]] = impact[common]
+        self.dense[at[common], owner[common]] = self.weight[common]
         # the largest weight of each dense term in each block
         self.most = np.maximum.reduceat(self.dense, np.arange(0, n, BLOCK), axis=1) if n else np.zeros((len(top), 0), np.float32)
         # postings of the other terms t: start[t] .. start[t + 1]
         self.start = np.concatenate(([0], np.cumsum(np.where(self.place < 0, frequency, 0)))).astype(np.int64)
         np.logical_not(common, out=common)
-        owner, impact = owner[common], impact[common]
+        owner, impact = owner[common], self.weight[common]
         order = np.argsort(self.term[common], kind="stable").astype(np.int32)
         self.example, self.impact = owner[order], impact[order]
 
-    def weights(self, at: np.ndarray, examples: np.ndarray) -> np.ndarray:
-        """Weights of the places `at` of forward terms, which are in the given examples."""
-        return self.tf[self.count[at]] * self.idf[self.term[at]] / self.norm[examples]
-
     def __getstate__(self) -> dict:
         state = {k: getattr(self, k) for k in ("hashes", "idf", "first", "label", "ids", "by_id", "prior", "without", "scale")}
         steps = np.diff(self.term, prepend=np.int32(0))
-        return state | {"term": zlib.compress(planes(steps), 1), "count": zlib.compress(planes(self.count), 1), "kind": self.count.dtype.str}
+        return state | {"term": zlib.compress(planes(steps), 1), "count": zlib.compress(planes(self.count), 1)}
 
     def __setstate__(self, state: dict) -> None:
         lean_memory()
         self.__dict__.update(state)
         self.term = np.cumsum(joined(zlib.decompress(state["term"]), np.int32), dtype=np.int32)
-        self.count = joined(zlib.decompress(state["count"]), np.dtype(state["kind"]).type)
+        self.count = joined(zlib.decompress(state["count"]), np.uint32)
         self.__post_init__()
+        del self.count
 
     @property
     def n(self) -> int:
@@ -214,7 +206,7 @@ class Index:
         q[terms] = weight
         size = self.first[examples + 1] - self.first[examples]
         at = _ranges(self.first[examples], size)
-        out = np.add.reduceat(q[self.term[at]] * self.weights(at, np.repeat(examples, size)), np.cumsum(size) - size) if len(at) else np.zeros(0)
+        out = np.add.reduceat(q[self.term[at]] * self.weight[at], np.cumsum(size) - size) if len(at) else np.zeros(0)
         q[terms] = 0
         return out
 
@@ -374,7 +366,7 @@ def build(texts: list[tuple[object, int, np.ndarray, np.ndarray]], evidence: dic
     bounds = np.concatenate(([0], np.cumsum(index.first[some + 1] - index.first[some])))
     at = _ranges(index.first[some], index.first[some + 1] - index.first[some])
     votes = []
-    for i, (ids, cosine) in zip(some.tolist(), index.nearest(bounds, index.term[at], index.weights(at, np.repeat(some, np.diff(bounds))), K + 1), strict=True):
+    for i, (ids, cosine) in zip(some.tolist(), index.nearest(bounds, index.term[at], index.weight[at].astype(float), K + 1), strict=True):
         others = ids != i
         votes.append(index.vote(ids[others][:K], cosine[others][:K]))
     index.scale = fit_scale(np.array(votes), index.label[some])

@@ -294,7 +294,7 @@ def test_blocks_that_are_left_out_hold_no_neighbour(monkeypatch):
     full = np.zeros((index.n, len(index.hashes)))
     for i in range(index.n):
         at = np.arange(index.first[i], index.first[i + 1])
-        full[i, index.term[at]] = index.weights(at, np.full(len(at), i))
+        full[i, index.term[at]] = index.weight[at]
     which = np.arange(0, index.n, 7)
     bounds = np.concatenate(([0], np.cumsum(index.first[which + 1] - index.first[which])))
     term = np.concatenate([index.term[index.first[i] : index.first[i + 1]] for i in which])
@@ -331,7 +331,7 @@ def test_toxicity_of_odd_inputs(spark, prose):
     index = toxicity.fit(docs, labels, "y", F.lit(True))
     # repeated rows and labels change nothing
     again = toxicity.fit(docs.unionByName(docs.limit(90)), labels.unionByName(labels.limit(50)), "y", F.lit(True))
-    assert again.index.ids == index.index.ids and np.array_equal(again.index.count, index.index.count) and again.index.scale == index.index.scale
+    assert again.index.ids == index.index.ids and np.array_equal(again.index.weight, index.index.weight) and again.index.scale == index.index.scale
     odd = toxicity.score(frame(spark, ODD), index, ["doc_id"]).collect()
     assert len(odd) == len(ODD) and all(0 <= r._swident_score <= 1 for r in odd)
     none = toxicity.fit(docs, labels.limit(0), "y", F.lit(True))
