@@ -1,23 +1,23 @@
-"""Benchmark decontamination over a distributed positional inverted index, natively.
+"""Benchmark decontamination over a distributed positional index, natively.
 
-1. The index stores every token of the training documents as a posting: term,
-   document and position, sorted by term within each part, so that a part's
-   postings of a term are one run.  Terms and documents are 64-bit hashes (of the
+1. The index stores the postings of all training tokens, a document's in a row:
+   its terms by position.  Terms and documents are 64-bit hashes (of the
    lower-cased word; of doc_id and text).  It does not depend on the benchmark.
 2. Every window of `width` consecutive item words (an item of fewer words is one
    window) takes its two rarest words by the index's own counts.  A window with a
    word that the index lacks can't occur.
-3. The rarest word's postings, shifted by its place in the window, are candidate
-   places; they are intersected with the second rarest word's postings at the
-   shifted place.
+3. The rarest word's list (documents and positions), shifted by its place in the
+   window, gives candidate places; it is intersected with the second rarest
+   word's list at the shifted place.
 4. What is left must have every word's posting in its place: an exact phrase.
-   Places where both rare words stand within `width` words without an exact phrase
+   Places where both rare words stand within `width` words outside of exact phrases
    are proximity matches.
 
 Every occurrence of a window holds its rarest words at the right places, so none
-is missed.  Texts are read twice, once to index them and once for the rows' keys.
-Only tables that follow from the benchmark are broadcast, behind a check of their
-bytes; beyond it the joins shuffle postings, never texts.
+is missed.  As a document's postings are in one row, lists are intersected where
+they are stored; only tables that follow from the benchmark move, by broadcast if
+their bytes allow it.  Beyond that the rarest words' postings are shuffled by term
+and candidate places by document, each without the document's other postings.
 
 Odd inputs: null or empty texts have no words and no hits; items without words
 are ignored; rows with a null item_id count hits under the id ""; repeated rows
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import small_side, stored
+from ..storage import fits, small_side, stored
 from .common import lower_ascii
 
 #: Delimiters of the word class `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` before A-Z is lower-cased.
@@ -69,9 +69,8 @@ def item_words(benchmark: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame) -> DataFrame:
-    """Store the postings of all tokens: term, doc, pos (from 0)."""
-    tokens = docs.select(document_key().alias("doc"), F.posexplode(lower_words(F.col("text"))).alias("pos", "word"))
-    return stored(tokens.select(F.xxhash64("word").alias("term"), "doc", "pos").sortWithinPartitions("term"), "postings")
+    """Store the postings of all tokens by document: doc, and terms by position (from 0)."""
+    return stored(docs.select(document_key().alias("doc"), F.transform(lower_words(F.col("text")), lambda w: F.xxhash64(w)).alias("terms")), "postings")
 
 
 def rare_windows(items: DataFrame, index: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -84,7 +83,8 @@ def rare_windows(items: DataFrame, index: DataFrame, width: int = WIDTH) -> Data
     windows = spans.select("item", "span", F.expr("slice(all, w + 1, span)").alias("terms")).distinct().withColumn("window", F.xxhash64("item", "terms"))
     windows = stored(windows, "windows")
     vocabulary = windows.select(F.explode("terms").alias("term")).distinct()
-    counts = stored(index.join(small_side(vocabulary), "term", "left_semi").groupBy("term").agg(F.count("*").alias("cf")), "counts")
+    lists = index.select(F.explode("terms").alias("term")).join(small_side(vocabulary), "term", "left_semi")
+    counts = stored(lists.groupBy("term").agg(F.count("*").alias("cf")), "counts")
     cells = windows.select("window", F.posexplode("terms").alias("at", "term")).join(small_side(counts), "term")
     ranked = cells.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("cf", "term", "at"))).alias("c"))
     rarest = ranked.select("window", F.size("c").alias("known"), F.get("c", F.lit(0)).alias("first"), F.get("c", F.lit(1)).alias("second"))
@@ -92,42 +92,33 @@ def rare_windows(items: DataFrame, index: DataFrame, width: int = WIDTH) -> Data
     return stored(joined.select("window", "item", "terms", "span", *[F.col(f"{r}.{c}").alias(f"{r}_{c}") for r in ("first", "second") for c in ("term", "at")]), "rare-windows")
 
 
-def _candidates(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """(window, doc, start, ...): where the windows' rarest words say that they may stand."""
-    rare = windows.select("window", "span", F.col("first_term").alias("term"), "first_at", "second_term", "second_at")
-    return stored(index.join(small_side(rare), "term").withColumn("start", F.col("pos") - F.col("first_at")).where("start >= 0").drop("term", "pos").distinct(), "candidates")
-
-
-def _postings_of(index: DataFrame, wanted: DataFrame) -> DataFrame:
-    """wanted(doc, term, pos, ...) rows that have their posting; the documents are picked first."""
-    wanted = stored(wanted, "wanted")
-    few = index.join(small_side(wanted.select("doc").distinct()), "doc", "left_semi")
-    return few.join(small_side(wanted), ["doc", "term", "pos"])
+def _lists(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """The rarest words' postings with their documents' terms: doc, terms, pos and the window's columns."""
+    windows = windows.withColumnRenamed("terms", "phrase")
+    if fits(windows):
+        posted = index.select("doc", "terms", F.posexplode("terms").alias("pos", "term"))
+        return posted.join(F.broadcast(windows), F.col("term") == F.col("first_term"))
+    rare = windows.select("window", F.col("first_term").alias("term"))
+    places = index.select("doc", F.posexplode("terms").alias("pos", "term")).join(rare, "term").select("doc", "pos", "window")
+    return places.distinct().join(index.dropDuplicates(["doc"]), "doc").join(windows, "window")
 
 
 def phrases(index: DataFrame, windows: DataFrame) -> DataFrame:
     """Exact occurrences of windows: doc, item, start, end (the last word)."""
-    found = _candidates(index, windows)
-    pairs = _postings_of(index, found.where("second_term is not null").select("window", "doc", "start", F.col("second_term").alias("term"), (F.col("start") + F.col("second_at")).alias("pos")))
-    both = pairs.select("window", "doc", "start").distinct()
-    each = both.join(small_side(windows.select("window", "terms")), "window").select("window", "doc", "start", F.posexplode("terms").alias("at", "term"))
-    met = _postings_of(index, each.select("window", "doc", "start", "term", (F.col("start") + F.col("at")).alias("pos")))
-    whole = met.groupBy("window", "doc", "start").agg(F.count_distinct("pos").alias("n"))
-    one = found.where("second_term is null").select("window", "doc", "start", F.lit(1).cast("long").alias("n"))
-    exact = whole.unionByName(one).join(small_side(windows.select("window", "item", "span")), "window").where("n = span")
-    return stored(exact.select("doc", "item", "start", (F.col("start") + F.col("span") - 1).alias("end")).distinct(), "phrases")
+    found = _lists(index, windows).withColumn("start", F.col("pos") - F.col("first_at"))
+    both = found.where("start >= 0 and (second_term is null or get(terms, start + second_at) = second_term)")
+    whole = both.where("slice(terms, start + 1, span) = phrase")
+    return stored(whole.select("doc", "item", "start", (F.col("start") + F.col("span") - 1).alias("end")).distinct(), "phrases")
 
 
 def proximities(index: DataFrame, windows: DataFrame, exact: DataFrame, width: int = WIDTH) -> DataFrame:
     """Places of a window's two rarest words less than `width` words apart, outside of exact phrases of the item."""
-    found = _candidates(index, windows).where("second_term is not null").withColumn("one", F.col("start") + F.col("first_at"))
-    other = found.select(F.col("second_term").alias("term"), "doc").distinct()
-    lists = index.join(small_side(other.select("doc").distinct()), "doc", "left_semi").join(small_side(stored(other, "lists")), ["term", "doc"], "left_semi").distinct()
-    near = found.select("window", "doc", "one", F.col("second_term").alias("term")).join(lists, ["doc", "term"]).where((F.abs(F.col("pos") - F.col("one")) < width) & (F.col("pos") != F.col("one")))
-    spans = near.join(windows.select("window", "item"), "window").select("doc", "item", F.least("one", "pos").alias("start"), F.greatest("one", "pos").alias("end")).distinct()
+    found = _lists(index, windows.where("second_term is not null"))
+    around = found.withColumn("low", F.greatest(F.col("pos") - (width - 1), F.lit(0))).withColumn("other", F.expr(f"low + array_position(slice(terms, low + 1, pos - low + {width}), second_term) - 1"))
+    near = around.where("other >= low and other <> pos").select("doc", "item", F.least("pos", "other").cast("int").alias("start"), F.greatest("pos", "other").cast("int").alias("end")).distinct()
     inside = exact.select("doc", "item", F.col("start").alias("_s"), F.col("end").alias("_e"))
-    same = (spans.doc == inside.doc) & (spans.item == inside.item) & (spans.start >= inside._s) & (spans.end <= inside._e)
-    return spans.join(inside, same, "left_anti")
+    same = (near.doc == inside.doc) & (near.item == inside.item) & (near.start >= inside._s) & (near.end <= inside._e)
+    return near.join(inside, same, "left_anti")
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, index: DataFrame | None = None) -> DataFrame:
@@ -152,7 +143,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
         F.expr("size(array_distinct(flatten(transform(collect_set(struct(start, end)), x -> sequence(x.start, x.end)))))").cast("long").alias("n_hit"),
         F.array_sort(F.collect_set("item")).alias("items"),
     )
-    sizes = index.groupBy("doc").agg((F.max("pos") + 1).cast("long").alias("n_words"))
+    sizes = index.groupBy("doc").agg(F.max(F.size("terms")).cast("long").alias("n_words"))
     rows = docs.select("doc_id", document_key().alias("doc"))
     joined = rows.join(sizes, "doc", "left").join(found, "doc", "left")
     items = F.coalesce("items", F.array().cast("array<string>"))

@@ -316,7 +316,9 @@ def test_katz_on_nothing(spark):
 # --- decontamination -------------------------------------------------------
 
 
-def test_decontamination(spark):
+@pytest.mark.parametrize("fits", [True, False])
+def test_decontamination(spark, monkeypatch, fits):
+    monkeypatch.setattr(decontaminate, "fits", lambda df: fits)
     rng = random.Random(21)
     items = [prose(rng, n) for n in (30, 12, 10, 9, 3, 1)] + [None, "", ".,;", "É wort " * 6, "the the the the the the the the the the the"]
     bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)] + [(0, items[0]), (None, prose(rng, 11))], "item_id long, text string")
