@@ -96,14 +96,19 @@ def _at_exit() -> None:
         release(spark)
 
 
-def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """df with a broadcast hint if it is shown to fit max_bytes, else unhinted.
+def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether df's rows are shown to take max_bytes at most.
 
     The size is counted: fixed-width columns by their width, others by the bytes
-    of their text form; a side beyond the bound takes part in a shuffled join.
+    of their text form.
     """
     fixed = {"boolean": 1, "int": 4, "bigint": 8, "double": 8}
     width = sum(fixed.get(t, 0) for _, t in df.dtypes) + 16
     sizes = [F.octet_length(F.col(f"`{c}`")) if t in ("string", "binary") else F.octet_length(F.to_json(F.struct(f"`{c}`"))) for c, t in df.dtypes if t not in fixed]
     size = sum((F.coalesce(s, F.lit(0)) for s in sizes), F.lit(width)).cast("long")
-    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes else df
+    return (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes
+
+
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it fits max_bytes, else unhinted: beyond the bound the join shuffles."""
+    return F.broadcast(df) if fits(df, max_bytes) else df
