@@ -28,7 +28,8 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
 
@@ -51,7 +52,7 @@ FINE_UNITS = re.compile(rf"{SPACE}+(?:{_L}+|{_REST}*)|{_L}+|{_REST}+|\n")
 MIXED = re.compile(rf"{_L}{_REST}|{_REST}{_L}|[^{SPACE}]{SPACE}|\n")
 RATE = 0.1
 #: Nodes that a task keeps before it begins anew.
-NODES = 250_000
+NODES = 700_000
 #: Units up to this many characters have nodes.
 SHORT = 48
 #: Characters of text that are worked on at a time.
@@ -364,7 +365,7 @@ class Pieces:
         # the mark is node 0; a unit has a node from the second time on
         node = np.fromiter(map(get, units, repeat(-1)), dtype=np.int64, count=len(units))
         missing = np.flatnonzero(node < 0).tolist()
-        lacking = self._again((u for i in missing if len(u := units[i]) <= SHORT), self.once)
+        lacking = [u for u in self._again([units[i] for i in missing], self.once) if len(u) <= SHORT]
         self.root.update(zip(lacking, self._grow(lacking, [()] * len(lacking)), strict=True))
         node[missing] = [get(units[i], -1) for i in missing]
         place = np.arange(len(units)) - np.repeat(np.cumsum(count) - count, count)
@@ -387,15 +388,12 @@ class Pieces:
         return [b"".join(made[a:z]) for a, z in zip([0, *ends[:-1]], ends, strict=True)]
 
     @staticmethod
-    def _again(keys: Iterable, once: set) -> list:
+    def _again(keys: list, once: set) -> list:
         """Those of the keys that are met for the second time, now or since `once` began."""
-        out = {}
-        for k in keys:
-            if k in once:
-                out[k] = None
-            else:
-                once.add(k)
-        return list(out)
+        counts = Counter(keys)
+        out = [k for k, n in counts.items() if n > 1 or k in once]
+        once.update(counts)
+        return out
 
     def _descend(self, node: np.ndarray, key: np.ndarray) -> None:
         """Move each occurrence from its unit's node to the node of the merges that it skips.
@@ -428,7 +426,7 @@ class Pieces:
             get = self.child.get
             to = np.fromiter(map(get, edge, repeat(-1)), dtype=np.int64, count=len(edge))
             missing = np.flatnonzero(to < 0).tolist()
-            new = self._again((edge[i] for i in missing), self.once)
+            new = self._again([edge[i] for i in missing], self.once)
             paths = [(*self.path[e >> 6], (self.path[e >> 6][-1] + 1 if self.path[e >> 6] else 0) + (e & 63)) for e in new]
             self.child.update(zip(new, self._grow([self.unit[e >> 6] for e in new], paths), strict=True))
             to[missing] = [get(edge[i], -1) for i in missing]
@@ -443,14 +441,17 @@ class Pieces:
         return [data[a:z][1:] for a, z in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rate: float = RATE) -> DataFrame:
+def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rate: float = RATE, check: bool = False) -> DataFrame:
     """The given columns, then _swident_ids and _swident_n_pieces.
 
-    docs has doc_id and text.
+    docs has doc_id and text.  With check, _swident_lossless tells whether the
+    ids decode to the text again (true for a null text).
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a model file has a fixed size
     kept = docs.select(*columns, F.xxhash64(F.col("doc_id").cast("string")).alias("_swident_key"), F.col("text").alias("_swident_text"))
     schema = docs.select(*columns).schema.add("_swident_ids", T.ArrayType(T.IntegerType())).add("_swident_n_pieces", "long")
+    if check:
+        schema = schema.add("_swident_lossless", "boolean")
     n = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -470,8 +471,11 @@ def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rat
                 parts = pieces.encode_many(some, keys[a : a + len(some)])
                 count = np.array([len(p) // 4 for p in parts], dtype=np.int64)
                 offsets = pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32))
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)), mask=pa.array(null))
-                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(a, len(parts)) for i in range(n)), ids, pa.array(count)], names=schema.names)
+                values = np.frombuffer(b"".join(parts), dtype=np.int32)
+                made = [pa.ListArray.from_arrays(offsets, pa.array(values), mask=pa.array(null)), pa.array(count)]
+                if check:
+                    made.append(pa.array([x == t.encode() for x, t in zip(pieces.decode_many(values, count), some, strict=True)]))
+                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(a, len(parts)) for i in range(n)), *made], names=schema.names)
                 a += len(parts)
 
     return kept.mapInArrow(run, schema)
@@ -499,8 +503,5 @@ def decode(encoded: DataFrame, columns: list[str], model: bytes, ids: str = "_sw
 
 
 def round_trip(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rate: float = RATE) -> DataFrame:
-    """encode() with _swident_lossless: the ids, decoded, give the text's own hash again."""
-    keyed = docs.withColumn("_swident_hash", F.xxhash64("text"))
-    made = encode(keyed, [*columns, "_swident_hash"], model, seed, rate)
-    back = decode(made, [*columns, "_swident_ids", "_swident_n_pieces", "_swident_hash"], model)
-    return back.select(*columns, "_swident_ids", "_swident_n_pieces", (F.xxhash64("_swident_text") == F.col("_swident_hash")).alias("_swident_lossless"))
+    """encode() with the ids decoded again by the task that made them."""
+    return encode(docs, columns, model, seed, rate, check=True)
