@@ -187,9 +187,10 @@ def inventory_curate(spark: SparkSession, d: str) -> DataFrame:
     return inventory.curate_inventory(items)
 
 
-@query("alias_explode", f"WITH {P_SQL} SELECT k, unnest([v0, p0]) AS alias FROM p")
+@query("alias_explode", f"WITH {P_SQL} SELECT k, unnest([v0, p0 || '\\,x']) AS alias FROM p")
 def alias_explode(spark: SparkSession, d: str) -> DataFrame:
-    cell = F.concat(F.lit(" "), F.col("v0"), F.lit(" ,,"), F.col("p0"), F.lit(", "), F.col("v0"))
+    """Empty and repeated aliases go, an escaped comma parts nothing."""
+    cell = F.concat(F.lit(" "), F.col("v0"), F.lit(" ,,"), F.col("p0"), F.lit("\\,x, "), F.col("v0"))
     return parts(spark, d).select("k", F.explode(t.split_aliases(cell)).alias("alias"))
 
 
