@@ -181,8 +181,9 @@ def draws(key: np.ndarray, at: np.ndarray, salt: np.ndarray) -> np.ndarray:
 class Pieces:
     """Encoder with one seed and rate; the nodes that it has met live with it."""
 
-    def __init__(self, model: bytes, seed: int = 0, rate: float = RATE) -> None:
+    def __init__(self, model: bytes, seed: int = 0, rate: float = RATE, nodes: int | None = None) -> None:
         self.v = vocabulary(model)
+        self.most = NODES if nodes is None else nodes
         self.units = self.v.units
         self.seed = seed
         self.limit = np.uint64(min(int(rate * (1 << 64)), _MASK))
@@ -353,7 +354,7 @@ class Pieces:
 
     def encode_many(self, texts: list[str], documents: np.ndarray) -> list[bytes]:
         """The ids of each text as packed 32-bit integers; documents are 64-bit keys."""
-        if len(self.unit) + len(self.once) // 2 > NODES:
+        if len(self.unit) + len(self.once) // 2 > self.most:
             self._begin()
         units: list[str | None] = []
         count = np.zeros(len(texts), dtype=np.int64)
@@ -441,10 +442,11 @@ class Pieces:
         return [data[a:z][1:] for a, z in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rate: float = RATE, check: bool = False) -> DataFrame:
+def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rate: float = RATE, check: bool = False, nodes: int = NODES) -> DataFrame:
     """The given columns, then _swident_ids and _swident_n_pieces.
 
-    docs has doc_id and text.  With check, _swident_lossless tells whether the
+    docs has doc_id and text; nodes bounds what a task keeps, not what it gives
+    (700,000 take about 200 MB).  With check, _swident_lossless tells whether the
     ids decode to the text again (true for a null text).
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a model file has a fixed size
@@ -455,7 +457,8 @@ def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rat
     n = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(sent.value, seed, rate)
+        lean_memory()
+        pieces = Pieces(sent.value, seed, rate, nodes)
         for b in batches:
             texts, keys = b.column(n + 1), b.column(n).to_numpy().view(np.uint64)
             a = 0
@@ -502,6 +505,6 @@ def decode(encoded: DataFrame, columns: list[str], model: bytes, ids: str = "_sw
     return encoded.select(*columns, F.col(ids).alias("_swident_given")).mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rate: float = RATE) -> DataFrame:
+def round_trip(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rate: float = RATE, nodes: int = NODES) -> DataFrame:
     """encode() with the ids decoded again by the task that made them."""
-    return encode(docs, columns, model, seed, rate, check=True)
+    return encode(docs, columns, model, seed, rate, check=True, nodes=nodes)

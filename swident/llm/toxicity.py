@@ -142,6 +142,10 @@ class Index:
     scale: tuple[float, float] = (1.0, 0.0)
 
     def __post_init__(self) -> None:
+        self._weigh()
+        self._invert()
+
+    def _weigh(self) -> None:
         n, size = self.n, np.diff(self.first)
         self.unseen = math.log(2 + n)  # idf of words that no example has
         self.weight = np.empty(len(self.term), dtype=np.float32)
@@ -151,6 +155,9 @@ class Index:
             weight = (1 + np.log(self.count[lo:hi])) * self.idf[self.term[lo:hi]]
             norm = np.sqrt(np.add.reduceat(weight * weight, self.first[a:z] - lo))
             self.weight[lo:hi] = weight / np.repeat(norm, size[a:z])
+
+    def _invert(self) -> None:
+        n, size = self.n, np.diff(self.first)
         frequency = np.bincount(self.term, minlength=len(self.hashes))
         top = np.argsort(-frequency, kind="stable")[:DENSE]
         self.place = np.full(len(self.hashes), -1, dtype=np.int16)  # of a dense term
@@ -165,8 +172,10 @@ class Index:
         # postings of the other terms t: start[t] .. start[t + 1]
         self.start = np.concatenate(([0], np.cumsum(np.where(self.place < 0, frequency, 0)))).astype(np.int64)
         np.logical_not(common, out=common)
-        owner, impact = owner[common], self.weight[common]
-        order = np.argsort(self.term[common], kind="stable").astype(np.int32)
+        del at
+        term, owner, impact = self.term[common], owner[common], self.weight[common]
+        order = np.argsort(term, kind="stable").astype(np.int32)
+        del term
         self.example, self.impact = owner[order], impact[order]
 
     def __getstate__(self) -> dict:
@@ -179,8 +188,9 @@ class Index:
         self.__dict__.update(state)
         self.term = np.cumsum(joined(zlib.decompress(state["term"]), np.int32), dtype=np.int32)
         self.count = joined(zlib.decompress(state["count"]), np.uint32)
-        self.__post_init__()
+        self._weigh()
         del self.count
+        self._invert()
 
     @property
     def n(self) -> int:

@@ -18,23 +18,24 @@ import pyarrow as pa
 
 U = np.uint64
 SLICE_BYTES = 1 << 19
-_lean = False
+_libc: ctypes.CDLL | None = None
 
 
 def lean_memory() -> None:
-    """Let this (worker) process give memory of large arrays back when freed.
+    """Let this (worker) process give memory of large arrays back when freed, and what is free now.
 
     Python workers live on between tasks: Arrow's pool and the allocator's own
     growing threshold would otherwise keep each task's largest arrays.
     """
-    global _lean
-    if not _lean:
-        _lean = True
+    global _libc
+    if _libc is None:
+        _libc = ctypes.CDLL(None)
         pa.set_memory_pool(pa.system_memory_pool())
-        libc = ctypes.CDLL(None)
-        if hasattr(libc, "mallopt"):
-            libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
-            libc.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
+        if hasattr(_libc, "mallopt"):
+            _libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+            _libc.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
 
 
 def _delims(*spans: tuple[int, int]) -> np.ndarray:
