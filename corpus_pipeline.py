@@ -13,6 +13,8 @@ from swident.storage import stored
 
 MAX_TOXICITY = 0.3
 MIN_QUALITY = 0.7
+#: Nodes that a task of the last stage keeps: a bound of memory beside the stages before, results don't depend on it.
+NODES = 150_000
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +47,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text, with seeded merge dropout, and whether they decode to it."""
-    made = pieces.round_trip(docs, ["doc_id"], pieces.load_model(), seed=1)
+    made = pieces.round_trip(docs, ["doc_id"], pieces.load_model(), seed=1, nodes=NODES)
     return made.select("doc_id", F.col("_swident_n_pieces").alias("n_pieces"), F.col("_swident_ids").alias("ids"), F.col("_swident_lossless").alias("lossless"))
 
 
