@@ -183,12 +183,15 @@ def node_table(docs: DataFrame, n: int = 5) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, f"doc_id {kind}, text_key long, node long, n_shingles long, sketch binary")
 
 
+def hot_bar(total: int) -> int:
+    """Rows from which on a key of `total` rows in all is hot: MOST_HOT keys can be at most."""
+    return max(HOT, total // MOST_HOT + 1)
+
+
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """The keys with HOT rows or more, MOST_HOT at most: the bar rises with the rows."""
+    """The hot keys of a stored table, to be broadcast."""
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_rows"))
-    counts = stored(counts.where(F.col("n_rows") >= HOT), "counts")
-    total = counts.agg(F.sum("n_rows")).first()[0] or 0
-    return F.broadcast(counts.where(F.col("n_rows") >= max(HOT, total // MOST_HOT + 1)).select(key))
+    return F.broadcast(counts.where(F.col("n_rows") >= hot_bar(rows.count())).select(key))
 
 
 def spread_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
@@ -232,25 +235,24 @@ def key_table(docs: DataFrame, threshold: Fraction, n: int = 5, tasks: dict[int,
     return docs.select("text").mapInArrow(run, "key long, node long, salt int")
 
 
-def frequent_keys(docs: DataFrame, threshold: Fraction, n: int = 5) -> dict[int, int]:
+def frequent_keys(docs: DataFrame, threshold: Fraction, n: int = 5, shingles: int = 0) -> dict[int, int]:
     """Keys that are frequent in a sample of the texts, and the tasks that each needs.
 
-    At most 100,000 keys: the bar rises with the sample.
+    At most 100,000 keys or so: the bar rises with the shingles of all texts.
     """
     some = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
     counts = key_table(some, threshold, n).select("key", "node").distinct().groupBy("key").agg(F.count("*").alias("n"))
-    counts = stored(counts.where(F.col("n") > 1), "key-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    found = counts.where(F.col("n") >= max(SALTED_ROWS // SAMPLE // 16, total // 100_000 + 1)).collect()
+    found = counts.where(F.col("n") >= max(SALTED_ROWS // SAMPLE // 16, shingles // SAMPLE // 100_000, 2)).collect()
     return {r["key"]: -(-r["n"] * SAMPLE // SALTED_ROWS) + 1 for r in found}
 
 
-def _pivot_pairs(keys: DataFrame, partitions: int) -> DataFrame:
+def _pivot_pairs(keys: DataFrame, partitions: int, salted: bool) -> DataFrame:
     """(a, b, many): each member b of a key's group with its smallest member a.
 
     Rows are dealt out by key and salt and sorted in each task as plain pairs; a
     task gives a pair once.  many: some group of the pair has further members.
-    Salted groups come out as they are and get their pivots by a broadcast.
+    Salted groups, if there are any, come out as they are and get their pivots by
+    a broadcast.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,11 +287,13 @@ def _pivot_pairs(keys: DataFrame, partitions: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.nulls(part.shape[1], pa.int64()), pa.array(part[0]), pa.array(part[1]), pa.array(many[i : i + 100_000])], names=["key", "a", "b", "many"])
 
     found = keys.repartition(partitions, "key", "salt").mapInArrow(run, "key long, a long, b long, many boolean")
-    found = stored(found, "met")
-    hot = found.where("key is not null").select("key", "b")
-    pivots = hot.groupBy("key").agg(F.min("b").alias("a"))  # no more rows than there are hot keys
-    salted = hot.join(F.broadcast(pivots), "key").where("a <> b").select("a", "b", F.lit(True).alias("many"))
-    return found.where("key is null").select("a", "b", "many").unionByName(salted).groupBy("a", "b").agg(F.max("many").alias("many"))
+    if salted:
+        found = stored(found, "met")
+        hot = found.where("key is not null").select("key", "b")
+        pivots = hot.groupBy("key").agg(F.min("b").alias("a"))  # no more rows than there are hot keys
+        stars = hot.join(F.broadcast(pivots), "key").where("a <> b").select("a", "b", F.lit(True).alias("many"))
+        found = found.where("key is null").select("a", "b", "many").unionByName(stars)
+    return found.groupBy("a", "b").agg(F.max("many").alias("many"))
 
 
 def _rows_of(column: pa.Array, rows: np.ndarray, width: int) -> np.ndarray:
@@ -396,8 +400,8 @@ def jaccard_classes(docs: DataFrame, threshold: Fraction = Fraction(4, 5), n: in
     nodes = stored(node_table(docs, n), "nodes")
     total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total / PART_ROWS) + 1)
-    keys = key_table(docs, threshold, n, frequent_keys(docs, threshold, n))
-    pairs = stored(_pivot_pairs(keys, partitions), "pairs")
+    hot = frequent_keys(docs, threshold, n, total)
+    pairs = stored(_pivot_pairs(key_table(docs, threshold, n, hot), partitions, bool(hot)), "pairs")
     met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     firsts = nodes.where("sketch is not null").join(met, "node")  # at most one row of a node from each task
     sketches = stored(firsts.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "sketches")
@@ -416,7 +420,7 @@ def _first_of_class(nodes: DataFrame, labels: DataFrame, order: F.Column) -> tup
     named = stored(least.join(labels, "node", "left").where("n_rows > 1 or component is not null").withColumn("component", F.coalesce("component", "node")), "classes")
     first = named.groupBy("component").agg(F.min("least").alias("first"))
     total = named.agg(F.sum("n_rows")).first()[0] or 0
-    hot = F.broadcast(named.where(F.col("n_rows") >= max(HOT, total // MOST_HOT + 1)).select("node"))
+    hot = F.broadcast(named.where(F.col("n_rows") >= hot_bar(total)).select("node"))
     return stored(named.join(first, "component").select("node", "first"), "firsts"), hot
 
 
