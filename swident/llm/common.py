@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,3 +43,13 @@ def labelled_examples(docs: DataFrame, labels: DataFrame, label: str, learn: Col
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_examples).select("_id", "y")
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     return found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")
+
+
+def text_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Send whole texts to workers in Arrow batches of fewer rows than Spark's default of 10,000.
+
+    A batch is held several times over on its way.  A session's own setting stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))

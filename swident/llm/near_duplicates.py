@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..storage import small_side, stored
+from .common import text_batches
 from .words import SPACED, grams, mix, slices
 
 U = np.uint64
@@ -397,6 +398,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, t: Fraction,
 def jaccard_classes(docs: DataFrame, threshold: Fraction = Fraction(4, 5), n: int = 5) -> tuple[DataFrame, DataFrame]:
     """(nodes, labels): every row's node, and labels(node, component) of linked nodes."""
     spark = docs.sparkSession
+    text_batches(spark)
     nodes = stored(node_table(docs, n), "nodes")
     total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total / PART_ROWS) + 1)

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import text_batches
 from .words import lean_memory, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -449,6 +450,7 @@ def encode(docs: DataFrame, columns: list[str], model: bytes, seed: int = 0, rat
     (700,000 take about 200 MB).  With check, _swident_lossless tells whether the
     ids decode to the text again (true for a null text).
     """
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a model file has a fixed size
     kept = docs.select(*columns, F.xxhash64(F.col("doc_id").cast("string")).alias("_swident_key"), F.col("text").alias("_swident_text"))
     schema = docs.select(*columns).schema.add("_swident_ids", T.ArrayType(T.IntegerType())).add("_swident_n_pieces", "long")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_examples
+from .common import labelled_examples, text_batches
 from .words import SPACED, Slice, grams, slices
 
 MAX_EXAMPLES = 8192
@@ -177,6 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: F.Column, at: flo
 
 def classify(docs: DataFrame, ranker: Ranker, columns: list[str]) -> DataFrame:
     """The given columns of each row, with `_swident_score` added."""
+    text_batches(docs.sparkSession)
     kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_swident_text"))
     text_at, n = (columns.index("text") if "text" in columns else len(columns)), len(columns)
     schema = docs.select(*columns).schema.add("_swident_score", "double")

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import stored
-from .common import labelled_examples, lower_ascii
+from .common import labelled_examples, lower_ascii, text_batches
 from .decontaminate import words_of
 from .words import ALNUM, Slice, joined, lean_memory, planes, slices
 
@@ -436,6 +436,7 @@ def score(docs: DataFrame, fitted: Fitted, columns: list[str], k: int = K, evide
 
     Evidence lists the neighbours: example id as text, cosine and label.
     """
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(fitted)  # bounded by max_examples
     kept = docs.select(*columns) if "text" in columns else docs.select(*columns, F.col("text").alias("_swident_text"))
     text_at, n = (columns.index("text") if "text" in columns else len(columns)), len(columns)
