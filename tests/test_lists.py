@@ -74,7 +74,7 @@ def test_hybrid_rows_and_lists_agree(spark, book, asked):
 
 
 @pytest.mark.skipif(not os.path.exists(PART), reason="no test tables")
-@pytest.mark.parametrize("name", ["hybrid_candidates", "hybrid_counters"])
+@pytest.mark.parametrize("name", ["hybrid_candidates", "hybrid_counters", "candidate_ladder"])
 def test_query_equals_sql_on_copies(spark, tmp_path, name):
     """Six copies of the parts with shifted keys, so that each name of the dictionary is there six times."""
     c = duckdb.connect()
@@ -83,3 +83,20 @@ def test_query_equals_sql_on_copies(spark, tmp_path, name):
     df = QUERIES[name](spark, str(tmp_path))
     cells = lambda rows: sorted(tuple(str(v) for v in r) for r in rows)
     assert cells(df.collect()) == cells(c.execute(f"SELECT {', '.join(df.columns)} FROM ({ORACLE_SQL[name]})").fetchall())
+
+
+@pytest.mark.skipif(not os.path.exists(PART), reason="no test tables")
+def test_ladder_query_counts_lists_and_not_rows(spark):
+    """Nothing is aggregated per query, as each would have up to 2,000 rows then."""
+    plan = QUERIES["candidate_ladder"](spark, os.path.dirname(PART))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [rank#" in plan and "Aggregate [k#" not in plan
+
+
+def test_keywords_meet_equal_titles_once(spark):
+    titles = ["Blue Ring 1", "blue ring 12", "Blue Bolt 1", None, "", "RING  blues\t1"]
+    book = spark.createDataFrame([(f"n{i}", i, titles[i % 6]) for i in range(60)], "d_name string, ord long, d_title string")
+    asks = {1: ["blue", "ring"], 2: ["blue", "1"], 3: ["ring", "zz"], 4: [], 5: ["12"], 6: ["e"]}
+    asked = spark.createDataFrame(list(asks.items()), "k int, keywords array<string>")
+    for cap in (None, 3):
+        want = [(k, i) for k, w in asks.items() if w for i in [j for j in range(60) if titles[j % 6] and all(x in titles[j % 6].lower() for x in w)][:cap]]
+        assert sorted((r.k, r.ord) for r in dic.keyword_matches(asked, book, "k", cap).collect()) == want
