@@ -74,7 +74,7 @@ def test_hybrid_rows_and_lists_agree(spark, book, asked):
 
 
 @pytest.mark.skipif(not os.path.exists(PART), reason="no test tables")
-@pytest.mark.parametrize("name", ["hybrid_candidates", "hybrid_counters", "candidate_ladder"])
+@pytest.mark.parametrize("name", ["hybrid_candidates", "hybrid_counters", "candidate_ladder", "cve_rollup"])
 def test_query_equals_sql_on_copies(spark, tmp_path, name):
     """Six copies of the parts with shifted keys, so that each name of the dictionary is there six times."""
     c = duckdb.connect()
